@@ -30,15 +30,14 @@ def from_message(message: Column, schema: StructType, fields=None) -> Column:
     return F.from_json(message, parsed, dict(TIMESTAMP_TEXT))
 
 
-def has_values(record: Column, schema: StructType, names) -> Column:
-    """True when every named field holds a usable value (not NULL, not NaN)."""
+def has_values(schema: StructType, names) -> Column:
+    """True when every named column holds a usable value (not NULL, not NaN)."""
     usable = F.lit(True)
     for name in names:
-        field = record[name]
-        usable = usable & field.isNotNull()
+        usable = usable & F.col(name).isNotNull()
         if isinstance(schema[name].dataType, (DoubleType, FloatType)):
-            usable = usable & ~F.isnan(field)
-    return F.coalesce(usable, F.lit(False))
+            usable = usable & ~F.isnan(name)
+    return usable
 
 
 def delivery_text(topic: Column, value: Column) -> Column:

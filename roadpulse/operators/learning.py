@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.clustering import KMeans
+from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import RandomForestRegressor
@@ -13,6 +13,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from roadpulse import config
 from roadpulse.config import Feed
+from roadpulse.functions.distance import nearest_centre
+
+# Squared differences one generated expression may hold.
+EXPRESSION_TERMS = 64
 
 
 def assembler(feed: Feed, on_invalid: str = "error") -> VectorAssembler:
@@ -77,6 +81,22 @@ def score(model: PipelineModel, df: DataFrame, columns: Sequence[str] | None = N
     return scored.select(*columns) if columns else scored
 
 
+def score_feed(model: PipelineModel, df: DataFrame, feed: Feed, columns: Sequence[str]) -> DataFrame:
+    """Like ``score``, for rows whose features are known to be usable.
+
+    A handful of Euclidean centres becomes a plain expression inside generated
+    code, about ten times faster than building a vector per row for MLlib. More
+    centres than that, and every other model, go through MLlib.
+    """
+    fitted = model.stages[-1]
+    if isinstance(fitted, KMeansModel) and fitted.getDistanceMeasure() == "euclidean":
+        known = centres(model)
+        if len(known) * len(feed.features) <= EXPRESSION_TERMS:
+            cluster = nearest_centre([F.col(name) for name in feed.features], known)
+            return df.withColumn(feed.prediction, cluster).select(*columns)
+    return score(model, df, columns)
+
+
 def scored_columns(feed: Feed, event_time: bool = False) -> list[str]:
     return [*feed.scored.names, *(["event_time"] if event_time else [])]
 

@@ -87,9 +87,14 @@ def merge_feeds(*messages: DataFrame) -> DataFrame:
     return merged
 
 
-def _parsed(envelopes: DataFrame, schema: StructType, fields) -> DataFrame:
+def _parsed(envelopes: DataFrame, schema: StructType, fields, *extra: str) -> DataFrame:
+    """``event_time`` and the record's fields, one row per message.
+
+    The record passes through ``inline``: a filter on a parsed field would
+    otherwise be pushed below the parsing and parse the JSON a second time.
+    """
     payload = envelopes.select(F.col("timestamp").alias("event_time"), F.col("value").cast("string").alias("value"))
-    return payload.withColumn("record", from_message(F.col("value"), schema, fields))
+    return payload.select("event_time", *extra, F.inline(F.array(from_message(F.col("value"), schema, fields))))
 
 
 def decode(
@@ -108,21 +113,20 @@ def decode(
     """
     if on_malformed not in MALFORMED_POLICIES:
         raise ValueError(f"on_malformed must be one of {MALFORMED_POLICIES}")
-    parsed = _parsed(envelopes, schema, fields)
-    usable = has_values(F.col("record"), schema, required)
+    usable = has_values(schema, required)
+    if on_malformed == "keep":
+        return _parsed(envelopes, schema, fields)
     if on_malformed == "skip":
-        parsed = parsed.where(usable)
-    elif on_malformed == "fail":
-        refusal = F.raise_error(F.concat(F.lit("undecodable message: "), F.coalesce("value", F.lit("NULL"))))
-        checked = F.when(usable, F.col("record")).otherwise(refusal.cast(parsed.schema["record"].dataType))
-        parsed = parsed.withColumn("record", checked)
-    return parsed.select("event_time", "record.*")
+        return _parsed(envelopes, schema, fields).where(usable)
+    refusal = F.raise_error(F.concat(F.lit("undecodable message: "), F.coalesce("value", F.lit("NULL"))))
+    checked = _parsed(envelopes, schema, fields, "value").where(F.when(usable, F.lit(True)).otherwise(refusal.cast("boolean")))
+    return checked.drop("value")
 
 
 def malformed(envelopes: DataFrame, schema: StructType, required) -> DataFrame:
     """The messages ``decode(..., on_malformed="skip")`` leaves out, as raw text."""
-    parsed = _parsed(envelopes, schema, required)
-    return parsed.where(~has_values(F.col("record"), schema, required)).select("event_time", "value")
+    parsed = _parsed(envelopes, schema, required, "value")
+    return parsed.where(~has_values(schema, required)).select("event_time", "value")
 
 
 class Decoded(NamedTuple):

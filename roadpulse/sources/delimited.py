@@ -31,8 +31,11 @@ def read_delimited(
 
 
 def read_cells(spark: SparkSession, path: str | list[str], sep: str = FEED_SEPARATOR) -> DataFrame:
-    """A headed file with every cell as text, columns named by its own header."""
-    return spark.read.options(header=True, sep=sep).csv(path)
+    """Headed files with every cell as text, columns named by their own header.
+
+    The header comes from one file; a file with another header is an error.
+    """
+    return spark.read.options(header=True, sep=sep, enforceSchema=False).csv(path)
 
 
 def read_named(spark: SparkSession, path: str | list[str], schema: StructType, sep: str = ",") -> DataFrame:

@@ -1,0 +1,132 @@
+from __future__ import annotations
+
+import math
+
+import pytest
+from pyspark.errors import PySparkException
+
+from helpers import FCD_HEADER, write_lines
+from roadpulse.operators.records import normalise
+from roadpulse.schemas import EMISSION, FCD, as_text
+from roadpulse.sources.delimited import read_cells, read_delimited, read_named
+
+
+def records(spark, tmp_path, *lines, header=FCD_HEADER, **rules):
+    path = write_lines(tmp_path / "feed.csv", header, *lines)
+    return normalise(read_cells(spark, path), FCD, **rules).collect()
+
+
+FULL = "1.5;90.0;7;lane_1;3.25;0.1;13.9;car;471.67;265.37"
+
+
+def test_full_row_keeps_every_value(spark, tmp_path):
+    (row,) = records(spark, tmp_path, FULL)
+    assert tuple(row) == (1.5, 90.0, 7, "lane_1", 3.25, 0.1, 13.9, "car", 471.67, 265.37)
+
+
+def test_empty_vehicle_cells_become_zero_or_empty_text(spark, tmp_path):
+    (row,) = records(spark, tmp_path, "2.0;;;;;;;;;")
+    assert tuple(row) == (2.0, 0.0, 0, "", 0.0, 0.0, 0.0, "", 0.0, 0.0)
+
+
+def test_quoted_empty_cells_count_as_empty(spark, tmp_path):
+    (row,) = records(spark, tmp_path, '2.0;"";"";"";1;1;1;"";1;1')
+    assert (row.vehicle_angle, row.vehicle_id, row.vehicle_lane) == (0.0, 0, "")
+
+
+def test_missing_rules(spark, tmp_path):
+    lines = [FULL, "2.0;;7;;1;1;1;car;1;1"]
+    kept = records(spark, tmp_path, *lines, missing="null")
+    assert sorted((r.vehicle_angle is None, r.vehicle_lane) for r in kept) == [(False, "lane_1"), (True, "")]
+    assert [r.timestep_time for r in records(spark, tmp_path, *lines, missing="drop")] == [1.5]
+
+
+def test_mandatory_cell_has_no_default(spark, tmp_path):
+    with pytest.raises(PySparkException, match="timestep_time"):
+        records(spark, tmp_path, ";90;7;a;1;1;1;car;1;1")
+
+
+@pytest.mark.parametrize("bad", ["1.5;fast;7;a;1;1;1;car;1;1", "1.5;1;4.7;a;1;1;1;car;1;1"])
+def test_unreadable_number_fails_or_is_null(spark, tmp_path, bad):
+    with pytest.raises(PySparkException, match="not a"):
+        records(spark, tmp_path, bad)
+    (row,) = records(spark, tmp_path, bad, on_bad="null")
+    assert None in (row.vehicle_angle, row.vehicle_id)
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_failing_does_not_depend_on_the_ansi_setting(spark, tmp_path, ansi):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        with pytest.raises(PySparkException, match="vehicle_angle"):
+            records(spark, tmp_path, "1.5;fast;7;a;1;1;1;car;1;1")
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+def test_special_numbers_and_spaces(spark, tmp_path):
+    (row,) = records(spark, tmp_path, "1e3;nan; 7 ;a;inf;-inf; 2.5 ;car;1;1")
+    assert math.isnan(row.vehicle_angle) and row.vehicle_pos == math.inf and row.vehicle_slope == -math.inf
+    assert (row.timestep_time, row.vehicle_id, row.vehicle_speed) == (1000.0, 7, 2.5)
+
+
+def test_short_row_counts_its_missing_cells_as_empty(spark, tmp_path):
+    (row,) = records(spark, tmp_path, "1.5;90.0;7")
+    assert (row.vehicle_id, row.vehicle_lane, row.vehicle_y) == (7, "", 0.0)
+
+
+def test_columns_are_found_by_name(spark, tmp_path):
+    header = ";".join(reversed(FCD_HEADER.split(";"))) + ";extra"
+    (row,) = records(spark, tmp_path, ";".join(reversed(FULL.split(";"))) + ";more", header=header)
+    assert (row.timestep_time, row.vehicle_lane, row.vehicle_y) == (1.5, "lane_1", 265.37)
+
+
+def test_only_named_fields_are_parsed(spark, tmp_path):
+    path = write_lines(tmp_path / "feed.csv", FCD_HEADER, "1.5;fast;7;a;1;1;1;car;3;4")
+    (row,) = normalise(read_cells(spark, path), FCD, fields=["vehicle_x", "vehicle_y"]).collect()
+    assert tuple(row) == (3.0, 4.0)
+    with pytest.raises(ValueError, match="speeed"):
+        normalise(read_cells(spark, path), FCD, fields=["speeed"])
+
+
+def test_unknown_rules_are_refused(spark):
+    cells = spark.createDataFrame([], as_text(FCD))
+    with pytest.raises(ValueError):
+        normalise(cells, FCD, missing="guess")
+    with pytest.raises(ValueError):
+        normalise(cells, FCD, on_bad="guess")
+
+
+def test_emission_layout(spark, tmp_path):
+    path = write_lines(tmp_path / "emission.csv", ";".join(EMISSION.names), ";".join(["5.0"] + [""] * 19))
+    (row,) = normalise(read_cells(spark, path), EMISSION).collect()
+    blanks = {"string": "", "int": 0, "double": 0.0}
+    assert row.asDict() == {f.name: blanks[f.dataType.simpleString()] for f in EMISSION} | {"timestep_time": 5.0}
+
+
+def test_typed_scan_checks_the_header(spark, tmp_path):
+    path = write_lines(tmp_path / "feed.csv", FCD_HEADER, FULL, "2.0;;;;;;;;;")
+    assert [tuple(r)[:4] for r in read_delimited(spark, path, FCD).orderBy("timestep_time").collect()] == [
+        (1.5, 90.0, 7, "lane_1"),
+        (2.0, None, None, None),
+    ]
+    swapped = write_lines(tmp_path / "swapped.csv", ";".join(reversed(FCD_HEADER.split(";"))), FULL)
+    with pytest.raises(Exception, match="header"):
+        read_delimited(spark, swapped, FCD).collect()
+
+
+def test_files_of_one_scan_must_share_their_header(spark, tmp_path):
+    write_lines(tmp_path / "a.csv", FCD_HEADER, FULL)
+    write_lines(tmp_path / "b.csv", ";".join(reversed(FCD_HEADER.split(";"))), FULL)
+    with pytest.raises(Exception, match="header"):
+        read_cells(spark, str(tmp_path)).collect()
+
+
+def test_named_scan_loses_no_row_to_a_header(spark, tmp_path):
+    folder = tmp_path / "parts"
+    folder.mkdir()
+    write_lines(folder / "part-0.csv", "471.67,265.37,4", "481.76,348.92,1")
+    write_lines(folder / "part-1.csv", "454.94,450.1,3")
+    rows = read_named(spark, str(folder), "vehicle_x DOUBLE, vehicle_y DOUBLE, congestion_cluster INT")
+    assert sorted(r.congestion_cluster for r in rows.collect()) == [1, 3, 4]

@@ -1,0 +1,221 @@
+from __future__ import annotations
+
+from pathlib import Path
+
+import pytest
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import functions as F
+
+from catalog.feeds import write_feed
+from catalog.tables import emission_records, envelopes, fcd_records
+from helpers import bag
+from roadpulse import __main__ as cli
+from roadpulse.config import EMISSION_FEED, FCD_FEED, Settings
+from roadpulse.operators import learning
+from roadpulse.plans.consolidation import consolidate
+from roadpulse.plans.replaying import replay
+from roadpulse.schemas import ENVELOPE, FCD, SCORED_FCD, with_event_time
+from roadpulse.sinks.files import stream_writer, write_table
+from roadpulse.sources.delimited import read_named
+from roadpulse.sources.messages import file_stream, read_quarantined
+from roadpulse.streaming.lifecycle import await_all
+from roadpulse.streaming.replay import start_replay
+from roadpulse.streaming.scoring import ScoringJob, scored_messages, start_scoring
+from roadpulse.workspace import fresh_dir, shared_root
+
+DRAIN = {"availableNow": True}
+
+
+@pytest.fixture(scope="module")
+def model(spark):
+    return learning.fit(learning.cluster_pipeline(), fcd_records(spark, "/root/testdata/sf0.001"), FCD_FEED)
+
+
+@pytest.fixture
+def broker(spark, sf_dir, tmp_path):
+    """A directory of Parquet files holding envelopes, several files at a time."""
+    path = str(tmp_path / "broker")
+
+    def send():
+        envelopes(spark, sf_dir, FCD_FEED).repartition(3).write.mode("append").parquet(path)
+
+    send()
+    return send
+
+
+def job(spark, path, model, tmp_path, **changes):
+    settings = {"output": str(tmp_path / "scored"), "checkpoint": str(tmp_path / "progress"), **changes}
+    stream = file_stream(spark, path, ENVELOPE, files_per_trigger=1)
+    return ScoringJob(feed=FCD_FEED, envelopes=stream, model=model, **settings)
+
+
+def test_stream_equals_batch_and_a_restart_adds_only_new_files(spark, sf_dir, broker, model, tmp_path):
+    path = str(tmp_path / "broker")
+    schema = with_event_time(SCORED_FCD)
+    batch = bag(scored_messages(envelopes(spark, sf_dir, FCD_FEED), FCD_FEED, model))
+    for _ in range(2):
+        await_all(start_scoring([job(spark, path, model, tmp_path)], DRAIN))
+        assert bag(read_named(spark, str(tmp_path / "scored"), schema)) == batch
+    broker()
+    await_all(start_scoring([job(spark, path, model, tmp_path)], DRAIN))
+    twice = bag(read_named(spark, str(tmp_path / "scored"), schema))
+    assert twice == batch + batch
+
+
+def test_exact_layout_without_event_time(spark, broker, model, tmp_path):
+    await_all(start_scoring([job(spark, str(tmp_path / "broker"), model, tmp_path, event_time=False)], DRAIN))
+    parts = [p for p in (tmp_path / "scored").glob("part-*.csv") if p.stat().st_size]
+    assert parts and all(len(line.split(",")) == 3 for p in parts for line in p.read_text().splitlines())
+
+
+def damaged(spark, tmp_path):
+    path = str(tmp_path / "damaged")
+    rows = [(b'{"vehicle_x":1.0,"vehicle_y":2.0}',), (b"{broken",), (None,), (b'{"vehicle_x":"NaN","vehicle_y":2.0}',)]
+    frame = spark.createDataFrame(rows, "value BINARY").withColumn("timestamp", F.current_timestamp())
+    blanks = [F.lit(None).cast(f.dataType).alias(f.name) for f in ENVELOPE if f.name not in frame.columns]
+    frame.select("*", *blanks).select(*ENVELOPE.names).coalesce(1).write.parquet(path)
+    return path
+
+
+def test_malformed_messages_are_quarantined(spark, model, tmp_path):
+    queries = start_scoring([job(spark, damaged(spark, tmp_path), model, tmp_path)], DRAIN)
+    await_all(queries)
+    assert read_named(spark, str(tmp_path / "scored"), with_event_time(SCORED_FCD)).count() == 1
+    rejected = read_quarantined(spark, str(tmp_path / "scored") + "_malformed")
+    assert {r.value for r in rejected.collect()} == {"{broken", None, '{"vehicle_x":"NaN","vehicle_y":2.0}'}
+    counted = [p.observedMetrics["malformed"].rows for p in queries[1].recentProgress if "malformed" in p.observedMetrics]
+    assert sum(counted) == 3
+
+
+def test_malformed_messages_can_be_skipped_or_fail(spark, model, tmp_path):
+    path = damaged(spark, tmp_path)
+    queries = start_scoring([job(spark, path, model, tmp_path, on_malformed="skip")], DRAIN)
+    await_all(queries)
+    assert len(queries) == 1
+    strict = job(
+        spark, path, model, tmp_path, on_malformed="fail", name="strict",
+        output=str(tmp_path / "strict"), checkpoint=str(tmp_path / "strict-progress"),
+    )
+    with pytest.raises(StreamingQueryException):
+        await_all(start_scoring([strict], DRAIN))
+
+
+def test_one_failure_stops_the_other_queries(spark, broker, model, tmp_path):
+    endless = job(spark, str(tmp_path / "broker"), model, tmp_path, on_malformed="skip", name="endless")
+    failing = job(
+        spark, damaged(spark, tmp_path), model, tmp_path, on_malformed="fail", name="failing",
+        output=str(tmp_path / "f"), checkpoint=str(tmp_path / "fp"),
+    )
+    queries = start_scoring([endless, failing])
+    with pytest.raises(StreamingQueryException):
+        await_all(queries, poll_seconds=0.2)
+    assert not any(query.isActive for query in queries)
+
+
+def test_jobs_must_not_share_names_or_checkpoints(spark, broker, model, tmp_path):
+    one = job(spark, str(tmp_path / "broker"), model, tmp_path)
+    with pytest.raises(ValueError, match="own name"):
+        start_scoring([one, one])
+    with pytest.raises(ValueError, match="on_malformed"):
+        start_scoring([job(spark, str(tmp_path / "broker"), model, tmp_path, on_malformed="hide")])
+
+
+def test_replay_goes_on_where_it_stopped(spark, sf_dir, tmp_path):
+    records = fcd_records(spark, sf_dir)
+    source = tmp_path / "feed"
+    target, progress = str(tmp_path / "messages"), str(tmp_path / "progress")
+    records.repartition(3).write.options(header=True, sep=";").csv(str(source))
+    for expected in (1, 2):
+        query = start_replay(spark, str(source), FCD_FEED, progress, lines=target, files_per_trigger=2, trigger=DRAIN)
+        await_all([query])
+        messages = spark.read.schema("topic STRING, key STRING, value STRING").json(target)
+        assert messages.count() == expected * records.count()
+        records.write.mode("append").options(header=True, sep=";").csv(str(source))
+
+
+def test_paced_replay_takes_one_batch_per_interval(spark, sf_dir, tmp_path):
+    source = tmp_path / "feed"
+    fcd_records(spark, sf_dir).repartition(3).write.options(header=True, sep=";").csv(str(source))
+    query = start_replay(
+        spark, str(source), FCD_FEED, str(tmp_path / "p"), lines=str(tmp_path / "m"),
+        files_per_trigger=1, trigger={"processingTime": "1 second"},
+    )
+    query.processAllAvailable()
+    batches = [p for p in query.recentProgress if p.numInputRows]
+    query.stop()
+    assert len(batches) == 3
+
+
+def test_replay_targets(spark, tmp_path):
+    for call in (lambda **t: replay(spark, "x", FCD_FEED, **t), lambda **t: start_replay(spark, "x", FCD_FEED, "c", **t)):
+        with pytest.raises(ValueError):
+            call()
+        with pytest.raises(ValueError):
+            call(lines="a", servers="b")
+
+
+def test_consolidation_modes(spark, tmp_path):
+    rows = spark.createDataFrame([(1.5, 2.5, 3), (4.0, 5.0, 0)], SCORED_FCD)
+    source, target = str(tmp_path / "parts"), str(tmp_path / "result")
+    write_table(rows.repartition(2), source, header=False)
+    consolidate(spark, source, target, SCORED_FCD)
+    consolidate(spark, source, target, SCORED_FCD, files=1)
+    assert bag(spark.read.schema(SCORED_FCD).csv(target, header=True)) == bag(rows) + bag(rows)
+    consolidate(spark, source, target, SCORED_FCD, mode="overwrite")
+    assert bag(spark.read.schema(SCORED_FCD).csv(target, header=True)) == bag(rows)
+    with pytest.raises(ValueError, match="differ"):
+        consolidate(spark, source, source + "/", SCORED_FCD, mode="overwrite")
+
+
+def test_consolidation_ignores_uncommitted_files(spark, sf_dir, broker, model, tmp_path):
+    await_all(start_scoring([job(spark, str(tmp_path / "broker"), model, tmp_path, event_time=False)], DRAIN))
+    scored = str(tmp_path / "scored")
+    before = read_named(spark, scored, SCORED_FCD).count()
+    Path(scored, "part-left-over.csv").write_text("1.0,2.0,3\n")
+    consolidate(spark, scored, str(tmp_path / "result"), SCORED_FCD, fmt="parquet")
+    assert spark.read.parquet(str(tmp_path / "result")).count() == before
+
+
+def test_scratch_lies_in_the_shared_folder(spark):
+    assert fresh_dir(spark, "x").startswith(shared_root(spark)) and fresh_dir(spark, "x") != fresh_dir(spark, "x")
+    assert shared_root(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_settings_come_from_arguments_or_environment():
+    env = {"KAFKA_URL": "k:9092", "CLUSTER_MODEL_LOCATION": "/c", "REGRESSION_MODEL_LOCATION": "/r"}
+    assert Settings.from_env(env) == Settings("k:9092", "/c", "/r") and Settings.from_env({}) == Settings()
+    args = cli.parser(Settings.from_env(env)).parse_args(["score", "a", "b", "c"])
+    assert (args.servers, args.cluster_model, args.regression_model) == ("k:9092", "/c", "/r")
+    with pytest.raises(SystemExit):
+        cli.parser(Settings()).parse_args(["score", "a", "b", "c"])
+
+
+def test_the_whole_way_by_command_line(spark, sf_dir, tmp_path, capsys):
+    """replay, train, score, consolidate and layer, each from its entry point."""
+    fcd = write_feed(spark, fcd_records(spark, sf_dir), "fcd")
+    emission = write_feed(spark, emission_records(spark, sf_dir), "emission")
+
+    def call(*argv):
+        cli.run(spark, cli.parser(Settings()).parse_args([str(a) for a in argv]))
+
+    call("replay", "fcd", fcd, "--lines", tmp_path / "messages")
+    assert "'stockholm-fcd': 1000" in capsys.readouterr().out
+    models = [tmp_path / "cmodel", tmp_path / "rmodel"]
+    call("train", fcd, emission, "--cluster-model", models[0], "--regression-model", models[1], "--max-rows", 1000)
+    assert {"mse", "rmse", "mae", "silhouette"} <= set(eval(capsys.readouterr().out))  # noqa: S307
+
+    loaded = learning.load(str(models[0]))
+    rows = scored_messages(envelopes(spark, sf_dir, FCD_FEED), FCD_FEED, loaded, event_time=False)
+    write_table(rows, str(tmp_path / "scored"), header=False)
+    call("consolidate", "fcd", tmp_path / "scored", tmp_path / "result", "--no-event-time", "--format", "parquet")
+    assert spark.read.parquet(str(tmp_path / "result")).count() == rows.count()
+    call("layer", tmp_path / "scored", tmp_path / "layer", "--no-event-time", "--format", "parquet")
+    assert set(spark.read.parquet(str(tmp_path / "layer")).columns) == {"lat", "lon", "popup", "colour"}
+
+
+def test_event_time_keeps_microseconds_in_csv(spark, sf_dir, tmp_path):
+    stream = file_stream(spark, f"{sf_dir}/events*.parquet", "ts TIMESTAMP_NTZ, event_id BIGINT")
+    rows = stream.select("event_id", F.col("ts").cast("timestamp").alias("event_time"))
+    await_all([stream_writer(rows, str(tmp_path / "o"), str(tmp_path / "c"), "t", trigger=DRAIN).start()])
+    want = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", F.col("ts").cast("timestamp"))
+    assert bag(read_named(spark, str(tmp_path / "o"), "event_id BIGINT, event_time TIMESTAMP")) == bag(want)

@@ -1,0 +1,98 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from catalog.feeds import write_feed
+from catalog.tables import emission_records, fcd_records
+from helpers import bag, plan
+from roadpulse import config
+from roadpulse.config import EMISSION_FEED, FCD_FEED
+from roadpulse.functions.distance import nearest_centre
+from roadpulse.operators import learning
+from roadpulse.operators.records import normalise
+from roadpulse.plans.training import land, train_regressor
+from roadpulse.schemas import FCD
+from roadpulse.sources.delimited import read_cells
+
+
+@pytest.fixture(scope="module")
+def positions(spark):
+    return fcd_records(spark, "/root/testdata/sf0.001").cache()
+
+
+@pytest.fixture(scope="module")
+def clusters(positions):
+    return learning.fit(learning.cluster_pipeline(), positions, FCD_FEED)
+
+
+def test_model_settings(clusters):
+    fitted = clusters.stages[-1]
+    assert (fitted.getK(), fitted.getSeed(), fitted.getMaxIter(), fitted.getTol()) == (5, 1, 20, 1e-4)
+    forest = learning.regression_pipeline().getStages()[-1]
+    assert (forest.getMaxDepth(), forest.getNumTrees(), forest.getMaxBins()) == (10, 20, 32)
+
+
+def test_same_partitioning_gives_the_same_model(positions, clusters):
+    again = learning.fit(learning.cluster_pipeline(), positions, FCD_FEED)
+    assert learning.centres(again) == learning.centres(clusters)
+
+
+def test_expression_assigns_like_the_model(positions, clusters):
+    by_model = learning.score(clusters, positions, FCD_FEED.scored.names)
+    by_expression = learning.score_feed(clusters, positions, FCD_FEED, FCD_FEED.scored.names)
+    assert bag(by_model) == bag(by_expression)
+    assert "UDF" not in plan(by_expression) and "UDF" in plan(by_model)
+    assert by_expression.schema["congestion_cluster"].dataType == by_model.schema["congestion_cluster"].dataType
+
+
+def test_many_centres_go_through_the_model(positions):
+    model = learning.fit(learning.cluster_pipeline(k=40), positions, FCD_FEED)
+    assert "UDF" in plan(learning.score_feed(model, positions, FCD_FEED, FCD_FEED.scored.names))
+
+
+def test_nearest_centre_against_brute_force(spark):
+    rng = random.Random(3)
+    centres = [(rng.uniform(0, 9), rng.uniform(0, 9)) for _ in range(7)]
+    points = [(rng.uniform(0, 9), rng.uniform(0, 9)) for _ in range(500)]
+    rows = spark.createDataFrame(points, "x DOUBLE, y DOUBLE")
+    got = rows.select("x", "y", nearest_centre([F.col("x"), F.col("y")], centres).alias("c")).collect()
+    for row in got:
+        distances = [(row.x - a) ** 2 + (row.y - b) ** 2 for a, b in centres]
+        assert row.c == distances.index(min(distances))
+
+
+def test_nearest_centre_ties_and_nulls(spark):
+    rows = spark.createDataFrame([(1.0, 0.0), (None, 0.0)], "x DOUBLE, y DOUBLE")
+    for centres in ([(2.0, 0.0), (0.0, 0.0)], [(0.0, 0.0)]):
+        got = rows.select(nearest_centre([F.col("x"), F.col("y")], centres).alias("c")).collect()
+        assert [r.c for r in got] == [0, None]
+
+
+def test_unusable_features_stop_the_assembler(spark):
+    rows = spark.createDataFrame([(1.0, None)], "vehicle_x DOUBLE, vehicle_y DOUBLE")
+    with pytest.raises(Exception, match="Encountered null while assembling"):
+        learning.assemble(rows, FCD_FEED).collect()
+    assert learning.assemble(rows, FCD_FEED, on_invalid="skip").count() == 0
+
+
+def test_spread_leaves_large_tables_alone(spark):
+    rows = spark.range(0, 100, 1, 12)
+    assert learning.spread(rows, 8) is rows
+    assert learning.spread(rows.coalesce(1), 8).rdd.getNumPartitions() == 8
+
+
+def test_landed_feed_equals_the_parsed_text(spark, positions):
+    source = write_feed(spark, positions, "fcd")
+    landed = land(spark, source, FCD_FEED)
+    assert landed.columns == ["timestep_time", "vehicle_id", "vehicle_x", "vehicle_y"]
+    assert bag(landed) == bag(normalise(read_cells(spark, source), FCD, fields=FCD_FEED.training_columns))
+
+
+def test_row_cap_and_held_out_part(spark):
+    records = emission_records(spark, "/root/testdata/sf0.001")
+    trained = train_regressor(records, max_rows=config.ROW_CAP, depth=3, trees=2)
+    assert trained.train.count() + trained.test.count() == config.ROW_CAP
+    assert trained.metrics["rmse"] == pytest.approx(trained.metrics["mse"] ** 0.5)
