@@ -93,7 +93,7 @@ def model_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
         uneven = bag_difference(
             learning.score(model, records, feed.scored.names), learning.score(again, records, feed.scored.names)
         )
-        outcomes.append(uneven.select(F.lit(feed.name).alias("feed"), "differences"))
+        outcomes.append(uneven.select(F.lit(feed.name).alias("feed"), "compared", "differences"))
     return outcomes[0].unionByName(outcomes[1])
 
 
@@ -156,9 +156,9 @@ ORACLES = {
         SELECT 20 AS trees, count(*) AS scored, TRUE AS within_range, TRUE AS beats_mean FROM lineitem
     """,
     "model_round_trip": """
-        SELECT 'fcd' AS feed, CAST(0 AS BIGINT) AS differences
+        SELECT 'fcd' AS feed, count(*) AS compared, CAST(0 AS BIGINT) AS differences FROM events
         UNION ALL
-        SELECT 'emission', CAST(0 AS BIGINT)
+        SELECT 'emission', count(*), CAST(0 AS BIGINT) FROM lineitem
     """,
     "training_report": """
         SELECT count(*) AS recorded, TRUE AS centres_stored, TRUE AS trees_stored, TRUE AS rmse_is_root_of_mse,

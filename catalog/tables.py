@@ -161,10 +161,16 @@ def naive_time(column: str = "event_time") -> Column:
 
 
 def bag_difference(left: DataFrame, right: DataFrame) -> DataFrame:
-    """How many distinct rows occur a different number of times on the two sides."""
+    """The rows on the left, and how many distinct rows occur a different number of
+    times on the two sides; one shuffle, with equal rows added up before it."""
     marked = left.withColumn("_side", F.lit(1)).unionByName(right.withColumn("_side", F.lit(-1)))
-    uneven = marked.groupBy(*left.columns).agg(F.sum("_side").alias("_surplus")).where("_surplus <> 0")
-    return uneven.agg(F.count(F.lit(1)).alias("differences"))
+    per_row = marked.groupBy(*left.columns).agg(
+        F.sum("_side").alias("_surplus"), F.count_if(F.col("_side") == 1).alias("_left")
+    )
+    return per_row.agg(
+        F.coalesce(F.sum("_left"), F.lit(0)).alias("compared"),
+        F.count_if(F.col("_surplus") != 0).alias("differences"),
+    )
 
 
 def nearest_sql(rows: str, x: str, y: str, key: str, centres) -> str:
