@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from catalog.tables import EMISSION_SQL, FCD_SQL, emission_records, fcd_records, table
 from roadpulse.config import EMISSION_FEED, FCD_FEED
+from roadpulse.functions.messages import message_key
+from roadpulse.operators.partitioning import spread
 from roadpulse.operators.records import normalise
 from roadpulse.plans.replaying import replay
 from roadpulse.schemas import EMISSION, FCD
@@ -16,7 +18,7 @@ from roadpulse.workspace import fresh_dir
 def write_feed(spark: SparkSession, records: DataFrame, label: str) -> str:
     """A headed, ``;``-separated directory; NULL cells come out empty."""
     path = fresh_dir(spark, label)
-    records.write.options(header=True, sep=";", emptyValue="").csv(path)
+    spread(records).write.options(header=True, sep=";", emptyValue="").csv(path)
     return path
 
 
@@ -104,14 +106,18 @@ def cell_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def replayed(spark: SparkSession, path: str) -> DataFrame:
+    """Delivered messages as records, with the topic and whether the key names the record."""
+    messages = spark.read.schema("topic STRING, key STRING, value STRING").json(path)
+    opened = messages.select("topic", "key", F.inline(F.array(F.from_json("value", FCD))))
+    return opened.select("topic", (F.col("key") == message_key(FCD_FEED.identity)).alias("key_fits"), *FCD.names)
+
+
 def replay_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A recorded feed to messages and back: the delivered JSON holds every record."""
     target = fresh_dir(spark, "messages")
     replay(spark, blanked_fcd(spark, sf_dir), FCD_FEED, lines=target)
-    messages = spark.read.schema("topic STRING, key STRING, value STRING").json(target)
-    return messages.select("topic", "key", F.from_json("value", FCD).alias("record")).select(
-        "topic", "key", "record.*"
-    )
+    return replayed(spark, target)
 
 
 def delivery_report(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -148,7 +154,7 @@ ORACLES = {
     "typed_scan": "SELECT * FROM customer",
     "cell_scan": "SELECT * FROM customer",
     "replay_batch": f"""
-        SELECT 'stockholm-fcd' AS topic, CAST(vehicle_id AS VARCHAR) AS key, * FROM ({FCD_ZERO_SQL})
+        SELECT 'stockholm-fcd' AS topic, TRUE AS key_fits, * FROM ({FCD_ZERO_SQL})
     """,
     "delivery_report": """
         SELECT 'stockholm-fcd' AS topic, count(*) AS delivered FROM events

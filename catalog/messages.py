@@ -90,14 +90,16 @@ def json_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 def message_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages keyed by the vehicle and by the one constant key."""
     records = fcd_records(spark, sf_dir)
-    by_vehicle = encode(records, FCD_FEED)
+    by_vehicle = encode(records, FCD_FEED, key=F.col("vehicle_id"))
     by_constant = encode(records, FCD_FEED, key=F.lit(config.CONSTANT_KEY))
     return merge_feeds(by_vehicle, by_constant).groupBy("topic", "key").agg(F.count(F.lit(1)).alias("messages"))
 
 
 def _both_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vehicle = F.col("vehicle_id")
     return merge_feeds(
-        encode(fcd_records(spark, sf_dir), FCD_FEED), encode(emission_records(spark, sf_dir), EMISSION_FEED)
+        encode(fcd_records(spark, sf_dir), FCD_FEED, vehicle),
+        encode(emission_records(spark, sf_dir), EMISSION_FEED, vehicle),
     )
 
 

@@ -8,9 +8,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from roadpulse.config import EMISSION_FEED, FCD_FEED, Feed
+from roadpulse.operators.partitioning import spread
 from roadpulse.operators.records import as_envelopes
 from roadpulse.schemas import EMISSION, FCD
 from roadpulse.sources.messages import file_stream
+from roadpulse.workspace import fresh_dir
 
 EVENTS = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
 LINEITEM = (
@@ -145,8 +147,15 @@ def _emission_envelopes(lineitem: DataFrame) -> DataFrame:
 
 def envelopes(spark: SparkSession, sf_dir: str, feed: Feed) -> DataFrame:
     if feed is FCD_FEED:
-        return _fcd_envelopes(table(spark, sf_dir, "events"))
-    return _emission_envelopes(table(spark, sf_dir, "lineitem"))
+        return _fcd_envelopes(spread(table(spark, sf_dir, "events")))
+    return _emission_envelopes(spread(table(spark, sf_dir, "lineitem")))
+
+
+def stored_envelopes(spark: SparkSession, sf_dir: str, feed: Feed) -> str:
+    """The feed's messages as a directory of files, like a topic of several partitions."""
+    path = fresh_dir(spark, f"topic-{feed.name}")
+    envelopes(spark, sf_dir, feed).write.parquet(path)
+    return path
 
 
 def envelope_stream(spark: SparkSession, sf_dir: str, feed: Feed) -> DataFrame:

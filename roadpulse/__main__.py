@@ -14,7 +14,10 @@ from roadpulse.plans.replaying import replay
 from roadpulse.plans.scoring import score_topics
 from roadpulse.plans.training import train
 from roadpulse.schemas import with_event_time
+from roadpulse.sinks.delivery import delivered
 from roadpulse.sinks.files import write_table
+from roadpulse.streaming.lifecycle import await_all
+from roadpulse.streaming.replay import start_replay
 
 
 def parser(settings: Settings) -> argparse.ArgumentParser:
@@ -26,6 +29,9 @@ def parser(settings: Settings) -> argparse.ArgumentParser:
     job.add_argument("source")
     job.add_argument("--servers", default=settings.kafka_url)
     job.add_argument("--lines")
+    job.add_argument("--checkpoint", help="replay as a stream that a restart continues")
+    job.add_argument("--files-per-trigger", type=int, help="pace of the stream: files per batch")
+    job.add_argument("--every", help="pace of the stream: time between batches, as '1 second'")
 
     job = jobs.add_parser("train", help="fit, evaluate and store both models")
     job.add_argument("fcd")
@@ -44,6 +50,10 @@ def parser(settings: Settings) -> argparse.ArgumentParser:
     job.add_argument("--regression-model", default=settings.regression_model, required=not settings.regression_model)
     job.add_argument("--no-event-time", action="store_true")
     job.add_argument("--on-malformed", choices=("quarantine", "skip", "fail"), default="quarantine")
+    job.add_argument("--every", help="time between batches, as '1 minute': fewer and larger files")
+    job.add_argument("--starting-offsets", help="where a new query starts; Spark's default is latest")
+    job.add_argument("--max-offsets-per-trigger", type=int)
+    job.add_argument("--min-partitions", type=int)
 
     job = jobs.add_parser("consolidate", help="merge streamed part files")
     job.add_argument("feed", choices=sorted(FEEDS))
@@ -62,12 +72,27 @@ def parser(settings: Settings) -> argparse.ArgumentParser:
     return root
 
 
+def _pace(every: str | None) -> dict | None:
+    return {"processingTime": every} if every else None
+
+
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.job == "replay":
-        if args.lines:
-            print(replay(spark, args.source, FEEDS[args.feed], lines=args.lines))
+        target = {"lines": args.lines} if args.lines else {"servers": args.servers}
+        if args.checkpoint:
+            query = start_replay(
+                spark,
+                args.source,
+                FEEDS[args.feed],
+                args.checkpoint,
+                files_per_trigger=args.files_per_trigger,
+                trigger=_pace(args.every) or {"availableNow": True},
+                **target,
+            )
+            await_all([query])
+            print(delivered(query))
         else:
-            print(replay(spark, args.source, FEEDS[args.feed], servers=args.servers))
+            print(replay(spark, args.source, FEEDS[args.feed], **target))
     elif args.job == "train":
         metrics = train(
             spark,
@@ -90,6 +115,10 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
             args.checkpoints,
             event_time=not args.no_event_time,
             on_malformed=args.on_malformed,
+            trigger=_pace(args.every),
+            starting_offsets=args.starting_offsets,
+            max_offsets_per_trigger=args.max_offsets_per_trigger,
+            min_partitions=args.min_partitions,
         )
     else:
         scored = FEEDS[args.feed if args.job == "consolidate" else "fcd"].scored

@@ -47,9 +47,9 @@ class Feed:
     prediction: str
     scored: StructType
     label: str | None = None
-    # The message key. One constant key would put a whole topic into one Kafka
-    # partition; the vehicle keeps each vehicle's messages in order instead.
-    key: str | None = "vehicle_id"
+    # What makes a record one of its kind: the split is drawn by it, and it is the
+    # message key. One constant key would put a whole topic into one Kafka
+    # partition, and the vehicle alone would do so for all rows without a number.
     identity: tuple[str, ...] = ("timestep_time", "vehicle_id")
 
     @property

@@ -30,6 +30,11 @@ def from_message(message: Column, schema: StructType, fields=None) -> Column:
     return F.from_json(message, parsed, dict(TIMESTAMP_TEXT))
 
 
+def message_key(columns) -> Column:
+    """The named columns as one key text."""
+    return F.concat_ws(":", *[F.col(name).cast("string") for name in columns])
+
+
 def has_values(schema: StructType, names) -> Column:
     """True when every named column holds a usable value (not NULL, not NaN)."""
     usable = F.lit(True)

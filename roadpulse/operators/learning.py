@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, functions as F
 from roadpulse import config
 from roadpulse.config import Feed
 from roadpulse.functions.distance import nearest_centre
+from roadpulse.operators.partitioning import spread
 
 # Squared differences one generated expression may hold.
 EXPRESSION_TERMS = 64
@@ -52,19 +53,13 @@ def regression_pipeline(
     return Pipeline(stages=[assembler(feed), estimator])
 
 
-def spread(df: DataFrame, tasks: int) -> DataFrame:
-    """At least ``tasks`` partitions. Training passes over its input many times, so
-    one shuffle of a table in too few pieces pays off; a large table is left alone."""
-    return df.repartition(tasks) if df.rdd.getNumPartitions() < tasks else df
-
-
 def fit(pipeline: Pipeline, df: DataFrame, feed: Feed, tasks: int | None = None) -> PipelineModel:
     """Fit on the feed's own columns only, over all cores the session has.
 
     MLlib keeps its vectors in memory and on disk by itself during the iterations.
     """
     columns = [*feed.features, *([feed.label] if feed.label else [])]
-    return pipeline.fit(spread(df.select(*columns), tasks or df.sparkSession.sparkContext.defaultParallelism))
+    return pipeline.fit(spread(df.select(*columns), tasks))
 
 
 def save(model: PipelineModel, path: str) -> None:

@@ -9,7 +9,7 @@ from pyspark.sql.types import NumericType, StructType
 
 from roadpulse.config import Feed
 from roadpulse.functions import coercion
-from roadpulse.functions.messages import from_message, has_values, to_message
+from roadpulse.functions.messages import from_message, has_values, message_key, to_message
 from roadpulse.schemas import ENVELOPE, subset
 
 MANDATORY = ("timestep_time",)
@@ -49,12 +49,11 @@ def normalise(
 
 
 def encode(records: DataFrame, feed: Feed, key: Column | None = None) -> DataFrame:
-    """One keyed JSON message per record. A NULL key spreads messages evenly."""
-    if key is None:
-        key = F.col(feed.key) if feed.key else F.lit(None)
+    """One keyed JSON message per record, keyed by the feed's identity or as given."""
+    chosen = message_key(feed.identity) if key is None else key.cast("string")
     return records.select(
         F.lit(feed.topic).alias("topic"),
-        key.cast("string").alias("key"),
+        chosen.alias("key"),
         to_message(feed.schema).alias("value"),
     )
 
@@ -63,7 +62,7 @@ def as_envelopes(records: DataFrame, feed: Feed, timestamp: Column) -> DataFrame
     """The feed's messages with every column a broker delivers, for runs without one."""
     carried = records.withColumn("timestamp", timestamp)
     columns = {
-        "key": F.col(feed.key).cast("string").cast("binary") if feed.key else F.lit(None).cast("binary"),
+        "key": message_key(feed.identity).cast("binary"),
         "value": to_message(feed.schema).cast("binary"),
         "topic": F.lit(feed.topic),
         "partition": F.lit(0),

@@ -200,6 +200,8 @@ def test_the_whole_way_by_command_line(spark, sf_dir, tmp_path, capsys):
 
     call("replay", "fcd", fcd, "--lines", tmp_path / "messages")
     assert "'stockholm-fcd': 1000" in capsys.readouterr().out
+    call("replay", "fcd", fcd, "--lines", tmp_path / "streamed", "--checkpoint", tmp_path / "p", "--files-per-trigger", 3)
+    assert "'stockholm-fcd': 1000" in capsys.readouterr().out
     models = [tmp_path / "cmodel", tmp_path / "rmodel"]
     call("train", fcd, emission, "--cluster-model", models[0], "--regression-model", models[1], "--max-rows", 1000)
     assert {"mse", "rmse", "mae", "silhouette"} <= set(eval(capsys.readouterr().out))  # noqa: S307

@@ -12,6 +12,7 @@ from roadpulse import config
 from roadpulse.config import EMISSION_FEED, FCD_FEED
 from roadpulse.functions.distance import nearest_centre
 from roadpulse.operators import learning
+from roadpulse.operators.partitioning import spread
 from roadpulse.operators.records import normalise
 from roadpulse.plans.training import land, train_regressor
 from roadpulse.schemas import FCD
@@ -80,8 +81,8 @@ def test_unusable_features_stop_the_assembler(spark):
 
 def test_spread_leaves_large_tables_alone(spark):
     rows = spark.range(0, 100, 1, 12)
-    assert learning.spread(rows, 8) is rows
-    assert learning.spread(rows.coalesce(1), 8).rdd.getNumPartitions() == 8
+    assert spread(rows, 8) is rows
+    assert spread(rows.coalesce(1), 8).rdd.getNumPartitions() == 8
 
 
 def test_landed_feed_equals_the_parsed_text(spark, positions):

@@ -16,7 +16,7 @@ from roadpulse.operators.records import as_envelopes, decode, decode_or_quaranti
 from roadpulse.schemas import ENVELOPE, FCD
 from roadpulse.sinks.delivery import counted, topic_counts
 from roadpulse.sinks.messages import write_lines
-from roadpulse.sources.messages import kafka_options
+from roadpulse.sources.messages import kafka_options, kafka_stream
 
 AT = datetime(2024, 1, 2, 3, 4, 5, 678901)
 GOOD = '{"vehicle_x":1.5,"vehicle_y":2.5,"vehicle_id":3,"vehicle_lane":7}'
@@ -110,7 +110,8 @@ def fcd_rows(spark):
 
 def test_keys_by_column_constant_or_none(spark):
     records = fcd_rows(spark)
-    assert {r.key for r in encode(records, FCD_FEED).collect()} == {"0", "1"}
+    assert {r.key for r in encode(records, FCD_FEED).limit(2).collect()} == {"0.0:0", "1.0:1"}
+    assert {r.key for r in encode(records, FCD_FEED, key=F.col("vehicle_id")).collect()} == {"0", "1"}
     assert {r.key for r in encode(records, FCD_FEED, key=F.lit(config.CONSTANT_KEY)).collect()} == {"stockholm"}
     assert {r.key for r in encode(records, FCD_FEED, key=F.lit(None)).collect()} == {None}
 
@@ -140,6 +141,11 @@ def test_delivery_line(spark):
     assert row.line == "Produces message on topic t:v"
 
 
+def test_kafka_needs_its_connector(spark):
+    with pytest.raises(Exception, match="kafka"):
+        kafka_stream(spark, "broker:9092", FCD_FEED.topic)
+
+
 def test_kafka_options_hold_only_what_was_set():
     assert kafka_options("broker:9092", "t") == {"kafka.bootstrap.servers": "broker:9092", "subscribe": "t"}
     chosen = kafka_options("b", "t", starting_offsets="earliest", fail_on_data_loss=False, min_partitions=64)
