@@ -20,7 +20,7 @@ from roadpulse.sources.delimited import read_named
 from roadpulse.sources.messages import file_stream, read_quarantined
 from roadpulse.streaming.lifecycle import await_all
 from roadpulse.streaming.replay import start_replay
-from roadpulse.streaming.scoring import ScoringJob, scored_messages, start_scoring
+from roadpulse.streaming.scoring import DECODED, ScoringJob, scored_messages, start_scoring
 from roadpulse.workspace import fresh_dir, shared_root
 
 DRAIN = {"availableNow": True}
@@ -77,21 +77,25 @@ def damaged(spark, tmp_path):
     return path
 
 
+def malformed_counts(query):
+    seen = [p.observedMetrics[DECODED] for p in query.recentProgress if DECODED in p.observedMetrics]
+    return sum(m.messages for m in seen), sum(m.malformed for m in seen)
+
+
 def test_malformed_messages_are_quarantined(spark, model, tmp_path):
     queries = start_scoring([job(spark, damaged(spark, tmp_path), model, tmp_path)], DRAIN)
     await_all(queries)
     assert read_named(spark, str(tmp_path / "scored"), with_event_time(SCORED_FCD)).count() == 1
     rejected = read_quarantined(spark, str(tmp_path / "scored") + "_malformed")
     assert {r.value for r in rejected.collect()} == {"{broken", None, '{"vehicle_x":"NaN","vehicle_y":2.0}'}
-    counted = [p.observedMetrics["malformed"].rows for p in queries[1].recentProgress if "malformed" in p.observedMetrics]
-    assert sum(counted) == 3
+    assert malformed_counts(queries[0]) == (4, 3)
 
 
 def test_malformed_messages_can_be_skipped_or_fail(spark, model, tmp_path):
     path = damaged(spark, tmp_path)
     queries = start_scoring([job(spark, path, model, tmp_path, on_malformed="skip")], DRAIN)
     await_all(queries)
-    assert len(queries) == 1
+    assert len(queries) == 1 and malformed_counts(queries[0]) == (4, 3)
     strict = job(
         spark, path, model, tmp_path, on_malformed="fail", name="strict",
         output=str(tmp_path / "strict"), checkpoint=str(tmp_path / "strict-progress"),
