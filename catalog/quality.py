@@ -66,7 +66,7 @@ def silhouette_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def silhouette_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same score by the way taken when the cluster sums fit no broadcast."""
     scored = scored_positions(fcd_records(spark, sf_dir))
-    result = silhouette(scored, ["vehicle_x", "vehicle_y"], "congestion_cluster", broadcast_bytes=64)
+    result = silhouette(scored, ["vehicle_x", "vehicle_y"], "congestion_cluster", broadcast_bytes=150)
     return result.select(F.round("silhouette", 6).alias("silhouette"))
 
 

@@ -50,6 +50,7 @@ def parser(settings: Settings) -> argparse.ArgumentParser:
     job.add_argument("--regression-model", default=settings.regression_model, required=not settings.regression_model)
     job.add_argument("--no-event-time", action="store_true")
     job.add_argument("--on-malformed", choices=("quarantine", "skip", "fail"), default="quarantine")
+    job.add_argument("--format", choices=("csv", "parquet"), default="csv")
     job.add_argument("--every", help="time between batches, as '1 minute': fewer and larger files")
     job.add_argument("--starting-offsets", help="where a new query starts; Spark's default is latest")
     job.add_argument("--max-offsets-per-trigger", type=int)
@@ -113,6 +114,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
             args.clustered,
             args.predicted,
             args.checkpoints,
+            fmt=args.format,
             event_time=not args.no_event_time,
             on_malformed=args.on_malformed,
             trigger=_pace(args.every),

@@ -13,12 +13,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from roadpulse import config
 from roadpulse.config import Feed
-from roadpulse.functions.distance import nearest_centre
+from roadpulse.functions.distance import EXPRESSION_TERMS, nearest_centre
 from roadpulse.operators.partitioning import spread
 
-# Squared differences one generated expression may hold.
-EXPRESSION_TERMS = 64
-
 
 def assembler(feed: Feed, on_invalid: str = "error") -> VectorAssembler:
     return VectorAssembler(inputCols=list(feed.features), outputCol=feed.vector, handleInvalid=on_invalid)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from math import ceil
 
 from pyspark.ml.evaluation import ClusteringEvaluator
@@ -10,9 +11,12 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
+from roadpulse.functions.distance import EXPRESSION_TERMS
+
 # Cluster sums travel to every task; beyond this size they are joined instead.
 BROADCAST_BYTES = 64 << 20
 SALTS = 64
+FEW_CLUSTERS = "a silhouette needs at least two clusters"
 
 
 def regression_metrics(df: DataFrame, label: str, prediction: str) -> DataFrame:
@@ -39,12 +43,19 @@ def silhouette(
 
     ``features`` names one vector or array column, or several numeric columns.
     ``clusters`` is the number of clusters where a model fixes it; otherwise it
-    is counted. The work is linear in the rows. MLlib's evaluator sends one sum
-    vector per cluster to every task; that size is checked, and a clustering
-    too large for it is joined block by block with the same result.
+    is counted. The work is linear in the rows: one pass sums up each cluster,
+    a second compares every row with those sums. How the sums reach the rows
+    depends on their size, which is checked: a handful becomes an expression,
+    more are broadcast by MLlib, and beyond ``broadcast_bytes`` they are joined
+    block by block. The result is the same.
     """
+    count = clusters or df.select(cluster).distinct().count()
+    if count < 2:
+        raise ValueError(FEW_CLUSTERS)
+    if not isinstance(features, str) and count * len(features) <= EXPRESSION_TERMS:
+        if count * (len(features) + 2) * 8 <= broadcast_bytes:
+            return _silhouette_by_expression(df, features, cluster)
     points = _points(df, features).select("point", F.col(cluster).cast("double").alias("cluster"))
-    count = clusters or points.select("cluster").distinct().count()
     width = _width(points) if isinstance(features, str) else len(features)
     size = count * (width + 2) * 8
     if size > broadcast_bytes:
@@ -53,6 +64,38 @@ def silhouette(
     return df.sparkSession.createDataFrame([(evaluator.evaluate(points),)], "silhouette DOUBLE")
 
 
+def _score(own: Column, other: Column, n: Column) -> Column:
+    """One row's score from its mean distance to all of its cluster, itself included."""
+    to_own = own * n / F.nullif(n - 1, F.lit(0))
+    return F.when(n == 1, F.lit(0.0)).otherwise((other - to_own) / F.greatest(to_own, other))
+
+
+def _silhouette_by_expression(df: DataFrame, features: Sequence[str], cluster: str) -> DataFrame:
+    point, label = [F.col(name) for name in features], F.col(cluster)
+    norm = reduce(lambda left, right: left + right, [value * value for value in point])
+    sums = [F.sum(value).alias(f"s{i}") for i, value in enumerate(point)]
+    per_cluster = df.groupBy(label.alias("c")).agg(F.count(F.lit(1)).alias("n"), F.sum(norm).alias("q"), *sums)
+    # As many rows as there are clusters, which the caller has bounded.
+    known = [row for row in per_cluster.collect() if row["c"] is not None]
+    if len(known) < 2:
+        raise ValueError(FEW_CLUSTERS)
+
+    def distance(row) -> Column:
+        dots = [value * (2 * row[f"s{i}"] / row["n"]) for i, value in enumerate(point)]
+        return reduce(lambda left, right: left - right, dots, norm + row["q"] / row["n"])
+
+    own, size = F.lit(None).cast("double"), F.lit(None).cast("bigint")
+    others = []
+    for row in known:
+        mine = label == row["c"]
+        own = F.when(mine, distance(row)).otherwise(own)
+        size = F.when(mine, F.lit(row["n"])).otherwise(size)
+        others.append(F.when(~mine, distance(row)))
+    missing = F.raise_error(F.lit("a row without features or cluster cannot be scored")).cast("double")
+    score = F.coalesce(_score(own, F.least(*others), size), missing)
+    return df.agg(F.avg(score).alias("silhouette"))
+
+
 def _points(df: DataFrame, features: str | Sequence[str]) -> DataFrame:
     if not isinstance(features, str):
         return VectorAssembler(inputCols=list(features), outputCol="point").transform(df)
@@ -116,8 +159,7 @@ def _silhouette_by_blocks(points: DataFrame, width: int, blocks: int) -> DataFra
     per_point = met.groupBy("point", "cluster").agg(
         F.max("weight").alias("weight"), F.max("n").alias("n"), F.max("to_own").alias("a"), F.min("to_other").alias("b")
     )
-    own = F.col("a") * F.col("n") / F.nullif(F.col("n") - 1, F.lit(0))
-    score = F.when(F.col("n") == 1, F.lit(0.0)).otherwise((F.col("b") - own) / F.greatest(own, F.col("b")))
+    score = _score(F.col("a"), F.col("b"), F.col("n"))
     return per_point.select("weight", score.alias("score")).agg(
         (F.sum(F.col("weight") * F.col("score")) / F.sum("weight")).alias("silhouette")
     )

@@ -21,6 +21,7 @@ def score_topics(
     predicted: str,
     checkpoints: str,
     *,
+    fmt: str = "csv",
     event_time: bool = True,
     on_malformed: str = "quarantine",
     trigger: dict | None = None,
@@ -36,6 +37,7 @@ def score_topics(
             model=load(model),
             output=output,
             checkpoint=f"{checkpoints}/{feed.name}",
+            fmt=fmt,
             event_time=event_time,
             on_malformed=on_malformed,
         )

@@ -15,7 +15,7 @@ from roadpulse.operators.metrics import regression_metrics, silhouette
 from roadpulse.operators.records import normalise
 from roadpulse.operators.sampling import split, take
 from roadpulse.sources.delimited import read_cells
-from roadpulse.workspace import fresh_dir
+from roadpulse.workspace import landed
 
 
 @dataclass(frozen=True)
@@ -33,16 +33,17 @@ def land(spark: SparkSession, source: str | list[str], feed: Feed, missing: str
     read a few columns of a columnar file, and a lost executor costs a re-read.
     """
     cells = read_cells(spark, source)
-    path = fresh_dir(spark, f"land-{feed.name}")
-    normalise(cells, feed.schema, fields=feed.training_columns, missing=missing).write.parquet(path)
-    return spark.read.parquet(path)
+    return landed(normalise(cells, feed.schema, fields=feed.training_columns, missing=missing), f"land-{feed.name}")
 
 
 def parts(records: DataFrame, feed: Feed, max_rows: int | None) -> tuple[DataFrame, DataFrame]:
+    """Training and held-out rows. A capped table is written out once, because both
+    parts would otherwise look for its first rows in all of them again."""
     identity = list(feed.identity)
-    train, test = split(
-        take(records, max_rows, identity), [config.TRAIN_SHARE, 1 - config.TRAIN_SHARE], identity
-    )
+    chosen = take(records, max_rows, identity)
+    if max_rows is not None:
+        chosen = landed(chosen, f"capped-{feed.name}")
+    train, test = split(chosen, [config.TRAIN_SHARE, 1 - config.TRAIN_SHARE], identity)
     return train, test
 
 
@@ -50,9 +51,9 @@ def train_clusters(records: DataFrame, max_rows: int | None = None, feed: Feed =
     """K-means on the larger part; the held-out part gives the silhouette."""
     train, test = parts(records, feed, max_rows)
     model = learning.fit(learning.cluster_pipeline(feed, **settings), train, feed)
-    scored = learning.score(model, test, [feed.vector, feed.prediction]).persist(StorageLevel.MEMORY_AND_DISK)
+    scored = learning.score_feed(model, test, feed, feed.scored.names).persist(StorageLevel.MEMORY_AND_DISK)
     k = model.stages[-1].getK()
-    metrics = silhouette(scored, feed.vector, feed.prediction, clusters=k).first().asDict()
+    metrics = silhouette(scored, feed.features, feed.prediction, clusters=k).first().asDict()
     scored.unpersist()
     return Trained(model, train, test, metrics)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -27,3 +27,11 @@ def shared_root(spark: SparkSession) -> str:
 def fresh_dir(spark: SparkSession, label: str) -> str:
     """A path nobody has used yet, so a repeated call never meets old files."""
     return f"{shared_root(spark)}/roadpulse/{label}-{uuid.uuid4().hex}"
+
+
+def landed(df: DataFrame, label: str) -> DataFrame:
+    """The rows as a Parquet table in the shared folder: later passes read that
+    instead of repeating the work, and it outlives any executor."""
+    path = fresh_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -99,6 +99,25 @@ def test_silhouette_equals_brute_force(spark, clustered, budget):
     assert got == pytest.approx(brute_silhouette(clustered), abs=1e-9)
 
 
+def test_many_columns_go_through_the_evaluator(spark):
+    rng = random.Random(2)
+    points = [(tuple(rng.gauss(c, 1) for _ in range(30)), c) for c in range(3) for _ in range(8)]
+    names = [f"f{i}" for i in range(30)]
+    rows = spark.createDataFrame([(*p, c) for p, c in points], [*names, "c"])
+    got = silhouette(rows, names, "c").first()["silhouette"]
+    assert got == pytest.approx(brute_silhouette(points), abs=1e-9)
+
+
+def test_silhouette_refuses_unscored_rows_and_single_clusters(spark):
+    rows = spark.createDataFrame([(1.0, 0), (2.0, 0), (9.0, 1), (None, 1)], "x DOUBLE, c INT")
+    with pytest.raises(Exception, match="cannot be scored"):
+        silhouette(rows, ["x"], "c").collect()
+    with pytest.raises(ValueError, match="two clusters"):
+        silhouette(rows.where("c = 0"), ["x"], "c")
+    with pytest.raises(ValueError, match="two clusters"):
+        silhouette(rows.where("c = 0"), ["x"], "c", clusters=5)
+
+
 def test_silhouette_of_arrays_and_vectors(spark, clustered):
     want = brute_silhouette(clustered)
     arrays = spark.createDataFrame([(list(p), c) for p, c in clustered], "f ARRAY<DOUBLE>, c INT")
