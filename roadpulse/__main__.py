@@ -14,9 +14,8 @@ from roadpulse.plans.replaying import replay
 from roadpulse.plans.scoring import score_topics
 from roadpulse.plans.training import train
 from roadpulse.schemas import with_event_time
-from roadpulse.sinks.delivery import delivered
+from roadpulse.sinks.delivery import await_delivery
 from roadpulse.sinks.files import write_table
-from roadpulse.streaming.lifecycle import await_all
 from roadpulse.streaming.replay import start_replay
 
 
@@ -90,8 +89,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
                 trigger=_pace(args.every) or {"availableNow": True},
                 **target,
             )
-            await_all([query])
-            print(delivered(query))
+            print(await_delivery(query))
         else:
             print(replay(spark, args.source, FEEDS[args.feed], **target))
     elif args.job == "train":

@@ -25,12 +25,23 @@ def counted_stream(messages: DataFrame, topics: Iterable[str], name: str = METRI
     return messages.observe(name, *_counters(topics))
 
 
-def delivered(query: StreamingQuery, name: str = METRICS) -> dict[str, int]:
-    """Totals over the progress reports the query still holds."""
+def await_delivery(query: StreamingQuery, name: str = METRICS, poll_seconds: float = 1) -> dict[str, int]:
+    """Wait for the query to end; returns what all its batches delivered, by topic.
+
+    A query keeps only its latest progress reports, so they are gathered by batch
+    while it runs.
+    """
+    batches: dict[int, dict[str, int]] = {}
+    ended = False
+    while not ended:
+        ended = query.awaitTermination(poll_seconds)
+        for progress in query.recentProgress:
+            counters = progress.observedMetrics.get(name)
+            if counters:
+                batches[progress.batchId] = counters.asDict()
     totals: dict[str, int] = {}
-    for progress in query.recentProgress:
-        row = progress.observedMetrics.get(name)
-        for topic, count in (row.asDict() if row else {}).items():
+    for counters in batches.values():
+        for topic, count in counters.items():
             totals[topic] = totals.get(topic, 0) + count
     return totals
 

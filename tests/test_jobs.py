@@ -15,6 +15,7 @@ from roadpulse.operators import learning
 from roadpulse.plans.consolidation import consolidate
 from roadpulse.plans.replaying import replay
 from roadpulse.schemas import ENVELOPE, FCD, SCORED_FCD, with_event_time
+from roadpulse.sinks.delivery import await_delivery
 from roadpulse.sinks.files import stream_writer, write_table
 from roadpulse.sources.delimited import read_named
 from roadpulse.sources.messages import file_stream, read_quarantined
@@ -150,6 +151,20 @@ def test_paced_replay_takes_one_batch_per_interval(spark, sf_dir, tmp_path):
     assert len(batches) == 3
 
 
+def test_delivery_is_counted_over_all_batches(spark, sf_dir, tmp_path):
+    source = tmp_path / "feed"
+    fcd_records(spark, sf_dir).repartition(7).write.options(header=True, sep=";").csv(str(source))
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        query = start_replay(
+            spark, str(source), FCD_FEED, str(tmp_path / "p"), lines=str(tmp_path / "m"), files_per_trigger=1, trigger=DRAIN
+        )
+        counts = await_delivery(query, poll_seconds=0.05)
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    assert counts == {FCD_FEED.topic: 1000} and len(query.recentProgress) <= 2
+
+
 def test_replay_targets(spark, tmp_path):
     for call in (lambda **t: replay(spark, "x", FCD_FEED, **t), lambda **t: start_replay(spark, "x", FCD_FEED, "c", **t)):
         with pytest.raises(ValueError):
