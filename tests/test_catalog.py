@@ -6,11 +6,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+import catalog
 from helpers import plan
 from verify import TABLES, rows
 
-QUERIES = contract.queries()
-TWINS = contract.oracle_sql()
+QUERIES = catalog.queries()
+TWINS = catalog.oracles()
 UNWANTED = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "CartesianProduct", "BroadcastNestedLoopJoin")
 
 
