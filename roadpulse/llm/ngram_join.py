@@ -10,8 +10,9 @@ obeys the triangle inequality at every pivot. The join is exact and runs in thes
 3. *Large regions* are dealt in pieces, each with a copy of the pivot: members within reach of the pivot are linked to
    it. The rest is compared block by block with the members that the window ``|d(x,p) - d(y,p)| <= REACH`` allows.
 4. *Small regions, and pieces*, join recursively: a few pivots create Voronoi regions, every point also goes to each
-   region whose pivot is at most ``2 * REACH`` farther than its own, and regions that no longer shrink compare
-   pivot by pivot. Points that are already connected are not compared again.
+   region whose pivot is at most ``2 * REACH`` farther than its own, and regions that would not save comparisons
+   compare pivot by pivot. Points that are already connected are not compared again, and points that share too little of
+   their set with all others of a region are left out of it.
 
 Links within a class and between classes then give components. Classes, shingles: 64-bit hashes.
 
@@ -52,70 +53,70 @@ def _batch(**columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([x if isinstance(x, pa.Array) else pa.array(x) for x in columns.values()], list(columns))
 
 
-def set_sizes(documents: DataFrame) -> DataFrame:
-    """(doc_id, copy, n_shingles, class): copy is a hash of the text, class is null for an empty set."""
-
-    def make():
-        def work(batch):
-            sets = [shingle_set(t) for t in batch.column("text").to_pylist()]
-            kinds = pa.array([_class_of(s) if len(s) else None for s in sets], pa.int64())
-            lengths = pa.array(map(len, sets), pa.int64())
-            return _batch(doc_id=batch.column("doc_id"), copy=batch.column("copy"), n_shingles=lengths, **{"class": kinds})
-
-        return work
+def _copy():
+    return F.xxhash64("text")
 
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", _copy().alias("copy"))
-    return map_batches(rows, make, "doc_id long, copy long, n_shingles long, class long")
 
+_LISTS = ("hashes", "classes", "known", "counted", "n", "row_id", "row_blank", "row_copy", "row_size", "row_class")
 
-def _copy():
-    return F.xxhash64("text")
 
+def survey(documents: DataFrame) -> DataFrame:
+    """One pass over the texts, written: a row for each row of ``documents``, with doc_id, copy (a hash of the text),
+    n_shingles and class (null for an empty set); and rows with a class and ``common``, how many of its listed shingles
+    it holds in common with other classes, in parts to be summed.
 
-def _lists(documents: DataFrame, buckets: int) -> DataFrame:
-    """Listed shingles by bucket of their hash: (bucket, hashes, classes, known), arrays as bytes. A shingle that two
-    classes of one batch hold is sent once, marked as known, and counted for those classes in ``n`` at once."""
+    Listed shingles go to buckets of their hash as packed arrays. A shingle that two classes of one batch hold is sent
+    once, marked as known, and counted for those classes at once; so no list grows with the copies in a batch.
+    """
+    octets = documents.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # About 17 bytes of text to a listed shingle.
+    buckets = max(parts, 1 + octets // (17 * ENTRIES))
 
     def make():
         def work(batch):
-            sets = {}
-            for text in batch.column("text").to_pylist():
-                shingles = shingle_set(text)
+            every = [shingle_set(t) for t in batch.column("text").to_pylist()]
+            sets, kinds = {}, np.zeros(len(every), np.int64)
+            for k, shingles in enumerate(every):
                 if len(shingles):
-                    sets.setdefault(_class_of(shingles), shingles[: _listed(len(shingles))])
+                    kinds[k] = _class_of(shingles)
+                    sets.setdefault(int(kinds[k]), shingles[: _listed(len(shingles))])
+            row_size = np.fromiter(map(len, every), np.int64, len(every))
+            row_id, row_copy = batch.column("doc_id"), batch.column("copy").to_numpy()
+            row_blank = np.asarray(row_id.is_null())
+            row_id = np.asarray(row_id.fill_null(0))
             lengths = np.fromiter(map(len, sets.values()), np.int64, len(sets))
             hashes = np.concatenate([*sets.values(), np.zeros(0, np.uint64)])
-            kinds = np.repeat(np.fromiter(sets, np.int64, len(sets)), lengths)
+            classes = np.repeat(np.fromiter(sets, np.int64, len(sets)), lengths)
             order = np.argsort(hashes, kind="stable")
-            hashes, kinds = hashes[order], kinds[order]
+            hashes, classes = hashes[order], classes[order]
             first = np.flatnonzero(np.r_[True, hashes[1:] != hashes[:-1]][: len(hashes)])
             held = np.diff(np.r_[first, len(hashes)])
-            counted, n = np.unique(kinds[np.repeat(held, held) > 1], return_counts=True)
-            hashes, kinds, known = hashes[first], kinds[first], held > 1
-            place = (hashes % np.uint64(buckets)).astype(np.int64)
-            order = np.argsort(place, kind="stable")
-            ends = np.cumsum(np.bincount(place, minlength=buckets))
-            parts = [order[a:b] for a, b in zip(np.r_[0, ends[:-1]], ends)]
-            home = (counted % buckets).astype(np.int64)
-            own = [np.flatnonzero(home == k) for k in range(buckets)] if len(counted) else [np.zeros(0, np.int64)] * buckets
-            return _batch(
-                bucket=pa.array(range(buckets), pa.int32()),
-                hashes=[hashes[p].tobytes() for p in parts],
-                classes=[kinds[p].tobytes() for p in parts],
-                known=[known[p].tobytes() for p in parts],
-                counted=[counted[p].tobytes() for p in own],
-                n=[n[p].astype(np.int64).tobytes() for p in own],
-            )
+            counted, n = np.unique(classes[np.repeat(held, held) > 1], return_counts=True)
+            groups = [
+                (hashes[first] % np.uint64(buckets), (hashes[first], classes[first], held > 1)),
+                (counted % buckets, (counted, n.astype(np.int64))),
+                (np.where(row_size > 0, kinds, row_copy) % buckets, (row_id, row_blank, row_copy, row_size, kinds)),
+            ]
+            columns = []
+            for place, arrays in groups:
+                place = place.astype(np.int64)
+                order = np.argsort(place, kind="stable")
+                ends = np.cumsum(np.bincount(place, minlength=buckets))
+                parts_ = [order[a:b] for a, b in zip(np.r_[0, ends[:-1]], ends)]
+                columns += [[x[p].tobytes() for p in parts_] for x in arrays]
+            return _batch(bucket=pa.array(range(buckets), pa.int32()), **dict(zip(_LISTS, columns)))
 
         return work
 
-    return map_batches(
-        documents.select("text"), make, "bucket int, hashes binary, classes binary, known binary, counted binary, n binary"
-    )
+    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", _copy().alias("copy"))
+    lists = map_batches(rows, make, "bucket int, " + ", ".join(f"{c} binary" for c in _LISTS))
+    found = lists.repartition(buckets, "bucket").groupBy("bucket")
+    return landed(found.applyInArrow(_bucket, "doc_id long, copy long, n_shingles long, class long, common long"), "survey")
 
 
-def _seen_elsewhere(part: pa.Table) -> pa.Table:
-    """How many of its listed shingles of this bucket each class holds in common with another: (class, n)."""
+def _bucket(part: pa.Table) -> pa.Table:
+    """The rows of one bucket, and how many of its shingles each class holds in common with another class."""
     join = lambda name, kind: np.frombuffer(b"".join(part.column(name).to_pylist()), kind)
     hashes, kinds, known = join("hashes", np.uint64), join("classes", np.int64), join("known", np.bool_)
     order = np.lexsort((kinds, hashes))
@@ -126,35 +127,72 @@ def _seen_elsewhere(part: pa.Table) -> pa.Table:
     several = (np.bincount(group, apart) > 1) | (np.bincount(group, known) > 0) if len(group) else np.zeros(0, bool)
     # What a batch has marked as known it has also counted.
     found = kinds[several[group] & ~known & apart]
-    every = np.r_[found, join("counted", np.int64)]
-    weights = np.r_[np.ones(len(found), np.int64), join("n", np.int64)]
-    classes, where = np.unique(every, return_inverse=True)
-    return pa.table({"class": classes, "n": np.bincount(where, weights, len(classes)).astype(np.int64)})
+    classes, where = np.unique(np.r_[found, join("counted", np.int64)], return_inverse=True)
+    common = np.bincount(where, np.r_[np.ones(len(found), np.int64), join("n", np.int64)], len(classes)).astype(np.int64)
+    sizes, blank = join("row_size", np.int64), join("row_blank", np.bool_)
+    nothing = lambda n: pa.nulls(n, pa.int64())
+    heads = {
+        "doc_id": pa.array(join("row_id", np.int64), mask=blank),
+        "copy": pa.array(join("row_copy", np.int64)),
+        "n_shingles": pa.array(sizes),
+        "class": pa.array(join("row_class", np.int64), mask=sizes == 0),
+        "common": nothing(len(sizes)),
+    }
+    n = len(classes)
+    counts = {"doc_id": nothing(n), "copy": nothing(n), "n_shingles": nothing(n), "class": pa.array(classes), "common": pa.array(common)}
+    return pa.concat_tables([pa.table(heads), pa.table(counts)])
 
 
 class Points:
-    """Sets of one task, with distances from one of them to any others and the links found."""
+    """Sets of one task, with distances between them and the links found."""
 
     def __init__(self, ids: np.ndarray, sets: list[np.ndarray]):
         self.ids, self.sizes = ids, np.fromiter(map(len, sets), np.int64, len(sets))
         self.starts = np.r_[0, np.cumsum(self.sizes)]
         kinds, self.codes = np.unique(np.concatenate([*sets, np.zeros(0, np.uint64)]), return_inverse=True)
+        self.lengths = self.sizes.copy()
         self.mark = np.zeros(len(kinds), bool)
         self.leader = np.arange(len(ids))
         self.links: list[tuple[int, int]] = []
 
-    def set_of(self, k: int) -> np.ndarray:
-        return self.codes[self.starts[k] : self.starts[k + 1]]
+    def _flat(self, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The codes of several points one after another, and where each one's end."""
+        lengths = self.lengths[points]
+        ends = np.cumsum(lengths)
+        at = np.repeat(self.starts[points] - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)
+        return self.codes[at], ends
+
+    def _sums(self, values: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        totals = np.r_[0, np.cumsum(values)]
+        return totals[ends] - totals[np.r_[0, ends[:-1]]] if len(ends) else np.zeros(0, np.int64)
+
+    def narrowed(self, points: np.ndarray) -> tuple[Points, np.ndarray]:
+        """The points that may have a link here, with the codes that two of them share; the rest of a set only counts
+        in its size. A point that shares less than PERCENT of its set with all others together has no link."""
+        while True:
+            codes, ends = self._flat(points)
+            shared = np.bincount(codes, minlength=1)[codes] > 1
+            stay = 100 * self._sums(shared, ends) >= PERCENT * self.sizes[points]
+            if stay.all():
+                break
+            points = points[stay]
+        local = Points.__new__(Points)
+        local.ids, local.sizes, local.links = self.ids[points], self.sizes[points], self.links
+        local.lengths = self._sums(shared, ends)
+        local.starts = np.r_[0, np.cumsum(local.lengths)]
+        kinds, local.codes = np.unique(codes[shared], return_inverse=True)
+        local.mark = np.zeros(len(kinds), bool)
+        local.leader = np.arange(len(points))
+        return local, points
 
     def distances(self, pivot: int, to: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Distances, and whether linked; compared as whole numbers."""
-        self.mark[self.set_of(pivot)] = True
-        lengths = self.sizes[to]
-        ends = np.cumsum(lengths)
-        at = np.repeat(self.starts[to] - np.r_[0, ends[:-1]], lengths) + np.arange(ends[-1] if len(ends) else 0)
-        shared = np.add.reduceat(self.mark[self.codes[at]].astype(np.int64), ends - lengths) if len(to) else ends
-        self.mark[self.set_of(pivot)] = False
-        united = lengths + self.sizes[pivot] - shared
+        own = self.codes[self.starts[pivot] : self.starts[pivot] + self.lengths[pivot]]
+        self.mark[own] = True
+        codes, ends = self._flat(to)
+        shared = self._sums(self.mark[codes], ends)
+        self.mark[own] = False
+        united = self.sizes[to] + self.sizes[pivot] - shared
         return 1 - shared / united, 100 * shared >= PERCENT * united
 
     def link(self, pivot: int, others: np.ndarray) -> None:
@@ -179,14 +217,14 @@ class Points:
                     self.link(p, points[near])
                 # Voronoi regions; a point near a border also goes to the regions across it.
                 regions = far <= far.min(axis=0) + 2 * REACH + 1e-9
-                if regions.sum(axis=1).max() < 0.9 * len(points):
+                if (regions.sum(axis=1) ** 2.0).sum() < 0.8 * len(points) ** 2:
                     todo += [points[r] for r in regions]
                     continue
             for k, p in enumerate(points[:-1]):
                 # A window by sizes, and nothing that is connected already.
                 rest = points[k + 1 :]
                 rest = rest[self.leader[rest] != self.leader[p]]
-                fits = (100 * np.minimum(self.sizes[rest], self.sizes[p]) >= PERCENT * np.maximum(self.sizes[rest], self.sizes[p]))
+                fits = 100 * np.minimum(self.sizes[rest], self.sizes[p]) >= PERCENT * np.maximum(self.sizes[rest], self.sizes[p])
                 self.link(p, rest[fits][self.distances(p, rest[fits])[1]])
 
 
@@ -203,9 +241,8 @@ def _join_regions(part: pa.Table) -> pa.Table:
     points, regions = _points(part), part.column("region").to_numpy()
     order = np.argsort(regions, kind="stable")
     for members in np.split(order, np.flatnonzero(np.diff(regions[order])) + 1):
-        same, first = np.unique(points.ids[members], return_index=True)
-        points.leader = np.arange(len(points.ids))
-        points.join(members[first])
+        local, _ = points.narrowed(members)
+        local.join(np.arange(len(local.ids)))
     return _edges(points.links)
 
 
@@ -220,10 +257,10 @@ def _from_pivot(part: pa.Table) -> pa.Table:
 
 def _across(part: pa.Table) -> pa.Table:
     """A block of members not linked to their pivot, and a block of others: links between the two within windows."""
-    points = _points(part)
-    left, far = part.column("left").to_numpy(zero_copy_only=False), part.column("far").to_numpy()
+    points, kept = _points(part).narrowed(np.arange(part.num_rows))
+    left, far = part.column("left").to_numpy(zero_copy_only=False)[kept], part.column("far").to_numpy()[kept]
     others = np.flatnonzero(~left)
-    if not len(others):
+    if not (~part.column("left").to_numpy(zero_copy_only=False)).any():
         points.join(np.flatnonzero(left))
         return _edges(points.links)
     for p in np.flatnonzero(left):
@@ -232,19 +269,13 @@ def _across(part: pa.Table) -> pa.Table:
     return _edges(points.links)
 
 
-def links(documents: DataFrame, sizes: DataFrame) -> DataFrame:
-    """(a, b): pairs of linked classes that connect all linked classes; ``sizes`` as :func:`set_sizes` has it."""
+def links(documents: DataFrame, found: DataFrame) -> DataFrame:
+    """(a, b): pairs of linked classes that connect all linked classes; ``found`` as :func:`survey` has it."""
     spark = documents.sparkSession
-    classes = sizes.where("class is not null").groupBy("class", "n_shingles").agg(F.min("doc_id").alias("doc_id"))
-    classes = landed(classes, "classes")
-    total = classes.agg(F.sum("n_shingles")).first()[0] or 0
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    buckets = max(parts, 1 + 3 * total // 8 // ENTRIES)
-
-    common = _lists(documents, buckets).groupBy("bucket").applyInArrow(_seen_elsewhere, "class long, n long")
-    common = common.groupBy("class").agg(F.sum("n").alias("n"))
-    left = classes.join(common, "class").where("n > 3 * n_shingles div 32").select("class", "doc_id")
-    left = landed(left, "screened")
+    by = found.where("class is not null").groupBy("class")
+    by = by.agg(F.max("n_shingles").alias("n_shingles"), F.min("doc_id").alias("doc_id"), F.sum("common").alias("common"))
+    left = landed(by.where("common > 3 * n_shingles div 32").select("class", "doc_id"), "screened")
 
     def make():
         def work(batch):
@@ -283,6 +314,7 @@ def links(documents: DataFrame, sizes: DataFrame) -> DataFrame:
     inside = (
         small.withColumn("task", F.pmod(F.xxhash64("region"), F.lit(groups)))
         .join(held, "class")
+        .repartition(groups, "task")
         .groupBy("task")
         .applyInArrow(lambda t: _join_regions(t), "a long, b long")
     )
@@ -298,15 +330,16 @@ def links(documents: DataFrame, sizes: DataFrame) -> DataFrame:
     measured = landed(
         dealt.unionByName(heads)
         .join(held, "class")
+        .repartition(groups, "region", "piece")
         .groupBy("region", "piece")
         .applyInArrow(lambda t: _from_pivot(t), "region long, class long, far double, linked boolean"),
         "measured",
     )
     found = found.unionByName(measured.where("linked").select(F.col("region").alias("a"), F.col("class").alias("b")))
-    return found.unionByName(_rest(measured, held))
+    return found.unionByName(_rest(measured, held, groups))
 
 
-def _rest(measured: DataFrame, held: DataFrame) -> DataFrame:
+def _rest(measured: DataFrame, held: DataFrame, groups: int) -> DataFrame:
     """Members beyond the pivot's reach, against each other and against those whose window they share."""
     open_ = measured.where("not linked").groupBy("region").agg(F.count("*").alias("rest"), F.min("far").alias("nearest"))
     blocks = F.ceil(F.col("rest") / BLOCK).cast("int")
@@ -327,7 +360,8 @@ def _rest(measured: DataFrame, held: DataFrame) -> DataFrame:
     border = near.join(near_n, "region").withColumn("i", F.explode(others))
     border = border.select("region", "class", "far", "i", piece.alias("j"), F.lit(False).alias("left"))
     tiles = tiles.unionByName(across).unionByName(border)
-    return tiles.join(held, "class").groupBy("region", "i", "j").applyInArrow(lambda t: _across(t), "a long, b long")
+    dealt = tiles.join(held, "class").repartition(groups, "region", "i", "j").groupBy("region", "i", "j")
+    return dealt.applyInArrow(lambda t: _across(t), "a long, b long")
 
 
 def _class_column():
@@ -343,8 +377,9 @@ def grouped(documents: DataFrame) -> DataFrame:
     """A row for each row of ``documents`` (doc_id, text): doc_id, copy, n_shingles, class, root, component_id. Rows of
     one root are one group; class and root are null for empty sets."""
     ready(documents.sparkSession)
-    sizes = landed(set_sizes(documents), "set-sizes")
-    edges = landed(links(documents, sizes), "class-links")
+    found = survey(documents)
+    sizes = found.where("common is null").drop("common")
+    edges = landed(links(documents, found), "class-links")
     roots = components(edges).select(F.col("node").alias("class"), F.col("root"))
     some = sizes.where("class is not null")
     classes = some.groupBy("class").agg(F.min("doc_id").alias("least"))
