@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from roadpulse.llm import mixing, ngram_join, sentence_pieces, toxicity
+from roadpulse.llm import (
+    embeddings, fingerprints, mixing, ngram_join, sentence_pieces, suffix_tree, token_files, toxicity
+)
 
-MODULES = (mixing, toxicity, sentence_pieces, ngram_join)
+MODULES = (mixing, token_files, embeddings, toxicity, suffix_tree, fingerprints, sentence_pieces, ngram_join)
 
 
 def queries() -> dict:
