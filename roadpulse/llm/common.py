@@ -14,11 +14,15 @@ __all__ = ["fold", "fresh_dir", "landed", "map_batches", "ready", "table", "word
 
 #: A word: code points other than the ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
+_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 def ready(spark: SparkSession) -> SparkSession:
-    """Lets Python workers find this package where the driver found it."""
+    """Lets Python workers find this package where the driver found it, and sends them rows in small batches: texts may
+    be long, and a session's default of 10,000 rows is made for numbers."""
+    if spark.conf.get(_ROWS) == "10000":
+        spark.conf.set(_ROWS, "1000")
     environment = spark.sparkContext.environment
     if ROOT not in environment.get("PYTHONPATH", "").split(os.pathsep):
         environment["PYTHONPATH"] = os.pathsep.join(p for p in (ROOT, environment.get("PYTHONPATH", "")) if p)

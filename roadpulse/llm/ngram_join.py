@@ -38,7 +38,7 @@ REACH = 1 - PERCENT / 100
 PIVOTS = 8
 #: Classes that one task compares at once, and list entries that one task sorts at once.
 BLOCK = 1000
-ENTRIES = 1_500_000
+ENTRIES = 1_000_000
 
 
 def _class_of(shingles: np.ndarray) -> int:
@@ -65,52 +65,57 @@ def survey(documents: DataFrame) -> DataFrame:
     n_shingles and class (null for an empty set); and rows with a class and ``common``, how many of its listed shingles
     it holds in common with other classes, in parts to be summed.
 
-    Listed shingles go to buckets of their hash as packed arrays. A shingle that two classes of one batch hold is sent
-    once, marked as known, and counted for those classes at once; so no list grows with the copies in a batch.
+    Listed shingles go to buckets of their hash as packed arrays. A shingle that two classes of one task's share hold is sent
+    once, marked as known, and counted for those classes at once; so no list grows with the copies in a task.
     """
     octets = documents.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # About 17 bytes of text to a listed shingle.
     buckets = max(parts, 1 + octets // (17 * ENTRIES))
 
-    def make():
-        def work(batch):
-            every = [shingle_set(t) for t in batch.column("text").to_pylist()]
-            sets, kinds = {}, np.zeros(len(every), np.int64)
-            for k, shingles in enumerate(every):
-                if len(shingles):
-                    kinds[k] = _class_of(shingles)
-                    sets.setdefault(int(kinds[k]), shingles[: _listed(len(shingles))])
-            row_size = np.fromiter(map(len, every), np.int64, len(every))
-            row_id, row_copy = batch.column("doc_id"), batch.column("copy").to_numpy()
-            row_blank = np.asarray(row_id.is_null())
-            row_id = np.asarray(row_id.fill_null(0))
-            lengths = np.fromiter(map(len, sets.values()), np.int64, len(sets))
-            hashes = np.concatenate([*sets.values(), np.zeros(0, np.uint64)])
-            classes = np.repeat(np.fromiter(sets, np.int64, len(sets)), lengths)
-            order = np.argsort(hashes, kind="stable")
-            hashes, classes = hashes[order], classes[order]
-            first = np.flatnonzero(np.r_[True, hashes[1:] != hashes[:-1]][: len(hashes)])
-            held = np.diff(np.r_[first, len(hashes)])
-            counted, n = np.unique(classes[np.repeat(held, held) > 1], return_counts=True)
-            groups = [
-                (hashes[first] % np.uint64(buckets), (hashes[first], classes[first], held > 1)),
-                (counted % buckets, (counted, n.astype(np.int64))),
-                (np.where(row_size > 0, kinds, row_copy) % buckets, (row_id, row_blank, row_copy, row_size, kinds)),
-            ]
-            columns = []
-            for place, arrays in groups:
-                place = place.astype(np.int64)
-                order = np.argsort(place, kind="stable")
-                ends = np.cumsum(np.bincount(place, minlength=buckets))
-                parts_ = [order[a:b] for a, b in zip(np.r_[0, ends[:-1]], ends)]
-                columns += [[x[p].tobytes() for p in parts_] for x in arrays]
-            return _batch(bucket=pa.array(range(buckets), pa.int32()), **dict(zip(_LISTS, columns)))
-
-        return work
+    def packed(rows: list[tuple], sets: dict[int, np.ndarray]) -> pa.RecordBatch:
+        row_id, row_copy, row_size, row_class = (np.array(x, np.int64) for x in zip(*((r[0] or 0, *r[1:]) for r in rows)))
+        row_blank = np.array([r[0] is None for r in rows])
+        lengths = np.fromiter(map(len, sets.values()), np.int64, len(sets))
+        hashes = np.concatenate([*sets.values(), np.zeros(0, np.uint64)])
+        classes = np.repeat(np.fromiter(sets, np.int64, len(sets)), lengths)
+        order = np.argsort(hashes, kind="stable")
+        hashes, classes = hashes[order], classes[order]
+        first = np.flatnonzero(np.r_[True, hashes[1:] != hashes[:-1]][: len(hashes)])
+        held = np.diff(np.r_[first, len(hashes)])
+        counted, n = np.unique(classes[np.repeat(held, held) > 1], return_counts=True)
+        groups = [
+            (hashes[first] % np.uint64(buckets), (hashes[first], classes[first], held > 1)),
+            (counted % buckets, (counted, n.astype(np.int64))),
+            (np.where(row_size > 0, row_class, row_copy) % buckets, (row_id, row_blank, row_copy, row_size, row_class)),
+        ]
+        columns = []
+        for place, arrays in groups:
+            place = place.astype(np.int64)
+            order = np.argsort(place, kind="stable")
+            ends = np.cumsum(np.bincount(place, minlength=buckets))
+            parts_ = [order[a:b] for a, b in zip(np.r_[0, ends[:-1]], ends)]
+            columns += [[x[p].tobytes() for p in parts_] for x in arrays]
+        return _batch(bucket=pa.array(range(buckets), pa.int32()), **dict(zip(_LISTS, columns)))
+
+    def run(batches):
+        rows, sets, entries = [], {}, 0
+        for batch in batches:
+            for doc_id, text, copy in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "copy"))):
+                shingles = shingle_set(text)
+                kind = _class_of(shingles) if len(shingles) else 0
+                rows.append((doc_id, copy, len(shingles), kind))
+                if len(shingles) and kind not in sets:
+                    sets[kind] = shingles[: _listed(len(shingles))].copy()
+                    entries += len(sets[kind])
+            if entries > ENTRIES:
+                yield packed(rows, sets)
+                rows, sets, entries = [], {}, 0
+        if rows:
+            yield packed(rows, sets)
 
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", _copy().alias("copy"))
-    lists = map_batches(rows, make, "bucket int, " + ", ".join(f"{c} binary" for c in _LISTS))
+    lists = rows.mapInArrow(run, "bucket int, " + ", ".join(f"{c} binary" for c in _LISTS))
     found = lists.repartition(buckets, "bucket").groupBy("bucket")
     return landed(found.applyInArrow(_bucket, "doc_id long, copy long, n_shingles long, class long, common long"), "survey")
 
@@ -125,7 +130,7 @@ def _bucket(part: pa.Table) -> pa.Table:
     group = np.cumsum(new) - 1
     apart = np.r_[True, (kinds[1:] != kinds[:-1]) | new[1:]][: len(hashes)]
     several = (np.bincount(group, apart) > 1) | (np.bincount(group, known) > 0) if len(group) else np.zeros(0, bool)
-    # What a batch has marked as known it has also counted.
+    # What a task has marked as known it has also counted.
     found = kinds[several[group] & ~known & apart]
     classes, where = np.unique(np.r_[found, join("counted", np.int64)], return_inverse=True)
     common = np.bincount(where, np.r_[np.ones(len(found), np.int64), join("n", np.int64)], len(classes)).astype(np.int64)
