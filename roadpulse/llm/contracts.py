@@ -3,10 +3,21 @@
 from __future__ import annotations
 
 from roadpulse.llm import (
-    embeddings, fingerprints, mixing, ngram_join, sentence_pieces, suffix_tree, token_files, toxicity
-)
+    embeddings,
+    fingerprints,
+    html_extraction,
+    mixing,
+    ngram_join,
+    sentence_pieces,
+    suffix_tree,
+    token_files,
+    toxicity,
+    url_filters,
+)
 
-MODULES = (mixing, token_files, embeddings, toxicity, suffix_tree, fingerprints, sentence_pieces, ngram_join)
+MODULES = (
+    mixing, token_files, embeddings, url_filters, toxicity, suffix_tree, html_extraction, fingerprints, sentence_pieces, ngram_join
+)
 
 
 def queries() -> dict:
