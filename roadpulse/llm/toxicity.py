@@ -35,6 +35,9 @@ DISCOUNT = 0.9
 OWN_DISCOUNT = 4.0
 #: Nats of a word's evidence that count as noise.
 FLOOR = 3.0
+#: Nats a word below which the score's curve is straight, and above which it takes their logarithm; evidence below 0
+#: is hardly less than none: that a text is unlike ordinary rows doesn't make it ordinary.
+UNIT = 0.002
 #: Words remembered per worker with their evidence, then forgotten together.
 REMEMBERED = 300_000
 
@@ -66,6 +69,10 @@ def _at(kinds: np.ndarray, values: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return np.where(kinds[where] == keys, values[where], np.float32(0))
 
 
+def _scale(mean: np.ndarray) -> np.ndarray:
+    return np.log1p(np.maximum(mean, 0) / UNIT) - 0.01 * np.log1p(np.maximum(-mean, 0) / UNIT)
+
+
 @dataclass
 class Models:
     """Tables of one fit; ``shared[n]`` has the continuation counts of n letters, ``own`` the counts by class."""
@@ -122,8 +129,7 @@ class Models:
         if not 0 < share < 1:
             return
         weight = np.where(toxic, rate / share, (1 - rate) / (1 - share))
-        scale = max(float(np.std(mean)), 1e-9)
-        x = np.column_stack([mean / scale, np.ones(len(mean))])
+        x = np.column_stack([_scale(mean), np.ones(len(mean))])
         beta = np.zeros(2)
         for _ in range(60):
             p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
@@ -133,10 +139,10 @@ class Models:
             beta -= np.clip(step, -2, 2)
             if np.abs(step).max() < 1e-8:
                 break
-        self.slope, self.offset = float(beta[0] / scale), float(beta[1])
+        self.slope, self.offset = float(beta[0]), float(beta[1])
 
     def score(self, mean: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.slope * mean + self.offset, -30, 30)))
+        return 1 / (1 + np.exp(-np.clip(self.slope * _scale(mean) + self.offset, -30, 30)))
 
 
 _remembered: dict = {}
