@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from roadpulse.workspace import fresh_dir, landed
 
-__all__ = ["fold", "fresh_dir", "landed", "map_batches", "ready", "table", "words_of", "WORD"]
+__all__ = ["Remembered", "fold", "fresh_dir", "landed", "map_batches", "ready", "table", "words_of", "WORD"]
 
 #: A word: code points other than the ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -53,3 +53,31 @@ def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.
                 yield work(batch)
 
     return df.mapInArrow(run, schema)
+
+
+class Remembered:
+    """What a worker remembers, in two generations: once ``most`` are new, those not used since the last turn are
+    forgotten. At most ``2 * most`` entries; values of keys over ``longest`` are for one use only."""
+
+    def __init__(self, most: int, longest: int):
+        self.now, self.older, self.once = {}, {}, []
+        self.most, self.longest = most, longest
+
+    def missing(self, keys: set) -> list:
+        """Which of ``keys`` are not in ``now`` and must be made; those of the older generation come back."""
+        for k in self.once:
+            self.now.pop(k, None)
+        self.once = []
+        if len(self.now) > self.most:
+            self.now, self.older = {}, self.now
+        now, older, found = self.now, self.older, []
+        for k in keys.difference(now):
+            if k in older:
+                now[k] = older[k]
+            else:
+                found.append(k)
+        return found
+
+    def learn(self, keys: list, values: list) -> None:
+        self.now.update(zip(keys, values))
+        self.once = [k for k in keys if len(k) > self.longest]

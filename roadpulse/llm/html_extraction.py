@@ -4,10 +4,11 @@ A page is the sequence of its leaf blocks. Each block is a vector of hashed word
 its text and of a few measures; a bidirectional LSTM in numpy reads the whole sequence, so every block is labelled as
 main text or not in view of all others. The main text is all blocks so labelled, whole and in page order.
 
-Pages carry no labels, so the training pages are laid out here: texts of a bounded sample of real pages
-(``SAMPLE`` of them, of at most ``SAMPLE_LETTERS`` letters, those with the smallest hash) are put into random layouts in which the place of the article, of menus,
-headers, footers, sidebars, notices, adverts, forms, and reader comments is known. Layouts name their parts
-in many ways, some not at all, so that paths, words and order must all be weighed. Training is seeded.
+Pages carry no labels, so the training pages are laid out here: texts of a bounded sample of real pages (``SAMPLE`` of
+them, of at most ``SAMPLE_LETTERS`` letters, those with the smallest hash) are put into random layouts in which the
+place of the article, of menus, headers, footers, sidebars, notices, adverts, forms, and reader comments is known.
+Layouts name their parts in many ways, some not at all, so that paths, words and order must all be weighed. Training
+is seeded.
 
 Defined results: null and empty pages, and pages without main text, have the empty text; repeated rows are extracted
 alike; text without any markup is one block. A table without text to learn from learns from fixed words.

@@ -25,12 +25,14 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from roadpulse.llm.common import ready, table
+from roadpulse.llm.common import Remembered, ready, table
 
 MARK = "▁"
-#: Words remembered per worker, then forgotten together; longer words are encoded each time.
-REMEMBERED = 500_000
+#: Words remembered per worker and generation; longer words are encoded each time.
+REMEMBERED = 200_000
 LONGEST = 64
+#: Pairs of tokens remembered, then forgotten together.
+PAIRS = 1_000_000
 _CHUNK = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
 
@@ -73,7 +75,7 @@ class Pieces:
         self.lengths = [*map(len, self.texts)]
         #: By the two ids in one number.
         self.compatible: dict[int, bool] = {}
-        self.words: dict[str, bytes] = {}
+        self.words = Remembered(REMEMBERED, LONGEST)
 
     def _check(self, lib) -> None:
         fits = (
@@ -159,16 +161,13 @@ class Pieces:
         """Ids as little-endian 32-bit integers."""
         if not text:
             return b""
-        if len(self.words) > REMEMBERED or len(self.compatible) > 2 * REMEMBERED:
-            self.words.clear()
+        if len(self.compatible) > PAIRS:
             self.compatible.clear()
-        words, parts = self.words, _CHUNK.findall(MARK + text.replace(" ", MARK))
-        fresh = set(parts).difference(words)
-        if not fresh:
-            return b"".join(map(words.__getitem__, parts))
-        long = {w: self._word(w) for w in fresh if len(w) > LONGEST}
-        words.update((w, self._word(w)) for w in fresh if len(w) <= LONGEST)
-        return b"".join([long[w] if w in long else words[w] for w in parts])
+        parts = _CHUNK.findall(MARK + text.replace(" ", MARK))
+        fresh = self.words.missing(set(parts))
+        if fresh:
+            self.words.learn(fresh, [*map(self._word, fresh)])
+        return b"".join(map(self.words.now.__getitem__, parts))
 
     def decode(self, ids: list[int]) -> str:
         if self.special.isdisjoint(ids):

@@ -22,6 +22,7 @@ their own, rows of equal ids in order of a hash of their text; an empty table ma
 
 from __future__ import annotations
 
+import itertools
 import os
 import re
 import struct
@@ -32,13 +33,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from roadpulse.llm.common import fresh_dir, landed, ready, table
+from roadpulse.llm.common import Remembered, fresh_dir, landed, ready, table
 
 END = 2
 MASK = 0xA282EAD8
 #: Bytes of text to a file, about.
 FILE_BYTES = 12_000_000
-REMEMBERED = 400_000
+#: Pieces remembered per worker and generation, and the longest of them.
+REMEMBERED = 200_000
 LONGEST = 64
 _CUT = re.compile(r" (?=\S)")
 
@@ -79,26 +81,42 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(model)
-        self.pieces: dict[str, bytes] = {}
-
-    def _encoded(self, pieces: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch(pieces, add_special_tokens=False)
+        self.pieces = Remembered(REMEMBERED, LONGEST)
+
+        # Bytes of each token: its letters stand for one byte each, but for those of added tokens.
+        special = {k: len(t.content.encode()) for k, t in self.tokenizer.get_added_tokens_decoder().items()}
+        vocabulary = self.tokenizer.get_vocab()
+        self.widths = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for token, k in vocabulary.items():
+            self.widths[k] = special.get(k, len(token))
+        self.tokenizer.post_processor = None  # it would only trim offsets
+
+    def _each(self, pieces: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
         return [np.array(x.ids, "<u4").tobytes() for x in found]
 
+    def _spaced(self, pieces: list[str]) -> list[bytes]:
+        """Ids of each piece with a space before it: encoded as one text, told apart by the bytes of the tokens."""
+        if not pieces:
+            return []
+        text = " " + " ".join(pieces)
+        ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+        ends = np.cumsum([len(p.encode("utf-8", "surrogatepass")) + 1 for p in pieces])
+        reached = np.cumsum(self.widths[ids])
+        stops = np.searchsorted(reached, ends)
+        if stops[-1] + 1 != len(ids) or (reached[stops] != ends).any():
+            return self._each([f" {p}" for p in pieces])
+        data, stops = ids.tobytes(), (stops + 1) * 4
+        return [data[x:y] for x, y in zip([0, *stops[:-1].tolist()], stops.tolist())]
+
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """Ids of each text, without an end."""
-        if len(self.pieces) > REMEMBERED:
-            self.pieces.clear()
         cut = [_CUT.split(t or "") for t in texts]
-        firsts = self._encoded([c[0] for c in cut])
-        known = self.pieces
-        fresh = list({p for c in cut for p in c[1:] if p not in known})
-        extra: dict[str, bytes] = {}
-        for p, ids in zip(fresh, self._encoded([f" {p}" for p in fresh])):
-            (known if len(p) <= LONGEST else extra)[p] = ids
-        if extra:
-            return [np.frombuffer(b"".join([a, *(extra[p] if p in extra else known[p] for p in c[1:])]), "<u4") for a, c in zip(firsts, cut)]
-        return [np.frombuffer(a + b"".join(map(known.__getitem__, c[1:])), "<u4") for a, c in zip(firsts, cut)]
+        firsts = self._each([c.pop(0) for c in cut])
+        fresh = self.pieces.missing(set(itertools.chain.from_iterable(cut)))
+        self.pieces.learn(fresh, self._spaced(fresh))
+        known = self.pieces.now.__getitem__
+        return [np.frombuffer(a + b"".join(map(known, c)), "<u4") for a, c in zip(firsts, cut)]
 
 
 _encoders: dict[str, Encoder] = {}
