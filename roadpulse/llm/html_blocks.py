@@ -48,7 +48,7 @@ def names_of(attributes: str) -> tuple[str, ...]:
 
 def blocks(page: str | None) -> list[tuple[tuple[str, ...], str, int]]:
     """(path, text, letters within links) of each leaf block that has text; the head's blocks are left out."""
-    page = _UNSHOWN.sub(" ", page or "") if page and "<" in page else page or ""
+    page = _UNSHOWN.sub("", page or "") if page and "<" in page else page or ""
     open_: list[tuple[str, tuple[str, ...]]] = []
     found, pieces, linked, at = [], [], 0, 0
 
