@@ -26,7 +26,9 @@ from roadpulse.llm.common import WORD, landed, table
 WEIGHTS = (5, 2, 1)
 #: Times its source's size a target may reach, and rounds of a source at most.
 MOST = 3
-SLICE = 20_000
+SLICE = 4_000
+#: Sources up to which the places of their last copies are sent to all workers; beyond, they are joined.
+SENT = 100_000
 
 
 def order_of(doc_id: str = "doc_id", text: str = "text") -> Column:
@@ -120,7 +122,8 @@ def _cut(rows: DataFrame, most: int) -> float | None:
 def mixed(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
     """``documents`` as the mix has them: a row for each copy. Each source's last place says what is in, so texts
     stay where they are."""
-    cuts = plan(documents, weights, most).sources.where("last is not null")
+    cuts = landed(plan(documents, weights, most).sources.where("last is not null"), "cuts")
+    cuts = F.broadcast(cuts) if cuts.count() <= SENT else cuts
     cuts = cuts.select(F.col("source").alias("__of"), F.col("last.round").alias("__round"), F.col("last.draw").alias("__last"))
     copies = F.col("__round") - (order_of() > F.col("__last")).cast("int")
     found = documents.join(cuts, F.col("source").eqNullSafe(F.col("__of")))

@@ -5,8 +5,9 @@ obeys the triangle inequality at every pivot. The join is exact and runs in thes
 
 1. *Screen.* Every class lists its shingles with the lowest hashes, 3/8 of its set. Two linked classes hold more than
    3/32 of either set in common in those lists, so a class with fewer listed shingles seen elsewhere has no partner.
-2. *Pivots and regions.* Of the classes left, those that hold one shingle of their lowest quarter in common belong to
-   the region of the smallest of them, its pivot. Linked classes always meet in some region.
+2. *Pivots and regions.* Of the classes left, those that hold one listed shingle in common belong to the region of
+   the smallest of them, its pivot; a class stays away from the pivots it shares least with. Linked classes always
+   meet in some region.
 3. *Large regions* are dealt in pieces, each with a copy of the pivot: members within reach of the pivot are linked to
    it. The rest is compared block by block with the members that the window ``|d(x,p) - d(y,p)| <= REACH`` allows.
 4. *Small regions, and pieces*, join recursively: a few pivots create Voronoi regions, every point also goes to each
@@ -25,8 +26,9 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from roadpulse.llm.common import WORD, landed, map_batches, ready, table
 from roadpulse.llm.components import components
@@ -241,23 +243,26 @@ def _edges(links: list[tuple[int, int]]) -> pa.Table:
     return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
 
 
-def _join_regions(part: pa.Table) -> pa.Table:
-    """Whole regions, several at once: links between members of each."""
-    points, regions = _points(part), part.column("region").to_numpy()
+def _join_task(part: pa.Table) -> pa.Table:
+    """Links inside whole regions, several at once; and for pieces of large regions the distance of each member to the
+    pivot. As (a, b, far, linked), without far for links of the first kind."""
+    kind = part.column("pivot")
+    whole = part.filter(pc.is_null(kind))
+    points, regions = _points(whole), whole.column("region").to_numpy()
     order = np.argsort(regions, kind="stable")
     for members in np.split(order, np.flatnonzero(np.diff(regions[order])) + 1):
         local, _ = points.narrowed(members)
         local.join(np.arange(len(local.ids)))
-    return _edges(points.links)
-
-
-def _from_pivot(part: pa.Table) -> pa.Table:
-    """A piece of a large region with its pivot: (region, class, distance, linked)."""
-    points, region = _points(part), part.column("region")[0].as_py()
-    pivot = np.flatnonzero(part.column("pivot").to_numpy(zero_copy_only=False))
-    others = np.setdiff1d(np.arange(len(points.ids)), pivot)
-    far, near = points.distances(pivot[0], others)
-    return pa.table({"region": pa.array([region] * len(others), pa.int64()), "class": points.ids[others], "far": far, "linked": near})
+    n = len(points.links)
+    found = [_edges(points.links).append_column("far", pa.nulls(n, pa.float64())).append_column("linked", pa.array([True] * n, pa.bool_()))]
+    rest = part.filter(pc.is_valid(kind))
+    for region in pc.unique(rest.column("region")):
+        piece = rest.filter(pc.equal(rest.column("region"), region))
+        points, pivot = _points(piece), np.flatnonzero(piece.column("pivot").to_numpy(zero_copy_only=False))
+        others = np.setdiff1d(np.arange(piece.num_rows), pivot)
+        far, near = points.distances(pivot[0], others)
+        found.append(pa.table({"a": np.full(len(others), region.as_py(), np.int64), "b": points.ids[others], "far": far, "linked": near}))
+    return pa.concat_tables(found)
 
 
 def _across(part: pa.Table) -> pa.Table:
@@ -289,59 +294,74 @@ def links(documents: DataFrame, found: DataFrame) -> DataFrame:
             kept = [k for k, s in enumerate(sets) if len(s) and _class_of(s) == want[k]]
             return _batch(
                 **{"class": pa.array([want[k] for k in kept], pa.int64())},
+                size=pa.array([len(sets[k]) for k in kept], pa.int64()),
                 shingles=pa.array([sets[k].tobytes() for k in kept], pa.binary()),
-                lowest=pa.array([sets[k][: len(sets[k]) // 4 + 1].view(np.int64) for k in kept], pa.list_(pa.int64())),
+                listed=pa.array([sets[k][: _listed(len(sets[k]))].view(np.int64) for k in kept], pa.list_(pa.int64())),
             )
 
         return work
 
     # One document of each class is read again; its id may be null, and ids may repeat with other texts.
-    texts = documents.select("doc_id", "text").join(left.where("doc_id is not null"), "doc_id")
+    texts = documents.select("doc_id", "text", _copy().alias("copy"))
+    texts = texts.join(left.where("doc_id is not null").hint("merge"), "doc_id").dropDuplicates(["doc_id", "class", "copy"])
+    texts = texts.select("text", "class")
     anonymous = left.where("doc_id is null")
     if not anonymous.isEmpty():
         blank = documents.where("doc_id is null and text is not null").select("doc_id", "text")
         hashed = map_batches(blank, _class_column, "doc_id long, text string, class long")
-        texts = texts.unionByName(hashed.join(anonymous.select("class"), "class").select("doc_id", "text", "class"))
-    sets = map_batches(texts.select("text", "class"), make, "class long, shingles binary, lowest array<long>")
-    sets = landed(sets.dropDuplicates(["class"]), "sets")
+        texts = texts.unionByName(hashed.join(anonymous.select("class"), "class").dropDuplicates(["class"]).select("text", "class"))
+    sets = landed(map_batches(texts, make, "class long, size long, shingles binary, listed array<long>"), "sets")
+    return _joined(_regions(sets), sets.select("class", "shingles"), parts)
 
-    entries = sets.select("class", F.explode("lowest").alias("shingle"))
-    pivots = entries.groupBy("shingle").agg(F.min("class").alias("region"), F.count("*").alias("n")).where("n > 1")
-    members = entries.join(pivots.select("shingle", "region"), "shingle").select("region", "class").distinct()
-    members = landed(members, "regions")
-    counts = members.groupBy("region").agg(F.count("*").alias("members"))
-    members = members.join(counts, "region")
-    held = sets.select("class", "shingles")
 
-    # Small regions: about BLOCK members to a task, whole regions together.
-    small = members.where(F.col("members") <= BLOCK)
-    groups = max(parts, 1 + members.count() // BLOCK)
-    inside = (
-        small.withColumn("task", F.pmod(F.xxhash64("region"), F.lit(groups)))
-        .join(held, "class")
-        .repartition(groups, "task")
-        .groupBy("task")
-        .applyInArrow(lambda t: _join_regions(t), "a long, b long")
-    )
-    found = landed(inside, "links")
+def _regions(sets: DataFrame) -> DataFrame:
+    """(region, class, members): regions by the id of their pivot, the smallest class in each.
 
+    A class need not go to every pivot that it shares a listed shingle with. Linked classes share more than 3/32 of
+    either set in their lists, so each may stay away from the pivots it shares least with, as long as that is less than
+    3/64 of its set in all; they still meet at one. A region all of whose members also meet in one other region is
+    left out.
+    """
+    entries = sets.select("class", "size", F.explode("listed").alias("shingle"))
+    pivots = entries.groupBy("shingle").agg(F.min("class").alias("region"), F.count("*").alias("n")).where("n > 1")
+    shared = entries.join(pivots.select("shingle", "region"), "shingle").groupBy("class", "size", "region").agg(F.count("*").alias("n"))
+    least_first = Window.partitionBy("class").orderBy("n", "region")
+    members = shared.withColumn("away", F.sum("n").over(least_first)).where("64 * away >= 3 * size").select("region", "class")
+    members = landed(members, "members")
+    # Relabelled by the smallest class that is still in it.
+    smallest = members.groupBy("region").agg(F.min("class").alias("pivot"))
+    members = members.join(smallest, "region").select(F.col("pivot").alias("region"), "class").distinct()
+    members = landed(members, "members")
+    homes = members.groupBy("class").agg(F.min("region").alias("home"))
+    homes = members.join(homes, "class").groupBy("region").agg(F.min("home").alias("a"), F.max("home").alias("b"), F.count("*").alias("members"))
+    own = homes.where("(a <> b or a = region) and members > 1").select("region", "members")
+    return landed(members.join(own, "region"), "regions")
+
+
+_FOUND = "a long, b long, far double, linked boolean"
+
+
+def _joined(members: DataFrame, held: DataFrame, parts: int) -> DataFrame:
+    """(a, b): links inside all regions. Small regions, about BLOCK members to a task, join whole; large ones are dealt
+    in pieces, each with the pivot."""
+    groups = max(parts, 1 + members.count() // BLOCK)
+    small = members.where(F.col("members") <= BLOCK)
+    small = small.select("region", "class", F.pmod(F.xxhash64("region"), F.lit(groups)).alias("task"), F.lit(None).cast("boolean").alias("pivot"))
     large = members.where(F.col("members") > BLOCK)
-    if large.isEmpty():
-        return found
     pieces = F.ceil(F.col("members") / BLOCK).cast("int")
     piece = F.pmod(F.xxhash64("class"), pieces.cast("long")).cast("int")
-    dealt = large.where("class <> region").select("region", "class", piece.alias("piece"), F.lit(False).alias("pivot"))
-    heads = large.where("class = region").select("region", "class", F.explode(F.sequence(F.lit(0), pieces - 1)).alias("piece"), F.lit(True).alias("pivot"))
-    measured = landed(
-        dealt.unionByName(heads)
-        .join(held, "class")
-        .repartition(groups, "region", "piece")
-        .groupBy("region", "piece")
-        .applyInArrow(lambda t: _from_pivot(t), "region long, class long, far double, linked boolean"),
-        "measured",
-    )
-    found = found.unionByName(measured.where("linked").select(F.col("region").alias("a"), F.col("class").alias("b")))
-    return found.unionByName(_rest(measured, held, groups))
+    task = lambda p: F.xxhash64("region", p).alias("task")
+    dealt = large.where("class <> region").select("region", "class", task(piece), F.lit(False).alias("pivot"))
+    heads = large.where("class = region").withColumn("piece", F.explode(F.sequence(F.lit(0), pieces - 1)))
+    heads = heads.select("region", "class", task(F.col("piece")), F.lit(True).alias("pivot"))
+    tasks = small.unionByName(dealt).unionByName(heads).join(held, "class").repartition(groups, "task").groupBy("task")
+    found = landed(tasks.applyInArrow(lambda t: _join_task(t), _FOUND), "links")
+    links_ = found.where("linked").select("a", "b")
+    measured = found.where("far is not null")
+    if measured.where("not linked").isEmpty():
+        return links_
+    measured = measured.select(F.col("a").alias("region"), F.col("b").alias("class"), "far", "linked")
+    return links_.unionByName(_rest(measured, held, groups))
 
 
 def _rest(measured: DataFrame, held: DataFrame, groups: int) -> DataFrame:
