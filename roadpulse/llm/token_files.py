@@ -22,7 +22,6 @@ their own, rows of equal ids in order of a hash of their text; an empty table ma
 
 from __future__ import annotations
 
-import itertools
 import os
 import re
 import struct
@@ -31,6 +30,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from roadpulse.llm.common import Remembered, fresh_dir, landed, ready, table
@@ -43,6 +43,7 @@ FILE_BYTES = 12_000_000
 REMEMBERED = 200_000
 LONGEST = 64
 _CUT = re.compile(r" (?=\S)")
+_ODD = re.compile(r" (?!\S)")
 
 
 def masked(data: bytes) -> int:
@@ -111,12 +112,36 @@ class Encoder:
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """Ids of each text, without an end."""
-        cut = [_CUT.split(t or "") for t in texts]
-        firsts = self._each([c.pop(0) for c in cut])
-        fresh = self.pieces.missing(set(itertools.chain.from_iterable(cut)))
-        self.pieces.learn(fresh, self._spaced(fresh))
-        known = self.pieces.now.__getitem__
-        return [np.frombuffer(a + b"".join(map(known, c)), "<u4") for a, c in zip(firsts, cut)]
+        texts = [t or "" for t in texts]
+        if not texts:
+            return []
+        # Where every space has a word after it, all spaces are cuts; Arrow then splits and numbers the pieces.
+        plain = [_ODD.search(t) is None for t in texts]
+        cuts = pc.split_pattern(pa.array([t for t, p in zip(texts, plain) if p], pa.string()), " ")
+        odd = [_CUT.split(t) for t, p in zip(texts, plain) if not p]
+        if odd:
+            cuts = pa.concat_arrays([cuts, pa.array(odd, pa.list_(pa.string()))])
+        order = np.argsort(~np.array(plain), kind="stable")
+        pieces = cuts.flatten().dictionary_encode()
+        place, kinds = pieces.indices.to_numpy().astype(np.int64), pieces.dictionary.to_pylist()
+        ends = np.cumsum(np.asarray(cuts.value_lengths()))
+        starts = np.r_[0, ends[:-1]]
+
+        self.pieces.learn(fresh := self.pieces.missing(set(kinds)), self._spaced(fresh))
+        known = [*map(self.pieces.now.__getitem__, kinds)]
+        # A text's first piece has no space before it.
+        known += self._each([kinds[k] for k in place[starts]])
+        place[starts] = len(kinds) + np.arange(len(starts))
+        sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        ids, firsts = np.frombuffer(b"".join(known), "<u4"), np.cumsum(sizes) - sizes
+        lengths = sizes[place]
+        upto = np.cumsum(lengths)
+        flat = ids[np.repeat(firsts[place] - (upto - lengths), lengths) + np.arange(upto[-1])]
+        found = [flat] * len(texts)
+        stops = upto[ends - 1]
+        for k, x, y in zip(order.tolist(), [0, *stops[:-1].tolist()], stops.tolist()):
+            found[k] = flat[x:y]
+        return found
 
 
 _encoders: dict[str, Encoder] = {}
@@ -141,8 +166,8 @@ def write(documents: DataFrame, model: str, folder: str, end: int = END) -> None
     def run(batches):
         encoder = _loaded(name, shared.value)
         for whole in batches:
-            for start in range(0, whole.num_rows, 500):
-                batch = whole.slice(start, 500)
+            for start in range(0, whole.num_rows, 1000):
+                batch = whole.slice(start, 1000)
                 found = encoder.encode(batch.column("text").to_pylist())
                 ids = batch.column("doc_id").to_pylist()
                 frames = [framed(i, np.append(x, np.uint32(end))) for i, x in zip(ids, found)]
