@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from catalog.tables import EMISSION_SQL, FCD_SQL, emission_records, fcd_records, table
-from roadpulse.config import EMISSION_FEED, FCD_FEED
+from catalog.tables import EMISSION_SQL, FCD_SQL, cores, emission_records, fcd_records, table
+from roadpulse.config import CONSTANT_KEY, EMISSION_FEED, FCD_FEED
 from roadpulse.functions.messages import message_key
 from roadpulse.operators.partitioning import spread
 from roadpulse.operators.records import normalise
 from roadpulse.plans.replaying import replay
 from roadpulse.schemas import EMISSION, FCD
+from roadpulse.sinks.delivery import topic_counts
 from roadpulse.sources.delimited import read_cells, read_delimited
 from roadpulse.workspace import fresh_dir
 
@@ -18,7 +19,7 @@ from roadpulse.workspace import fresh_dir
 def write_feed(spark: SparkSession, records: DataFrame, label: str) -> str:
     """A headed, ``;``-separated directory; NULL cells come out empty."""
     path = fresh_dir(spark, label)
-    spread(records).write.options(header=True, sep=";", emptyValue="").csv(path)
+    spread(records, cores(spark)).write.options(header=True, sep=";", emptyValue="").csv(path)
     return path
 
 
@@ -106,9 +107,14 @@ def cell_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def delivered(spark: SparkSession, path: str) -> DataFrame:
+    """The messages that a replay wrote."""
+    return spark.read.schema("topic STRING, key STRING, value STRING").json(path)
+
+
 def replayed(spark: SparkSession, path: str) -> DataFrame:
     """Delivered messages as records, with the topic and whether the key names the record."""
-    messages = spark.read.schema("topic STRING, key STRING, value STRING").json(path)
+    messages = delivered(spark, path)
     opened = messages.select("topic", "key", F.inline(F.array(F.from_json("value", FCD))))
     return opened.select("topic", (F.col("key") == message_key(FCD_FEED.identity)).alias("key_fits"), *FCD.names)
 
@@ -120,6 +126,23 @@ def replay_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replayed(spark, target)
 
 
+def replay_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same recording sent with a chosen key and with the constant one, read back with what it carries."""
+    source, target = blanked_fcd(spark, sf_dir), fresh_dir(spark, "messages")
+    for key in (F.col("vehicle_type"), F.lit(CONSTANT_KEY)):
+        replay(spark, source, FCD_FEED, lines=target, key=key)
+    opened = delivered(spark, target).withColumn("timestep_time", F.get_json_object("value", "$.timestep_time").cast("double"))
+    return opened.groupBy("topic", "key").agg(F.count("value").alias("messages"), F.sum("timestep_time").alias("times"))
+
+
+def delivered_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages per topic, counted in what two replays have delivered."""
+    target = fresh_dir(spark, "messages")
+    replay(spark, blanked_fcd(spark, sf_dir), FCD_FEED, lines=target)
+    replay(spark, blanked_emission(spark, sf_dir), EMISSION_FEED, lines=target)
+    return topic_counts(delivered(spark, target))
+
+
 def delivery_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What each replay job counted while it delivered, one row per topic."""
     fcd = replay(spark, blanked_fcd(spark, sf_dir), FCD_FEED, lines=fresh_dir(spark, "messages"))
@@ -135,6 +158,8 @@ QUERIES = {
     "typed_scan": typed_scan,
     "cell_scan": cell_scan,
     "replay_batch": replay_batch,
+    "replay_keys": replay_keys,
+    "delivered_counts": delivered_counts,
     "delivery_report": delivery_report,
 }
 
@@ -156,6 +181,17 @@ ORACLES = {
     "replay_batch": f"""
         SELECT 'stockholm-fcd' AS topic, TRUE AS key_fits, * FROM ({FCD_ZERO_SQL})
     """,
+    "replay_keys": f"""
+        SELECT 'stockholm-fcd' AS topic, key, count(*) AS messages, sum(timestep_time) AS times
+        FROM (SELECT vehicle_type AS key, timestep_time FROM ({FCD_SQL})
+              UNION ALL SELECT 'stockholm', timestep_time FROM ({FCD_SQL}))
+        GROUP BY key
+    """,
+    "delivered_counts": """
+        SELECT 'stockholm-fcd' AS topic, count(*) AS delivered FROM events
+        UNION ALL
+        SELECT 'stockholm-emission', count(*) FROM lineitem
+    """,
     "delivery_report": """
         SELECT 'stockholm-fcd' AS topic, count(*) AS delivered FROM events
         UNION ALL

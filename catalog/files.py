@@ -62,11 +62,20 @@ def consolidate_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(target)
 
 
+def consolidate_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts that were scored into Parquet, consolidated to text and read back."""
+    source, target = fresh_dir(spark, "scored-emission"), fresh_dir(spark, "results-emission")
+    write_table(scored_emissions(emission_records(spark, sf_dir)), source, fmt="parquet")
+    consolidate(spark, source, target, SCORED_EMISSION, source_fmt="parquet")
+    return read_delimited(spark, target, SCORED_EMISSION, sep=",", mode="FAILFAST")
+
+
 QUERIES = {
     "named_scan_fcd": named_scan_fcd,
     "named_scan_emission": named_scan_emission,
     "consolidate_append": consolidate_append,
     "consolidate_overwrite": consolidate_overwrite,
+    "consolidate_parquet": consolidate_parquet,
 }
 
 _POSITIONS = f"""
@@ -83,4 +92,5 @@ ORACLES = {
     "named_scan_emission": _EMISSIONS,
     "consolidate_append": f"{_POSITIONS} UNION ALL {_POSITIONS}",
     "consolidate_overwrite": _EMISSIONS,
+    "consolidate_parquet": _EMISSIONS,
 }

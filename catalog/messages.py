@@ -14,6 +14,7 @@ from catalog.tables import (
     naive_time,
     nearest_sql,
     prop_k,
+    stored_topics,
     table,
 )
 from roadpulse import config
@@ -24,7 +25,6 @@ from roadpulse.operators.mapping import with_lat_lon
 from roadpulse.functions.lookup import colour_of
 from roadpulse.operators.records import decode, decode_or_quarantine, encode, merge_feeds, on_topic
 from roadpulse.schemas import EMISSION, FCD
-from roadpulse.sinks.delivery import topic_counts
 
 
 def congestion_map(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,40 +87,38 @@ def json_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select("event_id", prop_k().alias("k"))
 
 
+def _time_in(value: str):
+    return F.get_json_object(value, "$.timestep_time").cast("double")
+
+
 def message_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Messages keyed by the vehicle and by the one constant key."""
+    """Messages keyed by the vehicle and by the one constant key, with the times that they carry."""
     records = fcd_records(spark, sf_dir)
     by_vehicle = encode(records, FCD_FEED, key=F.col("vehicle_id"))
     by_constant = encode(records, FCD_FEED, key=F.lit(config.CONSTANT_KEY))
-    return merge_feeds(by_vehicle, by_constant).groupBy("topic", "key").agg(F.count(F.lit(1)).alias("messages"))
+    sent = merge_feeds(by_vehicle, by_constant).withColumn("time", _time_in("value"))
+    return sent.groupBy("topic", "key").agg(F.count("value").alias("messages"), F.sum("time").alias("times"))
 
 
-def _both_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+def feed_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both feeds in one message set, each row with its topic, its key and its payload decoded."""
     vehicle = F.col("vehicle_id")
-    return merge_feeds(
+    both = merge_feeds(
         encode(fcd_records(spark, sf_dir), FCD_FEED, vehicle),
         encode(emission_records(spark, sf_dir), EMISSION_FEED, vehicle),
     )
-
-
-def feed_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both feeds in one message set, each row with its topic and key."""
-    return _both_feeds(spark, sf_dir).select("topic", "key")
+    fields = "timestep_time DOUBLE, vehicle_pos DOUBLE, vehicle_lane STRING, vehicle_route STRING"
+    return both.select("topic", "key", F.inline(F.array(F.from_json("value", fields))))
 
 
 def topic_select(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One topic picked out of the merged messages and decoded."""
-    both = envelopes(spark, sf_dir, FCD_FEED).unionByName(envelopes(spark, sf_dir, EMISSION_FEED))
-    chosen = on_topic(both, EMISSION_FEED.topic)
+    """One topic picked out of the stored messages of both, and decoded."""
+    chosen = on_topic(stored_topics(spark, sf_dir), EMISSION_FEED.topic)
     return decode(chosen, EMISSION, fields=["timestep_time", "vehicle_id", "vehicle_route"]).select(
         "timestep_time", "vehicle_id", "vehicle_route"
     )
 
 
-def delivered_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return topic_counts(_both_feeds(spark, sf_dir))
-
-
 def delivery_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The report line of every message."""
     return table(spark, sf_dir, "events").select(
@@ -170,7 +168,6 @@ QUERIES = {
     "message_keys": message_keys,
     "feed_union": feed_union,
     "topic_select": topic_select,
-    "delivered_counts": delivered_counts,
     "delivery_lines": delivery_lines,
     "malformed_kept": malformed_kept,
     "malformed_outcomes": malformed_outcomes,
@@ -182,23 +179,22 @@ ORACLES = {
     "fcd_round_trip": f"SELECT ts AS event_time, * EXCLUDE (ts, event_id) FROM ({FCD_SQL})",
     "emission_round_trip": f"SELECT l_shipdate AS event_time, * EXCLUDE (l_shipdate) FROM ({EMISSION_SQL})",
     "json_extract": "SELECT event_id, CAST(props->>'k' AS INTEGER) AS k FROM events",
-    "message_keys": """
-        SELECT 'stockholm-fcd' AS topic, CAST(user_id AS VARCHAR) AS key, count(*) AS messages
-        FROM events GROUP BY user_id
+    "message_keys": f"""
+        SELECT 'stockholm-fcd' AS topic, CAST(vehicle_id AS VARCHAR) AS key, count(*) AS messages,
+          sum(timestep_time) AS times
+        FROM ({FCD_SQL}) GROUP BY vehicle_id
         UNION ALL
-        SELECT 'stockholm-fcd', 'stockholm', count(*) FROM events
+        SELECT 'stockholm-fcd', 'stockholm', count(*), sum(timestep_time) FROM ({FCD_SQL})
     """,
-    "feed_union": """
-        SELECT 'stockholm-fcd' AS topic, CAST(user_id AS VARCHAR) AS key FROM events
+    "feed_union": f"""
+        SELECT 'stockholm-fcd' AS topic, CAST(vehicle_id AS VARCHAR) AS key, timestep_time, vehicle_pos, vehicle_lane,
+          NULL::VARCHAR AS vehicle_route
+        FROM ({FCD_SQL})
         UNION ALL
-        SELECT 'stockholm-emission', CAST(l_suppkey AS VARCHAR) FROM lineitem
+        SELECT 'stockholm-emission', CAST(vehicle_id AS VARCHAR), timestep_time, vehicle_pos, vehicle_lane, vehicle_route
+        FROM ({EMISSION_SQL})
     """,
     "topic_select": f"SELECT timestep_time, vehicle_id, vehicle_route FROM ({EMISSION_SQL})",
-    "delivered_counts": """
-        SELECT 'stockholm-fcd' AS topic, count(*) AS delivered FROM events
-        UNION ALL
-        SELECT 'stockholm-emission', count(*) FROM lineitem
-    """,
     "delivery_lines": """
         SELECT event_id, 'Produces message on topic stockholm-fcd:' || props AS line FROM events
     """,

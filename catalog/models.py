@@ -5,11 +5,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from catalog.feeds import blanked_emission, blanked_fcd
+from catalog.feeds import EMISSION_ZERO_SQL, FCD_ZERO_SQL, blanked_emission, blanked_fcd
 from catalog.tables import (
     EMISSION_SQL,
     FCD_SQL,
     bag_difference,
+    cores,
     emission_records,
     fcd_records,
     nearest_sql,
@@ -19,7 +20,7 @@ from roadpulse import config
 from roadpulse.config import EMISSION_FEED, FCD_FEED
 from roadpulse.functions.distance import nearest_centre, squared_distance
 from roadpulse.operators import learning
-from roadpulse.plans.training import train_clusters, train_regressor, train
+from roadpulse.plans.training import train, train_clusters, train_regressor, with_part
 from roadpulse.workspace import fresh_dir
 
 ITEM_CENTRES = [(5.0, 10.0), (15.0, 40.0), (25.0, 25.0), (35.0, 45.0), (45.0, 12.0)]
@@ -47,7 +48,7 @@ def nearest_centres(spark: SparkSession, sf_dir: str) -> DataFrame:
 def kmeans_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """k centres, and no row has a centre closer than the one it was given."""
     records = fcd_records(spark, sf_dir)
-    model = learning.fit(learning.cluster_pipeline(), records, FCD_FEED)
+    model = learning.fit(learning.cluster_pipeline(), records, FCD_FEED, cores(spark))
     centres = learning.centres(model)
     features = [F.col(name) for name in FCD_FEED.features]
     distances = F.array(*[squared_distance(features, centre) for centre in centres])
@@ -63,7 +64,7 @@ def kmeans_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 def forest_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predictions stay within the labels' range and beat the mean as a guess."""
     records = emission_records(spark, sf_dir)
-    model = learning.fit(learning.regression_pipeline(), records, EMISSION_FEED)
+    model = learning.fit(learning.regression_pipeline(), records, EMISSION_FEED, cores(spark))
     scored = learning.score(model, records, EMISSION_FEED.scored.names)
     label, guess = F.col(EMISSION_FEED.label), F.col(EMISSION_FEED.prediction)
     return scored.agg(
@@ -78,9 +79,9 @@ def model_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored and loaded models score exactly like the fitted ones."""
     positions, emissions = fcd_records(spark, sf_dir), emission_records(spark, sf_dir)
     fitted = {
-        FCD_FEED: (learning.fit(learning.cluster_pipeline(), positions, FCD_FEED), positions),
+        FCD_FEED: (learning.fit(learning.cluster_pipeline(), positions, FCD_FEED, cores(spark)), positions),
         EMISSION_FEED: (
-            learning.fit(learning.regression_pipeline(depth=5, trees=5), emissions, EMISSION_FEED),
+            learning.fit(learning.regression_pipeline(), emissions, EMISSION_FEED, cores(spark)),
             emissions,
         ),
     }
@@ -100,7 +101,8 @@ def model_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def training_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole training job on recorded feeds: text files in, stored models out."""
     clusters, regressor = fresh_dir(spark, "cmodel"), fresh_dir(spark, "rmodel")
-    metrics = train(spark, blanked_fcd(spark, sf_dir), blanked_emission(spark, sf_dir), clusters, regressor)
+    sources = blanked_fcd(spark, sf_dir), blanked_emission(spark, sf_dir)
+    metrics = train(spark, *sources, clusters, regressor, tasks=cores(spark))
     stored = [len(learning.centres(learning.load(clusters))), learning.load(regressor).stages[-1].getNumTrees]
     facts = [
         ("centres_stored", stored[0] == config.CLUSTERS),
@@ -109,24 +111,21 @@ def training_report(spark: SparkSession, sf_dir: str) -> DataFrame:
         ("mae_at_most_rmse", 0 < metrics["mae"] <= metrics["rmse"]),
         ("silhouette_positive", 0 < metrics["silhouette"] <= 1),
     ]
-    rows = table(spark, sf_dir, "lineitem").agg(F.count(F.lit(1)).alias("recorded"))
-    named = [F.lit(bool(value)).alias(name) for name, value in facts]
-    return rows.select("recorded", *named)
+    rows = [metrics[f"{feed}_{part}_rows"] for feed in ("fcd", "emission") for part in ("train", "test")]
+    counts = spark.createDataFrame([tuple(rows)], "fcd_train LONG, fcd_test LONG, emission_train LONG, emission_test LONG")
+    return counts.select("*", *[F.lit(bool(value)).alias(name) for name, value in facts])
 
 
 def held_out_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Training and held-out rows of both feeds add up to the whole feed."""
-    fcd = train_clusters(fcd_records(spark, sf_dir))
-    emission = train_regressor(emission_records(spark, sf_dir), depth=4, trees=3)
-    counted = [
-        part.agg(F.count(F.lit(1)).alias("n")).withColumn("feed", F.lit(feed))
-        for feed, trained in (("fcd", fcd), ("emission", emission))
-        for part in (trained.train, trained.test)
-    ]
-    merged = counted[0]
-    for other in counted[1:]:
-        merged = merged.unionByName(other)
-    return merged.groupBy("feed").agg(F.sum("n").alias("in_parts"))
+    """How many rows of each feed each part has after training on one of them."""
+    tables = {FCD_FEED: fcd_records(spark, sf_dir), EMISSION_FEED: emission_records(spark, sf_dir)}
+    merged = None
+    for (feed, records), fit in zip(tables.items(), (train_clusters, train_regressor)):
+        trained = fit(with_part(records, feed), feed, cores(spark))
+        for name, part in (("train", trained.train), ("test", trained.test)):
+            counted = part.agg(F.lit(feed.name).alias("feed"), F.lit(name).alias("part"), F.count(F.lit(1)).alias("n"))
+            merged = counted if merged is None else merged.unionByName(counted)
+    return merged
 
 
 QUERIES = {
@@ -140,6 +139,11 @@ QUERIES = {
     "held_out_parts": held_out_parts,
 }
 
+# The split as SQL: the record's time and vehicle behind the seed, as Spark writes numbers below ten million.
+_PART = """
+    CASE WHEN substr(md5('42:' || CAST(timestep_time AS VARCHAR) || ':' || CAST(vehicle_id AS VARCHAR)), 1, 8)
+      < 'b3333333' THEN 'train' ELSE 'test' END
+"""
 _ITEMS = "SELECT o_orderkey, o_totalprice / 10000 AS x, CAST(o_custkey % 50 AS DOUBLE) AS y FROM orders"
 
 ORACLES = {
@@ -160,14 +164,17 @@ ORACLES = {
         UNION ALL
         SELECT 'emission', count(*), CAST(0 AS BIGINT) FROM lineitem
     """,
-    "training_report": """
-        SELECT count(*) AS recorded, TRUE AS centres_stored, TRUE AS trees_stored, TRUE AS rmse_is_root_of_mse,
+    "training_report": f"""
+        WITH f AS (SELECT {_PART} AS part FROM ({FCD_ZERO_SQL})), e AS (SELECT {_PART} AS part FROM ({EMISSION_ZERO_SQL}))
+        SELECT (SELECT count(*) FROM f WHERE part = 'train') AS fcd_train, (SELECT count(*) FROM f WHERE part = 'test') AS fcd_test,
+          (SELECT count(*) FROM e WHERE part = 'train') AS emission_train,
+          (SELECT count(*) FROM e WHERE part = 'test') AS emission_test,
+          TRUE AS centres_stored, TRUE AS trees_stored, TRUE AS rmse_is_root_of_mse,
           TRUE AS mae_at_most_rmse, TRUE AS silhouette_positive
-        FROM lineitem
     """,
-    "held_out_parts": """
-        SELECT 'fcd' AS feed, CAST(count(*) AS BIGINT) AS in_parts FROM events
+    "held_out_parts": f"""
+        SELECT 'fcd' AS feed, {_PART} AS part, count(*) AS n FROM ({FCD_SQL}) GROUP BY ALL
         UNION ALL
-        SELECT 'emission', CAST(count(*) AS BIGINT) FROM lineitem
+        SELECT 'emission', {_PART}, count(*) FROM ({EMISSION_SQL}) GROUP BY ALL
     """,
 }

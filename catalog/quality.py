@@ -57,17 +57,21 @@ def silhouette_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 def silhouette_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Vehicle positions, clustered by the nearest of the given centres."""
     scored = scored_positions(fcd_records(spark, sf_dir))
-    result = silhouette(
-        scored, ["vehicle_x", "vehicle_y"], "congestion_cluster", clusters=len(POSITION_CENTRES)
-    )
+    result = silhouette(scored, ["vehicle_x", "vehicle_y"], "congestion_cluster")
     return result.select(F.round("silhouette", 6).alias("silhouette"))
 
 
-def silhouette_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same score by the way taken when the cluster sums fit no broadcast."""
+def silhouette_coincident(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every position in two clusters at once, beside a third: coincident rows score 0, by the expression
+    and from arrays."""
     scored = scored_positions(fcd_records(spark, sf_dir))
-    result = silhouette(scored, ["vehicle_x", "vehicle_y"], "congestion_cluster", broadcast_bytes=150)
-    return result.select(F.round("silhouette", 6).alias("silhouette"))
+    near = scored.where("congestion_cluster = 0").select(F.lit(1.0).alias("x"), F.lit(2.0).alias("y"))
+    far = scored.where("congestion_cluster <> 0").select(F.lit(9.0).alias("x"), F.lit(2.0).alias("y"))
+    rows = near.withColumn("c", F.lit(0)).unionByName(near.withColumn("c", F.lit(1)))
+    rows = rows.unionByName(far.withColumn("c", F.lit(2)))
+    ways = {"expression": silhouette(rows, ["x", "y"], "c"), "vectors": silhouette(rows.select(F.array("x", "y").alias("f"), "c"), "f", "c")}
+    found = [way.select(F.lit(name).alias("way"), F.round("silhouette", 6).alias("silhouette")) for name, way in ways.items()]
+    return found[0].unionByName(found[1])
 
 
 def distinct_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,7 +86,7 @@ QUERIES = {
     "regression_errors": regression_errors,
     "silhouette_vectors": silhouette_vectors,
     "silhouette_positions": silhouette_positions,
-    "silhouette_blocks": silhouette_blocks,
+    "silhouette_coincident": silhouette_coincident,
     "distinct_clusters": distinct_clusters,
 }
 
@@ -107,7 +111,8 @@ scores AS (
     min(CASE WHEN c <> other THEN d END) AS b
   FROM distances GROUP BY id
 )
-SELECT round(avg(CASE WHEN n = 1 THEN 0 ELSE (b - a) / greatest(a, b) END), 6) AS silhouette FROM scores
+SELECT round(avg(CASE WHEN n = 1 OR greatest(a, b) <= 0 THEN 0 ELSE (b - a) / greatest(a, b) END), 6) AS silhouette
+FROM scores
 """
 _POSITIONS = nearest_sql(FCD_SQL, "vehicle_x", "vehicle_y", "event_id", POSITION_CENTRES)
 _POSITION_SILHOUETTE = _SILHOUETTE.format(
@@ -143,6 +148,12 @@ ORACLES = {
         """
     ),
     "silhouette_positions": _POSITION_SILHOUETTE,
-    "silhouette_blocks": _POSITION_SILHOUETTE,
+    "silhouette_coincident": f"""
+        WITH sizes AS (
+          SELECT count(*) FILTER (cluster = 0) AS near, count(*) FILTER (cluster <> 0) AS far FROM ({_POSITIONS})
+        )
+        SELECT way, round(far / (2 * near + far), 6) AS silhouette
+        FROM sizes CROSS JOIN (VALUES ('expression'), ('vectors')) AS w(way)
+    """,
     "distinct_clusters": "SELECT DISTINCT label FROM embeddings",
 }

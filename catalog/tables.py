@@ -29,6 +29,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def cores(spark: SparkSession) -> int:
+    """Tasks for the given tables, which are stored as one piece each."""
+    return spark.sparkContext.defaultParallelism
+
+
 def table_stream(spark: SparkSession, sf_dir: str, name: str, schema: str) -> DataFrame:
     """The table as a file stream; the glob serves a single file and a directory."""
     return file_stream(spark, f"{sf_dir}/{name}*.parquet", schema)
@@ -147,8 +152,8 @@ def _emission_envelopes(lineitem: DataFrame) -> DataFrame:
 
 def envelopes(spark: SparkSession, sf_dir: str, feed: Feed) -> DataFrame:
     if feed is FCD_FEED:
-        return _fcd_envelopes(spread(table(spark, sf_dir, "events")))
-    return _emission_envelopes(spread(table(spark, sf_dir, "lineitem")))
+        return _fcd_envelopes(spread(table(spark, sf_dir, "events"), cores(spark)))
+    return _emission_envelopes(spread(table(spark, sf_dir, "lineitem"), cores(spark)))
 
 
 def stored_envelopes(spark: SparkSession, sf_dir: str, feed: Feed) -> str:
@@ -158,6 +163,14 @@ def stored_envelopes(spark: SparkSession, sf_dir: str, feed: Feed) -> str:
     return path
 
 
+def stored_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both feeds' messages stored once as files and read back, like a source of several topics."""
+    path = fresh_dir(spark, "topics")
+    for feed in (FCD_FEED, EMISSION_FEED):
+        envelopes(spark, sf_dir, feed).write.mode("append").parquet(path)
+    return spark.read.parquet(path)
+
+
 def envelope_stream(spark: SparkSession, sf_dir: str, feed: Feed) -> DataFrame:
     if feed is FCD_FEED:
         return _fcd_envelopes(table_stream(spark, sf_dir, "events", EVENTS))

@@ -5,9 +5,9 @@ from __future__ import annotations
 import argparse
 from collections.abc import Sequence
 
-from pyspark.sql import SparkSession
+from pyspark.sql import SparkSession, functions as F
 
-from roadpulse.config import FEEDS, Settings
+from roadpulse.config import CONSTANT_KEY, FEEDS, Settings
 from roadpulse.plans.consolidation import consolidate
 from roadpulse.plans.layers import layer_from_scored
 from roadpulse.plans.replaying import replay
@@ -31,6 +31,9 @@ def parser(settings: Settings) -> argparse.ArgumentParser:
     job.add_argument("--checkpoint", help="replay as a stream that a restart continues")
     job.add_argument("--files-per-trigger", type=int, help="pace of the stream: files per batch")
     job.add_argument("--every", help="pace of the stream: time between batches, as '1 second'")
+    keys = job.add_mutually_exclusive_group()
+    keys.add_argument("--key", help="column that keys the messages; the record's identity otherwise")
+    keys.add_argument("--constant-key", nargs="?", const=CONSTANT_KEY, help="one key for all, hence one Kafka partition")
 
     job = jobs.add_parser("train", help="fit, evaluate and store both models")
     job.add_argument("fcd")
@@ -62,12 +65,15 @@ def parser(settings: Settings) -> argparse.ArgumentParser:
     job.add_argument("--mode", choices=("append", "overwrite"), default="append")
     job.add_argument("--format", choices=("csv", "parquet"), default="csv")
     job.add_argument("--files", type=int)
+    job.add_argument("--source-format", choices=("csv", "parquet"), default="csv", help="what score wrote")
     job.add_argument("--no-event-time", action="store_true")
 
     job = jobs.add_parser("layer", help="scored positions to a marker table")
     job.add_argument("source")
     job.add_argument("target")
     job.add_argument("--format", choices=("csv", "parquet"), default="csv")
+    job.add_argument("--mode", choices=("append", "overwrite"), default="overwrite")
+    job.add_argument("--source-format", choices=("csv", "parquet"), default="csv", help="what score wrote")
     job.add_argument("--no-event-time", action="store_true")
     return root
 
@@ -79,6 +85,7 @@ def _pace(every: str | None) -> dict | None:
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.job == "replay":
         target = {"lines": args.lines} if args.lines else {"servers": args.servers}
+        target["key"] = F.col(args.key) if args.key else F.lit(args.constant_key) if args.constant_key else None
         if args.checkpoint:
             query = start_replay(
                 spark,
@@ -125,10 +132,18 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         schema = scored if args.no_event_time else with_event_time(scored)
         if args.job == "consolidate":
             consolidate(
-                spark, args.source, args.target, schema, mode=args.mode, fmt=args.format, files=args.files
+                spark,
+                args.source,
+                args.target,
+                schema,
+                mode=args.mode,
+                fmt=args.format,
+                files=args.files,
+                source_fmt=args.source_format,
             )
         else:
-            write_table(layer_from_scored(spark, args.source, schema), args.target, fmt=args.format)
+            markers = layer_from_scored(spark, args.source, schema, args.source_format)
+            write_table(markers, args.target, fmt=args.format, mode=args.mode)
 
 
 def main(argv: Sequence[str] | None = None) -> None:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans, KMeansModel
@@ -14,7 +15,6 @@ from pyspark.sql import DataFrame, functions as F
 from roadpulse import config
 from roadpulse.config import Feed
 from roadpulse.functions.distance import EXPRESSION_TERMS, nearest_centre
-from roadpulse.operators.partitioning import spread
 
 
 def assembler(feed: Feed, on_invalid: str = "error") -> VectorAssembler:
@@ -51,12 +51,13 @@ def regression_pipeline(
 
 
 def fit(pipeline: Pipeline, df: DataFrame, feed: Feed, tasks: int | None = None) -> PipelineModel:
-    """Fit on the feed's own columns only, over all cores the session has.
+    """Fit on the feed's own columns only, over the scan's partitions or ``tasks`` of them.
 
     MLlib keeps its vectors in memory and on disk by itself during the iterations.
     """
     columns = [*feed.features, *([feed.label] if feed.label else [])]
-    return pipeline.fit(spread(df.select(*columns), tasks))
+    chosen = df.select(*columns)
+    return pipeline.fit(chosen.repartition(tasks) if tasks else chosen)
 
 
 def save(model: PipelineModel, path: str) -> None:
@@ -74,7 +75,7 @@ def score(model: PipelineModel, df: DataFrame, columns: Sequence[str] | None = N
 
 
 def score_feed(model: PipelineModel, df: DataFrame, feed: Feed, columns: Sequence[str]) -> DataFrame:
-    """Like ``score``, for rows whose features are known to be usable.
+    """Like ``score``: a missing or NaN feature fails the job whatever the model.
 
     A handful of Euclidean centres becomes a plain expression inside generated
     code, about ten times faster than building a vector per row for MLlib. More
@@ -84,7 +85,10 @@ def score_feed(model: PipelineModel, df: DataFrame, feed: Feed, columns: Sequenc
     if isinstance(fitted, KMeansModel) and fitted.getDistanceMeasure() == "euclidean":
         known = centres(model)
         if len(known) * len(feed.features) <= EXPRESSION_TERMS:
-            cluster = nearest_centre([F.col(name) for name in feed.features], known)
+            features = [F.col(name) for name in feed.features]
+            bad = reduce(lambda left, right: left | right, [f.isNull() | F.isnan(f) for f in features])
+            refusal = F.raise_error(F.lit("a row with a missing or NaN feature cannot be scored")).cast("int")
+            cluster = F.when(bad, refusal).otherwise(nearest_centre(features, known))
             return df.withColumn(feed.prediction, cluster).select(*columns)
     return score(model, df, columns)
 

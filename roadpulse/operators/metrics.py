@@ -4,18 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from math import ceil
 
-from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
 from roadpulse.functions.distance import EXPRESSION_TERMS
+from roadpulse.workspace import landed
 
-# Cluster sums travel to every task; beyond this size they are joined instead.
+# Cluster sums travel to every task; more clusters than that are refused.
 BROADCAST_BYTES = 64 << 20
-SALTS = 64
+# Distances below this share of what they are the difference of are 0.
+ROUNDING = 1e-13
 FEW_CLUSTERS = "a silhouette needs at least two clusters"
 
 
@@ -31,84 +30,82 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
     return df.select(column).distinct().orderBy(column)
 
 
-def silhouette(
-    df: DataFrame,
-    features: str | Sequence[str],
-    cluster: str,
-    *,
-    clusters: int | None = None,
-    broadcast_bytes: int = BROADCAST_BYTES,
-) -> DataFrame:
+def silhouette(df: DataFrame, features: str | Sequence[str], cluster: str) -> DataFrame:
     """Mean silhouette (squared Euclidean) of a clustering, as one row.
 
     ``features`` names one vector or array column, or several numeric columns.
-    ``clusters`` is the number of clusters where a model fixes it; otherwise it
-    is counted. The work is linear in the rows: one pass sums up each cluster,
-    a second compares every row with those sums. How the sums reach the rows
-    depends on their size, which is checked: a handful becomes an expression,
-    more are broadcast by MLlib, and beyond ``broadcast_bytes`` they are joined
-    block by block. The result is the same.
+    The work is linear in the rows: one pass sums up each cluster, a second
+    compares every row with those sums. A handful of clusters becomes an
+    expression in generated code; of more, the sums are written out, their size
+    is checked and one array of them goes to every task. Beyond
+    ``BROADCAST_BYTES`` the clustering is refused. The contract is the same
+    either way: a row without a cluster or with a missing or NaN feature fails
+    the job, a row alone in its cluster scores 0, and so does a row as near to
+    another cluster as to its own.
     """
-    count = clusters or df.select(cluster).distinct().count()
-    if count < 2:
-        raise ValueError(FEW_CLUSTERS)
-    if not isinstance(features, str) and count * len(features) <= EXPRESSION_TERMS:
-        if count * (len(features) + 2) * 8 <= broadcast_bytes:
-            return _silhouette_by_expression(df, features, cluster)
-    points = _points(df, features).select("point", F.col(cluster).cast("double").alias("cluster"))
-    width = _width(points) if isinstance(features, str) else len(features)
-    size = count * (width + 2) * 8
-    if size > broadcast_bytes:
-        return _silhouette_by_blocks(points, width, blocks=ceil(2 * size / broadcast_bytes))
-    evaluator = ClusteringEvaluator(predictionCol="cluster", featuresCol="point", metricName="silhouette")
-    return df.sparkSession.createDataFrame([(evaluator.evaluate(points),)], "silhouette DOUBLE")
+    if not isinstance(features, str):
+        most = EXPRESSION_TERMS // len(features)
+        known = _sums(df, features, cluster).limit(most + 1).collect()  # at most EXPRESSION_TERMS rows
+        if len(known) <= most:
+            return _silhouette_by_expression(df, features, cluster, known)
+    return _silhouette_by_array(df, features, cluster)
+
+
+def _refused(bad: Column, value: Column) -> Column:
+    refusal = F.raise_error(F.lit("a row without features or cluster cannot be scored"))
+    return F.when(bad, refusal.cast("double")).otherwise(value)
 
 
 def _score(own: Column, other: Column, n: Column) -> Column:
     """One row's score from its mean distance to all of its cluster, itself included."""
     to_own = own * n / F.nullif(n - 1, F.lit(0))
-    return F.when(n == 1, F.lit(0.0)).otherwise((other - to_own) / F.greatest(to_own, other))
+    farther = F.greatest(to_own, other)
+    return F.when((n == 1) | (farther <= 0), F.lit(0.0)).otherwise((other - to_own) / F.nullif(farther, F.lit(0.0)))
+
 
+def _distance(norm: Column, squares: Column, dot: Column) -> Column:
+    """Mean squared distance to a cluster, from sums; what rounding leaves of 0 is 0."""
+    reach = norm + squares
+    return F.when(reach - 2 * dot <= ROUNDING * reach, F.lit(0.0)).otherwise(reach - 2 * dot)
 
-def _silhouette_by_expression(df: DataFrame, features: Sequence[str], cluster: str) -> DataFrame:
-    point, label = [F.col(name) for name in features], F.col(cluster)
+
+def _sums(df: DataFrame, features: Sequence[str], cluster: str) -> DataFrame:
+    point, label = [F.col(name).cast("double") for name in features], F.col(cluster)
     norm = reduce(lambda left, right: left + right, [value * value for value in point])
     sums = [F.sum(value).alias(f"s{i}") for i, value in enumerate(point)]
-    per_cluster = df.groupBy(label.alias("c")).agg(F.count(F.lit(1)).alias("n"), F.sum(norm).alias("q"), *sums)
-    # As many rows as there are clusters, which the caller has bounded.
-    known = [row for row in per_cluster.collect() if row["c"] is not None]
-    if len(known) < 2:
+    return df.groupBy(label.alias("c")).agg(F.count(F.lit(1)).alias("n"), F.sum(norm).alias("q"), *sums)
+
+
+def _silhouette_by_expression(df: DataFrame, features: Sequence[str], cluster: str, known: list) -> DataFrame:
+    point, label = [F.col(name).cast("double") for name in features], F.col(cluster)
+    norm = reduce(lambda left, right: left + right, [value * value for value in point])
+    unusable = [value.isNull() | F.isnan(value) for value in (*point, label.cast("double"))]
+    bad = reduce(lambda left, right: left | right, unusable)
+    rows = [row for row in known if row["c"] is not None]
+    if len(known) < 2 or not rows:
         raise ValueError(FEW_CLUSTERS)
 
     def distance(row) -> Column:
-        dots = [value * (2 * row[f"s{i}"] / row["n"]) for i, value in enumerate(point)]
-        return reduce(lambda left, right: left - right, dots, norm + row["q"] / row["n"])
+        dots = [value * ((row[f"s{i}"] or 0) / row["n"]) for i, value in enumerate(point)]
+        return _distance(norm, F.lit((row["q"] or 0) / row["n"]), reduce(lambda left, right: left + right, dots))
 
     own, size = F.lit(None).cast("double"), F.lit(None).cast("bigint")
     others = []
-    for row in known:
+    for row in rows:
         mine = label == row["c"]
         own = F.when(mine, distance(row)).otherwise(own)
         size = F.when(mine, F.lit(row["n"])).otherwise(size)
         others.append(F.when(~mine, distance(row)))
-    missing = F.raise_error(F.lit("a row without features or cluster cannot be scored")).cast("double")
-    score = F.coalesce(_score(own, F.least(*others), size), missing)
-    return df.agg(F.avg(score).alias("silhouette"))
+    nearest = F.least(*others) if len(others) > 1 else others[0]
+    return df.agg(F.avg(_refused(bad, _score(own, nearest, size))).alias("silhouette"))
 
 
-def _points(df: DataFrame, features: str | Sequence[str]) -> DataFrame:
+def _array(df: DataFrame, features: str | Sequence[str]) -> Column:
     if not isinstance(features, str):
-        return VectorAssembler(inputCols=list(features), outputCol="point").transform(df)
+        return F.array(*[F.col(name).cast("double") for name in features])
     if df.schema[features].dataType.typeName() == "array":
-        return df.withColumn("point", array_to_vector(F.col(features).cast("array<double>")))
-    return df.withColumn("point", F.col(features))
-
-
-def _width(points: DataFrame) -> int:
-    first = points.select("point").first()
-    if first is None:
-        raise ValueError("no rows to evaluate")
-    return len(first["point"])
+        return F.col(features).cast("array<double>")
+    return vector_to_array(F.col(features))
 
 
 def _dot(left: Column, right: Column) -> Column:
@@ -116,50 +113,34 @@ def _dot(left: Column, right: Column) -> Column:
     return F.aggregate(products, F.lit(0.0), lambda total, term: total + term)
 
 
-def _silhouette_by_blocks(points: DataFrame, width: int, blocks: int) -> DataFrame:
-    """The exact score when the cluster sums do not fit one broadcast.
-
-    Equal points of one cluster share their score, so they are counted first.
-    The clusters fall into blocks of bounded size; every point meets every
-    block once, spread over salts because each block is needed by all points.
-    """
-    rows = (
-        points.withColumn("point", vector_to_array("point"))
-        .groupBy("point", "cluster")
-        .agg(F.count(F.lit(1)).alias("weight"))
-        .withColumn("norm", _dot(F.col("point"), F.col("point")))
-    )
-    sums = rows.groupBy("cluster").agg(
-        F.sum("weight").alias("n"),
-        F.sum(F.col("weight") * F.col("norm")).alias("q"),
-        F.array(*[F.sum(F.col("weight") * F.col("point")[i]) for i in range(width)]).alias("s"),
-    )
-    tables = (
-        sums.groupBy(F.pmod(F.xxhash64("cluster"), F.lit(blocks)).alias("block"))
-        .agg(F.collect_list(F.struct("cluster", "n", "q", "s")).alias("members"))
-        .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    )
-    spread = rows.withColumn("salt", F.pmod(F.xxhash64("point", "cluster"), F.lit(SALTS)).cast("int")).withColumn(
-        "block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint")))
-    )
+def _silhouette_by_array(df: DataFrame, features: str | Sequence[str], cluster: str) -> DataFrame:
+    label = F.col(cluster).cast("double")
+    points = df.select(_array(df, features).alias("point"), label.alias("c"))
+    missing = F.exists("point", lambda value: value.isNull() | F.isnan(value))
+    bad = F.col("point").isNull() | missing | F.col("c").isNull() | F.isnan("c")
+    points = points.withColumn("c", _refused(bad, F.col("c")))
+    points = points.withColumn("norm", _dot(F.col("point"), F.col("point")))
+    first = points.select("point").first()
+    if first is None:
+        raise ValueError(FEW_CLUSTERS)
+    width = len(first["point"])
+    totals = F.array(*[F.sum(F.col("point")[i]) for i in range(width)])
+    sums = points.groupBy("c").agg(F.count(F.lit(1)).alias("n"), F.sum("norm").alias("q"), totals.alias("s"))
+    sums = landed(sums, "cluster-sums")
+    count = sums.count()
+    if count < 2:
+        raise ValueError(FEW_CLUSTERS)
+    if count * (width + 3) * 8 > BROADCAST_BYTES:
+        raise ValueError(f"{count} clusters are too many for a silhouette")
+    # One row, of a size that was just checked.
+    members = sums.agg(F.collect_list(F.struct("c", "n", "q", "s"))).scalar()
 
     def distance(member: Column) -> Column:
-        return F.col("norm") + member["q"] / member["n"] - 2 * _dot(F.col("point"), member["s"]) / member["n"]
-
-    mine = F.filter("members", lambda m: m["cluster"] == F.col("cluster"))
-    others = F.filter("members", lambda m: m["cluster"] != F.col("cluster"))
-    met = spread.join(tables, ["block", "salt"]).select(
-        "point",
-        "cluster",
-        "weight",
-        F.array_max(F.transform(mine, lambda m: m["n"])).alias("n"),
-        F.array_max(F.transform(mine, distance)).alias("to_own"),
-        F.array_min(F.transform(others, distance)).alias("to_other"),
-    )
-    per_point = met.groupBy("point", "cluster").agg(
-        F.max("weight").alias("weight"), F.max("n").alias("n"), F.max("to_own").alias("a"), F.min("to_other").alias("b")
-    )
-    score = _score(F.col("a"), F.col("b"), F.col("n"))
-    return per_point.select("weight", score.alias("score")).agg(
-        (F.sum(F.col("weight") * F.col("score")) / F.sum("weight")).alias("silhouette")
-    )
+        return _distance(F.col("norm"), member["q"] / member["n"], _dot(F.col("point"), member["s"]) / member["n"])
+
+    met = points.withColumn("members", members)
+    mine = F.filter("members", lambda m: m["c"] == F.col("c"))
+    others = F.filter("members", lambda m: m["c"] != F.col("c"))
+    met = met.select(mine[0].alias("own"), F.array_min(F.transform(others, distance)).alias("other"), "point", "norm")
+    score = _score(distance(F.col("own")), F.col("other"), F.col("own")["n"])
+    return met.agg(F.avg(score).alias("silhouette"))

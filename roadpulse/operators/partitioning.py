@@ -5,12 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def spread(df: DataFrame, tasks: int | None = None) -> DataFrame:
-    """At least ``tasks`` partitions, by default one per core of the session.
+def spread(df: DataFrame, tasks: int) -> DataFrame:
+    """``tasks`` partitions, for one shuffle.
 
     A file of one row group is one task however many cores wait. Parsing JSON or
-    training on such a table repays one shuffle; a table that already has the
-    partitions is left as it is.
+    training on such a table repays the shuffle; the caller, who knows how a table
+    is stored, says so. Nothing here looks at the table or runs a job.
     """
-    wanted = tasks or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df
+    return df.repartition(tasks)

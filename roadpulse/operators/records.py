@@ -122,6 +122,11 @@ def decode(
     return checked.drop("value")
 
 
+def decode_with_text(envelopes: DataFrame, schema: StructType, fields=None) -> DataFrame:
+    """Every message's records as ``decode`` keeps them, with the message itself as ``value``."""
+    return _parsed(envelopes, schema, fields, "value")
+
+
 def malformed(envelopes: DataFrame, schema: StructType, required) -> DataFrame:
     """The messages ``decode(..., on_malformed="skip")`` leaves out, as raw text."""
     parsed = _parsed(envelopes, schema, required, "value")

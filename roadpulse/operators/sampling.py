@@ -4,21 +4,32 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from roadpulse.config import PREVIEW_ROWS, SPLIT_SEED
 from roadpulse.functions.hashing import row_token, token_bound
 
-# A top-n sends n rows from every task to one merging task. Never running more
-# than this many scan tasks keeps that merge small on a table of any size.
-MERGE_WIDTH = 8192
+# Parts of a table that each keep their own first rows; the last step merges n rows
+# from each of them.
+BUCKETS = 64
 
 
 def take(df: DataFrame, n: int | None, order: Sequence[str]) -> DataFrame:
-    """The first ``n`` rows in ``order`` (all rows for None): a top-n, not a sort."""
+    """The first ``n`` rows in ``order`` (all rows for None), in two steps.
+
+    Ties are broken by all other columns, so the rows are the same on any
+    partitioning. Rows fall into buckets by a hash of themselves; a bucket keeps
+    its first n, and Spark applies that limit before the shuffle as well. What is
+    left for the last step is bounded whatever the table's size.
+    """
     if n is None:
         return df
-    return df.coalesce(MERGE_WIDTH).orderBy(*order).limit(n)
+    sortable = [f.name for f in df.schema if f.dataType.typeName() not in ("map", "variant")]
+    total = [*order, *(name for name in sortable if name not in order)]
+    bucket = F.pmod(F.xxhash64(*sortable), F.lit(BUCKETS))
+    place = F.row_number().over(Window.partitionBy("_bucket").orderBy(*total))
+    first = df.withColumn("_bucket", bucket).withColumn("_place", place).where(F.col("_place") <= n)
+    return first.drop("_bucket", "_place").orderBy(*total).limit(n)
 
 
 def preview(df: DataFrame, order: Sequence[str], n: int = PREVIEW_ROWS) -> DataFrame:

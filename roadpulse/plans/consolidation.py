@@ -18,8 +18,9 @@ def consolidate(
     mode: str = "append",
     fmt: str = "csv",
     files: int | None = None,
+    source_fmt: str = "csv",
 ) -> None:
-    """Rewrite a directory of headerless parts under named, typed columns.
+    """Rewrite a directory of headerless text or Parquet parts under named, typed columns.
 
     Spark packs small parts into scan tasks of ``spark.sql.files.maxPartitionBytes``
     and each task writes one file, so parts are merged without a shuffle.
@@ -27,5 +28,5 @@ def consolidate(
     """
     if source.rstrip("/") == target.rstrip("/"):
         raise ValueError("source and target must differ")
-    rows = read_named(spark, source, schema)
+    rows = read_named(spark, source, schema, fmt=source_fmt)
     write_table(rows.coalesce(files) if files else rows, target, fmt=fmt, mode=mode)

@@ -9,6 +9,6 @@ from roadpulse.schemas import SCORED_FCD
 from roadpulse.sources.delimited import read_named
 
 
-def layer_from_scored(spark: SparkSession, path: str, schema=SCORED_FCD) -> DataFrame:
-    """Markers for a directory of headerless scored positions."""
-    return map_layer(read_named(spark, path, schema))
+def layer_from_scored(spark: SparkSession, path: str, schema=SCORED_FCD, fmt: str = "csv") -> DataFrame:
+    """Markers for a directory of scored positions, headerless text or Parquet."""
+    return map_layer(read_named(spark, path, schema, fmt=fmt))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Column, SparkSession
 
 from roadpulse.config import Feed
 from roadpulse.sinks.delivery import counted
@@ -18,11 +18,12 @@ def replay(
     *,
     lines: str | None = None,
     servers: str | None = None,
+    key: Column | None = None,
 ) -> dict[str, int]:
     """Send a whole recording at once; returns how many messages each topic got."""
     if (lines is None) == (servers is None):
         raise ValueError("name one target: lines or servers")
-    messages, observation = counted(feed_messages(read_cells(spark, source), feed), [feed.topic])
+    messages, observation = counted(feed_messages(read_cells(spark, source), feed, key), [feed.topic])
     if lines:
         write_lines(messages, lines)
     else:

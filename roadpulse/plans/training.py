@@ -5,17 +5,20 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.storagelevel import StorageLevel
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from roadpulse import config
 from roadpulse.config import EMISSION_FEED, FCD_FEED, Feed
+from roadpulse.functions.hashing import row_token, token_bound
 from roadpulse.operators import learning
 from roadpulse.operators.metrics import regression_metrics, silhouette
 from roadpulse.operators.records import normalise
-from roadpulse.operators.sampling import split, take
+from roadpulse.operators.sampling import take
 from roadpulse.sources.delimited import read_cells
-from roadpulse.workspace import landed
+from roadpulse.workspace import discard, fresh_dir
+
+
+TRAINING, HELD_OUT = "train", "test"
 
 
 @dataclass(frozen=True)
@@ -26,42 +29,45 @@ class Trained:
     metrics: dict[str, float]
 
 
-def land(spark: SparkSession, source: str | list[str], feed: Feed, missing: str = "zero") -> DataFrame:
-    """The feed's training columns as a Parquet table in the shared folder.
+def with_part(records: DataFrame, feed: Feed) -> DataFrame:
+    """The records with their part, drawn by the record's identity: the parts that ``split`` makes, as a column."""
+    token = row_token(list(feed.identity), config.SPLIT_SEED)
+    part = F.when(token < token_bound(config.TRAIN_SHARE), TRAINING).otherwise(HELD_OUT)
+    return records.withColumn("part", part)
+
+
+def land(spark: SparkSession, source: str | list[str], feed: Feed, missing: str = "zero", max_rows: int | None = None) -> str:
+    """The feed's training columns as a Parquet table in the shared folder, in a folder for each part; its path.
 
-    Text is parsed once here; the many passes of training and evaluation then
-    read a few columns of a columnar file, and a lost executor costs a re-read.
+    Text is parsed and the split drawn once here; the many passes of training and
+    evaluation then read a few columns of their part only, and a lost executor
+    costs a re-read.
     """
     cells = read_cells(spark, source)
-    return landed(normalise(cells, feed.schema, fields=feed.training_columns, missing=missing), f"land-{feed.name}")
-
-
-def parts(records: DataFrame, feed: Feed, max_rows: int | None) -> tuple[DataFrame, DataFrame]:
-    """Training and held-out rows. A capped table is written out once, because both
-    parts would otherwise look for its first rows in all of them again."""
-    identity = list(feed.identity)
-    chosen = take(records, max_rows, identity)
-    if max_rows is not None:
-        chosen = landed(chosen, f"capped-{feed.name}")
-    train, test = split(chosen, [config.TRAIN_SHARE, 1 - config.TRAIN_SHARE], identity)
-    return train, test
-
-
-def train_clusters(records: DataFrame, max_rows: int | None = None, feed: Feed = FCD_FEED, **settings) -> Trained:
-    """K-means on the larger part; the held-out part gives the silhouette."""
-    train, test = parts(records, feed, max_rows)
-    model = learning.fit(learning.cluster_pipeline(feed, **settings), train, feed)
-    scored = learning.score_feed(model, test, feed, feed.scored.names).persist(StorageLevel.MEMORY_AND_DISK)
-    k = model.stages[-1].getK()
-    metrics = silhouette(scored, feed.features, feed.prediction, clusters=k).first().asDict()
-    scored.unpersist()
+    records = normalise(cells, feed.schema, fields=feed.training_columns, missing=missing)
+    path = fresh_dir(spark, f"land-{feed.name}")
+    with_part(take(records, max_rows, list(feed.identity)), feed).write.partitionBy("part").parquet(path)
+    return path
+
+
+def parts(table: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Training and held-out rows of a table with the column ``part``."""
+    return tuple(table.where(F.col("part") == name).drop("part") for name in (TRAINING, HELD_OUT))
+
+
+def train_clusters(table: DataFrame, feed: Feed = FCD_FEED, tasks: int | None = None, **settings) -> Trained:
+    """K-means on the larger part; the held-out part gives the silhouette. ``table`` has the column ``part``."""
+    train, test = parts(table)
+    model = learning.fit(learning.cluster_pipeline(feed, **settings), train, feed, tasks)
+    scored = learning.score_feed(model, test, feed, feed.scored.names)
+    metrics = silhouette(scored, feed.features, feed.prediction).first().asDict()
     return Trained(model, train, test, metrics)
 
 
-def train_regressor(records: DataFrame, max_rows: int | None = None, feed: Feed = EMISSION_FEED, **settings) -> Trained:
-    """A forest on the larger part; the held-out part gives the errors."""
-    train, test = parts(records, feed, max_rows)
-    model = learning.fit(learning.regression_pipeline(feed, **settings), train, feed)
+def train_regressor(table: DataFrame, feed: Feed = EMISSION_FEED, tasks: int | None = None, **settings) -> Trained:
+    """A forest on the larger part; the held-out part gives the errors. ``table`` has the column ``part``."""
+    train, test = parts(table)
+    model = learning.fit(learning.regression_pipeline(feed, **settings), train, feed, tasks)
     scored = learning.score(model, test, [feed.label, feed.prediction])
     metrics = regression_metrics(scored, feed.label, feed.prediction).first().asDict()
     return Trained(model, train, test, metrics)
@@ -76,14 +82,28 @@ def train(
     *,
     max_rows: int | None = None,
     missing: str = "zero",
+    tasks: int | None = None,
 ) -> dict[str, float]:
-    """Both models from two recorded feeds, stored; returns the held-out metrics.
+    """Both models from two recorded feeds, stored; returns the held-out metrics and the rows of each part.
 
-    ``max_rows`` caps the training input (``config.ROW_CAP`` is the classic cap);
-    by default all rows count.
+    ``max_rows`` caps the labelled rows of the forest (``config.ROW_CAP`` is the
+    classic cap); by default all rows count, and for K-means they always do.
+    ``tasks`` is the number of partitions to fit over, by default the scan's own;
+    fitted models depend on it.
     """
-    clusters = train_clusters(land(spark, fcd_source, FCD_FEED, missing), max_rows)
-    regressor = train_regressor(land(spark, emission_source, EMISSION_FEED, missing), max_rows)
-    learning.save(clusters.model, cluster_model)
-    learning.save(regressor.model, regression_model)
-    return {**regressor.metrics, **clusters.metrics}
+    folders = []
+    metrics: dict[str, float] = {}
+    try:
+        for feed, source, cap, path, fit in (
+            (FCD_FEED, fcd_source, None, cluster_model, train_clusters),
+            (EMISSION_FEED, emission_source, max_rows, regression_model, train_regressor),
+        ):
+            folders.append(land(spark, source, feed, missing, cap))
+            trained = fit(spark.read.parquet(folders[-1]), feed, tasks)
+            learning.save(trained.model, path)
+            rows = {f"{feed.name}_train_rows": trained.train.count(), f"{feed.name}_test_rows": trained.test.count()}
+            metrics |= trained.metrics | rows
+    finally:
+        for folder in folders:
+            discard(spark, folder)
+    return metrics

@@ -9,7 +9,7 @@ from roadpulse.functions.messages import TIMESTAMP_TEXT
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "csv", mode: str = "append", header: bool = True) -> None:
-    """A finished table as CSV with a header, or as Parquet."""
+    """A finished table as CSV, with a header or without, as JSON lines or as Parquet."""
     writer = df.write.mode(mode).options(**TIMESTAMP_TEXT)
     if fmt == "csv":
         writer = writer.option("header", header)
@@ -23,12 +23,15 @@ def stream_writer(
     name: str,
     fmt: str = "csv",
     trigger: dict | None = None,
+    retention: str | None = None,
 ) -> DataStreamWriter:
     """An append-only file sink. Spark logs each committed file next to the data,
     so a restart from the same checkpoint neither repeats nor loses a row.
 
     ``trigger`` is passed to Spark as is: None runs batches back to back,
-    ``{"availableNow": True}`` drains what is there and stops.
+    ``{"availableNow": True}`` drains what is there and stops. The log names every
+    file for ever unless ``retention`` (``"30 days"``) lets it forget old ones, which
+    readers of the directory then no longer see.
     """
     writer = (
         df.writeStream.format(fmt)
@@ -40,4 +43,6 @@ def stream_writer(
     )
     if fmt == "csv":
         writer = writer.option("header", False)
+    if retention:
+        writer = writer.option("retention", retention)
     return writer.trigger(**trigger) if trigger else writer

@@ -38,13 +38,26 @@ def read_cells(spark: SparkSession, path: str | list[str], sep: str = FEED_SEPAR
     return spark.read.options(header=True, sep=sep, enforceSchema=False).csv(path)
 
 
-def read_named(spark: SparkSession, path: str | list[str], schema: StructType, sep: str = ",") -> DataFrame:
-    """Headerless files, or a directory of them, under the given column names.
+def read_named(
+    spark: SparkSession, path: str | list[str], schema: StructType | str, sep: str = ",", fmt: str = "csv"
+) -> DataFrame:
+    """Headerless text, or Parquet, in a directory and those below it, under the given names.
 
+    Text with another number of columns, a header line or a cell of another type
+    fails the job, and so does Parquet with other columns: nothing is filled in.
     A directory written by a stream carries a log of its committed files; Spark
     reads exactly those when given the directory rather than a glob of parts.
     """
-    return spark.read.schema(schema).options(header=False, sep=sep, **TIMESTAMP_TEXT).csv(path)
+    layout = schema if isinstance(schema, StructType) else spark.createDataFrame([], schema).schema
+    reader = spark.read.option("recursiveFileLookup", True)
+    if fmt == "csv":
+        # Without pruning every line is counted out, whichever columns are asked for.
+        strict = {"mode": "FAILFAST", "columnPruning": False, "header": False, "sep": sep}
+        return reader.schema(layout).options(**strict, **TIMESTAMP_TEXT).csv(path)
+    stored = reader.format(fmt).load(path)
+    if stored.columns != layout.names or [f.dataType for f in stored.schema] != [f.dataType for f in layout]:
+        raise ValueError(f"the files hold {stored.schema.simpleString()}, not {layout.simpleString()}")
+    return stored
 
 
 def stream_cells(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from roadpulse.config import Feed
@@ -12,9 +12,9 @@ from roadpulse.sinks.messages import kafka_writer, lines_writer
 from roadpulse.sources.delimited import stream_cells
 
 
-def feed_messages(cells: DataFrame, feed: Feed) -> DataFrame:
-    """Text cells to keyed messages, for a table or a stream."""
-    return encode(normalise(cells, feed.schema), feed)
+def feed_messages(cells: DataFrame, feed: Feed, key: Column | None = None) -> DataFrame:
+    """Text cells to messages, for a table or a stream, keyed by the record's identity or by ``key``."""
+    return encode(normalise(cells, feed.schema), feed, key)
 
 
 def start_replay(
@@ -27,6 +27,7 @@ def start_replay(
     servers: str | None = None,
     files_per_trigger: int | None = None,
     trigger: dict | None = None,
+    key: Column | None = None,
 ) -> StreamingQuery:
     """Send a directory of recorded files to a broker or to JSON lines.
 
@@ -36,7 +37,7 @@ def start_replay(
     if (lines is None) == (servers is None):
         raise ValueError("name one target: lines or servers")
     cells = stream_cells(spark, source, feed.schema, files_per_trigger=files_per_trigger)
-    messages = counted_stream(feed_messages(cells, feed), [feed.topic])
+    messages = counted_stream(feed_messages(cells, feed, key), [feed.topic])
     writer = lines_writer(messages, lines, checkpoint) if lines else kafka_writer(messages, servers, checkpoint)
     writer = writer.queryName(f"replay-{feed.name}")
     return (writer.trigger(**trigger) if trigger else writer).start()

@@ -35,3 +35,11 @@ def landed(df: DataFrame, label: str) -> DataFrame:
     path = fresh_dir(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Deletes a folder that :func:`fresh_dir` named, wherever the shared folder is."""
+    if not path.startswith(f"{shared_root(spark)}/roadpulse/"):
+        raise ValueError(f"{path} is not a scratch folder")
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

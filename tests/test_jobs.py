@@ -13,12 +13,14 @@ from roadpulse import __main__ as cli
 from roadpulse.config import EMISSION_FEED, FCD_FEED, Settings
 from roadpulse.operators import learning
 from roadpulse.plans.consolidation import consolidate
+from roadpulse.plans.layers import layer_from_scored
 from roadpulse.plans.replaying import replay
 from roadpulse.schemas import ENVELOPE, FCD, SCORED_FCD, with_event_time
 from roadpulse.sinks.delivery import await_delivery
 from roadpulse.sinks.files import stream_writer, write_table
 from roadpulse.sources.delimited import read_named
 from roadpulse.sources.messages import file_stream, read_quarantined
+from roadpulse.streaming import scoring
 from roadpulse.streaming.lifecycle import await_all
 from roadpulse.streaming.replay import start_replay
 from roadpulse.streaming.scoring import DECODED, ScoringJob, scored_messages, start_scoring
@@ -65,7 +67,7 @@ def test_stream_equals_batch_and_a_restart_adds_only_new_files(spark, sf_dir, br
 
 def test_exact_layout_without_event_time(spark, broker, model, tmp_path):
     await_all(start_scoring([job(spark, str(tmp_path / "broker"), model, tmp_path, event_time=False)], DRAIN))
-    parts = [p for p in (tmp_path / "scored").glob("part-*.csv") if p.stat().st_size]
+    parts = [p for p in (tmp_path / "scored").rglob("part-*.csv") if p.stat().st_size]
     assert parts and all(len(line.split(",")) == 3 for p in parts for line in p.read_text().splitlines())
 
 
@@ -92,6 +94,33 @@ def test_malformed_messages_are_quarantined(spark, model, tmp_path):
     assert malformed_counts(queries[0]) == (4, 3)
 
 
+def test_a_batch_that_failed_between_its_two_outputs_is_written_again(spark, model, tmp_path, monkeypatch):
+    """Every message ends in exactly one output, though scored rows were there before the failure."""
+    path = damaged(spark, tmp_path)
+    real, calls = scoring.write_table, []
+
+    def failing(df, target, *rest, **settings):
+        calls.append(target)
+        if len(calls) == 2:
+            raise RuntimeError("killed between the two writes")
+        real(df, target, *rest, **settings)
+
+    monkeypatch.setattr(scoring, "write_table", failing)
+    with pytest.raises(StreamingQueryException, match="killed"):
+        await_all(start_scoring([job(spark, path, model, tmp_path)], DRAIN))
+    assert read_named(spark, str(tmp_path / "scored"), with_event_time(SCORED_FCD)).count() == 1
+    await_all(start_scoring([job(spark, path, model, tmp_path)], DRAIN))
+    assert read_named(spark, str(tmp_path / "scored"), with_event_time(SCORED_FCD)).count() == 1
+    assert read_quarantined(spark, str(tmp_path / "scored") + "_malformed").count() == 3
+    assert len(calls) == 4
+
+
+def test_one_query_per_feed(spark, broker, model, tmp_path):
+    queries = start_scoring([job(spark, str(tmp_path / "broker"), model, tmp_path)], DRAIN)
+    await_all(queries)
+    assert len(queries) == 1
+
+
 def test_malformed_messages_can_be_skipped_or_fail(spark, model, tmp_path):
     path = damaged(spark, tmp_path)
     queries = start_scoring([job(spark, path, model, tmp_path, on_malformed="skip")], DRAIN)
@@ -173,6 +202,27 @@ def test_replay_targets(spark, tmp_path):
             call(lines="a", servers="b")
 
 
+def test_readers_refuse_damage(spark, tmp_path):
+    rows = spark.createDataFrame([(1.5, 2.5, 3), (4.0, 5.0, 0)], SCORED_FCD)
+    timed = rows.withColumn("event_time", F.current_timestamp())
+    paths = {name: str(tmp_path / name) for name in ("wide", "headed", "stored", "narrow")}
+    write_table(timed, paths["wide"], header=False)
+    write_table(rows, paths["headed"], header=True)
+    write_table(rows, paths["stored"], fmt="parquet")
+    write_table(rows.select("vehicle_x", "vehicle_y"), paths["narrow"], header=False)
+    for name in paths:
+        with pytest.raises(Exception, match="(?i)malformed|cannot"):
+            read_named(spark, paths[name], SCORED_FCD).collect()
+    with pytest.raises(Exception, match="(?i)malformed"):
+        consolidate(spark, paths["wide"], str(tmp_path / "never"), SCORED_FCD)
+    assert bag(read_named(spark, paths["stored"], SCORED_FCD, fmt="parquet")) == bag(rows)
+    with pytest.raises(ValueError, match="the files hold"):
+        read_named(spark, paths["stored"], with_event_time(SCORED_FCD), fmt="parquet")
+    markers = layer_from_scored(spark, paths["stored"], fmt="parquet")
+    write_table(rows, str(tmp_path / "text"), header=False)
+    assert bag(markers) == bag(layer_from_scored(spark, str(tmp_path / "text")))
+
+
 def test_consolidation_modes(spark, tmp_path):
     rows = spark.createDataFrame([(1.5, 2.5, 3), (4.0, 5.0, 0)], SCORED_FCD)
     source, target = str(tmp_path / "parts"), str(tmp_path / "result")
@@ -187,7 +237,8 @@ def test_consolidation_modes(spark, tmp_path):
 
 
 def test_consolidation_ignores_uncommitted_files(spark, sf_dir, broker, model, tmp_path):
-    await_all(start_scoring([job(spark, str(tmp_path / "broker"), model, tmp_path, event_time=False)], DRAIN))
+    settings = {"event_time": False, "on_malformed": "skip"}
+    await_all(start_scoring([job(spark, str(tmp_path / "broker"), model, tmp_path, **settings)], DRAIN))
     scored = str(tmp_path / "scored")
     before = read_named(spark, scored, SCORED_FCD).count()
     Path(scored, "part-left-over.csv").write_text("1.0,2.0,3\n")
@@ -221,6 +272,11 @@ def test_the_whole_way_by_command_line(spark, sf_dir, tmp_path, capsys):
     assert "'stockholm-fcd': 1000" in capsys.readouterr().out
     call("replay", "fcd", fcd, "--lines", tmp_path / "streamed", "--checkpoint", tmp_path / "p", "--files-per-trigger", 3)
     assert "'stockholm-fcd': 1000" in capsys.readouterr().out
+    call("replay", "fcd", fcd, "--lines", tmp_path / "keyed", "--constant-key")
+    call("replay", "fcd", fcd, "--lines", tmp_path / "keyed", "--key", "vehicle_type")
+    keys = {r.key for r in spark.read.schema("key STRING").json(str(tmp_path / "keyed")).distinct().collect()}
+    assert "stockholm" in keys and len(keys) > 2
+    capsys.readouterr()
     models = [tmp_path / "cmodel", tmp_path / "rmodel"]
     call("train", fcd, emission, "--cluster-model", models[0], "--regression-model", models[1], "--max-rows", 1000)
     assert {"mse", "rmse", "mae", "silhouette"} <= set(eval(capsys.readouterr().out))  # noqa: S307
@@ -230,7 +286,9 @@ def test_the_whole_way_by_command_line(spark, sf_dir, tmp_path, capsys):
     write_table(rows, str(tmp_path / "scored"), header=False)
     call("consolidate", "fcd", tmp_path / "scored", tmp_path / "result", "--no-event-time", "--format", "parquet")
     assert spark.read.parquet(str(tmp_path / "result")).count() == rows.count()
-    call("layer", tmp_path / "scored", tmp_path / "layer", "--no-event-time", "--format", "parquet")
+    for _ in range(2):  # a second run replaces the first
+        call("layer", tmp_path / "scored", tmp_path / "layer", "--no-event-time", "--format", "parquet")
+    assert spark.read.parquet(str(tmp_path / "layer")).count() == rows.count()
     assert set(spark.read.parquet(str(tmp_path / "layer")).columns) == {"lat", "lon", "popup", "colour"}
 
 

@@ -14,7 +14,8 @@ from roadpulse.functions.distance import nearest_centre
 from roadpulse.operators import learning
 from roadpulse.operators.partitioning import spread
 from roadpulse.operators.records import normalise
-from roadpulse.plans.training import land, train_regressor
+from roadpulse.operators.sampling import split, take
+from roadpulse.plans.training import land, parts, train, train_regressor, with_part
 from roadpulse.schemas import FCD
 from roadpulse.sources.delimited import read_cells
 
@@ -79,21 +80,50 @@ def test_unusable_features_stop_the_assembler(spark):
     assert learning.assemble(rows, FCD_FEED, on_invalid="skip").count() == 0
 
 
-def test_spread_leaves_large_tables_alone(spark):
-    rows = spark.range(0, 100, 1, 12)
-    assert spread(rows, 8) is rows
-    assert spread(rows.coalesce(1), 8).rdd.getNumPartitions() == 8
+def test_spread_deals_out_as_told(spark):
+    assert spread(spark.range(0, 100, 1, 1), 8).rdd.getNumPartitions() == 8
+
+
+@pytest.mark.parametrize("k", [5, 40])
+def test_rows_that_cannot_be_scored_stop_the_job_at_any_number_of_centres(spark, positions, k):
+    model = learning.fit(learning.cluster_pipeline(k=k), positions, FCD_FEED)
+    for bad in (None, float("nan")):
+        rows = spark.createDataFrame([(1.0, 2.0), (1.0, bad)], "vehicle_x DOUBLE, vehicle_y DOUBLE")
+        with pytest.raises(Exception, match="cannot be scored|Encountered"):
+            learning.score_feed(model, rows, FCD_FEED, FCD_FEED.scored.names).collect()
 
 
 def test_landed_feed_equals_the_parsed_text(spark, positions):
     source = write_feed(spark, positions, "fcd")
-    landed = land(spark, source, FCD_FEED)
-    assert landed.columns == ["timestep_time", "vehicle_id", "vehicle_x", "vehicle_y"]
-    assert bag(landed) == bag(normalise(read_cells(spark, source), FCD, fields=FCD_FEED.training_columns))
+    landed = spark.read.parquet(land(spark, source, FCD_FEED))
+    assert landed.columns == ["timestep_time", "vehicle_id", "vehicle_x", "vehicle_y", "part"]
+    want = normalise(read_cells(spark, source), FCD, fields=FCD_FEED.training_columns)
+    assert bag(landed.drop("part")) == bag(want)
+    train, test = parts(landed)
+    split_train, split_test = split(want, [config.TRAIN_SHARE, 1 - config.TRAIN_SHARE], list(FCD_FEED.identity))
+    assert bag(train) == bag(split_train) and bag(test) == bag(split_test)
+    assert "PartitionFilters: [isnotnull(part" in plan(train)
+
+
+def test_training_leaves_no_scratch(spark, positions, tmp_path):
+    from pathlib import Path
+
+    from roadpulse.workspace import shared_root
+
+    source = write_feed(spark, positions, "fcd")
+    emission = write_feed(spark, emission_records(spark, "/root/testdata/sf0.001"), "emission")
+    train(spark, source, emission, str(tmp_path / "c"), str(tmp_path / "r"), max_rows=300)
+    left = Path(shared_root(spark).removeprefix("file:"), "roadpulse")
+    before = {p.name for p in left.glob("land-*")}
+    metrics = train(spark, source, emission, str(tmp_path / "c"), str(tmp_path / "r"), max_rows=300)
+    assert {p.name for p in left.glob("land-*")} == before
+    # The cap is for the labelled rows of the forest alone.
+    assert metrics["emission_train_rows"] + metrics["emission_test_rows"] == 300
+    assert metrics["fcd_train_rows"] + metrics["fcd_test_rows"] == positions.count()
 
 
 def test_row_cap_and_held_out_part(spark):
-    records = emission_records(spark, "/root/testdata/sf0.001")
-    trained = train_regressor(records, max_rows=config.ROW_CAP, depth=3, trees=2)
+    records = take(emission_records(spark, "/root/testdata/sf0.001"), config.ROW_CAP, list(EMISSION_FEED.identity))
+    trained = train_regressor(with_part(records, EMISSION_FEED), depth=3, trees=2)
     assert trained.train.count() + trained.test.count() == config.ROW_CAP
     assert trained.metrics["rmse"] == pytest.approx(trained.metrics["mse"] ** 0.5)
