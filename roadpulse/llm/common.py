@@ -81,3 +81,15 @@ class Remembered:
     def learn(self, keys: list, values: list) -> None:
         self.now.update(zip(keys, values))
         self.once = [k for k in keys if len(k) > self.longest]
+
+
+def components_sql(nodes: str, links: str) -> str:
+    """SQL for (id, component_id): the smallest id that each of ``nodes`` (id) reaches by ``links`` (a, b, both ways)."""
+    return f"""
+        SELECT id, min(reached) AS component_id FROM (
+          WITH RECURSIVE reach(id, reached) AS (
+            SELECT id, id FROM {nodes} UNION SELECT r.id, l.b FROM reach r JOIN {links} l ON l.a = r.reached
+          )
+          SELECT * FROM reach
+        ) GROUP BY id
+    """

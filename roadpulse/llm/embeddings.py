@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from roadpulse.llm.common import landed, ready, table
+from roadpulse.llm.common import components_sql, landed, ready, table
 from roadpulse.llm.components import components
 
 LEAST = 0.95
@@ -189,4 +189,21 @@ def op3_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op3_embeddings": op3_embeddings}
-ORACLES: dict[str, str] = {}
+
+ORACLES = {
+    "op3_embeddings": f"""
+        WITH vectors AS (
+          SELECT vec_id AS id, embedding::DOUBLE[] AS v, coalesce(len(embedding), 0) > 0
+            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+            AND len(list_filter(embedding, lambda x: x <> 0)) > 0 AS able
+          FROM embeddings
+        ),
+        linked AS (
+          SELECT a.id AS a, b.id AS b FROM vectors a JOIN vectors b
+          ON a.able AND b.able AND a.id <> b.id AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= {LEAST}
+        ),
+        degrees AS (SELECT a, count(*) AS n FROM linked GROUP BY a)
+        SELECT v.id AS vec_id, coalesce(d.n, 0) AS n_links, c.component_id, v.id = c.component_id AS kept
+        FROM vectors v JOIN ({components_sql("vectors", "linked")}) c ON c.id = v.id LEFT JOIN degrees d ON d.a = v.id
+    """
+}

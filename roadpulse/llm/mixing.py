@@ -32,7 +32,9 @@ SENT = 100_000
 
 
 def order_of(doc_id: str = "doc_id", text: str = "text") -> Column:
-    return F.xxhash64(F.col(doc_id), F.col(text))
+    """A place in the shuffled order: hex digits, compared as text."""
+    cells = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in (doc_id, text)]
+    return F.substring(F.md5(F.concat_ws(":", *cells)), 1, 16)
 
 
 def targets(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
@@ -77,7 +79,7 @@ def plan(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = M
     sources = landed(targets(sized, weights, most), "targets")
     ranked = sized.join(sources.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of")))
     slices = F.ceil(F.col("docs") / SLICE)
-    share = F.col("draw") / F.lit(2.0**64) + 0.5
+    share = F.conv(F.substring("draw", 1, 8), 16, 10).cast("double") / 2.0**32
     ranked = ranked.select(
         "rank", "doc_id", "size", "source_size", "target", "draw", F.least(F.floor(share * slices), slices - 1).alias("slice")
     )
@@ -137,4 +139,44 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op1_mixing": op1_mixing}
-ORACLES: dict[str, str] = {}
+
+_WEIGHT = "CASE (rank % 3) " + " ".join(f"WHEN {k} THEN {w}" for k, w in enumerate(WEIGHTS)) + " END::DOUBLE"
+ORACLES = {
+    "op1_mixing": f"""
+        WITH sized AS (
+          SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '{WORD}')), 0) AS size,
+            substr(md5(concat(coalesce(doc_id::VARCHAR, ''), ':', coalesce(text, ''))), 1, 16) AS draw
+          FROM documents
+        ),
+        sources AS (
+          SELECT *, {_WEIGHT} AS weight, {MOST} * source_size::DOUBLE AS cap
+          FROM (
+            SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS rank
+            FROM sized GROUP BY source
+          )
+        ),
+        levels AS (
+          SELECT *, ((sum(source_size) OVER ())::DOUBLE
+            - coalesce(sum(cap) OVER (ORDER BY cap / weight, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+            / sum(weight) OVER (ORDER BY cap / weight, rank ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+          FROM sources
+        ),
+        targets AS (SELECT source, source_size, least(cap, max(level) OVER () * weight) AS target FROM levels),
+        queued AS (
+          SELECT s.*, t.source_size, t.target, sum(size) OVER (PARTITION BY s.source ORDER BY draw) AS upto
+          FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source
+        ),
+        copies AS (
+          SELECT size, ((r - 1) * source_size + upto)::DOUBLE / target AS finish
+          FROM queued CROSS JOIN range(1, {MOST} + 1) AS rounds(r) WHERE target > 0
+        ),
+        served AS (SELECT finish, sum(size) OVER (ORDER BY finish) AS upto FROM copies),
+        cut AS (SELECT max(finish) AS cut FROM served WHERE upto <= (SELECT sum(size) FROM sized))
+        SELECT doc_id, size::BIGINT AS size, source_size, target, (size * copies)::BIGINT AS taken, copies FROM (
+          SELECT *, CASE WHEN target > 0 THEN
+            {" + ".join(f"((({r} * source_size + upto)::DOUBLE / target) <= cut)::INTEGER" for r in range(MOST))}
+            ELSE 0 END AS copies
+          FROM queued CROSS JOIN cut
+        )
+    """
+}

@@ -30,9 +30,9 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from roadpulse.llm.common import WORD, landed, map_batches, ready, table
+from roadpulse.llm.common import WORD, components_sql, landed, map_batches, ready, table
 from roadpulse.llm.components import components
-from roadpulse.llm.shingles import shingle_set
+from roadpulse.llm.shingles import WIDTH, shingle_set
 
 #: Linked: 100 * shared >= PERCENT * united; REACH is the same as a distance, PIVOTS the pivots of one recursion.
 PERCENT = 75
@@ -439,4 +439,26 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op10_ngram_join": op10_ngram_join}
-ORACLES: dict[str, str] = {}
+
+CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+ORACLES = {
+    "op10_ngram_join": f"""
+        WITH split AS (
+          SELECT doc_id AS id, regexp_extract_all(translate(coalesce(text, ''), '{CAPITALS}', '{CAPITALS.lower()}'), '{WORD}') AS w
+          FROM documents
+        ),
+        sets AS (
+          SELECT id, CASE WHEN len(w) >= {WIDTH}
+            THEN list_distinct(list_transform(range(1, len(w) - {WIDTH - 2}), lambda k: array_to_string(w[k:k + {WIDTH - 1}], ' ')))
+            WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS shingles
+          FROM split
+        ),
+        listed AS (SELECT id, len(shingles) AS n, unnest(shingles) AS shingle FROM sets),
+        linked AS (
+          SELECT a.id AS a, b.id AS b FROM listed a JOIN listed b ON a.shingle = b.shingle AND a.id <> b.id
+          GROUP BY a.id, b.id, a.n, b.n HAVING 100 * count(*) >= {PERCENT} * (a.n + b.n - count(*))
+        )
+        SELECT s.id AS doc_id, len(shingles) AS n_shingles, c.component_id
+        FROM sets s JOIN ({components_sql("sets", "linked")}) c ON c.id = s.id
+    """
+}
