@@ -40,10 +40,12 @@ MASK = 0xA282EAD8
 #: Bytes of text to a file, about.
 FILE_BYTES = 12_000_000
 #: Pieces remembered per worker and generation, and the longest of them.
-REMEMBERED = 200_000
+REMEMBERED = 150_000
 LONGEST = 64
 _CUT = re.compile(r" (?=\S)")
 _ODD = re.compile(r" (?!\S)")
+#: Letters, signs that are neither letters, digits, white space nor apostrophes; a line feed, letters, signs.
+_SHAPE = re.compile(r"([^\W\d_]+)([^\s\w']+)?(?:\n([^\W\d_]+)([^\s\w']+)?)?")
 
 
 def masked(data: bytes) -> int:
@@ -82,7 +84,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(model)
-        self.pieces = Remembered(REMEMBERED, LONGEST)
+        self.pieces, self.bare = Remembered(REMEMBERED, LONGEST), Remembered(REMEMBERED // 4, LONGEST)
+        self.feed = np.array(self.tokenizer.encode("\n", add_special_tokens=False).ids, "<u4").tobytes()
 
         # Bytes of each token: its letters stand for one byte each, but for those of added tokens.
         special = {k: len(t.content.encode()) for k, t in self.tokenizer.get_added_tokens_decoder().items()}
@@ -96,19 +99,44 @@ class Encoder:
         found = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
         return [np.array(x.ids, "<u4").tobytes() for x in found]
 
-    def _spaced(self, pieces: list[str]) -> list[bytes]:
-        """Ids of each piece with a space before it: encoded as one text, told apart by the bytes of the tokens."""
+    def _joined(self, pieces: list[str], separator: str) -> list[bytes]:
+        """Ids of each piece: with the separator before it, if that is a space, else alone. All are encoded as one
+        text, told apart by the bytes of the tokens."""
         if not pieces:
             return []
-        text = " " + " ".join(pieces)
+        space = separator == " "
+        text = separator + separator.join(pieces)
         ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
         ends = np.cumsum([len(p.encode("utf-8", "surrogatepass")) + 1 for p in pieces])
         reached = np.cumsum(self.widths[ids])
         stops = np.searchsorted(reached, ends)
         if stops[-1] + 1 != len(ids) or (reached[stops] != ends).any():
-            return self._each([f" {p}" for p in pieces])
+            return self._each([f" {p}" if space else p for p in pieces])
         data, stops = ids.tobytes(), (stops + 1) * 4
-        return [data[x:y] for x, y in zip([0, *stops[:-1].tolist()], stops.tolist())]
+        skipped = 0 if space else 4  # the token of the line feed
+        return [data[x + skipped : y] for x, y in zip([0, *stops[:-1].tolist()], stops.tolist())]
+
+    def _known(self, kinds: list[str]) -> list[bytes]:
+        """Ids of pieces that follow a space. A word with signs behind it, or with a line feed and another word, is put
+        together from parts: the tokenizer never joins letters with other signs."""
+        shapes = [None if p.isalpha() else _SHAPE.fullmatch(p) for p in kinds]
+        spaced = {m[1] if m else p for p, m in zip(kinds, shapes)}
+        bare = {x for m in shapes if m for x in m.group(2, 3, 4) if x}
+        for memory, wanted, separator in ((self.pieces, spaced, " "), (self.bare, bare, "\n")):
+            fresh = memory.missing(wanted)
+            memory.learn(fresh, self._joined(fresh, separator))
+        words, signs, feed, none = self.pieces.now, self.bare.now, self.feed, b""
+        found = []
+        for p, m in zip(kinds, shapes):
+            if m:
+                first, mark, second, last = m.groups()
+                ids = words[first] + (signs[mark] if mark else none)
+                if second:
+                    ids += feed + signs[second] + (signs[last] if last else none)
+                found.append(ids)
+            else:
+                found.append(words[p])
+        return found
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """Ids of each text, without an end."""
@@ -127,8 +155,7 @@ class Encoder:
         ends = np.cumsum(np.asarray(cuts.value_lengths()))
         starts = np.r_[0, ends[:-1]]
 
-        self.pieces.learn(fresh := self.pieces.missing(set(kinds)), self._spaced(fresh))
-        known = [*map(self.pieces.now.__getitem__, kinds)]
+        known = self._known(kinds)
         # A text's first piece has no space before it.
         known += self._each([kinds[k] for k in place[starts]])
         place[starts] = len(kinds) + np.arange(len(starts))
@@ -166,8 +193,8 @@ def write(documents: DataFrame, model: str, folder: str, end: int = END) -> None
     def run(batches):
         encoder = _loaded(name, shared.value)
         for whole in batches:
-            for start in range(0, whole.num_rows, 1000):
-                batch = whole.slice(start, 1000)
+            for start in range(0, whole.num_rows, 500):
+                batch = whole.slice(start, 500)
                 found = encoder.encode(batch.column("text").to_pylist())
                 ids = batch.column("doc_id").to_pylist()
                 frames = [framed(i, np.append(x, np.uint32(end))) for i, x in zip(ids, found)]
