@@ -240,14 +240,16 @@ def decode(rows: DataFrame, model: bytes, ids: str = "ids", text: str = "text")
 
 
 def digests(documents: DataFrame, model: bytes, keep_ids: bool = False) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of ``documents`` (doc_id, text), with the ids if asked for."""
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of ``documents`` (doc_id, text), with the ids as one text of
+    decimal numbers and commas if asked for."""
     found = encode(documents.select("doc_id", "text"), model, decoded="decoded").select("doc_id", "ids", "decoded")
+    listed = F.concat_ws(",", F.col("ids").cast("array<string>"))
     return found.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2(listed, 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
-        *["ids"] * keep_ids,
+        *[listed.alias("ids")] * keep_ids,
     )
 
 
