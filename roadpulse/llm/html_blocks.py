@@ -11,7 +11,11 @@ INLINE = frozenset(
     "strike strong sub sup time tt u var wbr".split()
 )
 VOID = frozenset("area base br col embed frame hr img input link meta param source track wbr".split())
-UNSHOWN = ("script", "style", "template", "noscript", "iframe", "noframes", "object", "svg", "math", "canvas", "audio", "video")
+#: Elements that are not shown: those whose content is no markup run to the end of the page if they are not ended.
+RAW = ("script", "style", "iframe", "noframes")
+PAIRED = ("template", "object", "svg", "math", "canvas", "audio", "video")
+#: What may start within a head; all else ends it.
+IN_HEAD = frozenset("html head base basefont bgsound link meta title noscript noframes style script template".split())
 #: An opening tag ends an open element of the second group, within an element of the third.
 ENDED_BY = {
     "li": ({"li"}, {"ul", "ol", "menu"}),
@@ -29,9 +33,9 @@ ENDS_P = frozenset(
     "nav ol p pre section table ul".split()
 )
 
-_UNSHOWN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(%s)\b[^>]*?(?:/>|>.*?(?:</\1\s*>|\Z))" % "|".join(UNSHOWN), re.S | re.I
-)
+_UNSHOWN = re.compile(r"<!--|<!\[CDATA\[|<(/?)(%s)(?=[\s/>])[^>]*>" % "|".join((*RAW, *PAIRED, "noscript")), re.I)
+_ENDS = {"<!--": re.compile("-->"), "<![CDATA[": re.compile(r"\]\]>")} | {x: re.compile(rf"</{x}\s*>", re.I) for x in RAW}
+_NOSCRIPT = re.compile(r"<(/?)noscript(?=[\s/>])[^>]*>", re.I)
 _TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>")
 _NAMES = re.compile(r"(?:^|[\s\"'])(class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _HIDDEN = re.compile(r"(?:^|[\s\"'])hidden(?:[\s=/]|$)|display\s*:\s*none", re.I)
@@ -46,11 +50,51 @@ def names_of(attributes: str) -> tuple[str, ...]:
     return tuple(found)
 
 
+def _shown(page: str) -> str:
+    """The page without comments and elements that are not shown. Of an element without an end only its tag is left out,
+    unless its content is no markup."""
+    spans: list[tuple[int, int]] = []
+    open_: dict[str, list[int]] = {}
+    endless: dict[str, list[int]] = {}
+    at = 0
+    while m := _UNSHOWN.search(page, at):
+        at, name = m.end(), (m[2] or m[0]).lower().replace("cdata", "CDATA")
+        if m[1]:
+            if open_.get(name):
+                spans.append((open_[name].pop(), at))
+            continue
+        end = None
+        if m[0].endswith("/>"):
+            pass
+        elif name == "noscript":
+            end = _NOSCRIPT.search(page, at)
+            end = end if end and end[1] else None
+        elif name in PAIRED:
+            open_.setdefault(name, []).append(m.start())
+        else:
+            end = None if name in endless else _ENDS[name].search(page, at)
+            if not end:
+                endless.setdefault(name, []).append(m.start())
+        at = end.end() if end else at
+        spans.append((m.start(), at))
+    # What has no end runs to that of the page, if it is not within an element that has one.
+    spans += [(k, -1) for starts in endless.values() for k in starts]
+    shown, at = [], 0
+    for a, b in sorted(spans):
+        if a >= at:
+            shown.append(page[at:a])
+            if b < 0:
+                return "".join(shown)
+        at = max(at, b)
+    shown.append(page[at:])
+    return "".join(shown)
+
+
 def blocks(page: str | None) -> list[tuple[tuple[str, ...], str, int]]:
     """(path, text, letters within links) of each leaf block that has text; the head's blocks are left out."""
-    page = _UNSHOWN.sub("", page or "") if page and "<" in page else page or ""
+    page = _shown(page) if page and "<" in page else page or ""
     open_: list[tuple[str, tuple[str, ...]]] = []
-    found, pieces, linked, at = [], [], 0, 0
+    found, pieces, linked, at, head = [], [], 0, 0, -1
 
     def ended():
         nonlocal linked
@@ -61,9 +105,20 @@ def blocks(page: str | None) -> list[tuple[tuple[str, ...], str, int]]:
             pieces.clear()
         linked = 0
 
+    def left(k: int) -> int:
+        """Closes a head at this place, unless its title is open."""
+        if k < len(open_) and open_[k][0] == "head":
+            if open_[-1][0] == "title":
+                return k
+            ended()
+            del open_[k:]
+        return -1
+
     for m in _TAG.finditer(page):
         if m.start() > at:
             piece = page[at : m.start()]
+            if head >= 0 and piece.strip(" \t\n\r\f"):
+                head = left(head)
             pieces.append(piece)
             if any(tag == "a" for tag, _ in open_):
                 linked += len(piece.strip())
@@ -71,6 +126,8 @@ def blocks(page: str | None) -> list[tuple[tuple[str, ...], str, int]]:
         tag = (m[2] or "").lower()
         if not tag:
             continue
+        if head >= 0 and not m[1] and tag not in IN_HEAD:
+            head = left(head)
         if tag in INLINE:
             if m[1]:
                 for k in range(len(open_) - 1, -1, -1):
@@ -108,8 +165,12 @@ def blocks(page: str | None) -> list[tuple[tuple[str, ...], str, int]]:
                     break
         if not m[3].endswith("/"):
             hidden = ("hidden",) if m[3] and _HIDDEN.search(m[3]) else ()
+            if tag == "head":
+                head = len(open_)
             open_.append((tag, (f"<{tag}", *(names_of(m[3]) if m[3] else ()), *hidden)))
     if at < len(page):
+        if head >= 0 and page[at:].strip(" \t\n\r\f"):
+            left(head)
         pieces.append(page[at:])
     ended()
     return found

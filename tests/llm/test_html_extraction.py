@@ -30,6 +30,21 @@ def test_blocks_of_broken_markup():
     assert len(blocks("<p>x" * 30_000)) == 30_000
 
 
+def test_left_out_tags_hide_no_text():
+    assert texts("<head><title>t</title><p>a<p>b") == ["a", "b"]
+    assert texts("<!doctype html><html><head><meta charset=x>\n<title>t <p></title>\n text <b>c</b>") == ["text c"]
+    assert texts("<head><link rel=x><script>s</script><title>t</title> <i>a</i></head><body>b") == ["a", "b"]
+    assert texts("<head><title>t</title> last") == ["last"] and texts("<head><title>t</title>  ") == []
+    assert texts("<video-js id=x></video-js><p>a</p><audio-player>b</audio-player><p>c<style-x>d") == ["a", "b", "c", "d"]
+    assert texts("<svg><path d=x><p>a</p><p>b") == ["a", "b"]
+    assert texts("<p>a</p><noscript><img src=x><p>b</p><noscript>n</noscript><p>c") == ["a", "b", "c"]
+    assert texts("<object data=x><p>a<object>n<object>m</object></object><p>b<video>n</video>c") == ["a", "bc"]
+    assert texts("<p>a<svg><svg>n</svg>m</svg><canvas/>b<STYLE>open <p>x") == ["ab"]
+    assert texts("<noscript><iframe src=x></noscript><p>a<iframe>n</iframe><video><iframe></video><p>b") == ["a", "b"]
+    assert texts("<video><iframe></video><p>a<iframe>n</p>") == ["a"]
+    assert texts("<p>x<svg>" * 20_000 + "<!-- open <p>n") == ["x"] * 20_000
+
+
 @pytest.fixture(scope="module")
 def labeller(spark):
     return html_extraction.train(spark.read.parquet("/root/testdata/sf0.01/pages.parquet"))
