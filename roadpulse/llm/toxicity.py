@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from roadpulse.llm.common import fold, landed, ready, table, words_of
 
-#: Letters of a context and the letter after it; ids of letters take 10 bits.
+#: Letters of a context and the letter after it; ids of letters take 10 bits, or more if there are more letters.
 ORDER = 4
 BITS = 10
 #: Taken off each count, for the shared tables and for those of one class.
@@ -42,16 +42,24 @@ UNIT = 0.002
 REMEMBERED = 300_000
 
 
+def _bits(letters: dict[str, int]) -> int:
+    return max(BITS, (len(letters) + 2).bit_length())
+
+
 def spread(words: list[str], letters: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
     """One code per letter (and one for the end of the word): the letter with the three before it, and its word's place."""
     ends = np.fromiter(map(len, words), np.int64, len(words)) + 1
     flat = np.fromiter((letters.get(c, 3) for w in words for c in (*w, "")), np.int64, int(ends.sum()))
     place = np.repeat(np.arange(len(words)), ends)
     offset = np.arange(len(flat)) - np.repeat(np.cumsum(ends) - ends, ends)
+    bits = _bits(letters)
+    if ORDER * bits > 63:
+        # More letters than fit a machine word: whole numbers of any size.
+        flat = flat.astype(object)
     codes = flat.copy()
     for back in range(1, ORDER):
         before = np.where(offset >= back, np.roll(flat, back), 1)
-        codes |= before << (BITS * back)
+        codes |= before << (bits * back)
     return codes, place
 
 
@@ -86,27 +94,28 @@ class Models:
     @classmethod
     def fit(cls, words: list[str], counts: np.ndarray) -> Models:
         """``counts``: one row per word, occurrences in ordinary and in toxic rows."""
-        kinds = sorted({c for w in words for c in w})[: 2**BITS - 4]
+        kinds = sorted({c for w in words for c in w})
         models = cls({"": 2} | {c: k + 4 for k, c in enumerate(kinds)})
         codes, place = spread(words, models.letters)
+        bits = _bits(models.letters)
         grams, ordinary, toxic = _sums(codes, counts[place, 0], counts[place, 1])
         for n in (ordinary, toxic):
             seen = n > 0
-            of, total, kept = _sums(grams[seen] >> BITS, n[seen], np.minimum(n[seen], OWN_DISCOUNT))
+            of, total, kept = _sums(grams[seen] >> bits, n[seen], np.minimum(n[seen], OWN_DISCOUNT))
             models.own.append((grams, n, of, total, kept))
         longer, forms = grams, ordinary + toxic
         for size in range(ORDER, 0, -1):
             if size < ORDER:
-                longer, forms = _sums(longer & ((1 << (BITS * size)) - 1), np.ones(len(longer)))
-            of, total, kept = _sums(longer >> BITS, forms, np.minimum(forms, DISCOUNT))
+                longer, forms = _sums(longer & ((1 << (bits * size)) - 1), np.ones(len(longer)))
+            of, total, kept = _sums(longer >> bits, forms, np.minimum(forms, DISCOUNT))
             models.shared.insert(0, (longer, forms, of, total, kept))
         return models
 
     def _shared(self, codes: np.ndarray) -> np.ndarray:
-        p = np.full(len(codes), 1.0 / (len(self.letters) + 1))
+        p, bits = np.full(len(codes), 1.0 / (len(self.letters) + 1)), _bits(self.letters)
         for size, (grams, forms, of, total, kept) in enumerate(self.shared, 1):
-            mine = codes & ((1 << (BITS * size)) - 1)
-            n, t, k = _at(grams, forms, mine), _at(of, total, mine >> BITS), _at(of, kept, mine >> BITS)
+            mine = codes & ((1 << (bits * size)) - 1)
+            n, t, k = _at(grams, forms, mine), _at(of, total, mine >> bits), _at(of, kept, mine >> bits)
             p = np.where(t > 0, (np.maximum(n - DISCOUNT, 0) + k * p) / np.maximum(t, 1e-9), p)
         return p
 
@@ -115,9 +124,9 @@ class Models:
         if not words or not self.own:
             return np.zeros(len(words))
         codes, place = spread(words, self.letters)
-        low, logs = self._shared(codes), []
+        low, logs, bits = self._shared(codes), [], _bits(self.letters)
         for grams, n, of, total, kept in self.own:
-            c, t, k = _at(grams, n, codes), _at(of, total, codes >> BITS), _at(of, kept, codes >> BITS)
+            c, t, k = _at(grams, n, codes), _at(of, total, codes >> bits), _at(of, kept, codes >> bits)
             logs.append(np.log(np.where(t > 0, (np.maximum(c - OWN_DISCOUNT, 0) + k * low) / np.maximum(t, 1e-9), low)))
         raw = np.bincount(place, logs[1] - logs[0], len(words))
         return np.sign(raw) * np.maximum(np.abs(raw) - FLOOR, 0)

@@ -41,6 +41,17 @@ def test_distribution_sums_to_one():
         assert 0.5 < total <= 1 + 1e-6
 
 
+def test_every_letter_counts():
+    """Words in letters beyond the first thousand, and beyond what a machine word holds, are told apart."""
+    for many in (1200, 33_000):
+        filler = [chr(0x10000 + k) for k in range(many)]
+        words = filler + [chr(0x40000) + chr(0x40001) + chr(0x40002), chr(0x40003) + chr(0x40004) + chr(0x40005)]
+        counts = np.array([[1, 1]] * many + [[0, 10**7], [10**7, 0]], float)
+        models = toxicity.Models.fit(words, counts)
+        bad, good = models.evidence(words[-2:])
+        assert len(models.letters) == many + 7 and bad > 0 > good
+
+
 def test_odd_rows_have_scores(spark):
     rows = talk(spark, 80)
     models = toxicity.train(rows, rows.select("doc_id", "toxic"))
