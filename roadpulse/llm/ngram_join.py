@@ -67,15 +67,16 @@ def survey(documents: DataFrame) -> DataFrame:
     n_shingles and class (null for an empty set); and rows with a class and ``common``, how many of its listed shingles
     it holds in common with other classes, in parts to be summed.
 
-    Listed shingles go to buckets of their hash as packed arrays. A shingle that two classes of one task's share hold is sent
-    once, marked as known, and counted for those classes at once; so no list grows with the copies in a task.
+    Rows go to buckets in turn, listed shingles to buckets of their hash, as packed arrays. A shingle that two classes of
+    one task's share hold is sent once, marked as known, and counted for those classes at once; so no list grows with the
+    copies in a task.
     """
-    octets = documents.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    octets, n = documents.agg(F.sum(F.octet_length("text")), F.count("*")).first()
     parts = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # About 17 bytes of text to a listed shingle.
-    buckets = max(parts, 1 + octets // (17 * ENTRIES))
+    buckets = max(parts, 1 + (octets or 0) // (17 * ENTRIES), 1 + n // ENTRIES)
 
-    def packed(rows: list[tuple], sets: dict[int, np.ndarray]) -> pa.RecordBatch:
+    def packed(first_row: int, rows: list[tuple], sets: dict[int, np.ndarray]) -> pa.RecordBatch:
         row_id, row_copy, row_size, row_class = (np.array(x, np.int64) for x in zip(*((r[0] or 0, *r[1:]) for r in rows)))
         row_blank = np.array([r[0] is None for r in rows])
         lengths = np.fromiter(map(len, sets.values()), np.int64, len(sets))
@@ -89,7 +90,7 @@ def survey(documents: DataFrame) -> DataFrame:
         groups = [
             (hashes[first] % np.uint64(buckets), (hashes[first], classes[first], held > 1)),
             (counted % buckets, (counted, n.astype(np.int64))),
-            (np.where(row_size > 0, row_class, row_copy) % buckets, (row_id, row_blank, row_copy, row_size, row_class)),
+            ((first_row + np.arange(len(rows))) % buckets, (row_id, row_blank, row_copy, row_size, row_class)),
         ]
         columns = []
         for place, arrays in groups:
@@ -101,7 +102,10 @@ def survey(documents: DataFrame) -> DataFrame:
         return _batch(bucket=pa.array(range(buckets), pa.int32()), **dict(zip(_LISTS, columns)))
 
     def run(batches):
-        rows, sets, entries = [], {}, 0
+        from pyspark import TaskContext
+
+        # Rows go to buckets in turn: those of one text are as many as the table has.
+        rows, sets, entries, first_row = [], {}, 0, TaskContext.get().partitionId()
         for batch in batches:
             for doc_id, text, copy in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "copy"))):
                 shingles = shingle_set(text)
@@ -110,11 +114,11 @@ def survey(documents: DataFrame) -> DataFrame:
                 if len(shingles) and kind not in sets:
                     sets[kind] = shingles[: _listed(len(shingles))].copy()
                     entries += len(sets[kind])
-            if entries > ENTRIES:
-                yield packed(rows, sets)
-                rows, sets, entries = [], {}, 0
+            if max(entries, len(rows)) > ENTRIES:
+                yield packed(first_row, rows, sets)
+                rows, sets, entries, first_row = [], {}, 0, first_row + len(rows)
         if rows:
-            yield packed(rows, sets)
+            yield packed(first_row, rows, sets)
 
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", _copy().alias("copy"))
     lists = rows.mapInArrow(run, "bucket int, " + ", ".join(f"{c} binary" for c in _LISTS))

@@ -120,3 +120,22 @@ def test_voronoi_regions_lose_no_link():
                 want[find(a)] = find(b)
     pairs = {(find(a) == find(b), bool(points.leader[a] == points.leader[b])) for a in range(150) for b in range(a)}
     assert pairs <= {(True, True), (False, False)}
+
+
+def test_copies_of_a_text_do_not_meet_in_one_bucket(spark, monkeypatch):
+    import pyarrow as pa
+
+    whole = ngram_join._bucket
+
+    def sized(part):
+        """The rows of a bucket, with how many there are in place of ``copy``."""
+        got = whole(part)
+        n = pa.compute.sum(pa.compute.is_valid(got["copy"])).as_py() or 0
+        return got.set_column(1, "copy", pa.array([n] * got.num_rows, pa.int64()))
+
+    rows = [(k, prose(1, 30) if k % 2 else None) for k in range(4000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    monkeypatch.setattr(ngram_join, "_bucket", sized)
+    got = ngram_join.survey(docs).where("n_shingles is not null").collect()
+    assert sorted(r.doc_id for r in got) == list(range(4000)) and {r.n_shingles for r in got} == {0, 26}
+    assert max(r["copy"] for r in got) < 1000
