@@ -3,20 +3,24 @@
 from __future__ import annotations
 
 from roadpulse.llm import (
+    collocations,
     embeddings,
     fingerprints,
     html_extraction,
     mixing,
     ngram_join,
+    packing,
     sentence_pieces,
     suffix_tree,
     token_files,
     toxicity,
     url_filters,
+    whitening,
 )
 
 MODULES = (
-    mixing, token_files, embeddings, url_filters, toxicity, suffix_tree, html_extraction, fingerprints, sentence_pieces, ngram_join
+    mixing, token_files, embeddings, url_filters, toxicity, suffix_tree, html_extraction, fingerprints, sentence_pieces, ngram_join,
+    whitening, collocations, packing
 )
 
 
