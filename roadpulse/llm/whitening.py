@@ -36,6 +36,8 @@ COMPONENTS = 32
 MOST_DIMENSIONS = 4096
 #: Passes of the factorisation: a shifted one and at least two more, until rows are this near to orthonormal.
 PASSES, NEAR = 6, 1e-13
+#: A direction with less than this share of the largest deviation counts as one without: rounding leaves less.
+RANK = 1e-7
 _MOST = 2**40
 _EPSILON = np.finfo(np.float64).eps
 
@@ -163,7 +165,9 @@ def triangular(rows: DataFrame, size: int, n: int, centre: Centre) -> np.ndarray
         if not found.any():
             return found  # rows that are all equal
         r = _factor(found, k == 0, n) @ r
-        if k >= 2 and np.abs(found - np.eye(size)).max() < NEAR * max(1.0, math.sqrt(n)):
+        # Directions without variance never come near the identity; more passes would add up rounding there.
+        near = np.abs(found - np.eye(size)).max() < NEAR * max(1.0, math.sqrt(n))
+        if k >= 2 and (near or np.linalg.cond(r) > 1 / RANK):
             break
     return r
 
@@ -175,8 +179,7 @@ class Whitener:
         self.size, self.n, self.centre = size, n, centre
         _, singular, right = np.linalg.svd(r)
         values = singular**2 / n
-        # Rounding leaves a direction without variance about this share of the largest.
-        able = int((singular > 1e-7 * max(singular[0], 1e-300)).sum()) if values[0] > 1e-18 else 0
+        able = int((singular > RANK * singular[0]).sum()) if values[0] > 0 else 0
         rank = min(able, size, most)
         axes = right[:rank]
         peak = np.abs(axes).argmax(axis=1)
