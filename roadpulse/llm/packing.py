@@ -26,9 +26,11 @@ from __future__ import annotations
 import json
 import os
 import re
+import unicodedata
 import uuid
 from collections import deque
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +38,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from roadpulse.llm.common import Remembered, ready, table
+from roadpulse.llm.common import ready, table
 
 WIDTH = 2048
 END = 1
@@ -49,30 +51,90 @@ RANGE_BYTES = 12_000_000
 STRETCH = 1_000_000
 #: Texts of a stretch that are encoded together, in bytes.
 BLOCK = 4_000_000
-#: Words remembered per worker and generation, and the longest of them.
-REMEMBERED = 150_000
+#: Words remembered per worker, and the longest of them.
+REMEMBERED = 500_000
 LONGEST = 64
+MOST_SIGNS = 10_000
 #: ASCII white space, as spaces.
 _SPACES = bytes.maketrans(b"\t\n\x0b\x0c\r", b"     ")
 #: Letters, ASCII signs that are no apostrophe.
-_SHAPE = re.compile(r"([^\W\d_]+)([!-&(-/:-@\[-`{-~]+)?")
+_SHAPE = re.compile(r"([^\W\d_]+)([!-&(-/:-@\[-`{-~]{1,8})")
+#: What marks the end of a text among its words: no text has this byte.
+_END = b"\xff"
+_BETWEEN = b" " + _END + b" "
+#: One sign behind a letter, before a space.
+_BEHIND = r"([a-z])([.,;:!?]) "
 #: A word that ends a sentence: a sign, then closing signs. Fixed values.
 _ENDS = re.compile(rb"(?:[.!?]|\xe2\x80\xa6|\xe3\x80\x82)(?:[\"')\]]|\xc2\xbb|\xe2\x80[\x99\x9d])*\Z")
 
 
+class Words:
+    """The words that a worker remembers, at most ``most``: their ids one after another in one array. When it is full, the
+    half that was used last stays."""
+
+    def __init__(self, most: int = REMEMBERED):
+        self.most, self.turn = most, 0
+        self.place: dict[bytes, int] = {}
+        self.ids = np.zeros(0, "<u4")
+        # Per word: where its ids are and how many, whether it ends a sentence, when it was used last.
+        self.first, self.size, self.used = (np.zeros(0, np.int64) for _ in range(3))
+        self.stops = np.zeros(0, bool)
+
+    def find(self, words: list[bytes]) -> np.ndarray:
+        """The number of each word, -1 for those not remembered."""
+        self.turn += 1
+        found = np.fromiter(map(self.place.get, words, repeat(-1)), np.int64, len(words))
+        self.used[found[found >= 0]] = self.turn
+        return found
+
+    def learn(self, words: list[bytes], ids: list[bytes], stops: list[bool]) -> None:
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        start = len(self.place)
+        self.first = np.concatenate([self.first, len(self.ids) + np.cumsum(size) - size])
+        self.size = np.concatenate([self.size, size])
+        self.used = np.concatenate([self.used, np.full(len(size), self.turn)])
+        self.stops = np.concatenate([self.stops, np.array(stops, bool)])
+        self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(ids), "<u4")])
+        self.place.update(zip(words, range(start, start + len(words))))
+
+    def shrink(self) -> None:
+        """Forgets words once they are too many; numbers change, so this comes when none is held."""
+        if len(self.place) <= self.most:
+            return
+        words = [w if len(w) <= LONGEST else None for w in self.place]
+        recent = np.argsort(-self.used, kind="stable")[: self.most // 2]
+        kept = np.array([k for k in np.sort(recent).tolist() if words[k] is not None], np.int64)
+        size = self.size[kept]
+        self.ids = self.ids[_spans(self.first[kept], size)]
+        self.first, self.size, self.used, self.stops = np.cumsum(size) - size, size, self.used[kept], self.stops[kept]
+        self.place = {words[k]: n for n, k in enumerate(kept.tolist())}
+
+
+def _parted(word: str) -> re.Match | None:
+    """The letters of a word and the signs behind them, unless the tokenizer sees a mark between the two: it normalises
+    a few letters to a letter and a mark, which signs are joined to."""
+    m = _SHAPE.fullmatch(word)
+    return m if m and (m[1].isascii() or unicodedata.normalize("NFC", m[1]).lower()[-1].isalpha()) else None
+
+
+def _spans(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The numbers first, first + 1, ... of each span, one after another."""
+    upto = np.cumsum(size)
+    return np.repeat(first - (upto - size), size) + np.arange(upto[-1] if len(upto) else 0)
+
+
 class Encoder:
     """One tokenizer with the words it has met.
 
-    It never joins letters with other signs, so a word of letters with ASCII signs behind it is put together from both;
-    and it ends each run of letters with a token of its own kind, so that many runs are encoded as one text."""
+    It never joins letters with other signs, so a sign behind a letter is taken as a word of its own; and it ends each run
+    of letters with a token of its own kind, so that many runs are encoded as one text."""
 
-    def __init__(self, model: str):
+    def __init__(self, model: str, most: int = REMEMBERED):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(model)
-        self.words, self.runs = Remembered(REMEMBERED, LONGEST), Remembered(REMEMBERED, LONGEST)
-        self.signs = Remembered(REMEMBERED // 16, LONGEST)
+        self.words, self.signs = Words(most), {}
         suffix = json.loads(model)["model"]["end_of_word_suffix"]
         vocabulary = self.tokenizer.get_vocab()
         self.last = np.zeros(max(vocabulary.values()) + 1, bool)
@@ -93,36 +155,41 @@ class Encoder:
         data, ends = ids.tobytes(), (ends * 4).tolist()
         return [data[x:y] for x, y in zip([0, *ends[:-1]], ends)]
 
-    def _made(self, words: list[bytes]) -> list[tuple[bytes, bool]]:
-        named = [w.decode() for w in words]
-        shapes = [_SHAPE.fullmatch(w) for w in named]
-        for memory, group, make in ((self.runs, 1, self._joined), (self.signs, 2, self._each)):
-            fresh = memory.missing({m[group] for m in shapes if m and m[group]})
-            memory.learn(fresh, make(fresh))
+    def _learn(self, words: list[bytes], end: int) -> None:
+        named = [w.decode() if w != _END else "" for w in words]
+        shapes = [w if w.isalpha() else _parted(w) for w in named]
+        runs = iter(self._joined([m if type(m) is str else m[1] for m in shapes if m]))
         others = iter(self._each([w for w, m in zip(named, shapes) if not m]))
-        runs, signs = self.runs.now, self.signs.now
-        ids = [(runs[m[1]] + signs[m[2]] if m[2] else runs[m[1]]) if m else next(others) for m in shapes]
-        return [(x, _ENDS.search(w) is not None) for w, x in zip(words, ids)]
+        ids = [next(others) if not m else next(runs) if type(m) is str else next(runs) + self._sign(m[2]) for m in shapes]
+        # Letters never end a sentence.
+        stops = [type(m) is not str and _ENDS.search(w) is not None for w, m in zip(words, shapes)]
+        self.words.learn(words, [np.array([end], "<u4").tobytes() if w == _END else x for w, x in zip(words, ids)], stops)
+
+    def _sign(self, signs: str) -> bytes:
+        if signs not in self.signs:
+            if len(self.signs) > MOST_SIGNS:
+                self.signs.clear()
+            self.signs[signs] = self._each([signs])[0]
+        return self.signs[signs]
 
     def encode(self, texts: list[bytes], end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of all texts one after another, each with its end; where each text ends; where sentences within end."""
-        # No text has the byte that marks an end here. A to Z are lower-cased as the tokenizer does.
-        data = (b" \xff ".join(texts) + b" \xff").lower().translate(_SPACES)
-        words = pc.split_pattern(pa.array([data], pa.large_binary()), b" ").flatten().dictionary_encode()
+        self.words.shrink()
+        # A to Z are lower-cased as the tokenizer does.
+        data = (_BETWEEN.join(texts) + _BETWEEN).lower().translate(_SPACES)
+        data = pc.replace_substring_regex(pa.array([data], pa.large_binary()), _BEHIND, r"\1 \2 ")
+        words = pc.split_pattern(data, b" ").flatten().dictionary_encode()
         place, kinds = words.indices.to_numpy(), words.dictionary.to_pylist()
-        memory = self.words
-        fresh = memory.missing(set(kinds) - {b"", b"\xff"})
-        memory.learn(fresh, self._made(fresh))
-        memory.now[b""], memory.now[b"\xff"] = (b"", False), (np.array([end], "<u4").tobytes(), False)
-        known = [memory.now[w] for w in kinds]
-        sizes = np.array([len(x) // 4 for x, _ in known], np.int64)
-        stops = np.array([x for _, x in known], bool)
-        ids, firsts = np.frombuffer(b"".join(x for x, _ in known), "<u4"), np.cumsum(sizes) - sizes
-
-        lengths = sizes[place]
+        known = self.words.find(kinds)
+        fresh = np.flatnonzero(known < 0)
+        if len(fresh):
+            self._learn([kinds[k] for k in fresh.tolist()], end)
+            known[fresh] = np.arange(len(self.words.size) - len(fresh), len(self.words.size))
+        size, stops = self.words.size[known], self.words.stops[known]
+        lengths = size[place]
         upto = np.cumsum(lengths)
-        at = np.repeat(firsts[place] - (upto - lengths), lengths) + np.arange(upto[-1])
-        return ids[at], upto[place == kinds.index(b"\xff")], upto[stops[place]]
+        ids = self.words.ids[_spans(self.words.first[known][place], lengths)]
+        return ids, upto[place == kinds.index(_END)], upto[stops[place]]
 
 
 def padding(length: int, width: int = WIDTH) -> int:
