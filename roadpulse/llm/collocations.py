@@ -2,7 +2,7 @@
 
 A task gives words ids of its own and keeps windows of up to four ids in a trie: shallow nodes by word id, below them
 hash tables of the remaining ids. A table that grows too large bursts into a node with smaller tables; a trie that grows
-too large spills its largest subtrees whole, as runs of phrases in sorted order with their counts. The shuffle brings the
+too large spills its largest subtrees whole, as runs of phrases in the order of their words with their counts. The shuffle brings the
 runs of a window together by its whole prefix path, so that a frequent word's or pair's subtree is spread over all tasks,
 and adds their counts; shorter phrases are sums over the windows they begin.
 
@@ -72,19 +72,20 @@ def _hashes(lang: str, words: list[bytes]) -> np.ndarray:
     return np.fromiter((xxhash.xxh3_64_intdigest(w, seed) for w in words), np.uint64, len(words))
 
 
-def _places(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _places(hashes: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     other = _mixed(hashes ^ np.uint64(0x5851F42D4C957F2D))
-    return (hashes % np.uint64(FILTER)).astype(np.int64), (other % np.uint64(FILTER)).astype(np.int64)
+    return (hashes % np.uint64(size)).astype(np.int64), (other % np.uint64(size)).astype(np.int64)
 
 
 def _maybe(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     """Whether each hash may be in the filter; False only for those that are not."""
-    first, second = ((bits[p >> 6] >> (p & 63)) & 1 == 1 for p in _places(hashes))
+    first, second = ((bits[p >> 6] >> (p & 63)) & 1 == 1 for p in _places(hashes, len(bits) << 6))
     return first & second
 
 
-def filter_of(phrases: DataFrame) -> np.ndarray:
-    """The filter of (lang, phrase), phrases of one or two words: ``FILTER`` bits, whatever the number of rows."""
+def filter_of(phrases: DataFrame, size: int | None = None) -> np.ndarray:
+    """The filter of (lang, phrase), phrases of one or two words: ``size`` bits, whatever the number of rows."""
+    size = size or FILTER
 
     def run(batches):
         for batch in batches:
@@ -93,16 +94,16 @@ def filter_of(phrases: DataFrame) -> np.ndarray:
                 found.append(_hashes(lang, phrase.encode().split(b" ")))
             single = np.array([h[0] for h in found if len(h) == 1], np.uint64)
             double = np.array([h for h in found if len(h) == 2], np.uint64).reshape(-1, 2)
-            at = np.unique(np.concatenate([*_places(single), *_places(_pairs(double[:, 0], double[:, 1]))]))
+            at = np.unique(np.concatenate([*_places(single, size), *_places(_pairs(double[:, 0], double[:, 1]), size)]))
             words, where = np.unique(at >> 6, return_inverse=True)
             bits = np.zeros(len(words), np.int64)
             np.bitwise_or.at(bits, where, np.int64(1) << (at & 63))
             yield pa.RecordBatch.from_arrays([pa.array(words), pa.array(bits)], ["at", "bits"])
 
     set_bits = phrases.select("lang", "phrase").mapInArrow(run, "at long, bits long")
-    # At most FILTER / 64 rows.
+    # At most size / 64 rows.
     found = set_bits.groupBy("at").agg(F.bit_or("bits").alias("bits")).toArrow()
-    bits = np.zeros(FILTER >> 6, np.int64)
+    bits = np.zeros(size >> 6, np.int64)
     bits[found["at"].to_numpy()] = found["bits"].to_numpy()
     return bits
 
@@ -167,18 +168,20 @@ class Trie:
     def spill(self, keep: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Takes the largest subtrees out until at most ``keep`` entries stay; their windows and counts."""
         heavy = sorted(self.roots, key=lambda a: -_entries(self.roots[a])) if keep else list(self.roots)
-        first, rest, counts = [], [], []
+        # Per table: its first id, the bits of the nodes above it, its size; then all entries one after another.
+        tables: list[tuple[int, int, int]] = []
+        rest: list[int] = []
+        counts: list[int] = []
         for a in heavy:
             if self.size <= keep:
                 break
             for above, container in self._walk(self.roots.pop(a), 0, (LONGEST - 2) * _BITS):
-                n = len(container)
-                self.size -= n
-                first.append(np.full(n, a))
-                rest.append(np.fromiter(container.keys(), np.int64, n) | above)
-                counts.append(np.fromiter(container.values(), np.int64, n))
-        none = [np.zeros(0, np.int64)]
-        return tuple(np.concatenate(x or none) for x in (first, rest, counts))
+                tables.append((a, above, len(container)))
+                self.size -= len(container)
+                rest.extend(container.keys())
+                counts.extend(container.values())
+        first, above, sizes = np.array(tables, np.int64).reshape(-1, 3).T
+        return np.repeat(first, sizes), np.array(rest, np.int64) | np.repeat(above, sizes), np.array(counts, np.int64)
 
 
 def _blocks(text: bytes) -> Iterator[tuple[bytes, bytes]]:
@@ -244,9 +247,10 @@ class Counter:
 
     def _block(self, lang: str, data: bytes, ahead: bytes = b"") -> Iterator[pa.RecordBatch]:
         ids = self.ids.setdefault(lang, {b"": _EMPTY, b"\n": _BREAK})
-        words, more = data.replace(b"\n", b" \n ").split(b" "), ahead.split(b" ") if self.high > 1 else []
-        self._learn(lang, list({*words, *more}.difference(ids)))
-        found = np.fromiter(map(ids.__getitem__, words), np.int64, len(words))
+        words = pc.split_pattern(pa.array([data.replace(b"\n", b" \n ")], pa.large_binary()), b" ").flatten().dictionary_encode()
+        kinds, more = words.dictionary.to_pylist(), ahead.split(b" ") if self.high > 1 else []
+        self._learn(lang, list({*kinds, *more}.difference(ids)))
+        found = np.fromiter(map(ids.__getitem__, kinds), np.int64, len(kinds))[words.indices.to_numpy()]
         found = found[found != _EMPTY]
         if self.high == 1:
             counts = np.bincount(found, minlength=len(self.words))
@@ -255,8 +259,8 @@ class Counter:
             counts[_BREAK] = 0
             self.singles = counts
         else:
-            after = [ids[w] for w in more if w]
-            self._windows(np.array([*found, *after, *[_BREAK] * LONGEST], np.int64), len(found))
+            after = [ids[w] for w in more if w] + [_BREAK] * LONGEST
+            self._windows(np.concatenate([found, np.array(after, np.int64)]), len(found))
         if self.met > self.most:
             yield from self._forget()
         if self.trie.size > self.entries:
@@ -289,6 +293,11 @@ class Counter:
         first, rest = ids[:n][chosen], rest[chosen]
         if not len(first):
             return
+        if self.high == 2:
+            # Both ids fit in one number, which sorts faster.
+            pairs, counts = np.unique(first << 2 * _BITS | rest >> _BITS, return_counts=True)
+            self.trie.add(pairs >> 2 * _BITS, (pairs & ((1 << 2 * _BITS) - 1)) << _BITS, counts)
+            return
         order = np.lexsort((rest, first))
         first, rest = first[order], rest[order]
         starts = np.flatnonzero(np.r_[True, (first[1:] != first[:-1]) | (rest[1:] != rest[:-1])])
@@ -309,14 +318,22 @@ class Counter:
         if not len(first):
             return
         words = pa.array([None, *self.words[1:]], pa.binary())
+        langs = pa.array(self.langs)
+        # Words in order of language and bytes; a run is sorted by those of its words.
+        sorted_words = pc.sort_indices(pa.table({"lang": langs, "word": words}), [("lang", "ascending"), ("word", "ascending")])
+        rank = np.empty(len(words), np.int64)
+        rank[sorted_words.to_numpy()] = np.arange(len(words))
+        rank[_BREAK] = -1
         parts = [first, *((rest >> ((LONGEST - 1 - k) * _BITS)) & ((1 << _BITS) - 1) for k in range(1, self.high))]
-        columns = [words.take(pa.array(p)) for p in parts]
-        phrase = columns[0]
-        if len(columns) > 1:
-            phrase = pc.binary_join_element_wise(*columns, pa.scalar(b" ", pa.binary()), null_handling="skip")
-        lang = pa.array(self.langs).take(pa.array(first))
-        run = pa.table({"lang": lang, "phrase": phrase.cast(pa.string()), "n": counts}, schema=_RUN)
-        yield from run.sort_by([("lang", "ascending"), ("phrase", "ascending")]).to_batches(50_000)
+        order = np.lexsort([rank[p] for p in reversed(parts)])
+        for at in range(0, len(order), 50_000):
+            here = order[at : at + 50_000]
+            columns = [words.take(pa.array(p[here])) for p in parts]
+            phrase = columns[0]
+            if len(columns) > 1:
+                phrase = pc.binary_join_element_wise(*columns, pa.scalar(b" ", pa.binary()), null_handling="skip")
+            lang = langs.take(pa.array(first[here]))
+            yield pa.RecordBatch.from_arrays([lang, phrase.cast(pa.string()), pa.array(counts[here])], schema=_RUN)
 
 
 def _counted(texts: DataFrame, low: int, high: int, shared: Callable[[], np.ndarray] | None) -> DataFrame:

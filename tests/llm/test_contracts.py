@@ -19,12 +19,15 @@ COLUMNS = {
     8: ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"],
     9: ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
     10: ["doc_id", "n_shingles", "component_id"],
+    11: ["vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"],
+    12: ["lang", "rank", "phrase", "a", "l", "r", "n", "score"],
+    13: ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"],
 }
 
 
 def test_one_query_for_each_operator_and_the_pipeline():
     names = contracts.queries()
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert set(names) | {"pipeline"} <= set(contract.queries())
     assert contracts.oracles().items() <= contract.oracle_sql().items()
 
