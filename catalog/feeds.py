@@ -10,9 +10,9 @@ from roadpulse.functions.messages import message_key
 from roadpulse.operators.partitioning import spread
 from roadpulse.operators.records import normalise
 from roadpulse.plans.replaying import replay
-from roadpulse.schemas import EMISSION, FCD
+from roadpulse.schemas import EMISSION, FCD, MESSAGE, REJECTED_LINE
 from roadpulse.sinks.delivery import topic_counts
-from roadpulse.sources.delimited import read_cells, read_delimited
+from roadpulse.sources.delimited import ragged_counts, read_cells, read_delimited, read_lines
 from roadpulse.workspace import fresh_dir
 
 
@@ -87,6 +87,44 @@ def coerce_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalise(read_cells(spark, blanked_fcd(spark, sf_dir)), FCD, missing="null")
 
 
+# Lines cut short, lines with cells too many, by the kind of event.
+SHORT, LONG = "error", "signup"
+
+
+def ragged_fcd(spark: SparkSession, sf_dir: str) -> str:
+    """The feed as text, with the lines of one kind of event cut behind the fifth cell and those of another two cells
+    too long."""
+    records = fcd_records(spark, sf_dir)
+    cells = [F.coalesce(F.col(name).cast("string"), F.lit("")) for name in FCD.names]
+    short, whole = F.concat_ws(";", *cells[:5]), F.concat_ws(";", *cells)
+    line = F.when(F.col("vehicle_type") == SHORT, short).when(F.col("vehicle_type") == LONG, F.concat(whole, F.lit(";;more")))
+    path = fresh_dir(spark, "ragged")
+    # One column whose name is the header: the lines are written as they are.
+    lines = spread(records.select(line.otherwise(whole).alias(";".join(FCD.names))), cores(spark))
+    lines.write.options(header=True, sep="\u0001", quote="", escapeQuotes=False).csv(path)
+    return path
+
+
+def coerce_ragged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole lines as typed records, the others set apart with what is wrong with them."""
+    lines = read_lines(spark, ragged_fcd(spark, sf_dir))
+    whole = normalise(lines.cells, FCD).select(F.lit("whole").alias("kind"), F.lit(10).alias("cells"), *FCD.names)
+    first = F.split("line", ";").getItem(0).cast("double").alias("timestep_time")
+    rejected = lines.rejected.select("kind", "cells", first)
+    return whole.unionByName(rejected, allowMissingColumns=True)
+
+
+def replay_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A recording with ragged lines sent at once: what was delivered and what was rejected, as counted and as stored."""
+    target, apart = fresh_dir(spark, "messages"), fresh_dir(spark, "rejected")
+    counts = replay(spark, ragged_fcd(spark, sf_dir), FCD_FEED, lines=target, on_ragged="quarantine", rejected=apart)
+    stored = topic_counts(spark.read.schema(MESSAGE).json(target)).select(F.col("topic").alias("outcome"), F.col("delivered").alias("stored"))
+    kinds = ragged_counts(spark.read.schema(REJECTED_LINE).json(apart)).groupBy("kind").agg(F.sum("lines").alias("stored"))
+    found = stored.unionByName(kinds.select(F.col("kind").alias("outcome"), "stored"))
+    counted = F.when(F.col("outcome") == FCD_FEED.topic, counts[FCD_FEED.topic]).otherwise(counts["rejected"])
+    return found.withColumn("counted", counted.cast("long"))
+
+
 def typed_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A headed file under declared types."""
     customers = table(spark, sf_dir, "customer")
@@ -155,6 +193,8 @@ QUERIES = {
     "coerce_emission": coerce_emission,
     "coerce_drop": coerce_drop,
     "coerce_null": coerce_null,
+    "coerce_ragged": coerce_ragged,
+    "replay_quarantine": replay_quarantine,
     "typed_scan": typed_scan,
     "cell_scan": cell_scan,
     "replay_batch": replay_batch,
@@ -176,6 +216,18 @@ ORACLES = {
         FCD_BLANKS,
         {"vehicle_angle": "NULL", "vehicle_id": "NULL", "vehicle_lane": "''", "vehicle_x": "NULL"},
     ),
+    "coerce_ragged": f"""
+        SELECT CASE vehicle_type WHEN '{SHORT}' THEN 'short' WHEN '{LONG}' THEN 'long' ELSE 'whole' END AS kind,
+          CASE vehicle_type WHEN '{SHORT}' THEN 5 WHEN '{LONG}' THEN 12 ELSE 10 END AS cells, timestep_time,
+          {", ".join(f"CASE WHEN vehicle_type NOT IN ('{SHORT}', '{LONG}') THEN {n} END AS {n}" for n in FCD.names[1:])}
+        FROM ({FCD_SQL})
+    """,
+    "replay_quarantine": f"""
+        SELECT CASE event_type WHEN '{SHORT}' THEN 'short' WHEN '{LONG}' THEN 'long' ELSE 'stockholm-fcd' END AS outcome,
+          count(*) AS stored,
+          CAST(sum(count(*)) OVER (PARTITION BY outcome IN ('short', 'long')) AS BIGINT) AS counted
+        FROM events GROUP BY outcome
+    """,
     "typed_scan": "SELECT * FROM customer",
     "cell_scan": "SELECT * FROM customer",
     "replay_batch": f"""

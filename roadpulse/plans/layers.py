@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from roadpulse.operators.mapping import map_layer
 from roadpulse.schemas import SCORED_FCD
-from roadpulse.sources.delimited import read_named
+from roadpulse.sources.committed import read_scored
 
 
 def layer_from_scored(spark: SparkSession, path: str, schema=SCORED_FCD, fmt: str = "csv") -> DataFrame:
     """Markers for a directory of scored positions, headerless text or Parquet."""
-    return map_layer(read_named(spark, path, schema, fmt=fmt))
+    return map_layer(read_scored(spark, path, schema, fmt))

@@ -50,6 +50,10 @@ ENVELOPE = layout(
     "timestamp timestamp, timestampType integer"
 )
 
+# A message on its way, and a line of a recording that could not be one.
+MESSAGE = layout("topic string, key string, value string")
+REJECTED_LINE = layout("file string, line string, cells integer, expected integer, kind string")
+
 # A message that could not be used, as it came.
 QUARANTINED = layout("event_time timestamp, value string")
 

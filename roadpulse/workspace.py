@@ -43,3 +43,42 @@ def discard(spark: SparkSession, path: str) -> None:
         raise ValueError(f"{path} is not a scratch folder")
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def _located(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a file or folder if it is there."""
+    target, files = _located(spark, path)
+    files.delete(target, True)
+
+
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """The names in a folder; none if there is no such folder."""
+    target, files = _located(spark, path)
+    return sorted(s.getPath().getName() for s in files.listStatus(target)) if files.exists(target) else []
+
+
+def put_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that is there whole or not at all: written beside and renamed. The caller is its only writer."""
+    target, files = _located(spark, path)
+    draft = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.draft")
+    stream = files.create(draft)
+    stream.write(text.encode())
+    stream.close()
+    if files.exists(target):
+        files.delete(target, False)
+    if not files.rename(draft, target):
+        raise OSError(f"could not write {path}")
+
+
+def get_text(spark: SparkSession, path: str) -> str:
+    target, files = _located(spark, path)
+    stream = files.open(target)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()

@@ -11,9 +11,9 @@ from roadpulse.schemas import EMISSION, FCD, as_text
 from roadpulse.sources.delimited import read_cells, read_delimited, read_named
 
 
-def records(spark, tmp_path, *lines, header=FCD_HEADER, **rules):
+def records(spark, tmp_path, *lines, header=FCD_HEADER, on_ragged="fail", **rules):
     path = write_lines(tmp_path / "feed.csv", header, *lines)
-    return normalise(read_cells(spark, path), FCD, **rules).collect()
+    return normalise(read_cells(spark, path, on_ragged=on_ragged), FCD, **rules).collect()
 
 
 FULL = "1.5;90.0;7;lane_1;3.25;0.1;13.9;car;471.67;265.37"
@@ -71,9 +71,18 @@ def test_special_numbers_and_spaces(spark, tmp_path):
     assert (row.timestep_time, row.vehicle_id, row.vehicle_speed) == (1000.0, 7, 2.5)
 
 
-def test_short_row_counts_its_missing_cells_as_empty(spark, tmp_path):
-    (row,) = records(spark, tmp_path, "1.5;90.0;7")
-    assert (row.vehicle_id, row.vehicle_lane, row.vehicle_y) == (7, "", 0.0)
+@pytest.mark.parametrize("line", ["1.5;90.0;7", f"{FULL};more", f"{FULL};"])
+def test_a_line_of_another_length_fails_whatever_is_read_of_it(spark, tmp_path, line):
+    with pytest.raises(Exception, match="(?i)malformed"):
+        records(spark, tmp_path, FULL, line, fields=["timestep_time"])
+
+
+def test_ragged_lines_can_be_read_as_far_as_they_fit(spark, tmp_path):
+    short, long = records(spark, tmp_path, "1.5;90.0;7", f"{FULL};more", on_ragged="keep")
+    assert (short.vehicle_id, short.vehicle_lane, short.vehicle_y) == (7, "", 0.0)
+    assert (long.vehicle_id, long.vehicle_y) == (7, 265.37)
+    with pytest.raises(ValueError, match="on_ragged"):
+        records(spark, tmp_path, FULL, on_ragged="drop")
 
 
 def test_columns_are_found_by_name(spark, tmp_path):

@@ -1,0 +1,125 @@
+"""Lines of recorded feeds with fewer or more cells than the header."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.errors import StreamingQueryException
+
+from helpers import FCD_HEADER, bag, write_lines
+from roadpulse.config import FCD_FEED
+from roadpulse.plans.replaying import replay
+from roadpulse.schemas import FCD, MESSAGE, REJECTED_LINE
+from roadpulse.sinks.delivery import METRICS, await_delivery
+from roadpulse.sources.committed import read_committed
+from roadpulse.sources.delimited import ragged_counts, read_apart, read_lines, rejected_lines, whole_cells
+from roadpulse.streaming import replay as streamed
+
+FULL = "1.5;90.0;7;lane_1;3.25;0.1;13.9;car;471.67;265.37"
+SHORT, LONG = "2.0;2;3;l;4", FULL + ";more;"
+DRAIN = {"availableNow": True}
+
+
+def feed(tmp_path, name="feed.csv", *lines):
+    (tmp_path / "feed").mkdir(exist_ok=True)
+    return write_lines(tmp_path / "feed" / name, FCD_HEADER, *(lines or (FULL, SHORT, FULL, LONG)))
+
+
+def test_every_line_is_in_one_of_the_results(spark, tmp_path):
+    lines = read_lines(spark, feed(tmp_path))
+    assert lines.cells.columns == FCD.names and lines.cells.count() == 2
+    told = {(r.line, r.cells, r.expected, r.kind) for r in lines.rejected.collect()}
+    assert told == {(SHORT, 5, 10, "short"), (LONG, 12, 10, "long")}
+    assert {(r.kind, r.lines) for r in ragged_counts(lines.rejected).collect()} == {("short", 1), ("long", 1)}
+    assert lines.rejected.first().file.endswith("feed.csv")
+
+
+def test_separators_in_quotes_and_escaped_quotes_are_no_cells(spark, tmp_path):
+    quoted = FULL.replace("lane_1", '"lane;1"')
+    lines = read_lines(spark, feed(tmp_path, "q.csv", quoted, '1;2;"a;b";"c\\";d"', "", ";;;;;;;;;"))
+    assert sorted(r.vehicle_lane or "" for r in lines.cells.collect()) == ["", "lane;1"]
+    (row,) = lines.rejected.collect()
+    assert (row.cells, row.kind) == (4, "short")
+
+
+def test_counts_and_single_columns_of_either_result(spark, tmp_path):
+    lines = read_apart(spark, feed(tmp_path))
+    assert (lines.count(), whole_cells(lines).count(), rejected_lines(lines).count()) == (4, 2, 2)
+    assert rejected_lines(lines).select("kind").distinct().count() == 2
+    assert whole_cells(lines).select("vehicle_y").distinct().count() == 1
+
+
+def test_no_ragged_lines_and_no_lines(spark, tmp_path):
+    assert read_lines(spark, feed(tmp_path, "whole.csv", FULL)).rejected.count() == 0
+    path = write_lines(tmp_path / "empty.csv", FCD_HEADER)
+    lines = read_lines(spark, path)
+    assert lines.cells.count() == lines.rejected.count() == 0
+
+
+def test_replay_sets_ragged_lines_apart(spark, tmp_path):
+    target, apart = str(tmp_path / "messages"), str(tmp_path / "rejected")
+    counts = replay(spark, feed(tmp_path), FCD_FEED, lines=target, on_ragged="quarantine", rejected=apart)
+    assert counts == {"stockholm-fcd": 2, "rejected": 2}
+    assert spark.read.schema(MESSAGE).json(target).count() == 2
+    assert {r.line for r in spark.read.schema(REJECTED_LINE).json(apart).collect()} == {SHORT, LONG}
+
+
+def test_replay_fails_on_them_or_keeps_them(spark, tmp_path):
+    path = feed(tmp_path)
+    with pytest.raises(Exception, match="(?i)malformed|reading file"):
+        replay(spark, path, FCD_FEED, lines=str(tmp_path / "a"))
+    assert replay(spark, path, FCD_FEED, lines=str(tmp_path / "b"), on_ragged="keep") == {"stockholm-fcd": 4}
+    for wrong in ({"on_ragged": "quarantine"}, {"rejected": "x"}, {"on_ragged": "drop"}):
+        with pytest.raises(ValueError, match="on_ragged"):
+            replay(spark, path, FCD_FEED, lines="c", **wrong)
+        with pytest.raises(ValueError, match="on_ragged"):
+            streamed.start_replay(spark, path, FCD_FEED, "p", lines="c", **wrong)
+
+
+def start(spark, tmp_path, **settings):
+    where = {"lines": str(tmp_path / "messages"), "files_per_trigger": 1, "trigger": DRAIN, **settings}
+    return streamed.start_replay(spark, str(tmp_path / "feed"), FCD_FEED, str(tmp_path / "progress"), **where)
+
+
+def test_streamed_replay_sets_them_apart_and_counts_them(spark, tmp_path):
+    feed(tmp_path, "a.csv")
+    feed(tmp_path, "b.csv", FULL, LONG)
+    apart = str(tmp_path / "rejected")
+    settings = {"on_ragged": "quarantine", "rejected": apart}
+    assert await_delivery(start(spark, tmp_path, **settings), METRICS) == {"stockholm-fcd": 3, "rejected": 3}
+    feed(tmp_path, "c.csv", SHORT)
+    start(spark, tmp_path, **settings).awaitTermination()
+    messages = read_committed(spark, apart, "messages", MESSAGE, "json")
+    lines = read_committed(spark, apart, "ragged", REJECTED_LINE, "json")
+    assert messages.count() == 3 and bag(lines.select("line")) == {(LONG,): 2, (SHORT,): 2}
+
+
+def test_a_batch_killed_between_messages_and_rejected_lines(spark, tmp_path, monkeypatch):
+    from roadpulse.sinks import manifest
+
+    feed(tmp_path)
+    real, calls = manifest.write_table, []
+
+    def failing(*args, **settings):
+        calls.append(args[1])
+        if len(calls) == 2:
+            raise RuntimeError("killed between the two writes")
+        real(*args, **settings)
+
+    monkeypatch.setattr(manifest, "write_table", failing)
+    apart = str(tmp_path / "rejected")
+    settings = {"on_ragged": "quarantine", "rejected": apart}
+    with pytest.raises(StreamingQueryException, match="killed"):
+        start(spark, tmp_path, **settings).awaitTermination()
+    assert read_committed(spark, apart, "messages", MESSAGE, "json").count() == 0
+    start(spark, tmp_path, **settings).awaitTermination()
+    assert read_committed(spark, apart, "messages", MESSAGE, "json").count() == 2
+    assert read_committed(spark, apart, "ragged", REJECTED_LINE, "json").count() == 2
+
+
+def test_streamed_replay_fails_on_them_or_keeps_them(spark, tmp_path):
+    feed(tmp_path)
+    with pytest.raises(StreamingQueryException):
+        start(spark, tmp_path).awaitTermination()
+    other = {"lines": str(tmp_path / "kept"), "files_per_trigger": 1, "trigger": DRAIN, "on_ragged": "keep"}
+    query = streamed.start_replay(spark, str(tmp_path / "feed"), FCD_FEED, str(tmp_path / "other"), **other)
+    assert await_delivery(query, METRICS) == {"stockholm-fcd": 4}
