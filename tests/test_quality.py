@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from helpers import bag, plan
 from roadpulse.functions.hashing import token_bound
 from roadpulse.operators.metrics import distinct_values, regression_metrics, silhouette
+from roadpulse.operators import sampling
 from roadpulse.operators.sampling import preview, random_split, split, take
 
 
@@ -27,9 +28,30 @@ def test_take_is_the_same_on_any_partitioning(spark):
     assert preview(rows, ["id"]).count() == 10
 
 
-def test_take_limits_before_the_shuffle_and_merges_a_top_n(spark):
-    text = plan(take(numbers(spark), 25, ["id"]))
-    assert "TakeOrderedAndProject" in text and "WindowGroupLimit" in text
+@pytest.mark.parametrize("n", [10, 1000])
+def test_take_neither_sorts_nor_shuffles_the_table(spark, n):
+    text = plan(take(numbers(spark), n, ["id"]))
+    assert "TakeOrderedAndProject" in text and "Sort" not in text.replace("sortOrder", "") and "Exchange" not in text
+
+
+@pytest.mark.parametrize("kind", ["bigint", "double", "timestamp", "timestamp_ntz", "date", "decimal(12,2)"])
+@pytest.mark.parametrize("n", [40, 150, 299, 300, 1000])
+def test_a_large_take_cuts_by_a_sketch_and_stays_exact(spark, monkeypatch, kind, n):
+    """Ties at the cut, NULLs first, any ordered type."""
+    monkeypatch.setattr(sampling, "HEAP", 20)
+    monkeypatch.setattr(sampling, "ACCURACY", 50)
+    base = {"timestamp": "TIMESTAMP'2024-01-01' + make_interval(0,0,0,id % 90)", "date": "DATE'2024-01-01' + CAST(id % 90 AS INT)"}
+    base["timestamp_ntz"] = f"CAST({base['timestamp']} AS TIMESTAMP_NTZ)"
+    value = base.get(kind, f"CAST(id % 90 AS {kind})")
+    rows = spark.range(300).selectExpr(f"IF(id % 7 = 0, NULL, {value}) AS k", "id AS v")
+    want = rows.orderBy("k", "v").limit(n)
+    assert bag(take(rows.repartition(5), n, ["k"])) == bag(want)
+
+
+def test_a_large_take_leaves_rows_out_before_the_merge(spark, monkeypatch):
+    monkeypatch.setattr(sampling, "HEAP", 20)
+    left = sampling._below(spark.range(1_000_000).repartition(4), 5000, "id").count()
+    assert 5000 <= left < 5100
 
 
 def test_take_of_tied_keys_is_the_same_on_any_partitioning(spark):
