@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from roadpulse import config
 from roadpulse.config import CONTROL_POINTS, ControlPoint
-from roadpulse.functions.geo import latitude, longitude, point_wkt
+from roadpulse.functions.geo import latitude, longitude, parts_of, point_wkt
 from roadpulse.functions.lookup import colour_of
 
 
@@ -40,3 +40,13 @@ def map_layer(
         F.lit(config.MARKER_TEXT).alias("popup"),
         colour_of(F.col(cluster), colours).alias("colour"),
     )
+
+
+def vertices(features: DataFrame, *carried: str) -> DataFrame:
+    """A row for each position of each feature (geometry_type, coordinates), of whatever kind: the ``carried`` columns,
+    part, line and place (all from 0), lon, lat. A feature without positions has no row."""
+    parts = features.select(*carried, F.posexplode(parts_of(F.col("geometry_type"), F.col("coordinates"))).alias("part", "_lines"))
+    lines = parts.select(*carried, "part", F.posexplode("_lines").alias("line", "_positions"))
+    positions = lines.select(*carried, "part", "line", F.posexplode("_positions").alias("place", "_position"))
+    lon, lat = F.get("_position", F.lit(0)).alias("lon"), F.get("_position", F.lit(1)).alias("lat")
+    return positions.select(*carried, "part", "line", "place", lon, lat)

@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from roadpulse.schemas import GEOJSON, GEOJSON_FEATURE
 
 
-def _flatten(features: DataFrame) -> DataFrame:
+def flatten_features(features: DataFrame) -> DataFrame:
+    """Parsed features in the columns that every reader here gives."""
     return features.select(
         "type",
         "properties",
@@ -19,13 +20,13 @@ def _flatten(features: DataFrame) -> DataFrame:
 def read_collections(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Files that each hold one FeatureCollection document.
 
-    JSON documents cannot be split, so a task reads a whole file: fine for many
-    files of ordinary size. One huge layer belongs in ``read_feature_lines``.
+    A task reads a whole file, in one pass: right for many files of ordinary size.
+    ``read_collection_ranges`` reads huge documents by many tasks in two passes.
     """
     documents = spark.read.schema(GEOJSON).option("multiLine", True).json(path)
-    return _flatten(documents.select(F.inline("features")))
+    return flatten_features(documents.select(F.inline("features")))
 
 
 def read_feature_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """One feature per line (newline-delimited GeoJSON): splittable at any size."""
-    return _flatten(spark.read.schema(GEOJSON_FEATURE).json(path))
+    return flatten_features(spark.read.schema(GEOJSON_FEATURE).json(path))
