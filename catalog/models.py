@@ -3,6 +3,10 @@ partitioning, so these queries return facts that hold for every good fit."""
 
 from __future__ import annotations
 
+import re
+from dataclasses import replace
+
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from catalog.feeds import EMISSION_ZERO_SQL, FCD_ZERO_SQL, blanked_emission, blanked_fcd
@@ -17,10 +21,12 @@ from catalog.tables import (
     table,
 )
 from roadpulse import config
-from roadpulse.config import EMISSION_FEED, FCD_FEED
+from roadpulse.config import EMISSION_FEED, FCD_FEED, TYPED_EMISSION_FEED
 from roadpulse.functions.distance import nearest_centre, squared_distance
 from roadpulse.operators import learning
+from roadpulse.operators.records import as_envelopes
 from roadpulse.plans.training import train, train_clusters, train_regressor, with_part
+from roadpulse.streaming.scoring import scored_messages
 from roadpulse.workspace import fresh_dir
 
 ITEM_CENTRES = [(5.0, 10.0), (15.0, 40.0), (25.0, 25.0), (35.0, 45.0), (45.0, 12.0)]
@@ -128,6 +134,53 @@ def held_out_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merged
 
 
+TYPED_FCD = replace(FCD_FEED, features=("vehicle_speed",), vector="typed_features", categories=("vehicle_type",))
+#: The kind of event that the dictionary doesn't know.
+UNSEEN = "error"
+
+
+def type_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A number and the kind of event as one vector; the dictionary is fitted without one of the kinds."""
+    records = fcd_records(spark, sf_dir, "event_id")
+    vectors = learning.type_vectors(records.where(F.col("vehicle_type") != UNSEEN), records, TYPED_FCD)
+    return vectors.select("event_id", F.posexplode(vector_to_array("typed_features")).alias("place", "value"))
+
+
+def typed_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored forest with the kind of vehicle as a feature scores a stream that has a kind it has never met."""
+    feed = TYPED_EMISSION_FEED
+    records = emission_records(spark, sf_dir)
+    odd = F.when(F.col("vehicle_speed") > 10, F.lit("tram")).otherwise(F.col("vehicle_type"))
+    path = fresh_dir(spark, "typed-model")
+    learning.save(learning.fit(learning.regression_pipeline(feed, depth=3, trees=3), records, feed, cores(spark)), path)
+    model, seen = learning.load(path), records.withColumn("vehicle_type", odd)
+    topic = fresh_dir(spark, "topic")
+    as_envelopes(seen, feed, F.lit("2024-01-01").cast("timestamp")).write.parquet(topic)
+    streamed = scored_messages(spark.read.parquet(topic), feed, model, event_time=False)
+    direct = learning.score(model, seen, list(feed.scored.names))
+    counts = bag_difference(streamed, direct)
+    known = len(learning.dictionaries(model, feed)["vehicle_type"])
+    trams = seen.where("vehicle_type = 'tram'").agg(F.count(F.lit(1))).scalar()
+    return counts.select("compared", "differences", F.lit(known).alias("known"), trams.alias("unseen"))
+
+
+def same_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both models fitted from 3 and from 16 input partitions, dealt by their own values: centres and predictions are the
+    same. The fits add up in the order that tasks end in, hence the rounding."""
+    fcd, emission = fcd_records(spark, sf_dir), emission_records(spark, sf_dir)
+    found = []
+    for n in (3, 16):
+        clusters = learning.fit(learning.cluster_pipeline(), fcd.repartition(n), FCD_FEED, parts=8)
+        forest = learning.fit(learning.regression_pipeline(depth=4, trees=4), emission.repartition(n), EMISSION_FEED, parts=8)
+        rounded = [tuple(round(v, 6) for v in c) for c in learning.centres(clusters)]
+        trees = [re.sub(r"-?\d+\.\d+(E-?\d+)?", lambda m: f"{float(m[0]):.6g}", t.toDebugString) for t in forest.stages[-1].trees]
+        # The first line of a tree names the run it was made in.
+        found.append((rounded, [t.split("\n", 1)[1] for t in trees]))
+    same = [found[0][0] == found[1][0], found[0][1] == found[1][1]]
+    kinds = spark.createDataFrame([("centres", len(found[0][0]), same[0]), ("trees", len(found[0][1]), same[1])], "kind STRING, n INT, same BOOLEAN")
+    return kinds
+
+
 QUERIES = {
     "assemble_fcd": assemble_fcd,
     "assemble_emission": assemble_emission,
@@ -137,6 +190,9 @@ QUERIES = {
     "model_round_trip": model_round_trip,
     "training_report": training_report,
     "held_out_parts": held_out_parts,
+    "type_vectors": type_vectors,
+    "typed_scoring": typed_scoring,
+    "same_model": same_model,
 }
 
 # The split as SQL: the record's time and vehicle behind the seed, as Spark writes numbers below ten million.
@@ -177,4 +233,23 @@ ORACLES = {
         UNION ALL
         SELECT 'emission', {_PART}, count(*) FROM ({EMISSION_SQL}) GROUP BY ALL
     """,
+    "type_vectors": f"""
+        WITH known AS (
+          SELECT event_type, row_number() OVER (ORDER BY event_type) AS slot
+          FROM (SELECT DISTINCT event_type FROM events WHERE event_type <> '{UNSEEN}')
+        ),
+        slots AS (SELECT unnest(range(1, (SELECT count(*) + 2 FROM known))) AS place),
+        placed AS (
+          SELECT r.event_id, coalesce(k.slot, (SELECT count(*) + 1 FROM known)) AS slot
+          FROM ({FCD_SQL}) r LEFT JOIN known k ON k.event_type = r.vehicle_type
+        )
+        SELECT event_id, CAST(0 AS INTEGER) AS place, vehicle_speed AS value FROM ({FCD_SQL})
+        UNION ALL
+        SELECT event_id, CAST(place AS INTEGER), CAST(CAST(place = slot AS INTEGER) AS DOUBLE) FROM placed CROSS JOIN slots
+    """,
+    "typed_scoring": f"""
+        SELECT count(*) AS compared, CAST(0 AS BIGINT) AS differences, 2 AS known,
+          count(*) FILTER (vehicle_speed > 10) AS unseen FROM ({EMISSION_SQL})
+    """,
+    "same_model": "SELECT * FROM (VALUES ('centres', 5, TRUE), ('trees', 4, TRUE)) AS kinds(kind, n, same)",
 }

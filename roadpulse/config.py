@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql.types import StructType
 
@@ -33,6 +33,9 @@ OTHER_COLOUR = "gray"
 
 # Ours: a fixed forest seed, because Spark's default seed changes per process.
 FOREST_SEED = 17
+# Ours: values a text feature may have, and partitions that rows are dealt into for a fit.
+MOST_CATEGORY_VALUES = 1000
+FIT_PARTS = 64
 
 
 @dataclass(frozen=True)
@@ -51,10 +54,12 @@ class Feed:
     # message key. One constant key would put a whole topic into one Kafka
     # partition, and the vehicle alone would do so for all rows without a number.
     identity: tuple[str, ...] = ("timestep_time", "vehicle_id")
+    # Text features, turned into one-hot vectors.
+    categories: tuple[str, ...] = ()
 
     @property
     def training_columns(self) -> list[str]:
-        names = [*self.identity, *self.features, *([self.label] if self.label else [])]
+        names = [*self.identity, *self.features, *self.categories, *([self.label] if self.label else [])]
         return list(dict.fromkeys(names))
 
 
@@ -78,6 +83,8 @@ EMISSION_FEED = Feed(
     label="vehicle_NOx",
 )
 FEEDS = {feed.name: feed for feed in (FCD_FEED, EMISSION_FEED)}
+#: The emission feed with the kind of vehicle as a fourth feature.
+TYPED_EMISSION_FEED = replace(EMISSION_FEED, categories=("vehicle_type",))
 
 
 @dataclass(frozen=True)
@@ -102,6 +109,7 @@ class Settings:
     kafka_url: str | None = None
     cluster_model: str | None = None
     regression_model: str | None = None
+    window_duration: str | None = None
 
     @classmethod
     def from_env(cls, env: Mapping[str, str] = os.environ) -> Settings:
@@ -110,4 +118,5 @@ class Settings:
             kafka_url=env.get("KAFKA_URL"),
             cluster_model=env.get("CLUSTER_MODEL_LOCATION"),
             regression_model=env.get("REGRESSION_MODEL_LOCATION"),
+            window_duration=env.get("WINDOW_DURATION"),
         )

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame, functions as F
@@ -15,21 +16,68 @@ from pyspark.sql import DataFrame, functions as F
 from roadpulse import config
 from roadpulse.config import Feed
 from roadpulse.functions.distance import EXPRESSION_TERMS, nearest_centre
+from roadpulse.operators.partitioning import canonical
 
 
 def assembler(feed: Feed, on_invalid: str = "error") -> VectorAssembler:
-    return VectorAssembler(inputCols=list(feed.features), outputCol=feed.vector, handleInvalid=on_invalid)
+    inputs = [*feed.features, *map(_one_hot, feed.categories)]
+    return VectorAssembler(inputCols=inputs, outputCol=feed.vector, handleInvalid=on_invalid)
+
+
+def _text(category: str) -> str:
+    return f"_{category}_text"
+
+
+def _index(category: str) -> str:
+    return f"_{category}_index"
+
+
+def _one_hot(category: str) -> str:
+    return f"_{category}_one_hot"
+
+
+def category_stages(feed: Feed) -> list:
+    """Text features as one-hot vectors: a place for each value met in training, in the order of the alphabet, and a last
+    one for all else: other values, empty and missing ones. So a stream's new value is scored as unknown, never refused
+    and never taken for a known one."""
+    if not feed.categories:
+        return []
+    names = list(feed.categories)
+    texts, indices, vectors = [_text(n) for n in names], [_index(n) for n in names], [_one_hot(n) for n in names]
+    shown = ", ".join(f"nullif(`{name}`, '') AS `{text}`" for name, text in zip(names, texts))
+    # By the alphabet, not by frequency: the places then don't change with the counts.
+    known = StringIndexer(inputCols=texts, outputCols=indices, handleInvalid="keep", stringOrderType="alphabetAsc")
+    encoder = OneHotEncoder(inputCols=indices, outputCols=vectors, handleInvalid="error", dropLast=False)
+    return [SQLTransformer(statement=f"SELECT *, {shown} FROM __THIS__"), known, encoder]
+
+
+def check_categories(df: DataFrame, feed: Feed, most: int = config.MOST_CATEGORY_VALUES) -> None:
+    """A dictionary goes to the driver and to every task: an error if a feature has more than ``most`` values."""
+    for name in feed.categories:
+        if df.select(name).distinct().limit(most + 1).count() > most:
+            raise ValueError(f"{name} has more than {most} values")
+
+
+def dictionaries(model: PipelineModel, feed: Feed) -> dict[str, list[str]]:
+    """The values each text feature has a place for, in order."""
+    return dict(zip(feed.categories, [list(labels) for labels in model.stages[1].labelsArray])) if feed.categories else {}
 
 
 def assemble(df: DataFrame, feed: Feed, on_invalid: str = "error") -> DataFrame:
-    """The feed's features as one vector column."""
-    return assembler(feed, on_invalid).transform(df)
+    """The feed's numeric features as one vector column."""
+    return assembler(replace(feed, categories=()), on_invalid).transform(df)
+
+
+def type_vectors(known: DataFrame, df: DataFrame, feed: Feed) -> DataFrame:
+    """The feed's features, text ones included, as one vector column; places of values are those of ``known``."""
+    check_categories(known, feed)
+    return Pipeline(stages=[*category_stages(feed), assembler(feed)]).fit(known).transform(df)
 
 
 def cluster_pipeline(feed: Feed = config.FCD_FEED, k: int = config.CLUSTERS, seed: int = config.CLUSTER_SEED) -> Pipeline:
     """Congestion zones: K-means over the position."""
     estimator = KMeans(k=k, seed=seed, featuresCol=feed.vector, predictionCol=feed.prediction)
-    return Pipeline(stages=[assembler(feed), estimator])
+    return Pipeline(stages=[*category_stages(feed), assembler(feed), estimator])
 
 
 def regression_pipeline(
@@ -47,15 +95,21 @@ def regression_pipeline(
         numTrees=trees,
         seed=seed,
     )
-    return Pipeline(stages=[assembler(feed), estimator])
+    return Pipeline(stages=[*category_stages(feed), assembler(feed), estimator])
 
 
-def fit(pipeline: Pipeline, df: DataFrame, feed: Feed, tasks: int | None = None) -> PipelineModel:
+def fit(pipeline: Pipeline, df: DataFrame, feed: Feed, tasks: int | None = None, parts: int | None = None) -> PipelineModel:
     """Fit on the feed's own columns only, over the scan's partitions or ``tasks`` of them.
 
+    MLlib draws and adds up partition by partition, so a model depends on how its
+    rows are dealt. With ``parts`` they are dealt by their own values into that many
+    partitions, and the model depends on the rows and that number alone.
     MLlib keeps its vectors in memory and on disk by itself during the iterations.
     """
-    columns = [*feed.features, *([feed.label] if feed.label else [])]
+    check_categories(df, feed)
+    columns = list(dict.fromkeys([*feed.features, *feed.categories, *([feed.label] if feed.label else [])]))
+    if parts:
+        return pipeline.fit(canonical(df, columns, parts))
     chosen = df.select(*columns)
     return pipeline.fit(chosen.repartition(tasks) if tasks else chosen)
 
@@ -82,7 +136,7 @@ def score_feed(model: PipelineModel, df: DataFrame, feed: Feed, columns: Sequenc
     centres than that, and every other model, go through MLlib.
     """
     fitted = model.stages[-1]
-    if isinstance(fitted, KMeansModel) and fitted.getDistanceMeasure() == "euclidean":
+    if isinstance(fitted, KMeansModel) and not feed.categories and fitted.getDistanceMeasure() == "euclidean":
         known = centres(model)
         if len(known) * len(feed.features) <= EXPRESSION_TERMS:
             features = [F.col(name) for name in feed.features]

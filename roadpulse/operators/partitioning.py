@@ -1,8 +1,14 @@
-"""Enough tasks for heavy work on a table stored in few pieces."""
+"""Tables in as many pieces as the work on them needs, or in pieces that are always the same."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, functions as F
+
+#: Equal rows that stay together.
+CHUNK = 1000
+_ROWS, _DRAW = "_rows", "_draw"
 
 
 def spread(df: DataFrame, tasks: int) -> DataFrame:
@@ -13,3 +19,21 @@ def spread(df: DataFrame, tasks: int) -> DataFrame:
     is stored, says so. Nothing here looks at the table or runs a job.
     """
     return df.repartition(tasks)
+
+
+def canonical(df: DataFrame, columns: Sequence[str], parts: int) -> DataFrame:
+    """The rows, cut to ``columns``, in ``parts`` partitions that depend on nothing but the rows themselves.
+
+    A row's partition is drawn by its hash and partitions are sorted, so the same
+    rows are met in the same order whatever files and partitions they came in.
+    Equal rows, of which cells filled with zeros make many, are counted before the
+    shuffle and dealt out again behind it, ``CHUNK`` to a draw: they are spread
+    over all partitions, and the shuffle has one row for each draw.
+    """
+    counted = df.select(*columns).groupBy(*columns).agg(F.count(F.lit(1)).alias(_ROWS))
+    draws = F.sequence(F.lit(0).cast("long"), F.floor((F.col(_ROWS) - 1) / CHUNK))
+    drawn = counted.withColumn(_DRAW, F.explode(draws))
+    drawn = drawn.withColumn(_ROWS, F.least(F.lit(CHUNK).cast("long"), F.col(_ROWS) - F.col(_DRAW) * CHUNK))
+    dealt = drawn.repartition(parts, *columns, _DRAW).sortWithinPartitions(*columns, _DRAW)
+    again = F.explode(F.sequence(F.lit(1).cast("long"), F.col(_ROWS)))
+    return dealt.select(*columns, again.alias(_DRAW)).drop(_DRAW)

@@ -16,11 +16,12 @@ from roadpulse.plans.consolidation import consolidate
 from roadpulse.plans.layers import layer_from_scored
 from roadpulse.plans.replaying import replay
 from roadpulse.schemas import ENVELOPE, FCD, SCORED_FCD, with_event_time
+from roadpulse.sinks import manifest
 from roadpulse.sinks.delivery import await_delivery
 from roadpulse.sinks.files import stream_writer, write_table
+from roadpulse.sources.committed import read_committed, read_scored
 from roadpulse.sources.delimited import read_named
 from roadpulse.sources.messages import file_stream, read_quarantined
-from roadpulse.streaming import scoring
 from roadpulse.streaming.lifecycle import await_all
 from roadpulse.streaming.replay import start_replay
 from roadpulse.streaming.scoring import DECODED, ScoringJob, scored_messages, start_scoring
@@ -97,7 +98,7 @@ def test_malformed_messages_are_quarantined(spark, model, tmp_path):
 def test_a_batch_that_failed_between_its_two_outputs_is_written_again(spark, model, tmp_path, monkeypatch):
     """Every message ends in exactly one output, though scored rows were there before the failure."""
     path = damaged(spark, tmp_path)
-    real, calls = scoring.write_table, []
+    real, calls = manifest.write_table, []
 
     def failing(df, target, *rest, **settings):
         calls.append(target)
@@ -105,11 +106,14 @@ def test_a_batch_that_failed_between_its_two_outputs_is_written_again(spark, mod
             raise RuntimeError("killed between the two writes")
         real(df, target, *rest, **settings)
 
-    monkeypatch.setattr(scoring, "write_table", failing)
+    monkeypatch.setattr(manifest, "write_table", failing)
     with pytest.raises(StreamingQueryException, match="killed"):
         await_all(start_scoring([job(spark, path, model, tmp_path)], DRAIN))
     assert read_named(spark, str(tmp_path / "scored"), with_event_time(SCORED_FCD)).count() == 1
+    # Half a batch is no batch to readers of the manifest.
+    assert read_committed(spark, str(tmp_path / "scored"), manifest.SCORED, with_event_time(SCORED_FCD)).count() == 0
     await_all(start_scoring([job(spark, path, model, tmp_path)], DRAIN))
+    assert read_scored(spark, str(tmp_path / "scored"), with_event_time(SCORED_FCD)).count() == 1
     assert read_named(spark, str(tmp_path / "scored"), with_event_time(SCORED_FCD)).count() == 1
     assert read_quarantined(spark, str(tmp_path / "scored") + "_malformed").count() == 3
     assert len(calls) == 4
@@ -252,10 +256,10 @@ def test_scratch_lies_in_the_shared_folder(spark):
 
 
 def test_settings_come_from_arguments_or_environment():
-    env = {"KAFKA_URL": "k:9092", "CLUSTER_MODEL_LOCATION": "/c", "REGRESSION_MODEL_LOCATION": "/r"}
-    assert Settings.from_env(env) == Settings("k:9092", "/c", "/r") and Settings.from_env({}) == Settings()
+    env = {"KAFKA_URL": "k:9092", "CLUSTER_MODEL_LOCATION": "/c", "REGRESSION_MODEL_LOCATION": "/r", "WINDOW_DURATION": "2 minutes"}
+    assert Settings.from_env(env) == Settings("k:9092", "/c", "/r", "2 minutes") and Settings.from_env({}) == Settings()
     args = cli.parser(Settings.from_env(env)).parse_args(["score", "a", "b", "c"])
-    assert (args.servers, args.cluster_model, args.regression_model) == ("k:9092", "/c", "/r")
+    assert (args.servers, args.cluster_model, args.regression_model, args.window) == ("k:9092", "/c", "/r", "2 minutes")
     with pytest.raises(SystemExit):
         cli.parser(Settings()).parse_args(["score", "a", "b", "c"])
 
@@ -277,8 +281,13 @@ def test_the_whole_way_by_command_line(spark, sf_dir, tmp_path, capsys):
     keys = {r.key for r in spark.read.schema("key STRING").json(str(tmp_path / "keyed")).distinct().collect()}
     assert "stockholm" in keys and len(keys) > 2
     capsys.readouterr()
+    call("replay", "fcd", fcd, "--lines", tmp_path / "apart", "--on-ragged", "quarantine", "--rejected", tmp_path / "rejected")
+    assert "'rejected': 0" in capsys.readouterr().out and not (tmp_path / "rejected").exists()
+    paced = ("--rows-per-batch", 300, "--progress", tmp_path / "paced", "--every", "0.1 seconds")
+    call("replay", "fcd", fcd, "--lines", tmp_path / "in-order", *paced)
+    assert capsys.readouterr().out.strip() == "4"
     models = [tmp_path / "cmodel", tmp_path / "rmodel"]
-    call("train", fcd, emission, "--cluster-model", models[0], "--regression-model", models[1], "--max-rows", 1000)
+    call("train", fcd, emission, "--cluster-model", models[0], "--regression-model", models[1], "--max-rows", 1000, "--with-type", "--parts", 4)
     assert {"mse", "rmse", "mae", "silhouette"} <= set(eval(capsys.readouterr().out))  # noqa: S307
 
     loaded = learning.load(str(models[0]))
