@@ -30,7 +30,6 @@ import unicodedata
 import uuid
 from collections import deque
 from collections.abc import Iterator
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from roadpulse.llm.common import ready, table
+from roadpulse.llm.words import Words, spans
 
 WIDTH = 2048
 END = 1
@@ -68,48 +68,6 @@ _BEHIND = r"([a-z])([.,;:!?]) "
 _ENDS = re.compile(rb"(?:[.!?]|\xe2\x80\xa6|\xe3\x80\x82)(?:[\"')\]]|\xc2\xbb|\xe2\x80[\x99\x9d])*\Z")
 
 
-class Words:
-    """The words that a worker remembers, at most ``most``: their ids one after another in one array. When it is full, the
-    half that was used last stays."""
-
-    def __init__(self, most: int = REMEMBERED):
-        self.most, self.turn = most, 0
-        self.place: dict[bytes, int] = {}
-        self.ids = np.zeros(0, "<u4")
-        # Per word: where its ids are and how many, whether it ends a sentence, when it was used last.
-        self.first, self.size, self.used = (np.zeros(0, np.int64) for _ in range(3))
-        self.stops = np.zeros(0, bool)
-
-    def find(self, words: list[bytes]) -> np.ndarray:
-        """The number of each word, -1 for those not remembered."""
-        self.turn += 1
-        found = np.fromiter(map(self.place.get, words, repeat(-1)), np.int64, len(words))
-        self.used[found[found >= 0]] = self.turn
-        return found
-
-    def learn(self, words: list[bytes], ids: list[bytes], stops: list[bool]) -> None:
-        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        start = len(self.place)
-        self.first = np.concatenate([self.first, len(self.ids) + np.cumsum(size) - size])
-        self.size = np.concatenate([self.size, size])
-        self.used = np.concatenate([self.used, np.full(len(size), self.turn)])
-        self.stops = np.concatenate([self.stops, np.array(stops, bool)])
-        self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(ids), "<u4")])
-        self.place.update(zip(words, range(start, start + len(words))))
-
-    def shrink(self) -> None:
-        """Forgets words once they are too many; numbers change, so this comes when none is held."""
-        if len(self.place) <= self.most:
-            return
-        words = [w if len(w) <= LONGEST else None for w in self.place]
-        recent = np.argsort(-self.used, kind="stable")[: self.most // 2]
-        kept = np.array([k for k in np.sort(recent).tolist() if words[k] is not None], np.int64)
-        size = self.size[kept]
-        self.ids = self.ids[_spans(self.first[kept], size)]
-        self.first, self.size, self.used, self.stops = np.cumsum(size) - size, size, self.used[kept], self.stops[kept]
-        self.place = {words[k]: n for n, k in enumerate(kept.tolist())}
-
-
 def _parted(word: str) -> re.Match | None:
     """The letters of a word and the signs behind them, unless the tokenizer sees a mark between the two: it normalises
     a few letters to a letter and a mark, which signs are joined to."""
@@ -117,12 +75,6 @@ def _parted(word: str) -> re.Match | None:
     return m if m and (m[1].isascii() or unicodedata.normalize("NFC", m[1]).lower()[-1].isalpha()) else None
 
 
-def _spans(first: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """The numbers first, first + 1, ... of each span, one after another."""
-    upto = np.cumsum(size)
-    return np.repeat(first - (upto - size), size) + np.arange(upto[-1] if len(upto) else 0)
-
-
 class Encoder:
     """One tokenizer with the words it has met.
 
@@ -134,7 +86,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(model)
-        self.words, self.signs = Words(most), {}
+        self.words, self.signs = Words(most, LONGEST), {}
         suffix = json.loads(model)["model"]["end_of_word_suffix"]
         vocabulary = self.tokenizer.get_vocab()
         self.last = np.zeros(max(vocabulary.values()) + 1, bool)
@@ -188,7 +140,7 @@ class Encoder:
         size, stops = self.words.size[known], self.words.stops[known]
         lengths = size[place]
         upto = np.cumsum(lengths)
-        ids = self.words.ids[_spans(self.words.first[known][place], lengths)]
+        ids = self.words.ids[spans(self.words.first[known][place], lengths)]
         return ids, upto[place == kinds.index(_END)], upto[stops[place]]
 
 

@@ -34,14 +34,18 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from roadpulse.llm.common import Remembered, fresh_dir, landed, ready, table
+from roadpulse.llm.words import Words, blocks, spans
 
 END = 2
 MASK = 0xA282EAD8
 #: Bytes of text to a file, about.
 FILE_BYTES = 12_000_000
-#: Pieces remembered per worker and generation, and the longest of them.
-REMEMBERED = 150_000
+#: Texts that are encoded together, in bytes, about.
+BLOCK = 4_000_000
+#: Pieces remembered per worker, and the longest of them.
+REMEMBERED = 500_000
 LONGEST = 64
+_LISTS = pa.large_list(pa.large_string())
 _CUT = re.compile(r" (?=\S)")
 _ODD = re.compile(r" (?!\S)")
 #: Letters, signs that are neither letters, digits, white space nor apostrophes; a line feed, letters, signs.
@@ -79,12 +83,14 @@ def unframed(data: memoryview | bytes, offset: int) -> tuple[int | None, np.ndar
 class Encoder:
     """One tokenizer with the pieces it has met."""
 
-    def __init__(self, model: str):
+    def __init__(self, model: str, most: int = REMEMBERED):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(model)
-        self.pieces, self.bare = Remembered(REMEMBERED, LONGEST), Remembered(REMEMBERED // 4, LONGEST)
+        # Pieces behind a space, first pieces of texts, and the parts that pieces are put together from.
+        self.pieces, self.firsts = Words(most, LONGEST), Words(most // 8, LONGEST)
+        self.spaced, self.bare = Remembered(most // 4, LONGEST), Remembered(most // 16, LONGEST)
         self.feed = np.array(self.tokenizer.encode("\n", add_special_tokens=False).ids, "<u4").tobytes()
 
         # Bytes of each token: its letters stand for one byte each, but for those of added tokens.
@@ -116,16 +122,16 @@ class Encoder:
         skipped = 0 if space else 4  # the token of the line feed
         return [data[x + skipped : y] for x, y in zip([0, *stops[:-1].tolist()], stops.tolist())]
 
-    def _known(self, kinds: list[str]) -> list[bytes]:
+    def _behind_a_space(self, kinds: list[str]) -> list[bytes]:
         """Ids of pieces that follow a space. A word with signs behind it, or with a line feed and another word, is put
         together from parts: the tokenizer never joins letters with other signs."""
         shapes = [None if p.isalpha() else _SHAPE.fullmatch(p) for p in kinds]
         spaced = {m[1] if m else p for p, m in zip(kinds, shapes)}
         bare = {x for m in shapes if m for x in m.group(2, 3, 4) if x}
-        for memory, wanted, separator in ((self.pieces, spaced, " "), (self.bare, bare, "\n")):
+        for memory, wanted, separator in ((self.spaced, spaced, " "), (self.bare, bare, "\n")):
             fresh = memory.missing(wanted)
             memory.learn(fresh, self._joined(fresh, separator))
-        words, signs, feed, none = self.pieces.now, self.bare.now, self.feed, b""
+        words, signs, feed, none = self.spaced.now, self.bare.now, self.feed, b""
         found = []
         for p, m in zip(kinds, shapes):
             if m:
@@ -138,34 +144,50 @@ class Encoder:
                 found.append(words[p])
         return found
 
+    def _numbers(self, memory: Words, kinds: list[str], make) -> np.ndarray:
+        """The number of each kind in ``memory``, which learns those it hasn't."""
+        known = memory.find(kinds)
+        fresh = np.flatnonzero(known < 0)
+        if len(fresh):
+            new = [kinds[k] for k in fresh.tolist()]
+            memory.learn(new, make(new))
+            known[fresh] = np.arange(len(memory.size) - len(new), len(memory.size))
+        return known
+
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """Ids of each text, without an end."""
         texts = [t or "" for t in texts]
         if not texts:
             return []
+        self.pieces.shrink()
+        self.firsts.shrink()
         # Where every space has a word after it, all spaces are cuts; Arrow then splits and numbers the pieces.
         plain = [_ODD.search(t) is None for t in texts]
-        cuts = pc.split_pattern(pa.array([t for t, p in zip(texts, plain) if p], pa.string()), " ")
+        cuts = pc.split_pattern(pa.array([t for t, p in zip(texts, plain) if p], pa.large_string()), " ").cast(_LISTS)
         odd = [_CUT.split(t) for t, p in zip(texts, plain) if not p]
         if odd:
-            cuts = pa.concat_arrays([cuts, pa.array(odd, pa.list_(pa.string()))])
+            cuts = pa.concat_arrays([cuts, pa.array(odd, _LISTS)])
         order = np.argsort(~np.array(plain), kind="stable")
         pieces = cuts.flatten().dictionary_encode()
         place, kinds = pieces.indices.to_numpy().astype(np.int64), pieces.dictionary.to_pylist()
         ends = np.cumsum(np.asarray(cuts.value_lengths()))
         starts = np.r_[0, ends[:-1]]
 
-        known = self._known(kinds)
         # A text's first piece has no space before it.
-        known += self._each([kinds[k] for k in place[starts]])
-        place[starts] = len(kinds) + np.arange(len(starts))
-        sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
-        ids, firsts = np.frombuffer(b"".join(known), "<u4"), np.cumsum(sizes) - sizes
-        lengths = sizes[place]
-        upto = np.cumsum(lengths)
-        flat = ids[np.repeat(firsts[place] - (upto - lengths), lengths) + np.arange(upto[-1])]
+        inner = np.ones(len(place), bool)
+        inner[starts] = False
+        used = np.unique(place[inner])
+        number = np.zeros(len(kinds), np.int64)
+        number[used] = self._numbers(self.pieces, [kinds[k] for k in used.tolist()], self._behind_a_space)
+        opening, which = np.unique(place[starts], return_inverse=True)
+        firsts = self._numbers(self.firsts, [kinds[k] for k in opening.tolist()], self._each)[which]
+        sizes, at = np.empty((2, len(place)), np.int64)
+        behind = number[place[inner]]
+        sizes[inner], at[inner] = self.pieces.size[behind], self.pieces.first[behind]
+        sizes[starts], at[starts] = self.firsts.size[firsts], self.firsts.first[firsts] + len(self.pieces.ids)
+        flat = np.concatenate([self.pieces.ids, self.firsts.ids])[spans(at, sizes)]
         found = [flat] * len(texts)
-        stops = upto[ends - 1]
+        stops = np.cumsum(sizes)[ends - 1]
         for k, x, y in zip(order.tolist(), [0, *stops[:-1].tolist()], stops.tolist()):
             found[k] = flat[x:y]
         return found
@@ -192,13 +214,11 @@ def write(documents: DataFrame, model: str, folder: str, end: int = END) -> None
 
     def run(batches):
         encoder = _loaded(name, shared.value)
-        for whole in batches:
-            for start in range(0, whole.num_rows, 500):
-                batch = whole.slice(start, 500)
-                found = encoder.encode(batch.column("text").to_pylist())
-                ids = batch.column("doc_id").to_pylist()
-                frames = [framed(i, np.append(x, np.uint32(end))) for i, x in zip(ids, found)]
-                yield pa.RecordBatch.from_arrays([pa.array(frames, pa.binary())], ["record"])
+        for batch in blocks(batches, "text", BLOCK):
+            found = encoder.encode(batch.column("text").to_pylist())
+            ids = batch.column("doc_id").to_pylist()
+            frames = [framed(i, np.append(x, np.uint32(end))) for i, x in zip(ids, found)]
+            yield pa.RecordBatch.from_arrays([pa.array(frames, pa.binary())], ["record"])
 
     # A binary value cast to string keeps its bytes, and the writer of lines writes them as they are.
     records = ranges.mapInArrow(run, "record binary").select(F.col("record").cast("string").alias("value"))
