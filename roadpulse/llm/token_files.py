@@ -41,13 +41,15 @@ MASK = 0xA282EAD8
 #: Bytes of text to a file, about.
 FILE_BYTES = 12_000_000
 #: Texts that are encoded together, in bytes, about.
-BLOCK = 4_000_000
+BLOCK = 3_000_000
 #: Pieces remembered per worker, and the longest of them.
-REMEMBERED = 500_000
+REMEMBERED = 300_000
 LONGEST = 64
 _LISTS = pa.large_list(pa.large_string())
 _CUT = re.compile(r" (?=\S)")
 _ODD = re.compile(r" (?!\S)")
+#: One sign behind a letter, before a space.
+_BEHIND = r"(\p{L})([.,;:!?]) "
 #: Letters, signs that are neither letters, digits, white space nor apostrophes; a line feed, letters, signs.
 _SHAPE = re.compile(r"([^\W\d_]+)([^\s\w']+)?(?:\n([^\W\d_]+)([^\s\w']+)?)?")
 
@@ -88,7 +90,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(model)
-        # Pieces behind a space, first pieces of texts, and the parts that pieces are put together from.
+        # Pieces behind a space, those without one, and the parts that pieces are put together from.
         self.pieces, self.firsts = Words(most, LONGEST), Words(most // 8, LONGEST)
         self.spaced, self.bare = Remembered(most // 4, LONGEST), Remembered(most // 16, LONGEST)
         self.feed = np.array(self.tokenizer.encode("\n", add_special_tokens=False).ids, "<u4").tobytes()
@@ -144,13 +146,13 @@ class Encoder:
                 found.append(words[p])
         return found
 
-    def _numbers(self, memory: Words, kinds: list[str], make) -> np.ndarray:
+    def _numbers(self, memory: Words, kinds: list[bytes], make) -> np.ndarray:
         """The number of each kind in ``memory``, which learns those it hasn't."""
         known = memory.find(kinds)
         fresh = np.flatnonzero(known < 0)
         if len(fresh):
             new = [kinds[k] for k in fresh.tolist()]
-            memory.learn(new, make(new))
+            memory.learn(new, make([k.decode("utf-8", "surrogatepass") for k in new]))
             known[fresh] = np.arange(len(memory.size) - len(new), len(memory.size))
         return known
 
@@ -161,30 +163,36 @@ class Encoder:
             return []
         self.pieces.shrink()
         self.firsts.shrink()
-        # Where every space has a word after it, all spaces are cuts; Arrow then splits and numbers the pieces.
+        # Where every space has a word after it, all spaces are cuts, and a sign behind a letter is cut off by two; Arrow
+        # then splits and numbers the pieces.
         plain = [_ODD.search(t) is None for t in texts]
-        cuts = pc.split_pattern(pa.array([t for t, p in zip(texts, plain) if p], pa.large_string()), " ").cast(_LISTS)
+        signed = pc.replace_substring_regex(pa.array([t for t, p in zip(texts, plain) if p], pa.large_string()), _BEHIND, r"\1  \2 ")
+        cuts = pc.split_pattern(signed, " ").cast(_LISTS)
         odd = [_CUT.split(t) for t, p in zip(texts, plain) if not p]
         if odd:
             cuts = pa.concat_arrays([cuts, pa.array(odd, _LISTS)])
         order = np.argsort(~np.array(plain), kind="stable")
-        pieces = cuts.flatten().dictionary_encode()
+        pieces = cuts.flatten().cast(pa.large_binary()).dictionary_encode()
         place, kinds = pieces.indices.to_numpy().astype(np.int64), pieces.dictionary.to_pylist()
         ends = np.cumsum(np.asarray(cuts.value_lengths()))
         starts = np.r_[0, ends[:-1]]
 
-        # A text's first piece has no space before it.
+        # A text's first piece has no space before it, nor has a sign that was cut off: it is behind an empty piece.
         inner = np.ones(len(place), bool)
         inner[starts] = False
-        used = np.unique(place[inner])
-        number = np.zeros(len(kinds), np.int64)
-        number[used] = self._numbers(self.pieces, [kinds[k] for k in used.tolist()], self._behind_a_space)
-        opening, which = np.unique(place[starts], return_inverse=True)
-        firsts = self._numbers(self.firsts, [kinds[k] for k in opening.tolist()], self._each)[which]
-        sizes, at = np.empty((2, len(place)), np.int64)
-        behind = number[place[inner]]
-        sizes[inner], at[inner] = self.pieces.size[behind], self.pieces.first[behind]
-        sizes[starts], at[starts] = self.firsts.size[firsts], self.firsts.first[firsts] + len(self.pieces.ids)
+        empty = kinds.index(b"") if b"" in kinds else -1
+        bare = np.flatnonzero((place[:-1] == empty) & inner[:-1] & inner[1:]) + 1
+        inner[bare] = False
+        inner &= place != empty
+        sizes, at = np.zeros((2, len(place)), np.int64)
+        for memory, where, make in (
+            (self.pieces, np.flatnonzero(inner), self._behind_a_space),
+            (self.firsts, np.concatenate([starts, bare]), self._each),
+        ):
+            used, which = np.unique(place[where], return_inverse=True)
+            number = self._numbers(memory, [kinds[k] for k in used.tolist()], make)
+            sizes[where] = memory.size[number][which]
+            at[where] = memory.first[number][which] + (len(self.pieces.ids) if memory is self.firsts else 0)
         flat = np.concatenate([self.pieces.ids, self.firsts.ids])[spans(at, sizes)]
         found = [flat] * len(texts)
         stops = np.cumsum(sizes)[ends - 1]
