@@ -7,7 +7,8 @@ in proportion to its target, and the cut falls near time 1, where each has just
 
 Prefix sums never gather a source or the whole table: sums by slice of the hash first, then sums inside each slice; the
 same for slices of the finish time. A slice holds about ``SLICE`` rows at any table size. The order is a hash of id and
-text, so reruns agree; rows with equal hashes share one place, and all of them are in the mix or none.
+text, so reruns agree. Rows that are equal in both are counted first, queue up as one and are numbered behind that, so
+that however many they are, they meet in no task and the cut may fall between them.
 
 Defined results: null text has size 0; null sources form a source of their own, the last; rows of size 0 take no words
 and, like any row, are in the mix once for each round that gets as far; a source without words has target 0 and none of
@@ -40,7 +41,7 @@ def order_of(doc_id: str = "doc_id", text: str = "text") -> Column:
 def targets(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
     """A row per source: rank, source, docs, source_size, target. Targets share all words by weight; what a capped
     target can't take goes to the others by weight. One row per source meets in one task."""
-    by = sized.groupBy("source").agg(F.count("*").alias("docs"), F.sum("size").alias("source_size"))
+    by = sized.groupBy("source").agg(F.count("*").alias("docs"), F.sum(F.col("size") * F.col("rows")).alias("source_size"))
     everything = Window.partitionBy(F.lit(0))
     by = by.withColumn("rank", F.row_number().over(everything.orderBy(F.col("source").asc_nulls_last())) - 1)
     weight = F.element_at(F.array(*map(F.lit, weights)), (F.col("rank") % len(weights) + 1).cast("int")).cast("double")
@@ -64,8 +65,9 @@ def _finish(round_: Column | int) -> Column:
 
 @dataclass
 class Mix:
-    """``rows``: rank, doc_id, size, source_size, target, draw, upto (words of the source up to this row) and copies;
-    ``sources``: source, target and the place of the last copy, round and draw; ``cut``: the last finish time."""
+    """``rows``: rank, doc_id, size, source_size, target, draw, number (among equal rows, from 1), upto (words of the source
+    up to this row) and copies; ``sources``: source, target and the place of the last copy, round, draw and number;
+    ``cut``: the last finish time."""
 
     rows: DataFrame
     sources: DataFrame
@@ -75,30 +77,47 @@ class Mix:
 def plan(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> Mix:
     """The mix of ``documents`` (doc_id, text, source)."""
     words = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    sized = landed(documents.select("doc_id", "source", words.alias("size"), order_of().alias("draw")), "sized")
+    sized = documents.select("doc_id", "source", words.alias("size"), order_of().alias("draw"))
+    sized = landed(sized.groupBy("doc_id", "source", "size", "draw").agg(F.count(F.lit(1)).alias("rows")), "sized")
     sources = landed(targets(sized, weights, most), "targets")
     ranked = sized.join(sources.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of")))
     slices = F.ceil(F.col("docs") / SLICE)
     share = F.conv(F.substring("draw", 1, 8), 16, 10).cast("double") / 2.0**32
     ranked = ranked.select(
-        "rank", "doc_id", "size", "source_size", "target", "draw", F.least(F.floor(share * slices), slices - 1).alias("slice")
-    )
-    sums = ranked.groupBy("rank", "slice").agg(F.sum("size").alias("sum"))
+        "rank", "doc_id", "size", "rows", "source_size", "target", "draw", F.least(F.floor(share * slices), slices - 1).alias("slice")
+    ).withColumn("words", F.col("size") * F.col("rows"))
+    sums = ranked.groupBy("rank", "slice").agg(F.sum("words").alias("sum"))
     earlier = Window.partitionBy("rank").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.select("rank", "slice", F.coalesce(F.sum("sum").over(earlier), F.lit(0)).alias("start"))
-    inside = Window.partitionBy("rank", "slice").orderBy("draw").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    upto = ranked.withColumn("inside", F.sum("size").over(inside)).join(sums, ["rank", "slice"])
-    rows = landed(upto.withColumn("upto", F.col("start") + F.col("inside")).drop("slice", "inside", "start"), "queues")
+    # Different rows of one hash, if there are any, follow each other by id and size.
+    inside = Window.partitionBy("rank", "slice").orderBy("draw", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    begun = ranked.withColumn("inside", F.coalesce(F.sum("words").over(inside), F.lit(0))).join(sums, ["rank", "slice"])
+    begun = begun.withColumn("begin", F.col("start") + F.col("inside")).drop("slice", "inside", "start", "words")
+    rows = landed(_numbered(landed(begun, "groups")), "queues")
 
     cut = _cut(rows, most)
     copies = F.lit(0)
     for r in range(1, most + 1):
         copies = copies + F.coalesce((_finish(r) <= F.lit(cut)).cast("int"), F.lit(0))
     rows = rows.withColumn("copies", F.when(F.col("target") > 0, copies).otherwise(0))
-    last = rows.where("copies > 0").groupBy("rank").agg(F.max(F.struct(F.col("copies").alias("round"), F.col("draw").alias("draw"))).alias("last"))
+    place = F.struct(F.col("copies").alias("round"), "draw", "number")
+    last = rows.where("copies > 0").groupBy("rank").agg(F.max(place).alias("last"))
     return Mix(rows, sources.join(last, "rank", "left").select("source", "target", "last"), cut)
 
 
+def _numbered(groups: DataFrame) -> DataFrame:
+    """A row for each row that was counted. Large counts are dealt out in chunks over all tasks before."""
+    one = groups.where("rows = 1").withColumn("number", F.lit(1).cast("long"))
+    chunk = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("rows") - 1) / SLICE)))
+    many = groups.where("rows > 1").withColumn("chunk", chunk)
+    tasks = int(groups.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    many = many.repartition(tasks, "draw", "chunk")
+    first, last = F.col("chunk") * SLICE + 1, F.least((F.col("chunk") + 1) * SLICE, F.col("rows"))
+    many = many.withColumn("number", F.explode(F.sequence(first, last))).drop("chunk")
+    rows = one.unionByName(many)
+    return rows.withColumn("upto", F.col("begin") + F.col("number") * F.col("size")).drop("begin", "rows")
+
+
 def _cut(rows: DataFrame, most: int) -> float | None:
     """The finish time of the last copy within the budget."""
     total = rows.agg(F.count("*").alias("n"), F.sum("size").alias("words")).first()
@@ -123,14 +142,31 @@ def _cut(rows: DataFrame, most: int) -> float | None:
 
 def mixed(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
     """``documents`` as the mix has them: a row for each copy. Each source's last place says what is in, so texts
-    stay where they are."""
-    cuts = landed(plan(documents, weights, most).sources.where("last is not null"), "cuts")
+    stay where they are; only rows equal to the last one of their source are written, to be numbered."""
+    cuts = landed(plan(documents, weights, most).sources.where("last is not null").select("source", "last"), "cuts")
     cuts = F.broadcast(cuts) if cuts.count() <= SENT else cuts
-    cuts = cuts.select(F.col("source").alias("__of"), F.col("last.round").alias("__round"), F.col("last.draw").alias("__last"))
-    copies = F.col("__round") - (order_of() > F.col("__last")).cast("int")
-    found = documents.join(cuts, F.col("source").eqNullSafe(F.col("__of")))
-    found = found.withColumn("__copy", F.explode(F.array_repeat(F.lit(0), copies)))
-    return found.select(*(documents[c] for c in documents.columns))
+    # The caller's row is one column here, whatever its columns are called.
+    found = documents.select(F.struct("*").alias("row")).join(cuts, F.col("row.source").eqNullSafe(F.col("source")))
+    found = found.select("row", "source", "last", order_of("row.doc_id", "row.text").alias("draw"))
+    copies = F.col("last.round") - (F.col("draw") > F.col("last.draw")).cast("int")
+    plain = found.where(F.col("draw") != F.col("last.draw")).select("row", copies.alias("copies"))
+    border = found.where(F.col("draw") == F.col("last.draw")).withColumn("turn", F.monotonically_increasing_id())
+    border = _places(landed(border, "border"))
+    beyond = (F.col("number") > F.col("last.number")).cast("int")
+    rows = plain.unionByName(border.select("row", (F.col("last.round") - beyond).alias("copies")))
+    return rows.select("row", F.explode(F.array_repeat(F.lit(0), F.col("copies"))).alias("copy")).select("row.*")
+
+
+def _places(border: DataFrame) -> DataFrame:
+    """Equal rows (source, turn) with their ``number`` from 1 on, counted by the task that read them first."""
+    border = border.withColumn("task", F.shiftright("turn", 33))
+    counts = border.groupBy("source", "task").agg(F.count(F.lit(1)).alias("n"))
+    earlier = Window.partitionBy("source").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select(F.col("source").alias("of"), F.col("task").alias("by"), F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    inside = F.row_number().over(Window.partitionBy("source", "task").orderBy("turn"))
+    numbered = border.withColumn("inside", inside)
+    numbered = numbered.join(counts, F.col("source").eqNullSafe(F.col("of")) & (F.col("task") == F.col("by")))
+    return numbered.withColumn("number", F.col("before") + F.col("inside"))
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -163,7 +199,7 @@ ORACLES = {
         ),
         targets AS (SELECT source, source_size, least(cap, max(level) OVER () * weight) AS target FROM levels),
         queued AS (
-          SELECT s.*, t.source_size, t.target, sum(size) OVER (PARTITION BY s.source ORDER BY draw) AS upto
+          SELECT s.*, t.source_size, t.target, sum(size) OVER (PARTITION BY s.source ORDER BY draw ROWS UNBOUNDED PRECEDING) AS upto
           FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source
         ),
         copies AS (

@@ -3,6 +3,7 @@ from __future__ import annotations
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from llm.odd import documents, empty, words
 from roadpulse.llm import mixing
@@ -93,3 +94,40 @@ def test_hot_source_and_small_slices(spark, monkeypatch):
 def test_empty_table(spark):
     assert mixing.plan(empty(spark)).rows.count() == 0
     assert mixing.mixed(empty(spark)).count() == 0
+
+
+def test_equal_rows_are_cut_among_themselves(spark):
+    """3,000 equal rows: each source is served to within a row of its target, and rows of one place differ in the mix."""
+    text, other = " ".join(["w"] * 5), "one two three"
+    rows = [(1, text, "a", k) for k in range(3000)] + [(k, f"{other} {k}", "b", k) for k in range(5000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, tag long").repartition(7)
+    plan = mixing.plan(docs)
+    sizes = {r.source: (r.target, r.size) for r in mixing.targets(plan_sizes(docs)).selectExpr("source", "target", "1 AS size").collect()}
+    taken = plan.rows.groupBy("rank").agg(F.sum(F.col("size") * F.col("copies")).alias("n")).orderBy("rank").collect()
+    for rank, source, size in ((0, "a", 5), (1, "b", 4)):
+        assert abs(taken[rank].n - sizes[source][0]) <= size
+    mix = mixing.mixed(docs)
+    assert mix.columns == docs.columns
+    count = {r.source: r.n for r in mix.groupBy("source").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert count["a"] * 5 == taken[0].n and count["b"] * 4 == taken[1].n
+    # Copies of equal rows differ by one at most.
+    per_row = mix.where("source = 'a'").groupBy("tag").count().agg(F.min("count").alias("a"), F.max("count").alias("b")).first()
+    assert per_row.b - per_row.a <= 1
+    assert [tuple(r) for r in taken] == [tuple(r) for r in mixing.plan(docs.repartition(3)).rows.groupBy("rank").agg(
+        F.sum(F.col("size") * F.col("copies")).alias("n")).orderBy("rank").collect()]
+
+
+def plan_sizes(docs):
+    words = F.coalesce(F.regexp_count("text", F.lit(mixing.WORD)), F.lit(0)).cast("long")
+    return docs.select("source", words.alias("size"), F.lit(1).cast("long").alias("rows"))
+
+
+def test_columns_named_as_the_helpers_name_theirs(spark):
+    docs = documents(spark)
+    for name in ("__copy", "__of", "__round", "__last", "row", "last", "draw", "copies", "number", "turn", "task", "border", "rows"):
+        docs = docs.withColumn(name, F.lit("kept"))
+    mix = mixing.mixed(docs)
+    assert mix.columns == docs.columns
+    plain = mixing.mixed(documents(spark))
+    assert sorted(map(str, mix.select("doc_id", "text").collect())) == sorted(map(str, plain.select("doc_id", "text").collect()))
+    assert mix.where("row <> 'kept' or draw <> 'kept' or __copy <> 'kept'").count() == 0
