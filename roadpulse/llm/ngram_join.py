@@ -41,6 +41,8 @@ PIVOTS = 8
 #: Classes that one task compares at once, and list entries that one task sorts at once.
 BLOCK = 1000
 ENTRIES = 1_000_000
+#: Tasks that the members of one region are dealt to where regions are looked up.
+SALTS = 16
 
 
 def _class_of(shingles: np.ndarray) -> int:
@@ -288,8 +290,12 @@ def links(documents: DataFrame, found: DataFrame) -> DataFrame:
     spark = documents.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     by = found.where("class is not null").groupBy("class")
-    by = by.agg(F.max("n_shingles").alias("n_shingles"), F.min("doc_id").alias("doc_id"), F.sum("common").alias("common"))
-    left = landed(by.where("common > 3 * n_shingles div 32").select("class", "doc_id"), "screened")
+    # One row stands for its class: ids repeat with other texts, so its text's hash names it as well.
+    place = F.struct(F.col("doc_id").isNull().alias("blank"), "doc_id", "copy")
+    stands = F.min(F.when(F.col("common").isNull(), place)).alias("stands")
+    by = by.agg(F.max("n_shingles").alias("n_shingles"), F.sum("common").alias("common"), stands)
+    left = by.where("common > 3 * n_shingles div 32").select("class", "stands.doc_id", "stands.copy")
+    left = landed(left, "screened")
 
     def make():
         def work(batch):
@@ -305,15 +311,11 @@ def links(documents: DataFrame, found: DataFrame) -> DataFrame:
 
         return work
 
-    # One document of each class is read again; its id may be null, and ids may repeat with other texts.
-    texts = documents.select("doc_id", "text", _copy().alias("copy"))
-    texts = texts.join(left.where("doc_id is not null").hint("merge"), "doc_id").dropDuplicates(["doc_id", "class", "copy"])
-    texts = texts.select("text", "class")
-    anonymous = left.where("doc_id is null")
-    if not anonymous.isEmpty():
-        blank = documents.where("doc_id is null and text is not null").select("doc_id", "text")
-        hashed = map_batches(blank, _class_column, "doc_id long, text string, class long")
-        texts = texts.unionByName(hashed.join(anonymous.select("class"), "class").dropDuplicates(["class"]).select("text", "class"))
+    # One document of each class is read again. Its id may be null, its row repeated.
+    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", _copy().alias("copy"))
+    left = left.select("class", F.col("doc_id").alias("of"), F.col("copy").alias("by")).hint("merge")
+    texts = texts.join(left, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("copy") == F.col("by")))
+    texts = texts.dropDuplicates(["class"]).select("text", "class")
     sets = landed(map_batches(texts, make, "class long, size long, shingles binary, listed array<long>"), "sets")
     return _joined(_regions(sets), sets.select("class", "shingles"), parts)
 
@@ -334,12 +336,19 @@ def _regions(sets: DataFrame) -> DataFrame:
     members = landed(members, "members")
     # Relabelled by the smallest class that is still in it.
     smallest = members.groupBy("region").agg(F.min("class").alias("pivot"))
-    members = members.join(smallest, "region").select(F.col("pivot").alias("region"), "class").distinct()
+    members = _dealt(members, smallest).select(F.col("pivot").alias("region"), "class").distinct()
     members = landed(members, "members")
     homes = members.groupBy("class").agg(F.min("region").alias("home"))
     homes = members.join(homes, "class").groupBy("region").agg(F.min("home").alias("a"), F.max("home").alias("b"), F.count("*").alias("members"))
     own = homes.where("(a <> b or a = region) and members > 1").select("region", "members")
-    return landed(members.join(own, "region"), "regions")
+    return landed(_dealt(members, own), "regions")
+
+
+def _dealt(members: DataFrame, regions: DataFrame) -> DataFrame:
+    """``members`` (region, class) joined with a row of each region: a large region is dealt to ``SALTS`` tasks."""
+    salted = regions.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    members = members.withColumn("salt", F.pmod(F.xxhash64("class"), F.lit(SALTS)).cast("int"))
+    return members.join(salted, ["region", "salt"]).drop("salt")
 
 
 _FOUND = "a long, b long, far double, linked boolean"
@@ -393,15 +402,6 @@ def _rest(measured: DataFrame, held: DataFrame, groups: int) -> DataFrame:
     return dealt.applyInArrow(lambda t: _across(t), "a long, b long")
 
 
-def _class_column():
-    def work(batch):
-        sets = [shingle_set(t) for t in batch.column("text").to_pylist()]
-        kinds = pa.array([_class_of(s) if len(s) else None for s in sets], pa.int64())
-        return _batch(doc_id=batch.column("doc_id").cast(pa.int64()), text=batch.column("text"), **{"class": kinds})
-
-    return work
-
-
 def grouped(documents: DataFrame) -> DataFrame:
     """A row for each row of ``documents`` (doc_id, text): doc_id, copy, n_shingles, class, root, component_id. Rows of
     one root are one group; class and root are null for empty sets."""
@@ -422,15 +422,15 @@ def grouped(documents: DataFrame) -> DataFrame:
 
 def representatives(documents: DataFrame) -> DataFrame:
     """``documents`` with one row of each group, that with the smallest id; rows without words all stay."""
-    rows = grouped(documents).where("root is not null")
+    rows = grouped(documents.select("doc_id", "text")).where("root is not null")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("blank"), F.col("doc_id").alias("id"), F.col("copy").alias("copy")))
     kept = landed(rows.groupBy("root").agg(first.alias("first")).select("first.id", "first.copy").distinct(), "kept")
-    wordy = F.coalesce(F.col("text").rlike(WORD), F.lit(False))
-    kept = kept.select(F.col("id").alias("__id"), F.col("copy").alias("__copy"))
-    found = documents.where(wordy).withColumn("__text", _copy())
-    found = found.join(kept, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__text") == F.col("__copy")))
-    found = found.dropDuplicates(["__id", "__copy"]).select(documents.columns)
-    return found.unionByName(documents.where(~wordy))
+    # The caller's row is one column here, whatever its columns are called.
+    whole = documents.select(F.struct("*").alias("row"))
+    wordy = F.coalesce(F.col("row.text").rlike(WORD), F.lit(False))
+    found = whole.where(wordy).withColumns({"of": F.col("row.doc_id").cast("long"), "by": F.xxhash64("row.text")})
+    found = found.join(kept, F.col("of").eqNullSafe(F.col("id")) & (F.col("by") == F.col("copy"))).dropDuplicates(["id", "copy"])
+    return found.select("row.*").unionByName(whole.where(~wordy).select("row.*"))
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:

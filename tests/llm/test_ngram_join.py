@@ -4,6 +4,7 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from llm.odd import documents, empty, prose, shingles
 from roadpulse.llm import ngram_join
@@ -139,3 +140,33 @@ def test_copies_of_a_text_do_not_meet_in_one_bucket(spark, monkeypatch):
     got = ngram_join.survey(docs).where("n_shingles is not null").collect()
     assert sorted(r.doc_id for r in got) == list(range(4000)) and {r.n_shingles for r in got} == {0, 26}
     assert max(r["copy"] for r in got) < 1000
+
+
+def test_one_id_may_have_many_texts(spark):
+    """Different texts, near copies among them, under one id: as many classes, each read once."""
+    import time
+
+    made = [prose(k, 40) for k in range(1500)]
+    texts = made + [t + " end" for t in made[:300]] + made[:200]
+    one = spark.createDataFrame([(7 if k % 3 else None, t) for k, t in enumerate(texts)], "doc_id long, text string").repartition(8)
+    each = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(8)
+    spent = []
+    for docs in (each, one, each, one):
+        started = time.monotonic()
+        rows = ngram_join.grouped(docs).groupBy("root").count().groupBy("count").agg(F.count(F.lit(1)).alias("n")).collect()
+        spent.append(time.monotonic() - started)
+        groups = {r["count"]: r.n for r in rows}
+        assert groups == {3: 200, 2: 100, 1: 1200}
+    assert spent[3] < 2 * spent[2] + 2
+
+
+def test_columns_named_as_the_helpers_name_theirs(spark):
+    docs = documents(spark)
+    names = ("__id", "__copy", "__text", "row", "id", "copy", "of", "by", "root", "salt")
+    for name in names:
+        docs = docs.withColumn(name, F.lit("kept"))
+    kept = ngram_join.representatives(docs)
+    assert kept.columns == docs.columns
+    assert all(r[name] == "kept" for r in kept.collect() for name in names)
+    plain = ngram_join.representatives(documents(spark))
+    assert sorted(map(str, kept.select("doc_id", "text").collect())) == sorted(map(str, plain.select("doc_id", "text").collect()))
