@@ -8,8 +8,9 @@ import xxhash
 from roadpulse.llm.common import words_of
 
 WIDTH = 5
-#: Word hashes remembered per worker, then forgotten together.
+#: Word hashes remembered per worker, then forgotten together, and the longest words among them.
 REMEMBERED = 400_000
+LONGEST = 64
 _known: dict[bytes, int] = {}
 _TURN = [np.uint64(pow(0x9E3779B97F4A7C15, k, 2**64)) for k in range(1, WIDTH + 1)]
 
@@ -17,9 +18,15 @@ _TURN = [np.uint64(pow(0x9E3779B97F4A7C15, k, 2**64)) for k in range(1, WIDTH +
 def _hashes(words: list[bytes]) -> np.ndarray:
     if len(_known) > REMEMBERED:
         _known.clear()
+    once = []
     for w in set(words).difference(_known):
         _known[w] = xxhash.xxh3_64_intdigest(w) - 2**63
-    return np.fromiter(map(_known.__getitem__, words), np.int64, len(words)).view(np.uint64)
+        if len(w) > LONGEST:
+            once.append(w)
+    found = np.fromiter(map(_known.__getitem__, words), np.int64, len(words)).view(np.uint64)
+    for w in once:
+        del _known[w]
+    return found
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:

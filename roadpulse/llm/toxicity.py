@@ -40,6 +40,8 @@ FLOOR = 3.0
 UNIT = 0.002
 #: Words remembered per worker with their evidence, then forgotten together.
 REMEMBERED = 300_000
+#: Bytes of the longest word that is remembered.
+LONGEST = 64
 
 
 def _bits(letters: dict[str, int]) -> int:
@@ -170,6 +172,9 @@ def _mean_evidence(models: Models, key: str, texts: list[str | None]) -> np.ndar
         for k, words in enumerate(part, start):
             if words:
                 means[k] = sum(map(known.__getitem__, words)) / len(words)
+        for w in fresh:
+            if len(w) > LONGEST:
+                del known[w]
     return means
 
 
