@@ -15,8 +15,10 @@ from roadpulse.llm.common import landed, ready
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is below 0.5, learnt from the labels of ``sf_dir``."""
     models = toxicity.train(docs, toxicity.labels_to_learn(ready(spark), sf_dir))
-    scored = toxicity.score(docs, models, into="__toxicity")
-    return scored.where(F.col("__toxicity") < 0.5).select(docs.columns)
+    into = "toxicity"
+    while into in docs.columns:
+        into += "_"
+    return toxicity.score(docs, models, into=into).where(F.col(into) < 0.5).drop(into)
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
