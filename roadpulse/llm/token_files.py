@@ -33,7 +33,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from roadpulse.llm.common import Remembered, fresh_dir, landed, ready, table
+from roadpulse.llm.common import fresh_dir, landed, ready, table
 from roadpulse.llm.words import Words, blocks, spans
 
 END = 2
@@ -43,15 +43,13 @@ FILE_BYTES = 12_000_000
 #: Texts that are encoded together, in bytes, about.
 BLOCK = 3_000_000
 #: Pieces remembered per worker, and the longest of them.
-REMEMBERED = 300_000
+REMEMBERED = 400_000
 LONGEST = 64
 _LISTS = pa.large_list(pa.large_string())
 _CUT = re.compile(r" (?=\S)")
 _ODD = re.compile(r" (?!\S)")
 #: One sign behind a letter, before a space.
 _BEHIND = r"(\p{L})([.,;:!?]) "
-#: Letters, signs that are neither letters, digits, white space nor apostrophes; a line feed, letters, signs.
-_SHAPE = re.compile(r"([^\W\d_]+)([^\s\w']+)?(?:\n([^\W\d_]+)([^\s\w']+)?)?")
 
 
 def masked(data: bytes) -> int:
@@ -90,10 +88,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(model)
-        # Pieces behind a space, those without one, and the parts that pieces are put together from.
+        # Pieces behind a space, and those without one.
         self.pieces, self.firsts = Words(most, LONGEST), Words(most // 8, LONGEST)
-        self.spaced, self.bare = Remembered(most // 4, LONGEST), Remembered(most // 16, LONGEST)
-        self.feed = np.array(self.tokenizer.encode("\n", add_special_tokens=False).ids, "<u4").tobytes()
 
         # Bytes of each token: its letters stand for one byte each, but for those of added tokens.
         special = {k: len(t.content.encode()) for k, t in self.tokenizer.get_added_tokens_decoder().items()}
@@ -103,48 +99,23 @@ class Encoder:
             self.widths[k] = special.get(k, len(token))
         self.tokenizer.post_processor = None  # it would only trim offsets
 
-    def _each(self, pieces: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
+    def _each(self, pieces: list[bytes]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast([p.decode() for p in pieces], add_special_tokens=False)
         return [np.array(x.ids, "<u4").tobytes() for x in found]
 
-    def _joined(self, pieces: list[str], separator: str) -> list[bytes]:
-        """Ids of each piece: with the separator before it, if that is a space, else alone. All are encoded as one
-        text, told apart by the bytes of the tokens."""
+    def _behind_a_space(self, pieces: list[bytes]) -> list[bytes]:
+        """Ids of each piece with a space before it. All are encoded as one text, told apart by the bytes of the tokens."""
         if not pieces:
             return []
-        space = separator == " "
-        text = separator + separator.join(pieces)
-        ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
-        ends = np.cumsum([len(p.encode("utf-8", "surrogatepass")) + 1 for p in pieces])
+        text = b" " + b" ".join(pieces)
+        ids = np.array(self.tokenizer.encode_batch_fast([text.decode()], add_special_tokens=False)[0].ids, "<u4")
+        ends = np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces)) + 1)
         reached = np.cumsum(self.widths[ids])
-        stops = np.searchsorted(reached, ends)
+        stops = np.minimum(np.searchsorted(reached, ends), len(ids) - 1)
         if stops[-1] + 1 != len(ids) or (reached[stops] != ends).any():
-            return self._each([f" {p}" if space else p for p in pieces])
-        data, stops = ids.tobytes(), (stops + 1) * 4
-        skipped = 0 if space else 4  # the token of the line feed
-        return [data[x + skipped : y] for x, y in zip([0, *stops[:-1].tolist()], stops.tolist())]
-
-    def _behind_a_space(self, kinds: list[str]) -> list[bytes]:
-        """Ids of pieces that follow a space. A word with signs behind it, or with a line feed and another word, is put
-        together from parts: the tokenizer never joins letters with other signs."""
-        shapes = [None if p.isalpha() else _SHAPE.fullmatch(p) for p in kinds]
-        spaced = {m[1] if m else p for p, m in zip(kinds, shapes)}
-        bare = {x for m in shapes if m for x in m.group(2, 3, 4) if x}
-        for memory, wanted, separator in ((self.spaced, spaced, " "), (self.bare, bare, "\n")):
-            fresh = memory.missing(wanted)
-            memory.learn(fresh, self._joined(fresh, separator))
-        words, signs, feed, none = self.spaced.now, self.bare.now, self.feed, b""
-        found = []
-        for p, m in zip(kinds, shapes):
-            if m:
-                first, mark, second, last = m.groups()
-                ids = words[first] + (signs[mark] if mark else none)
-                if second:
-                    ids += feed + signs[second] + (signs[last] if last else none)
-                found.append(ids)
-            else:
-                found.append(words[p])
-        return found
+            return self._each([b" " + p for p in pieces])
+        data, stops = ids.tobytes(), ((stops + 1) * 4).tolist()
+        return [data[x:y] for x, y in zip([0, *stops[:-1]], stops)]
 
     def _numbers(self, memory: Words, kinds: list[bytes], make) -> np.ndarray:
         """The number of each kind in ``memory``, which learns those it hasn't."""
@@ -152,7 +123,7 @@ class Encoder:
         fresh = np.flatnonzero(known < 0)
         if len(fresh):
             new = [kinds[k] for k in fresh.tolist()]
-            memory.learn(new, make([k.decode("utf-8", "surrogatepass") for k in new]))
+            memory.learn(new, make(new))
             known[fresh] = np.arange(len(memory.size) - len(new), len(memory.size))
         return known
 
