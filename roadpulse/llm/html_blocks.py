@@ -1,9 +1,14 @@
-"""Pages as sequences of leaf blocks: a tolerant reader of HTML that keeps each block's tag path and its whole text."""
+"""Pages as sequences of leaf blocks: a tolerant reader of HTML that keeps each block's tag path and its whole text.
+
+Whatever a page leaves open or unbalanced, the reader goes through it once: open elements are counted by name, so that
+none is looked for that isn't there, and elements nested deeper than ``DEPTH`` follow each other instead, as in browsers.
+"""
 
 from __future__ import annotations
 
 import html
 import re
+from collections.abc import Iterator
 
 #: Elements by what they do to the text around them.
 INLINE = frozenset(
@@ -12,7 +17,7 @@ INLINE = frozenset(
 )
 VOID = frozenset("area base br col embed frame hr img input link meta param source track wbr".split())
 #: Elements that are not shown: those whose content is no markup run to the end of the page if they are not ended.
-RAW = ("script", "style", "iframe", "noframes")
+RAW = ("script", "style", "iframe", "noframes", "textarea")
 PAIRED = ("template", "object", "svg", "math", "canvas", "audio", "video")
 #: What may start within a head; all else ends it.
 IN_HEAD = frozenset("html head base basefont bgsound link meta title noscript noframes style script template".split())
@@ -36,7 +41,11 @@ ENDS_P = frozenset(
 _UNSHOWN = re.compile(r"<!--|<!\[CDATA\[|<(/?)(%s)(?=[\s/>])[^>]*>" % "|".join((*RAW, *PAIRED, "noscript")), re.I)
 _ENDS = {"<!--": re.compile("-->"), "<![CDATA[": re.compile(r"\]\]>")} | {x: re.compile(rf"</{x}\s*>", re.I) for x in RAW}
 _NOSCRIPT = re.compile(r"<(/?)noscript(?=[\s/>])[^>]*>", re.I)
-_TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>")
+#: How deep elements are nested at most, and words that one tag's names give.
+DEPTH, NAMES = 256, 40
+_NAME = re.compile(r"(/?)([a-zA-Z][a-zA-Z0-9:-]*)|[!?]")
+#: What a tag ends with, or a value in quotes begins with.
+_STOP = re.compile(r">|=\s*[\"']")
 _NAMES = re.compile(r"(?:^|[\s\"'])(class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _HIDDEN = re.compile(r"(?:^|[\s\"'])hidden(?:[\s=/]|$)|display\s*:\s*none", re.I)
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
@@ -47,7 +56,9 @@ def names_of(attributes: str) -> tuple[str, ...]:
     found = []
     for m in _NAMES.finditer(attributes):
         found += [p.lower() for p in _PART.findall(m[2] or m[3] or m[4] or "")]
-    return tuple(found)
+        if len(found) > NAMES:
+            break
+    return tuple(found[:NAMES])
 
 
 def _shown(page: str) -> str:
@@ -56,8 +67,9 @@ def _shown(page: str) -> str:
     spans: list[tuple[int, int]] = []
     open_: dict[str, list[int]] = {}
     endless: dict[str, list[int]] = {}
-    at = 0
-    while m := _UNSHOWN.search(page, at):
+    # Behind the last > no tag ends, so none is looked for there.
+    at, last = 0, max(page.rfind(">"), page.rfind("<!--") + 3, page.rfind("<![CDATA[") + 8) + 1
+    while m := _UNSHOWN.search(page, at, last):
         at, name = m.end(), (m[2] or m[0]).lower().replace("cdata", "CDATA")
         if m[1]:
             if open_.get(name):
@@ -67,7 +79,7 @@ def _shown(page: str) -> str:
         if m[0].endswith("/>"):
             pass
         elif name == "noscript":
-            end = _NOSCRIPT.search(page, at)
+            end = _NOSCRIPT.search(page, at, last)
             end = end if end and end[1] else None
         elif name in PAIRED:
             open_.setdefault(name, []).append(m.start())
@@ -90,87 +102,149 @@ def _shown(page: str) -> str:
     return "".join(shown)
 
 
+def _end(page: str, at: int, last: int) -> int:
+    """Where a tag ends whose name ends ``at``. A value's closing quote is one that the tag or a space follows; a quote
+    without such a partner is a letter like any other."""
+    while True:
+        stop = _STOP.search(page, at)
+        if stop[0] == ">":
+            return stop.start()
+        at = stop.end()
+        close = page.find(stop[0][-1], at, last)
+        if close >= 0 and (page[close + 1] in "/>" or page[close + 1].isspace()):
+            at = close + 1
+
+
+def _tags(page: str) -> Iterator[tuple[int, int, bool, str, str]]:
+    """(begin, end, whether it is an end tag, name, attributes) of each tag; declarations have no name."""
+    last = page.rfind(">")
+    at = page.find("<")
+    while 0 <= at < last:
+        m = _NAME.match(page, at + 1)
+        if not m:
+            at = page.find("<", at + 1)
+            continue
+        end = _end(page, m.end(), last) if m[2] else page.find(">", m.end())
+        yield at, end + 1, bool(m[1]), (m[2] or "").lower(), page[m.end() : end]
+        at = page.find("<", end + 1)
+
+
+class _Element:
+    """An open element that is not inline, with the inline ones open within it."""
+
+    __slots__ = ("tag", "path", "inline")
+
+    def __init__(self, tag: str, path: tuple[str, ...]):
+        self.tag, self.path = tag, path
+        self.inline: dict[str, int] = {}
+
+    def within(self) -> tuple[str, ...]:
+        """The path of what it holds."""
+        return self.path + tuple(f"<{tag}" for tag in ("a", "label") if self.inline.get(tag))
+
+
+class _Reading:
+    """The elements that are open, and the blocks found so far."""
+
+    def __init__(self):
+        self.open = [_Element("", ())]
+        self.count: dict[str, int] = {}
+        self.links = 0
+        self.found: list[tuple[tuple[str, ...], str, int]] = []
+        self.pieces: list[str] = []
+        self.linked = 0
+
+    def text(self, piece: str) -> None:
+        self.pieces.append(piece)
+        if self.links:
+            self.linked += len(piece.strip())
+
+    def end_block(self) -> None:
+        if self.pieces:
+            text = " ".join(html.unescape("".join(self.pieces)).split())
+            if text and not self.count.get("head") and not self.count.get("title"):
+                self.found.append((self.open[-1].within(), text, self.linked))
+            self.pieces.clear()
+        self.linked = 0
+
+    def push(self, tag: str, names: tuple[str, ...]) -> None:
+        if len(self.open) > DEPTH:
+            self.pop()
+        self.open.append(_Element(tag, (*self.open[-1].within(), *names)))
+        self.count[tag] = self.count.get(tag, 0) + 1
+
+    def pop(self) -> str:
+        gone = self.open.pop()
+        self.count[gone.tag] -= 1
+        self.links -= gone.inline.get("a", 0)
+        return gone.tag
+
+    def pop_to(self, tags) -> None:
+        """Closes all up to the innermost element of one of these names, one of which is open."""
+        while self.pop() not in tags:
+            pass
+
+    def inline(self, tag: str, change: int) -> None:
+        now = self.open[-1].inline
+        if change > 0 or now.get(tag):
+            now[tag] = now.get(tag, 0) + change
+            self.links += change * (tag == "a")
+
+    def has(self, tags) -> bool:
+        return any(self.count.get(tag) for tag in tags)
+
+    def nearer(self, tags, than) -> bool:
+        """Whether the innermost open element of either group is one of ``tags``."""
+        return next((e.tag in tags for e in reversed(self.open) if e.tag in tags or e.tag in than), False)
+
+
 def blocks(page: str | None) -> list[tuple[tuple[str, ...], str, int]]:
     """(path, text, letters within links) of each leaf block that has text; the head's blocks are left out."""
     page = _shown(page) if page and "<" in page else page or ""
-    open_: list[tuple[str, tuple[str, ...]]] = []
-    found, pieces, linked, at, head = [], [], 0, 0, -1
-
-    def ended():
-        nonlocal linked
-        if pieces:
-            text = " ".join(html.unescape("".join(pieces)).split())
-            if text and not any(tag in ("head", "title") for tag, _ in open_):
-                found.append((tuple(w for _, names in open_ for w in names), text, linked))
-            pieces.clear()
-        linked = 0
-
-    def left(k: int) -> int:
-        """Closes a head at this place, unless its title is open."""
-        if k < len(open_) and open_[k][0] == "head":
-            if open_[-1][0] == "title":
-                return k
-            ended()
-            del open_[k:]
-        return -1
-
-    for m in _TAG.finditer(page):
-        if m.start() > at:
-            piece = page[at : m.start()]
-            if head >= 0 and piece.strip(" \t\n\r\f"):
-                head = left(head)
-            pieces.append(piece)
-            if any(tag == "a" for tag, _ in open_):
-                linked += len(piece.strip())
-        at = m.end()
-        tag = (m[2] or "").lower()
+    r, at = _Reading(), 0
+
+    def left() -> None:
+        """What is no part of a head closes it, unless its title is open."""
+        if r.count.get("head") and r.open[-1].tag != "title":
+            r.end_block()
+            r.pop_to({"head"})
+
+    for begin, end, closes, tag, attributes in _tags(page):
+        if begin > at:
+            piece = page[at:begin]
+            if r.count.get("head") and piece.strip(" \t\n\r\f"):
+                left()
+            r.text(piece)
+        at = end
         if not tag:
             continue
-        if head >= 0 and not m[1] and tag not in IN_HEAD:
-            head = left(head)
+        if r.count.get("head") and not closes and tag not in IN_HEAD:
+            left()
         if tag in INLINE:
-            if m[1]:
-                for k in range(len(open_) - 1, -1, -1):
-                    if open_[k][0] == tag:
-                        del open_[k]
-                        break
-                    if open_[k][0] not in INLINE:
-                        break
-            elif not m[3].endswith("/"):
-                open_.append((tag, (f"<{tag}",) if tag in ("a", "label") else ()))
+            if closes:
+                r.inline(tag, -1)
+            elif not attributes.endswith("/"):
+                r.inline(tag, 1)
             continue
-        ended()
-        if m[1]:
-            for k in range(len(open_) - 1, -1, -1):
-                if open_[k][0] == tag:
-                    del open_[k:]
-                    break
+        r.end_block()
+        if closes:
+            if r.count.get(tag):
+                r.pop_to({tag})
             continue
         if tag in VOID:
             continue
-        if tag in ENDS_P:
-            for k in range(len(open_) - 1, -1, -1):
-                if open_[k][0] == "p":
-                    del open_[k:]
-                    break
-                if open_[k][0] not in INLINE:
-                    break
+        if tag in ENDS_P and r.open[-1].tag == "p":
+            r.pop()
         if tag in ENDED_BY:
             ends, within = ENDED_BY[tag]
-            for k in range(len(open_) - 1, -1, -1):
-                if open_[k][0] in ends:
-                    del open_[k:]
-                    break
-                if open_[k][0] in within:
-                    break
-        if not m[3].endswith("/"):
-            hidden = ("hidden",) if m[3] and _HIDDEN.search(m[3]) else ()
-            if tag == "head":
-                head = len(open_)
-            open_.append((tag, (f"<{tag}", *(names_of(m[3]) if m[3] else ()), *hidden)))
+            if r.has(ends) and r.nearer(ends, within):
+                r.pop_to(ends)
+        if not attributes.endswith("/"):
+            hidden = ("hidden",) if attributes and _HIDDEN.search(attributes) else ()
+            r.push(tag, (f"<{tag}", *(names_of(attributes) if attributes else ()), *hidden))
     if at < len(page):
-        if head >= 0 and page[at:].strip(" \t\n\r\f"):
-            left(head)
-        pieces.append(page[at:])
-    ended()
-    return found
+        if page[at:].strip(" \t\n\r\f"):
+            left()
+        r.text(page[at:])
+    r.end_block()
+    return r.found

@@ -7,8 +7,8 @@ main text or not in view of all others. The main text is all blocks so labelled,
 Pages carry no labels, so the training pages are laid out here: texts of a bounded sample of real pages (``SAMPLE`` of
 them, of at most ``SAMPLE_LETTERS`` letters, those with the smallest hash) are put into random layouts in which the
 place of the article, of menus, headers, footers, sidebars, notices, adverts, forms, and reader comments is known.
-Layouts name their parts in many ways, some not at all, so that paths, words and order must all be weighed. Training
-is seeded.
+Layouts name their parts in many ways, some not at all and some by names that tell nothing, so that paths, words and
+order must all be weighed; some hide parts, some have no markup. Training is seeded.
 
 Defined results: null and empty pages, and pages without main text, have the empty text; repeated rows are extracted
 alike; text without any markup is one block. A table without text to learn from learns from fixed words.
@@ -29,9 +29,11 @@ from roadpulse.llm.html_blocks import blocks
 
 SAMPLE = 300
 SAMPLE_LETTERS = 20_000
-PATH, WORDS, MEASURES = 128, 32, 8
+#: Words that a worker remembers, and the longest of them.
+REMEMBERED, LONGEST = 300_000, 64
+PATH, WORDS, MEASURES = 291, 32, 8
 HIDDEN = 24
-TRAINING_PAGES = 3000
+TRAINING_PAGES = 5000
 ROUNDS = 10
 BATCH = 32
 
@@ -75,7 +77,7 @@ class Reader:
         self.words: dict[str, int] = {}
 
     def vectors(self, found: list[tuple[tuple[str, ...], str, int]]) -> np.ndarray:
-        if len(self.words) > 300_000:
+        if len(self.words) > REMEMBERED:
             self.words.clear()
         if len(self.paths) > 20_000:
             self.paths.clear()
@@ -89,11 +91,16 @@ class Reader:
                     way[_hashed(w, PATH)] = max(way[_hashed(w, PATH)], 1 - 0.06 * min(depth, 10))
                 self.paths[path] = way
             words = text.split(" ")
+            once = []
             for w in set(words).difference(known):
                 known[w] = _hashed(w.lower().strip(".,;:!?()"), WORDS)
+                if len(w) > LONGEST:
+                    once.append(w)
             n = len(words)
             rows[k, :PATH] = way
             rows[k, PATH : PATH + WORDS] = np.bincount([*map(known.__getitem__, words)], minlength=WORDS) / n
+            for w in once:
+                del known[w]
             stops = text.count(".") + text.count(",") + text.count("!") + text.count("?")
             rows[k, PATH + WORDS :] = (
                 np.log1p(n) / 4, np.log1p(len(text)) / 6, min(1.0, linked / len(text)), min(1.0, 5 * stops / n),
@@ -234,11 +241,23 @@ class Layouts:
         self.rng = np.random.default_rng(seed)
         self.texts = texts or [" ".join(s) for s in SAYINGS.values()]
         self.words = " ".join(self.texts[:200]).split() or ["word"]
+        #: Whether all names of a page tell nothing.
+        self.strange = False
 
     def _one(self, options):
         return options[int(self.rng.integers(len(options)))]
 
-    def _name(self, options) -> tuple[str, ...]:
+    def _foreign(self) -> str:
+        """A name that tells nothing: sites have them in any language."""
+        letters = "abcdefghiklmnoprstuvwz"
+        return "".join(letters[int(k)] for k in self.rng.integers(len(letters), size=int(self.rng.integers(2, 11))))
+
+    def _name(self, options, known: float = 0.75) -> tuple[str, ...]:
+        draw, known = self.rng.random(), 0.0 if self.strange else known
+        if draw > known + (1 - known) * 0.7:
+            return ()
+        if draw > known:
+            return tuple(self._foreign() for _ in range(int(self.rng.integers(1, 3))))
         words = self._one(options).split()
         if self.rng.random() < 0.3:
             words = words + [self._one(("wrapper", "container", "box", "inner", "block", "area", "section", "1", "js", "wide"))]
@@ -256,16 +275,18 @@ class Layouts:
         return text
 
     def _paragraphs(self, path: tuple[str, ...], n: int) -> list:
-        kinds = ["<p"] * 12 + ["<h2", "<h3", "<blockquote", "<ul <li", "<pre", "<figure <figcaption", "<table <tr <td", "<div", ""]
-        found = []
+        kinds = ["<p"] * 12 + ["<h2", "<h3", "<blockquote", "<ul <li", "<pre", "<figure <figcaption", "<table <tr <td", "<dl <dt", "<dl <dd", "<div", ""]
+        found, brief = [], self.rng.random() < 0.2
         for _ in range(n):
             text = self._text() if self.rng.random() < 0.85 else self._short(12)
+            if brief:  # an article of short sentences
+                text = " ".join((self._short(20) + self._one((".", ".", ".", "?", "!")), self._short(8) + ".")[: 1 + (self.rng.random() < 0.3)])
             found.append(((*path, *self._one(kinds).split()), text, int(self.rng.random() < 0.05) * min(20, len(text))))
         return found
 
     def _other(self, kind: str, path: tuple[str, ...]) -> list:
         tag = {"menu": ("<nav", "<div", "<ul"), "header": ("<header", "<div"), "footer": ("<footer", "<div"), "sidebar": ("<aside", "<div", "<section")}
-        tag = tag | {"form": ("<form", "<div"), "comments": ("<section", "<div", "<ol", "<aside"), "notice": ("<div", "<section", "<aside", "<dialog")}
+        tag = tag | {"form": ("<form", "<form", "<form", "<div"), "comments": ("<section", "<div", "<ol", "<aside"), "notice": ("<div", "<section", "<aside", "<dialog")}
         tag = self._one(tag.get(kind, ("<div", "<aside", "<section")))
         bare = tag in ("<nav", "<header", "<footer", "<aside", "<form") and self.rng.random() < 0.6
         path = (*path, tag, *(() if bare else self._name(OTHER[kind])))
@@ -287,12 +308,25 @@ class Layouts:
         else:
             for _ in range(int(self.rng.integers(1, 4))):
                 text = self._one(sayings) if self.rng.random() < 0.3 else self._text() if self.rng.random() < 0.5 else self._short(12)
+                if kind in ("header", "footer") and self.rng.random() < 0.6:  # they are short as a rule
+                    text = self._short(5)
                 linked = len(text) if self.rng.random() < (0.6 if kind in ("sidebar", "advert") else 0.2) else 0
                 found.append(((*path, *self._one(("<p", "<div", "<ul <li", "<h3", "<span", "", "")).split()), text, linked))
         return found
 
+    def _hidden(self, path: tuple[str, ...]) -> list:
+        """A part that is not shown, whatever it holds."""
+        kind, tag = self._one(list(OTHER)), self._one(("<div", "<section", "<p", "<ul", "<aside", "<article"))
+        names = self._name(CONTENT if self.rng.random() < 0.3 else OTHER[kind])
+        if tag == "<p":
+            return [((*path, tag, *names, "hidden"), self._text(), 0)]
+        return self._paragraphs((*path, tag, *names, "hidden"), int(self.rng.integers(1, 4)))
+
     def page(self) -> tuple[list, np.ndarray]:
         rng = self.rng
+        if rng.random() < 0.02:  # no markup at all
+            return [((), self._text(), 0)], np.array([True])
+        self.strange = rng.random() < 0.25
         base = ("<html", "<body", *self._one((("<div", "page"), ("<div", "wrapper"), ("<div", "container"), (), (), ())))
         before, after = [], []
         for kind, p in (("notice", 0.3), ("header", 0.6), ("menu", 0.8), ("advert", 0.5), ("form", 0.3), ("sidebar", 0.3)):
@@ -314,10 +348,16 @@ class Layouts:
             main.append(((*path, *head), self._short(14), 0))
         main += self._paragraphs(path, int(rng.integers(1, 14)))
         marks = [True] * len(main)
-        for kind, p in (("advert", 0.4), ("sidebar", 0.25), ("form", 0.25), ("notice", 0.2), ("menu", 0.2)):
+        for kind, p in (("advert", 0.4), ("sidebar", 0.25), ("form", 0.4), ("notice", 0.2), ("menu", 0.2)):
             if rng.random() < p:  # inside the article
                 at, extra = int(rng.integers(len(main) + 1)), self._other(kind, path)
                 main[at:at], marks[at:at] = extra, [False] * len(extra)
+        if rng.random() < 0.15:
+            at, extra = int(rng.integers(len(main) + 1)), self._hidden(path)
+            main[at:at], marks[at:at] = extra, [False] * len(extra)
+        for part in (before, after):
+            if rng.random() < 0.1:
+                part += self._hidden(base)
         if rng.random() < 0.25:
             extra = self._other("comments", path)
             main, marks = main + extra, marks + [False] * len(extra)

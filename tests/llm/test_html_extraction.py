@@ -1,7 +1,9 @@
 from __future__ import annotations
 
 import html
+import math
 import re
+import time
 
 import numpy as np
 import pytest
@@ -45,6 +47,42 @@ def test_left_out_tags_hide_no_text():
     assert texts("<p>x<svg>" * 20_000 + "<!-- open <p>n") == ["x"] * 20_000
 
 
+BAD = [
+    '<p a="x>t ', "<p a='x ", "<b><p>t", "<b>", "<i>x</b>", "<div><li>x", "<div>t", "<a>x<br>", '<p class="q q ', "<script ", "<!-- x", '<p "',
+    "<noscript>", "<textarea>", "<svg>t<p>", "<td><div>x", "</p>x", '<a href="x>', "<table><li>y", '<p title="abc>text</p>', '= "', "<x = ",
+    "<title>", "<head><title>x", "<a><p>x", "<label>x<div>", "<![CDATA[", '<p class="a b c d e f g">', "<", "<div ", "<dt>x<dd>y", "<p hidden",
+]
+
+
+@pytest.mark.parametrize("bad", BAD)
+def test_a_megabyte_of_bad_markup_is_read_at_once(bad):
+    page = bad * (1_000_000 // len(bad))
+    started = time.process_time()
+    blocks(page)
+    assert time.process_time() - started < 5  # tens of minutes if it were quadratic
+
+
+def test_quotes_without_a_partner_swallow_no_text():
+    assert texts('<p title="abc>text</p><p>b') == ["text", "b"]
+    assert texts('<p title="abc>text <a href="x">link</a></p>') == ["text link"]
+    assert texts("<p title='a > b' class=x>c</p>") == ["c"] and texts('<a href="q?a=\'b\'&c">d</a>') == ["d"]
+    assert texts("<p don't>e</p>") == ["e"] and texts('<p a="1"b="2">f') == ["f"]
+    assert texts("a < b <p>c") == ["a < b", "c"] and texts("x <3 y") == ["x <3 y"]
+
+
+def test_forms_and_definitions():
+    assert texts("<form><textarea><p>typed</p></textarea>x</form>") == ["x"]
+    assert [(p, t) for p, t, _ in blocks("<dl><dt>a<dd>b<dt>c</dl>")] == [
+        (("<dl", "<dt"), "a"), (("<dl", "<dd"), "b"), (("<dl", "<dt"), "c")
+    ]
+    assert blocks("<div style='display: none'><p>x</div>")[0][0] == ("<div", "hidden", "<p")
+
+
+def test_deep_elements_follow_each_other():
+    found = blocks("<div>x" * 2000)
+    assert [t for _, t, _ in found] == ["x"] * 2000 and max(len(p) for p, _, _ in found) <= 257
+
+
 @pytest.fixture(scope="module")
 def labeller(spark):
     return html_extraction.train(spark.read.parquet("/root/testdata/sf0.01/pages.parquet"))
@@ -68,6 +106,43 @@ def test_gradients_are_right():
         assert grad[name][at] == pytest.approx((up - down) / 2e-2, abs=2e-3)
 
 
+def plain_score(weights, rows):
+    """The network by its equations, one block and one number at a time."""
+
+    def sigmoid(v):
+        return 1 / (1 + math.exp(-v))
+
+    size, states = html_extraction.HIDDEN, {}
+    for d in "fb":
+        h, c, out = [0.0] * size, [0.0] * size, {}
+        order = range(len(rows)) if d == "f" else reversed(range(len(rows)))
+        for t in order:
+            gates = [
+                sum(float(a) * float(b) for a, b in zip(rows[t], weights[d + "x"][:, j])) + float(weights[d + "c"][j])
+                + sum(h[k] * float(weights[d + "h"][k, j]) for k in range(size))
+                for j in range(4 * size)
+            ]
+            for j in range(size):
+                i, f, o, g = sigmoid(gates[j]), sigmoid(gates[size + j]), sigmoid(gates[2 * size + j]), math.tanh(gates[3 * size + j])
+                c[j] = f * c[j] + i * g
+            h = [sigmoid(gates[2 * size + j]) * math.tanh(c[j]) for j in range(size)]
+            out[t] = h
+        states[d] = out
+    found = []
+    for t in range(len(rows)):
+        both = states["f"][t] + states["b"][t]
+        found.append(sum(a * float(b) for a, b in zip(both, weights["o"])) + float(weights["s"][0]))
+    return found
+
+
+def test_the_network_equals_its_equations():
+    rng = np.random.default_rng(7)
+    model = html_extraction.Labeller.fresh(seed=8)
+    rows = rng.random((4, html_extraction.PATH + html_extraction.WORDS + html_extraction.MEASURES)).astype(np.float32)
+    got = model.scores(*html_extraction.padded([rows]))[:, 0]
+    assert got == pytest.approx(plain_score(model.weights, rows), abs=1e-4)
+
+
 def test_padding_changes_nothing(labeller):
     rng = np.random.default_rng(2)
     pages = [rng.random((n, html_extraction.PATH + html_extraction.WORDS + html_extraction.MEASURES)).astype(np.float32) for n in (9, 1, 30, 0, 4)]
@@ -103,14 +178,48 @@ def test_known_layouts(spark, labeller, page):
     assert found == " ".join(["MAIN", *["Thnd erth of the onre, and inat ered to the blewh."] * 2])
 
 
+SAID = "Thnd erth of the onre, and inat ered to the blewh."
+
+
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        (f"{SAID} {SAID}", f"{SAID} {SAID}"),
+        (f"<body><div id=kopf>Seite</div><div id=inhalt><h1>MAIN</h1>{P}{P}</div><div id=fusszeile>Impressum</div>", f"MAIN {SAID} {SAID}"),
+        (f"<body><div class=qwe><a href=x>Uno</a></div><div class=rtz><h1>MAIN</h1>{P}{P}{P}{P}</div><div class=uio><a href=y>Tres</a></div>", f"MAIN {SAID} {SAID} {SAID} {SAID}"),
+        (f"<article><h1>MAIN</h1>{P}<dl><dt>Word here</dt><dd>Meaning of it all, as told.</dd></dl>{P}</article>",
+         f"MAIN {SAID} Word here Meaning of it all, as told. {SAID}"),
+        (f"<body><article><h1>MAIN</h1>{P}<div hidden>{P}</div>{P}</article><div style='display:none'>{P}</div>", f"MAIN {SAID} {SAID}"),
+        (f"{P}{P}{P}", f"{SAID} {SAID} {SAID}"),
+        (f'<article><p title="abc>{SAID}</p>{P}</article>', f"{SAID} {SAID}"),
+    ],
+)
+def test_plain_foreign_hidden_and_broken_pages(spark, labeller, page, want):
+    df = spark.createDataFrame([(1, "u", page, "old", 3)], SCHEMA)
+    assert html_extraction.extract(df, labeller).first().text == want
+
+
+def test_articles_without_names(spark, labeller):
+    """Pages without any class, id or role: paths, words and order alone tell the article."""
+    rows = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect()
+    bare = [re.sub(r"""\s(class|id|role|itemprop)=("[^"]*"|'[^']*'|[^\s>]+)""", "", r.html) for r in rows]
+    df = spark.createDataFrame([(r.page_id, r.url, b, "", 0) for r, b in zip(rows, bare)], SCHEMA)
+    got = {r.page_id: r.text for r in html_extraction.extract(df, labeller).collect()}
+    assert sum(got[r.page_id] == article(r.html) for r in rows) >= 0.97 * len(rows)
+
+
+def article(page):
+    inner = page.split("<article>")[1].split("</article>")[0]
+    want = " ".join(html.unescape(re.sub(r"</?b>", "", x)) for x in re.split(r"</?(?:p|br|h1)>", inner))
+    return " ".join(want.split())
+
+
 def test_query_extracts_articles(spark, sf_dir):
     rows = spark.read.parquet(f"{sf_dir}/pages.parquet").collect()
     got = {r.page_id: r for r in html_extraction.op7_html_extraction(spark, sf_dir).collect()}
     right = 0
     for r in rows:
-        inner = r.html.split("<article>")[1].split("</article>")[0]
-        want = " ".join(html.unescape(re.sub(r"</?b>", "", x)) for x in re.split(r"</?(?:p|br|h1)>", inner))
-        right += got[r.page_id].text == " ".join(want.split())
+        right += got[r.page_id].text == article(r.html)
         assert got[r.page_id].n_chars == len(got[r.page_id].text)
     assert right >= 0.98 * len(rows) and len(got) == len(rows)
 
