@@ -41,13 +41,14 @@ MASK = 0xA282EAD8
 #: Bytes of text to a file, about.
 FILE_BYTES = 12_000_000
 #: Texts that are encoded together, in bytes, about.
-BLOCK = 3_000_000
+BLOCK = 2_500_000
 #: Pieces remembered per worker, and the longest of them.
-REMEMBERED = 400_000
+REMEMBERED = 300_000
 LONGEST = 64
 _LISTS = pa.large_list(pa.large_string())
 _CUT = re.compile(r" (?=\S)")
-_ODD = re.compile(r" (?!\S)")
+#: A space that no word follows. Unicode's white space.
+_ODD = r" (?:\z|[\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}])"
 #: One sign behind a letter, before a space.
 _BEHIND = r"(\p{L})([.,;:!?]) "
 
@@ -127,43 +128,43 @@ class Encoder:
             known[fresh] = np.arange(len(memory.size) - len(new), len(memory.size))
         return known
 
-    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
+    def encode(self, texts: list[str | None] | pa.Array) -> list[np.ndarray]:
         """Ids of each text, without an end."""
-        texts = [t or "" for t in texts]
-        if not texts:
+        texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string())
+        if not len(texts):
             return []
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
         self.pieces.shrink()
         self.firsts.shrink()
         # Where every space has a word after it, all spaces are cuts, and a sign behind a letter is cut off by two; Arrow
         # then splits and numbers the pieces.
-        plain = [_ODD.search(t) is None for t in texts]
-        signed = pc.replace_substring_regex(pa.array([t for t, p in zip(texts, plain) if p], pa.large_string()), _BEHIND, r"\1  \2 ")
-        cuts = pc.split_pattern(signed, " ").cast(_LISTS)
-        odd = [_CUT.split(t) for t, p in zip(texts, plain) if not p]
-        if odd:
-            cuts = pa.concat_arrays([cuts, pa.array(odd, _LISTS)])
-        order = np.argsort(~np.array(plain), kind="stable")
+        odd = pc.match_substring_regex(texts, _ODD).to_numpy(zero_copy_only=False)
+        plain = texts.filter(pa.array(~odd))
+        cuts = pc.split_pattern(pc.replace_substring_regex(plain, _BEHIND, r"\1  \2 "), " ").cast(_LISTS)
+        if odd.any():
+            others = [_CUT.split(t) for t in texts.filter(pa.array(odd)).to_pylist()]
+            cuts = pa.concat_arrays([cuts, pa.array(others, _LISTS)])
+        order = np.argsort(odd, kind="stable")
         pieces = cuts.flatten().cast(pa.large_binary()).dictionary_encode()
-        place, kinds = pieces.indices.to_numpy().astype(np.int64), pieces.dictionary.to_pylist()
+        place, kinds = pieces.indices.to_numpy(), pieces.dictionary.to_pylist()
         ends = np.cumsum(np.asarray(cuts.value_lengths()))
         starts = np.r_[0, ends[:-1]]
 
-        # A text's first piece has no space before it, nor has a sign that was cut off: it is behind an empty piece.
-        inner = np.ones(len(place), bool)
-        inner[starts] = False
+        # A text's first piece has no space before it, nor has a sign that was cut off: it is behind an empty piece, which
+        # stands for nothing itself.
+        number = self._numbers(self.pieces, kinds, self._behind_a_space)
+        sizes, at = self.pieces.size[number][place], self.pieces.first[number][place]
         empty = kinds.index(b"") if b"" in kinds else -1
-        bare = np.flatnonzero((place[:-1] == empty) & inner[:-1] & inner[1:]) + 1
-        inner[bare] = False
-        inner &= place != empty
-        sizes, at = np.zeros((2, len(place)), np.int64)
-        for memory, where, make in (
-            (self.pieces, np.flatnonzero(inner), self._behind_a_space),
-            (self.firsts, np.concatenate([starts, bare]), self._each),
-        ):
-            used, which = np.unique(place[where], return_inverse=True)
-            number = self._numbers(memory, [kinds[k] for k in used.tolist()], make)
-            sizes[where] = memory.size[number][which]
-            at[where] = memory.first[number][which] + (len(self.pieces.ids) if memory is self.firsts else 0)
+        behind = np.flatnonzero(place == empty) + 1
+        first = np.zeros(len(place) + 1, bool)
+        first[starts] = True
+        bare = behind[~first[behind - 1] & ~first[behind]]
+        bare = np.concatenate([starts, bare[bare < len(place)]])
+        sizes[behind - 1] = 0
+        used, which = np.unique(place[bare], return_inverse=True)
+        number = self._numbers(self.firsts, [kinds[k] for k in used.tolist()], self._each)
+        sizes[bare] = self.firsts.size[number][which]
+        at[bare] = self.firsts.first[number][which] + len(self.pieces.ids)
         flat = np.concatenate([self.pieces.ids, self.firsts.ids])[spans(at, sizes)]
         found = [flat] * len(texts)
         stops = np.cumsum(sizes)[ends - 1]
@@ -194,7 +195,7 @@ def write(documents: DataFrame, model: str, folder: str, end: int = END) -> None
     def run(batches):
         encoder = _loaded(name, shared.value)
         for batch in blocks(batches, "text", BLOCK):
-            found = encoder.encode(batch.column("text").to_pylist())
+            found = encoder.encode(batch.column("text"))
             ids = batch.column("doc_id").to_pylist()
             frames = [framed(i, np.append(x, np.uint32(end))) for i, x in zip(ids, found)]
             yield pa.RecordBatch.from_arrays([pa.array(frames, pa.binary())], ["record"])
