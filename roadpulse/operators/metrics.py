@@ -9,7 +9,6 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
 from roadpulse.functions.distance import EXPRESSION_TERMS
-from roadpulse.workspace import landed
 
 # Cluster sums travel to every task; more clusters than that are refused.
 BROADCAST_BYTES = 64 << 20
@@ -36,8 +35,8 @@ def silhouette(df: DataFrame, features: str | Sequence[str], cluster: str) -> Da
     ``features`` names one vector or array column, or several numeric columns.
     The work is linear in the rows: one pass sums up each cluster, a second
     compares every row with those sums. A handful of clusters becomes an
-    expression in generated code; of more, the sums are written out, their size
-    is checked and one array of them goes to every task. Beyond
+    expression in generated code; of more, the size of the sums is checked and
+    one array of them goes to every task. Beyond
     ``BROADCAST_BYTES`` the clustering is refused. The contract is the same
     either way: a row without a cluster or with a missing or NaN feature fails
     the job, a row alone in its cluster scores 0, and so does a row as near to
@@ -85,19 +84,21 @@ def _silhouette_by_expression(df: DataFrame, features: Sequence[str], cluster: s
     if len(known) < 2 or not rows:
         raise ValueError(FEW_CLUSTERS)
 
-    def distance(row) -> Column:
-        dots = [value * ((row[f"s{i}"] or 0) / row["n"]) for i, value in enumerate(point)]
-        return _distance(norm, F.lit((row["q"] or 0) / row["n"]), reduce(lambda left, right: left + right, dots))
-
+    # In steps, each of which names what it has computed: generated code then does so once and stays small.
+    dots = [reduce(lambda left, right: left + right, [v * ((r[f"s{i}"] or 0) / r["n"]) for i, v in enumerate(point)]) for r in rows]
+    steps = df.select(label.alias("c"), bad.alias("bad"), norm.alias("norm"), *[dot.alias(f"dot{k}") for k, dot in enumerate(dots)])
+    far = [_distance(F.col("norm"), F.lit((r["q"] or 0) / r["n"]), F.col(f"dot{k}")) for k, r in enumerate(rows)]
+    steps = steps.select("c", "bad", *[d.alias(f"far{k}") for k, d in enumerate(far)])
     own, size = F.lit(None).cast("double"), F.lit(None).cast("bigint")
     others = []
-    for row in rows:
-        mine = label == row["c"]
-        own = F.when(mine, distance(row)).otherwise(own)
+    for k, row in enumerate(rows):
+        mine = F.col("c") == row["c"]
+        own = F.when(mine, F.col(f"far{k}")).otherwise(own)
         size = F.when(mine, F.lit(row["n"])).otherwise(size)
-        others.append(F.when(~mine, distance(row)))
+        others.append(F.when(~mine, F.col(f"far{k}")))
     nearest = F.least(*others) if len(others) > 1 else others[0]
-    return df.agg(F.avg(_refused(bad, _score(own, nearest, size))).alias("silhouette"))
+    steps = steps.select("bad", own.alias("own"), nearest.alias("other"), size.alias("n"))
+    return steps.agg(F.avg(_refused(F.col("bad"), _score(F.col("own"), F.col("other"), F.col("n")))).alias("silhouette"))
 
 
 def _array(df: DataFrame, features: str | Sequence[str]) -> Column:
@@ -126,14 +127,13 @@ def _silhouette_by_array(df: DataFrame, features: str | Sequence[str], cluster:
     width = len(first["point"])
     totals = F.array(*[F.sum(F.col("point")[i]) for i in range(width)])
     sums = points.groupBy("c").agg(F.count(F.lit(1)).alias("n"), F.sum("norm").alias("q"), totals.alias("s"))
-    sums = landed(sums, "cluster-sums")
-    count = sums.count()
-    if count < 2:
+    most = BROADCAST_BYTES // ((width + 3) * 8)
+    known = sums.limit(most + 1).toArrow()  # BROADCAST_BYTES at most, and a row
+    if known.num_rows < 2:
         raise ValueError(FEW_CLUSTERS)
-    if count * (width + 3) * 8 > BROADCAST_BYTES:
-        raise ValueError(f"{count} clusters are too many for a silhouette")
-    # One row, of a size that was just checked.
-    members = sums.agg(F.collect_list(F.struct("c", "n", "q", "s"))).scalar()
+    if known.num_rows > most:
+        raise ValueError(f"more than {most} clusters are too many for a silhouette")
+    members = df.sparkSession.createDataFrame(known).agg(F.collect_list(F.struct("c", "n", "q", "s"))).scalar()
 
     def distance(member: Column) -> Column:
         return _distance(F.col("norm"), member["q"] / member["n"], _dot(F.col("point"), member["s"]) / member["n"])
