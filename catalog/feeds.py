@@ -7,19 +7,26 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from catalog.tables import EMISSION_SQL, FCD_SQL, cores, emission_records, fcd_records, table
 from roadpulse.config import CONSTANT_KEY, EMISSION_FEED, FCD_FEED
 from roadpulse.functions.messages import message_key
-from roadpulse.operators.partitioning import spread
+from roadpulse.operators.partitioning import ROWS_PER_TASK, in_pieces
 from roadpulse.operators.records import normalise
 from roadpulse.plans.replaying import replay
 from roadpulse.schemas import EMISSION, FCD, MESSAGE, REJECTED_LINE
 from roadpulse.sinks.delivery import topic_counts
+from roadpulse.sinks.files import COMPRESSED
 from roadpulse.sources.delimited import ragged_counts, read_cells, read_delimited, read_lines
 from roadpulse.workspace import fresh_dir
 
 
+def _as_text(records: DataFrame, **options):
+    """A writer of headed text. It is compressed, as it repeats itself; as one task reads a compressed file, files are
+    many rather than large."""
+    return records.write.options(header=True, maxRecordsPerFile=ROWS_PER_TASK, **COMPRESSED, **options)
+
+
 def write_feed(spark: SparkSession, records: DataFrame, label: str) -> str:
     """A headed, ``;``-separated directory; NULL cells come out empty."""
     path = fresh_dir(spark, label)
-    spread(records, cores(spark)).write.options(header=True, sep=";", emptyValue="").csv(path)
+    _as_text(in_pieces(records, cores(spark)), sep=";", emptyValue="").csv(path)
     return path
 
 
@@ -100,8 +107,8 @@ def ragged_fcd(spark: SparkSession, sf_dir: str) -> str:
     line = F.when(F.col("vehicle_type") == SHORT, short).when(F.col("vehicle_type") == LONG, F.concat(whole, F.lit(";;more")))
     path = fresh_dir(spark, "ragged")
     # One column whose name is the header: the lines are written as they are.
-    lines = spread(records.select(line.otherwise(whole).alias(";".join(FCD.names))), cores(spark))
-    lines.write.options(header=True, sep="\u0001", quote="", escapeQuotes=False).csv(path)
+    lines = in_pieces(records.select(line.otherwise(whole).alias(";".join(FCD.names))), cores(spark))
+    _as_text(lines, sep="\u0001", quote="", escapeQuotes=False).csv(path)
     return path
 
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from roadpulse.config import EMISSION_FEED, FCD_FEED, Feed
-from roadpulse.operators.partitioning import spread
+from roadpulse.operators.partitioning import in_pieces, tasks_for
 from roadpulse.operators.records import as_envelopes
 from roadpulse.schemas import EMISSION, FCD
 from roadpulse.sources.messages import file_stream
@@ -30,10 +30,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def cores(spark: SparkSession) -> int:
-    """Tasks for the given tables, which are stored as one piece each."""
+    """Tasks for the given tables at least, which are stored as one piece each."""
     return spark.sparkContext.defaultParallelism
 
 
+def tasks(records: DataFrame) -> int:
+    """Tasks to fit on a table: as many as there are cores, more for a larger one."""
+    return tasks_for(records, cores(records.sparkSession))
+
+
 def table_stream(spark: SparkSession, sf_dir: str, name: str, schema: str) -> DataFrame:
     """The table as a file stream; the glob serves a single file and a directory."""
     return file_stream(spark, f"{sf_dir}/{name}*.parquet", schema)
@@ -152,8 +157,8 @@ def _emission_envelopes(lineitem: DataFrame) -> DataFrame:
 
 def envelopes(spark: SparkSession, sf_dir: str, feed: Feed) -> DataFrame:
     if feed is FCD_FEED:
-        return _fcd_envelopes(spread(table(spark, sf_dir, "events"), cores(spark)))
-    return _emission_envelopes(spread(table(spark, sf_dir, "lineitem"), cores(spark)))
+        return _fcd_envelopes(in_pieces(table(spark, sf_dir, "events"), cores(spark)))
+    return _emission_envelopes(in_pieces(table(spark, sf_dir, "lineitem"), cores(spark)))
 
 
 def stored_envelopes(spark: SparkSession, sf_dir: str, feed: Feed) -> str:

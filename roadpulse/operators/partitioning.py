@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, functions as F
 
 #: Equal rows that stay together.
 CHUNK = 1000
+#: Rows for one task, where a table is dealt anew.
+ROWS_PER_TASK = 250_000
 _ROWS, _DRAW = "_rows", "_draw"
 
 
@@ -21,6 +23,24 @@ def spread(df: DataFrame, tasks: int) -> DataFrame:
     return df.repartition(tasks)
 
 
+def tasks_for(df: DataFrame, least: int) -> int:
+    """How many tasks to deal a table to: one for each ``ROWS_PER_TASK`` rows, ``least`` at least, so that a task's share
+    stays the same however large the table is. Counts the rows; of Parquet that reads the footers only."""
+    return max(least, -(-df.count() // ROWS_PER_TASK))
+
+
+def in_pieces(df: DataFrame, least: int) -> DataFrame:
+    """A table as it is stored if its scan keeps ``least`` tasks about equally busy, else dealt anew by ``spread``.
+
+    Counts the rows of each piece that a scan is cut into; of Parquet that reads the footers only. So a file of one row
+    group is dealt out, and a large table isn't shuffled only to be copied.
+    """
+    pieces = df.groupBy(F.spark_partition_id().alias("piece")).agg(F.count(F.lit(1)).alias("n"))
+    rows, largest = pieces.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
+    even = 0 < largest * least <= 2 * rows
+    return df if even else spread(df, max(least, -(-rows // ROWS_PER_TASK)))
+
+
 def canonical(df: DataFrame, columns: Sequence[str], parts: int) -> DataFrame:
     """The rows, cut to ``columns``, in ``parts`` partitions that depend on nothing but the rows themselves.
 

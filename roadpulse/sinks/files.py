@@ -2,18 +2,26 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter
 
 from roadpulse.functions.messages import TIMESTAMP_TEXT
 
 
-def write_table(df: DataFrame, path: str, fmt: str = "csv", mode: str = "append", header: bool = True) -> None:
+#: Options of text that repeats itself, as messages do with the names of their fields: a fifth of the bytes for little time.
+COMPRESSED = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
+
+
+def write_table(
+    df: DataFrame, path: str, fmt: str = "csv", mode: str = "append", header: bool = True, options: Mapping | None = None
+) -> None:
     """A finished table as CSV, with a header or without, as JSON lines or as Parquet."""
     writer = df.write.mode(mode).options(**TIMESTAMP_TEXT)
     if fmt == "csv":
         writer = writer.option("header", header)
-    writer.format(fmt).save(path)
+    writer.options(**(options or {})).format(fmt).save(path)
 
 
 def stream_writer(

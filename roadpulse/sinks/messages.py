@@ -5,7 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter
 
+from roadpulse.sinks.files import COMPRESSED
+
 MESSAGE_COLUMNS = ("topic", "key", "value")
+#: How lines are written. As one task reads a compressed file, files are many rather than large.
+LINES = {**COMPRESSED, "maxRecordsPerFile": 250_000, "ignoreNullFields": False}
 
 
 def write_kafka(messages: DataFrame, servers: str) -> None:
@@ -24,7 +28,7 @@ def kafka_writer(messages: DataFrame, servers: str, checkpoint: str) -> DataStre
 
 def write_lines(messages: DataFrame, path: str, mode: str = "append") -> None:
     """The same three columns as JSON lines."""
-    messages.select(*MESSAGE_COLUMNS).write.mode(mode).option("ignoreNullFields", False).json(path)
+    messages.select(*MESSAGE_COLUMNS).write.mode(mode).options(**LINES).json(path)
 
 
 def lines_writer(messages: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
@@ -34,5 +38,5 @@ def lines_writer(messages: DataFrame, path: str, checkpoint: str) -> DataStreamW
         .outputMode("append")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
-        .option("ignoreNullFields", False)
+        .options(**LINES)
     )
