@@ -12,6 +12,7 @@ from roadpulse.functions.messages import message_key
 from roadpulse.operators.records import encode, normalise
 from roadpulse.operators.slices import sliced
 from roadpulse.sinks import manifest
+from roadpulse.sinks.files import COMPRESSED
 from roadpulse.sinks.manifest import Manifest, Output, write_batch
 from roadpulse.sinks.messages import MESSAGE_COLUMNS, write_kafka
 from roadpulse.sources.delimited import read_cells
@@ -71,7 +72,7 @@ def replay_in_order(
         due = max(due, time.monotonic() - every) + every
         messages = slice_messages(table, number, feed, key).select(*MESSAGE_COLUMNS)
         if lines:
-            write_batch(done, number, {manifest.MESSAGES: Output(messages, lines, "json")})
+            write_batch(done, number, {manifest.MESSAGES: Output(messages, lines, "json", options=COMPRESSED)})
         else:
             write_kafka(messages, servers)
             done.commit(number, {})

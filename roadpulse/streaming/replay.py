@@ -9,6 +9,7 @@ from roadpulse.config import Feed
 from roadpulse.operators.records import encode, normalise
 from roadpulse.sinks import manifest
 from roadpulse.sinks.delivery import METRICS, counted_stream
+from roadpulse.sinks.files import COMPRESSED
 from roadpulse.sinks.manifest import Manifest, Output, write_batch
 from roadpulse.sinks.messages import MESSAGE_COLUMNS, kafka_writer, lines_writer, write_kafka
 from roadpulse.sources.delimited import REJECTED, rejected_lines, stream_cells, whole_cells
@@ -37,7 +38,7 @@ def write_apart(batch: DataFrame, number: int, feed: Feed, key: Column | None, r
         messages = feed_messages(whole_cells(batch), feed, key).select(*MESSAGE_COLUMNS)
         outputs = {manifest.RAGGED: Output(rejected_lines(batch), rejected, "json")}
         if lines:
-            outputs = {manifest.MESSAGES: Output(messages, lines, "json")} | outputs
+            outputs = {manifest.MESSAGES: Output(messages, lines, "json", options=COMPRESSED)} | outputs
         else:
             # A broker takes no part in the manifest: a batch that is run again is delivered again.
             write_kafka(messages, servers)
