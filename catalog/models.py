@@ -14,16 +14,17 @@ from catalog.tables import (
     EMISSION_SQL,
     FCD_SQL,
     bag_difference,
-    cores,
     emission_records,
     fcd_records,
     nearest_sql,
     table,
+    tasks,
 )
 from roadpulse import config
 from roadpulse.config import EMISSION_FEED, FCD_FEED, TYPED_EMISSION_FEED
 from roadpulse.functions.distance import nearest_centre, squared_distance
 from roadpulse.operators import learning
+from roadpulse.operators.partitioning import tasks_for
 from roadpulse.operators.records import as_envelopes
 from roadpulse.plans.training import train, train_clusters, train_regressor, with_part
 from roadpulse.streaming.scoring import scored_messages
@@ -54,7 +55,7 @@ def nearest_centres(spark: SparkSession, sf_dir: str) -> DataFrame:
 def kmeans_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """k centres, and no row has a centre closer than the one it was given."""
     records = fcd_records(spark, sf_dir)
-    model = learning.fit(learning.cluster_pipeline(), records, FCD_FEED, cores(spark))
+    model = learning.fit(learning.cluster_pipeline(), records, FCD_FEED, tasks(records))
     centres = learning.centres(model)
     features = [F.col(name) for name in FCD_FEED.features]
     distances = F.array(*[squared_distance(features, centre) for centre in centres])
@@ -70,7 +71,7 @@ def kmeans_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 def forest_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predictions stay within the labels' range and beat the mean as a guess."""
     records = emission_records(spark, sf_dir)
-    model = learning.fit(learning.regression_pipeline(), records, EMISSION_FEED, cores(spark))
+    model = learning.fit(learning.regression_pipeline(), records, EMISSION_FEED, tasks(records))
     scored = learning.score(model, records, EMISSION_FEED.scored.names)
     label, guess = F.col(EMISSION_FEED.label), F.col(EMISSION_FEED.prediction)
     return scored.agg(
@@ -85,9 +86,9 @@ def model_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored and loaded models score exactly like the fitted ones."""
     positions, emissions = fcd_records(spark, sf_dir), emission_records(spark, sf_dir)
     fitted = {
-        FCD_FEED: (learning.fit(learning.cluster_pipeline(), positions, FCD_FEED, cores(spark)), positions),
+        FCD_FEED: (learning.fit(learning.cluster_pipeline(), positions, FCD_FEED, tasks(positions)), positions),
         EMISSION_FEED: (
-            learning.fit(learning.regression_pipeline(), emissions, EMISSION_FEED, cores(spark)),
+            learning.fit(learning.regression_pipeline(), emissions, EMISSION_FEED, tasks(emissions)),
             emissions,
         ),
     }
@@ -108,7 +109,7 @@ def training_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole training job on recorded feeds: text files in, stored models out."""
     clusters, regressor = fresh_dir(spark, "cmodel"), fresh_dir(spark, "rmodel")
     sources = blanked_fcd(spark, sf_dir), blanked_emission(spark, sf_dir)
-    metrics = train(spark, *sources, clusters, regressor, tasks=cores(spark))
+    metrics = train(spark, *sources, clusters, regressor, tasks=tasks(emission_records(spark, sf_dir)))
     stored = [len(learning.centres(learning.load(clusters))), learning.load(regressor).stages[-1].getNumTrees]
     facts = [
         ("centres_stored", stored[0] == config.CLUSTERS),
@@ -127,7 +128,7 @@ def held_out_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = {FCD_FEED: fcd_records(spark, sf_dir), EMISSION_FEED: emission_records(spark, sf_dir)}
     merged = None
     for (feed, records), fit in zip(tables.items(), (train_clusters, train_regressor)):
-        trained = fit(with_part(records, feed), feed, cores(spark))
+        trained = fit(with_part(records, feed), feed, tasks(records))
         for name, part in (("train", trained.train), ("test", trained.test)):
             counted = part.agg(F.lit(feed.name).alias("feed"), F.lit(name).alias("part"), F.count(F.lit(1)).alias("n"))
             merged = counted if merged is None else merged.unionByName(counted)
@@ -152,7 +153,7 @@ def typed_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = emission_records(spark, sf_dir)
     odd = F.when(F.col("vehicle_speed") > 10, F.lit("tram")).otherwise(F.col("vehicle_type"))
     path = fresh_dir(spark, "typed-model")
-    learning.save(learning.fit(learning.regression_pipeline(feed, depth=3, trees=3), records, feed, cores(spark)), path)
+    learning.save(learning.fit(learning.regression_pipeline(feed, depth=3, trees=3), records, feed, tasks(records)), path)
     model, seen = learning.load(path), records.withColumn("vehicle_type", odd)
     topic = fresh_dir(spark, "topic")
     as_envelopes(seen, feed, F.lit("2024-01-01").cast("timestamp")).write.parquet(topic)
@@ -165,13 +166,16 @@ def typed_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def same_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both models fitted from 3 and from 16 input partitions, dealt by their own values: centres and predictions are the
-    same. The fits add up in the order that tasks end in, hence the rounding."""
+    """Both models fitted from 3 and from 16 input partitions, of a larger table from as many times more, dealt by their
+    own values: centres and predictions are the same. The fits add up in the order that tasks end in, hence the rounding."""
     fcd, emission = fcd_records(spark, sf_dir), emission_records(spark, sf_dir)
     found = []
+    more, times = (-(-tasks_for(records, 3) // 3) for records in (fcd, emission))
     for n in (3, 16):
-        clusters = learning.fit(learning.cluster_pipeline(), fcd.repartition(n), FCD_FEED, parts=8)
-        forest = learning.fit(learning.regression_pipeline(depth=4, trees=4), emission.repartition(n), EMISSION_FEED, parts=8)
+        clusters = learning.fit(learning.cluster_pipeline(), fcd.repartition(n * more), FCD_FEED, parts=8 * more)
+        forest = learning.fit(
+            learning.regression_pipeline(depth=4, trees=4), emission.repartition(n * times), EMISSION_FEED, parts=8 * times
+        )
         rounded = [tuple(round(v, 6) for v in c) for c in learning.centres(clusters)]
         trees = [re.sub(r"-?\d+\.\d+(E-?\d+)?", lambda m: f"{float(m[0]):.6g}", t.toDebugString) for t in forest.stages[-1].trees]
         # The first line of a tree names the run it was made in.
