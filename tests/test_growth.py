@@ -6,7 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from catalog import feeds, models, streams
-from roadpulse.config import EMISSION_FEED
+from catalog.tables import bag_difference, emission_records, fcd_records
+from helpers import bag
+from roadpulse.config import EMISSION_FEED, FCD_FEED
 from roadpulse.operators import learning, partitioning
 from roadpulse.operators.partitioning import in_pieces, tasks_for
 from roadpulse.sinks.messages import write_lines
@@ -126,3 +128,31 @@ def test_written_feeds_and_messages_are_compressed(spark, tables, tmp_path):
     assert replay_in_order(spark, recording, EMISSION_FEED, f"{tmp_path}/progress", every=0, lines=f"{tmp_path}/sent") == 4
     sent = spark.read.option("recursiveFileLookup", True).text(f"{tmp_path}/sent")
     assert sent.count() == 1000 and all(f.endswith(".json.gz") for f in sent.inputFiles())
+
+
+def test_rows_of_a_forest_lie_side_by_side(spark, tables):
+    class Kept:
+        getStages = staticmethod(learning.regression_pipeline().getStages)
+        fit = staticmethod(lambda df: df)
+
+    records = emission_records(spark, tables).orderBy(F.rand(1))
+    columns = [*EMISSION_FEED.features, EMISSION_FEED.label]
+    dealt = learning.fit(Kept, records, EMISSION_FEED, 3)
+    assert dealt.rdd.getNumPartitions() == 3 and bag(dealt) == bag(records.select(*columns))
+    # Ranges of the first feature, fuel, follow each other; in no order every other row would cross its middle.
+    for part in dealt.rdd.glom().collect():
+        high = [r.vehicle_fuel > 1633 for r in part]
+        assert sum(a != b for a, b in zip(high, high[1:])) < 20
+
+
+def test_scores_apart_equals_the_difference_of_the_scored_bags(spark, tables):
+    records = fcd_records(spark, tables).select("vehicle_x", "vehicle_y")
+    odd = spark.createDataFrame([(0.0, -0.0), (-0.0, 0.0), (0.0, 0.0)], records.schema)
+    records = records.unionByName(odd)
+    one, two = (learning.fit(learning.cluster_pipeline(k=k), records, FCD_FEED) for k in (3, 5))
+    for other, differ in ((one, False), (two, True)):
+        got = models.scores_apart(one, other, records, FCD_FEED)
+        want = bag_difference(*(learning.score(m, records, FCD_FEED.scored.names) for m in (one, other)))
+        assert got.columns == want.columns and bag(got) == bag(want)
+        assert (got.first().differences > 0) == differ
+    assert models.scores_apart(one, two, records.limit(0), FCD_FEED).first() == (0, 0)
