@@ -22,11 +22,15 @@ their own, rows of equal ids in order of a hash of their text; an empty table ma
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
 import uuid
 import zlib
+from array import array
+from itertools import count
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
@@ -51,6 +55,11 @@ _CUT = re.compile(r" (?=\S)")
 _ODD = r" (?:\z|[\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}])"
 #: One sign behind a letter, before a space.
 _BEHIND = r"(\p{L})([.,;:!?]) "
+#: Pieces of letters alone, or of digits alone: the tokenizer's pattern never cuts them. Letters of every version of Unicode.
+_WHOLE = re.compile(r"[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u017f]+|[0-9]+")
+#: The steps before the model that ``_WHOLE`` knows.
+_BYTES = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
+_id = attrgetter("id")
 
 
 def masked(data: bytes) -> int:
@@ -81,6 +90,13 @@ def unframed(data: memoryview | bytes, offset: int) -> tuple[int | None, np.ndar
     return doc_id if flags & 1 else None, ids, end + 5
 
 
+def _signs() -> str:
+    """The letter that stands for each byte in the tokenizer's vocabulary: itself if it can be printed, else one from 256 on."""
+    shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = count(256)
+    return "".join(chr(b if b in shown else next(others)) for b in range(256))
+
+
 class Encoder:
     """One tokenizer with the pieces it has met."""
 
@@ -99,12 +115,32 @@ class Encoder:
         for token, k in vocabulary.items():
             self.widths[k] = special.get(k, len(token))
         self.tokenizer.post_processor = None  # it would only trim offsets
+        self.model, self.signs = self.tokenizer.model, _signs()
+        before = json.loads(model)
+        self.by_bytes = not before["normalizer"] and before["pre_tokenizer"] == _BYTES
 
     def _each(self, pieces: list[bytes]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast([p.decode() for p in pieces], add_special_tokens=False)
         return [np.array(x.ids, "<u4").tobytes() for x in found]
 
     def _behind_a_space(self, pieces: list[bytes]) -> list[bytes]:
+        """Ids of each piece with a space before it. What the pattern leaves whole goes to the model at once, which spares the
+        tokenizer's strings and offsets."""
+        texts = [p.decode() for p in pieces] if self.by_bytes else []
+        whole = [m is not None for m in map(_WHOLE.fullmatch, texts)]
+        if not any(whole):
+            return self._in_one(pieces)
+        space, tokenize, found = self.signs[0x20], self.model.tokenize, []
+        others = iter(self._in_one([p for p, w in zip(pieces, whole) if not w]))
+        for t, w in zip(texts, whole):
+            if w:
+                t = t if t.isascii() else t.encode().decode("latin-1").translate(self.signs)
+                found.append(array("I", map(_id, tokenize(space + t))).tobytes())
+            else:
+                found.append(next(others))
+        return found
+
+    def _in_one(self, pieces: list[bytes]) -> list[bytes]:
         """Ids of each piece with a space before it. All are encoded as one text, told apart by the bytes of the tokens."""
         if not pieces:
             return []
@@ -146,7 +182,8 @@ class Encoder:
             cuts = pa.concat_arrays([cuts, pa.array(others, _LISTS)])
         order = np.argsort(odd, kind="stable")
         pieces = cuts.flatten().cast(pa.large_binary()).dictionary_encode()
-        place, kinds = pieces.indices.to_numpy(), pieces.dictionary.to_pylist()
+        # Through numpy, as to_pylist() makes a scalar of each.
+        place, kinds = pieces.indices.to_numpy(), pieces.dictionary.to_numpy(zero_copy_only=False).tolist()
         ends = np.cumsum(np.asarray(cuts.value_lengths()))
         starts = np.r_[0, ends[:-1]]
 

@@ -86,6 +86,27 @@ def test_cut_pieces_encode_as_whole_texts(model, library):
             assert ids.tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+def test_pieces_that_the_pattern_leaves_whole_skip_the_tokenizer(model, library):
+    """They go to the model alone, which gives the same ids; before, each was a string with offsets in the tokenizer."""
+    encoder, sent = token_files.Encoder(model), []
+    in_one = encoder._in_one
+    encoder._in_one = lambda pieces: sent.extend(pieces) or in_one(pieces)
+    whole = ["thonouin", "été", "Straße", "Œuvre", "2048", "x" * 200, "ſ", "ÿ"]
+    others = ["it's", "a1", "×", "÷", "ª", "²", "don\nt", "中文", "e\u0301", "a<|endoftext|>", "\x00", "\xad", "."]
+    for words in (whole, others, whole + others, others[::-1] + whole):
+        text = "a " + " ".join(words)
+        assert encoder.encode([text])[0].tolist() == library.encode(text, add_special_tokens=False).ids
+    assert not {w.encode() for w in whole} & set(sent) and {w.encode() for w in others} <= set(sent)
+
+
+def test_letters_of_all_bytes(model):
+    from tokenizers.pre_tokenizers import ByteLevel
+
+    assert sorted(token_files._signs()) == sorted(ByteLevel.alphabet())
+    before = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str("é ÿ\t\xad~")
+    assert "".join(x for x, _ in before) == "é ÿ\t\xad~".encode().decode("latin-1").translate(token_files._signs())
+
+
 def test_query(spark, sf_dir, library):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").orderBy("doc_id").collect()
     got = {r.doc_id: r for r in token_files.op2_token_files(spark, sf_dir).collect()}
