@@ -30,9 +30,9 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from roadpulse.llm.common import WORD, components_sql, landed, map_batches, ready, table
+from roadpulse.llm.common import WORD, components_sql, landed, map_batches, ready, table, takes_over
 from roadpulse.llm.components import components
-from roadpulse.llm.shingles import WIDTH, shingle_set
+from roadpulse.llm.shingles import WIDTH, forget_words, shingle_set
 
 #: Linked: 100 * shared >= PERCENT * united; REACH is the same as a distance, PIVOTS the pivots of one recursion.
 PERCENT = 75
@@ -106,6 +106,7 @@ def survey(documents: DataFrame) -> DataFrame:
     def run(batches):
         from pyspark import TaskContext
 
+        takes_over("shingles", forget_words)
         # Rows go to buckets in turn: those of one text are as many as the table has.
         rows, sets, entries, first_row = [], {}, 0, TaskContext.get().partitionId()
         for batch in batches:
@@ -130,6 +131,7 @@ def survey(documents: DataFrame) -> DataFrame:
 
 def _bucket(part: pa.Table) -> pa.Table:
     """The rows of one bucket, and how many of its shingles each class holds in common with another class."""
+    takes_over("ngram_join")  # no words from here on
     join = lambda name, kind: np.frombuffer(b"".join(part.column(name).to_pylist()), kind)
     hashes, kinds, known = join("hashes", np.uint64), join("classes", np.int64), join("known", np.bool_)
     order = np.lexsort((kinds, hashes))
@@ -252,6 +254,7 @@ def _edges(links: list[tuple[int, int]]) -> pa.Table:
 def _join_task(part: pa.Table) -> pa.Table:
     """Links inside whole regions, several at once; and for pieces of large regions the distance of each member to the
     pivot. As (a, b, far, linked), without far for links of the first kind."""
+    takes_over("ngram_join")  # no words from here on
     kind = part.column("pivot")
     whole = part.filter(pc.is_null(kind))
     points, regions = _points(whole), whole.column("region").to_numpy()
@@ -273,6 +276,7 @@ def _join_task(part: pa.Table) -> pa.Table:
 
 def _across(part: pa.Table) -> pa.Table:
     """A block of members not linked to their pivot, and a block of others: links between the two within windows."""
+    takes_over("ngram_join")  # no words from here on
     points, kept = _points(part).narrowed(np.arange(part.num_rows))
     left, far = part.column("left").to_numpy(zero_copy_only=False)[kept], part.column("far").to_numpy()[kept]
     others = np.flatnonzero(~left)
@@ -298,6 +302,8 @@ def links(documents: DataFrame, found: DataFrame) -> DataFrame:
     left = landed(left, "screened")
 
     def make():
+        takes_over("shingles", forget_words)
+
         def work(batch):
             sets = [shingle_set(t) for t in batch.column("text").to_pylist()]
             want = batch.column("class").to_pylist()

@@ -25,7 +25,7 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from roadpulse.llm.common import Remembered, ready, table
+from roadpulse.llm.common import Remembered, ready, table, takes_over
 
 MARK = "▁"
 #: Words remembered per worker and generation; longer words are encoded each time.
@@ -188,6 +188,7 @@ _models: dict[str, Pieces] = {}
 
 
 def _loaded(name: str, model: bytes) -> Pieces:
+    takes_over("sentence_pieces", _models.clear)
     if name not in _models:
         _models.clear()
         _models[name] = Pieces(model)

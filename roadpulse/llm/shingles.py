@@ -29,6 +29,10 @@ def _hashes(words: list[bytes]) -> np.ndarray:
     return found
 
 
+def forget_words() -> None:
+    _known.clear()
+
+
 def _mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
     x = (x ^ (x >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)

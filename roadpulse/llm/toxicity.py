@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from roadpulse.llm.common import fold, landed, ready, table, words_of
+from roadpulse.llm.common import fold, landed, ready, table, takes_over, words_of
 
 #: Letters of a context and the letter after it; ids of letters take 10 bits, or more if there are more letters.
 ORDER = 4
@@ -161,6 +161,7 @@ _remembered: dict = {}
 
 def _mean_evidence(models: Models, key: str, texts: list[str | None]) -> np.ndarray:
     """Evidence per word of each text; words met before on this worker are not computed again."""
+    takes_over("toxicity", _remembered.clear)
     if _remembered.get("of") != key or len(_remembered["words"]) > REMEMBERED:
         _remembered.update(of=key, words={})
     known = _remembered["words"]

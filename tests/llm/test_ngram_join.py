@@ -170,3 +170,28 @@ def test_columns_named_as_the_helpers_name_theirs(spark):
     assert all(r[name] == "kept" for r in kept.collect() for name in names)
     plain = ngram_join.representatives(documents(spark))
     assert sorted(map(str, kept.select("doc_id", "text").collect())) == sorted(map(str, plain.select("doc_id", "text").collect()))
+
+
+def test_a_worker_remembers_one_steps_words():
+    """Toxicity's words and the join's lay beside each other in workers, also while none of them was needed."""
+    import numpy as np
+    import pyarrow as pa
+
+    from roadpulse.llm import shingles as sets, toxicity
+    from roadpulse.llm.common import takes_over
+
+    toxicity._mean_evidence(toxicity.Models({}), "a", ["one two"])
+    assert set(toxicity._remembered["words"]) == {b"one", b"two"}
+    takes_over("shingles", sets.forget_words)
+    assert not toxicity._remembered
+    first = sets.shingle_set("three four").tolist()
+    takes_over("shingles", sets.forget_words)
+    assert sets._known
+    names = ["class", "shingles", "region", "pivot"]
+    kinds = [pa.int64(), pa.binary(), pa.int64(), pa.bool_()]
+    part = pa.table([pa.array([], k) for k in kinds], names)
+    assert ngram_join._join_task(part).num_rows == 0
+    assert not sets._known and sets.shingle_set("three four").tolist() == first
+    # A step that comes back computes what it forgot.
+    got = toxicity._mean_evidence(toxicity.Models({}), "a", ["one", None])
+    assert got.tolist() == np.zeros(2).tolist() and set(toxicity._remembered["words"]) == {b"one"}
