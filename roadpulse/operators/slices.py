@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import math
+
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window, functions as F
 
-from roadpulse.workspace import landed
+from roadpulse.workspace import landed, tidy
 
 #: Stretches of time that are summed up first.
 SPANS = 1000
@@ -28,6 +31,32 @@ def time_slices(records: DataFrame, time: str, rows: int) -> DataFrame:
     return moments.join(F.broadcast(sums), "span").select(time, F.floor(before / rows).cast("long").alias("slice"))
 
 
+def starts(records: DataFrame, time: str, rows: int) -> list[tuple[float, int]]:
+    """(first moment, number) of each slice in the order of time: two numbers a slice are all that the driver gets."""
+    with tidy(records.sparkSession):
+        slices = time_slices(records, time, rows).groupBy("slice").agg(F.min(time).cast("double").alias("start"))
+        return [(r.start, r.slice) for r in slices.orderBy("slice").collect()]
+
+
+def placed(records: DataFrame, time: str, begun: list[tuple[float, int]]) -> DataFrame:
+    """``records`` with the column ``slice``, for slices that begin as ``starts`` says. A record's slice follows from its own
+    time, so nothing is shuffled. Records without a time are in no slice."""
+    name, at = "_place", F.col(time).cast("double")
+    later = [start for start, _ in begun[1:]]
+    finite = [start for start in later if math.isfinite(start)]
+    # Spark takes NaN for the largest number and -0.0 for 0.0, and so do slices.
+    known = records.where(F.col(time).isNotNull()).withColumn("_time", F.when(F.isnan(at), float("inf")).otherwise(at + 0.0))
+    if finite:
+        known = Bucketizer(splits=[-math.inf, *finite, math.inf], inputCol="_time", outputCol=name).transform(known)
+    else:
+        known = known.withColumn(name, F.lit(0.0))
+    place = F.col(name).cast("int")
+    for start in later[len(finite) :]:
+        place = place + (at >= F.lit(start)).cast("int")
+    numbers = records.sparkSession.createDataFrame([(k, number) for k, (_, number) in enumerate(begun)], f"{name} INT, slice BIGINT")
+    return known.withColumn(name, place).join(F.broadcast(numbers), name).select(*records.columns, "slice")
+
+
 def sliced(records: DataFrame, time: str, rows: int) -> DataFrame:
     """``records`` with the column ``slice``."""
-    return records.join(time_slices(records, time, rows), time).select(*records.columns, "slice")
+    return placed(records, time, starts(records, time, rows))

@@ -10,26 +10,35 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from roadpulse.config import Feed
 from roadpulse.functions.messages import message_key
 from roadpulse.operators.records import encode, normalise
-from roadpulse.operators.slices import sliced
+from roadpulse.operators.slices import placed, starts
 from roadpulse.sinks import manifest
 from roadpulse.sinks.files import COMPRESSED
 from roadpulse.sinks.manifest import Manifest, Output, write_batch
 from roadpulse.sinks.messages import MESSAGE_COLUMNS, write_kafka
 from roadpulse.sources.delimited import read_cells
-from roadpulse.workspace import fresh_dir
+from roadpulse.workspace import fresh_dir, tidy
 
 TIME = "timestep_time"
 #: Slices whose rows share a folder of the landed recording.
 SLICES_PER_FOLDER = 100
+#: So many slices have a folder each.
+FEW = 16
 
 
 def land_recording(spark: SparkSession, source: str | list[str], feed: Feed, rows: int, on_ragged: str = "fail") -> str:
     """The feed's records as a Parquet table in the shared folder, cut into slices of ``rows``; its path. The caller
-    discards it when the replay is over."""
+    discards it when the replay is over.
+
+    Few slices have a folder each, which every task writes to, without a shuffle. Of many slices, each is in few files.
+    """
     records = normalise(read_cells(spark, source, on_ragged=on_ragged), feed.schema)
-    path = fresh_dir(spark, f"recording-{feed.name}")
-    cut = sliced(records, TIME, rows).withColumn("folder", F.floor(F.col("slice") / SLICES_PER_FOLDER))
-    cut.repartitionByRange("slice", TIME).write.partitionBy("folder").parquet(path)
+    path, begun = fresh_dir(spark, f"recording-{feed.name}"), starts(records, TIME, rows)
+    cut = placed(records, TIME, begun).withColumn("folder", F.floor(F.col("slice") / SLICES_PER_FOLDER))
+    few = len(begun) <= FEW
+    with tidy(spark):
+        dealt = cut if few else cut.repartitionByRange("slice", TIME)
+        folders = ["folder", "slice"] if few else ["folder"]
+        dealt.write.partitionBy(*folders).option("compression", "zstd").parquet(path)
     return path
 
 
@@ -71,10 +80,12 @@ def replay_in_order(
             break
         due = max(due, time.monotonic() - every) + every
         messages = slice_messages(table, number, feed, key).select(*MESSAGE_COLUMNS)
-        if lines:
-            write_batch(done, number, {manifest.MESSAGES: Output(messages, lines, "json", options=COMPRESSED)})
-        else:
-            write_kafka(messages, servers)
-            done.commit(number, {})
+        # What the shuffle of a slice wrote is deleted before the next one's.
+        with tidy(spark):
+            if lines:
+                write_batch(done, number, {manifest.MESSAGES: Output(messages, lines, "json", options=COMPRESSED)})
+            else:
+                write_kafka(messages, servers)
+                done.commit(number, {})
         sent += 1
     return sent

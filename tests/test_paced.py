@@ -2,19 +2,24 @@
 
 from __future__ import annotations
 
+import math
+import re
 import threading
 import time
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+from catalog import streams
 from catalog.feeds import write_feed
 from catalog.tables import emission_records
 from roadpulse.config import EMISSION_FEED
-from roadpulse.operators.slices import time_slices
+from roadpulse.operators.slices import sliced, time_slices
 from roadpulse.schemas import EMISSION, MESSAGE
 from roadpulse.sources.committed import read_committed
-from roadpulse.streaming.paced import land_recording, replay_in_order, slice_messages
+from roadpulse.streaming.paced import FEW, land_recording, replay_in_order, slice_messages
+from roadpulse.workspace import fresh_dir, names_in
 
 ROWS = 1000
 
@@ -94,3 +99,43 @@ def test_stopped_and_started_again_it_goes_on(spark, recording, tmp_path):
     assert replay_in_order(spark, recording, EMISSION_FEED, every=0, **where) == 0
     with pytest.raises(ValueError, match="one target"):
         replay_in_order(spark, recording, EMISSION_FEED, str(tmp_path / "p"), every=0)
+
+
+def test_a_slice_follows_from_the_time_as_the_join_by_moments_gave_it(spark):
+    times = [3.0, -0.0, 0.0, None, math.nan, math.nan, 5.0, 5.0, 5.0, 7.0, 9.0, None, math.inf, -math.inf]
+    for kept in (times, [t for t in times if t is None or math.isfinite(t)], [5.0, 5.0], [math.nan, 1.0], [None]):
+        rows = spark.createDataFrame([(t, k) for k, t in enumerate(kept)], "t DOUBLE, k INT")
+        for size in (1, 2, 3, 100):
+            want = rows.join(time_slices(rows, "t", size), "t").select("t", "k", "slice")
+            got = sliced(rows, "t", size)
+            assert got.columns == want.columns
+            assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+            assert "SortMergeJoin" not in got._jdf.queryExecution().toString()
+
+
+def test_few_and_many_slices_of_a_recording_hold_the_same_records(spark, recording):
+    few = spark.read.parquet(recording)
+    source = write_feed(spark, emission_records(spark, "/root/testdata/sf0.001"), "feed")
+    many = spark.read.parquet(land_recording(spark, source, EMISSION_FEED, 100))
+    assert many.select("slice").distinct().count() > FEW >= few.select("slice").distinct().count()
+    assert many.select("folder").distinct().count() == 1
+    columns = sorted(EMISSION.names)
+    assert few.select(columns).exceptAll(many.select(columns)).isEmpty() and few.count() == many.count()
+    # Nothing but a slice's own files is read for it.
+    plan = few.where("folder = 0 AND slice = 2")._jdf.queryExecution().toString()
+    assert re.search(r"PartitionFilters: \[[^]]*slice#\d+ = 2", plan)
+
+
+def test_a_replay_in_order_leaves_no_recording_and_no_shuffles(spark, tmp_path, monkeypatch):
+    emission_records_of = "/root/testdata/sf0.001"
+    names = []
+    monkeypatch.setattr(streams, "fresh_dir", lambda spark, label: names.append(fresh_dir(spark, label)) or names[-1])
+    monkeypatch.setattr(streams, "land_recording", lambda *a: names.append(land_recording(*a)) or names[-1])
+    blocks = Path(spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()[0].toString())
+    before = {f.name for f in blocks.rglob("shuffle_*.data")}
+    rows = streams.replay_in_order(spark, emission_records_of)
+    assert rows.agg(F.sum("messages")).first()[0] == emission_records(spark, emission_records_of).count()
+    recordings = [n for n in names if "/recording-" in n]
+    assert len(recordings) == 1 and names_in(spark, recordings[0]) == []
+    left = {f.name for f in blocks.rglob("shuffle_*.data")} - before
+    assert sum(1 for f in left) <= 10, left
