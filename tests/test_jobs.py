@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import re
 from pathlib import Path
 
 import pytest
@@ -22,6 +23,7 @@ from roadpulse.sinks.files import stream_writer, write_table
 from roadpulse.sources.committed import read_committed, read_scored
 from roadpulse.sources.delimited import read_named
 from roadpulse.sources.messages import file_stream, read_quarantined
+from roadpulse.streaming import scoring
 from roadpulse.streaming.lifecycle import await_all
 from roadpulse.streaming.replay import start_replay
 from roadpulse.streaming.scoring import DECODED, ScoringJob, scored_messages, start_scoring
@@ -95,6 +97,22 @@ def test_malformed_messages_are_quarantined(spark, model, tmp_path):
     assert malformed_counts(queries[0]) == (4, 3)
 
 
+def test_a_batch_is_held_on_disk_with_the_text_of_malformed_messages_only(spark, model, tmp_path, monkeypatch):
+    seen = []
+    score = scoring.score_feed
+
+    def looked_at(fitted, rows, *rest):
+        plan = rows._jdf.queryExecution().withCachedData().toString()
+        seen.append((re.findall(r"StorageLevel\([^)]*\)", plan), [r.value for r in rows.collect()]))
+        return score(fitted, rows, *rest)
+
+    monkeypatch.setattr(scoring, "score_feed", looked_at)
+    await_all(start_scoring([job(spark, damaged(spark, tmp_path), model, tmp_path)], DRAIN))
+    assert seen == [(["StorageLevel(disk, 1 replicas)"], [None])]
+    rejected = read_quarantined(spark, str(tmp_path / "scored") + "_malformed")
+    assert {r.value for r in rejected.collect()} == {"{broken", None, '{"vehicle_x":"NaN","vehicle_y":2.0}'}
+
+
 def test_a_batch_that_failed_between_its_two_outputs_is_written_again(spark, model, tmp_path, monkeypatch):
     """Every message ends in exactly one output, though scored rows were there before the failure."""
     path = damaged(spark, tmp_path)
