@@ -6,6 +6,7 @@ import threading
 import time
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from roadpulse.config import Feed
 from roadpulse.functions.messages import message_key
@@ -16,13 +17,15 @@ from roadpulse.sinks.files import COMPRESSED
 from roadpulse.sinks.manifest import Manifest, Output, write_batch
 from roadpulse.sinks.messages import MESSAGE_COLUMNS, write_kafka
 from roadpulse.sources.delimited import read_cells
-from roadpulse.workspace import fresh_dir, tidy
+from roadpulse.workspace import fresh_dir, get_text, put_text, tidy
 
 TIME = "timestep_time"
 #: Slices whose rows share a folder of the landed recording.
 SLICES_PER_FOLDER = 100
 #: So many slices have a folder each.
 FEW = 16
+#: The file of a recording that has the number of its last slice; Spark reads no file with such a name.
+LAST = "_last"
 
 
 def land_recording(spark: SparkSession, source: str | list[str], feed: Feed, rows: int, on_ragged: str = "fail") -> str:
@@ -39,6 +42,7 @@ def land_recording(spark: SparkSession, source: str | list[str], feed: Feed, row
         dealt = cut if few else cut.repartitionByRange("slice", TIME)
         folders = ["folder", "slice"] if few else ["folder"]
         dealt.write.partitionBy(*folders).option("compression", "zstd").parquet(path)
+    put_text(spark, f"{path}/{LAST}", str(begun[-1][1] if begun else -1))
     return path
 
 
@@ -71,11 +75,13 @@ def replay_in_order(
     """
     if (lines is None) == (servers is None):
         raise ValueError("name one target: lines or servers")
-    table, done, sent = spark.read.parquet(recording), Manifest(spark, progress), 0
-    last = table.agg(F.max("slice")).first()[0]
+    # The layout is known: nothing is read to find out.
+    layout = StructType(list(feed.schema.fields)).add("folder", "long").add("slice", "long")
+    table, done, sent = spark.read.schema(layout).parquet(recording), Manifest(spark, progress), 0
+    last = int(get_text(spark, f"{recording}/{LAST}"))
     stop, due = stop or threading.Event(), time.monotonic()
     reached = max((entry.last for entry in done.entries()), default=-1)
-    for number in range(reached + 1, -1 if last is None else last + 1):
+    for number in range(reached + 1, last + 1):
         if stop.wait(max(0.0, due - time.monotonic())):
             break
         due = max(due, time.monotonic() - every) + every
